@@ -33,7 +33,7 @@ def parse_date_multi(c, formats=DATE_FORMATS) -> Column:
     ``try_to_date`` keeps ANSI mode from raising on bad text.
     """
     cleaned = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(cleaned, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(cleaned, fmt) for fmt in formats])
 
 
 def effective_on(d, valid_from="data_actual_date", valid_to="data_actual_end_date") -> Column:

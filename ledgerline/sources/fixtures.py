@@ -139,6 +139,11 @@ def _closure(names) -> list[str]:
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named views (and what they read) as CTEs."""
     parts = [f"{n} AS ({VIEWS[n].strip()})" for n in _closure(names)]
+    sql = sql.strip()
+    if not parts:
+        return sql
+    if sql.upper().startswith("WITH "):
+        return "WITH " + ",\n".join(parts) + ",\n" + sql[5:]
     return "WITH " + ",\n".join(parts) + "\n" + sql.strip()
 
 
