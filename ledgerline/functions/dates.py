@@ -33,7 +33,24 @@ def parse_date_multi(c, formats=DATE_FORMATS) -> Column:
     ``try_to_date`` keeps ANSI mode from raising on bad text.
     """
     cleaned = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(cleaned, fmt) for fmt in formats])
+    return F.coalesce(*[F.when(_may_match(cleaned, fmt), F.try_to_date(cleaned, fmt)) for fmt in formats])
+
+
+def _may_match(text: Column, fmt: str) -> Column:
+    """Cheap pre-check that is true for every text ``fmt`` can parse.
+
+    A failed parse is expensive (the parser raises internally), so a format is
+    tried only when its first separator sits where the format puts it: right
+    after a fixed two-letter field (``dd``, ``MM``), or at position 5 or later
+    after a year (``yyyy`` takes four or more digits, maybe signed).
+    """
+    lead = len(fmt) - len(fmt.lstrip("yMd"))
+    if lead == len(fmt):
+        return F.lit(True)
+    pos = F.instr(text, fmt[lead])
+    if fmt[0] == "y":
+        return (pos >= lead + 1) | F.substring(text, 1, 1).isin("+", "-")
+    return pos == lead + 1
 
 
 def effective_on(d, valid_from="data_actual_date", valid_to="data_actual_end_date") -> Column:
