@@ -8,6 +8,7 @@ once more only if the persisted blocks are lost.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -30,18 +31,28 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_cp1251(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Windows-1251 extract. Spark 4 accepts that charset only with the legacy
-    charset switch, which is turned on for this read and restored after."""
+@contextmanager
+def legacy_charsets(spark: SparkSession):
+    """Spark 4 accepts charsets such as windows-1251 only with the legacy
+    switch, and checks it again when the scan runs, so it stays on for the
+    whole block (read and write) and is restored after."""
     key = "spark.sql.legacy.javaCharsets"
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        df = read_delimited(spark, path, sep=sep, encoding="windows-1251")
-        df.schema  # resolve while the switch is on  # noqa: B018
+        yield
     finally:
         spark.conf.set(key, before)
-    return df
+
+
+def stage_cp1251(spark: SparkSession, path: str, staging_path: str, sep: str = ",") -> int:
+    """Windows-1251 extract → staging Parquet (columns by header name, all
+    strings). Returns the staged row count."""
+    from ledgerline.operators.write import write_table
+
+    with legacy_charsets(spark):
+        write_table(read_delimited(spark, path, sep=sep, encoding="windows-1251"), staging_path)
+    return spark.read.parquet(staging_path).count()
 
 
 def read_with_schema(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
@@ -51,8 +62,11 @@ def read_with_schema(spark: SparkSession, path: str, schema: StructType, sep: st
 
 
 def file_data_rows(spark: SparkSession, path: str) -> int:
-    """Physical lines minus the header, at least 0 (compared with the parsed count)."""
-    return max(spark.read.text(path).count() - 1, 0)
+    """Physical lines minus the header line of each file, at least 0 per file
+    (compared with the parsed count). A folder of part files has one header
+    per part."""
+    per_file = spark.read.text(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
+    return int(per_file.agg(F.sum(F.greatest(F.col("n") - 1, F.lit(0)))).first()[0] or 0)
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], source: str) -> None:
