@@ -161,6 +161,29 @@ def monthly_turnover(turnover: DataFrame, lo, hi) -> DataFrame:
                          F.sum(F.coalesce(F.col("credit_amount_rub"), zero())).alias("credit_amount_rub")))
 
 
+def period_measures(turnover: DataFrame, balances: DataFrame, lo, hi) -> DataFrame:
+    """Per account: balance on ``lo - 1``, rouble debit and credit turnover in
+    [lo, hi], balance on ``hi``.
+
+    The reference joins the balance table twice and the month's turnover once;
+    here the three sources are one union and one aggregate by account (one
+    shuffle, each input read once). Equal to the joins when (day, account) is
+    a key of both marts.
+    """
+    pre = _date(lo) - dt.timedelta(days=1)
+    none = F.lit(None).cast(MONEY)
+    b = (balances.where(F.col("on_date").isin(F.lit(pre), F.lit(_date(hi))))
+                 .select("account_rk",
+                         F.when(F.col("on_date") == F.lit(pre), F.col("balance_out_rub")).alias("balance_in"),
+                         none.alias("turn_deb"), none.alias("turn_cre"),
+                         F.when(F.col("on_date") == F.lit(_date(hi)), F.col("balance_out_rub")).alias("balance_out")))
+    t = (turnover.where(within("on_date", lo, hi))
+                 .select("account_rk", none.alias("balance_in"), F.col("debet_amount_rub").alias("turn_deb"),
+                         F.col("credit_amount_rub").alias("turn_cre"), none.alias("balance_out")))
+    return b.unionByName(t).groupBy("account_rk").agg(
+        *[F.sum(m).alias(m) for m in ("balance_in", "turn_deb", "turn_cre", "balance_out")])
+
+
 # Fixed value: report measures, in the report's column order.
 F101_MEASURES = ("balance_in", "turn_deb", "turn_cre", "balance_out")
 F101_COLS = ("from_date", "to_date", "chapter", "ledger_account", "characteristic") + tuple(
@@ -172,21 +195,11 @@ def form101(accounts: DataFrame, ledgers: DataFrame, turnover: DataFrame, balanc
     """dm_f101_round_f rows for the month before ``report_date``.
 
     Per (chapter, ledger prefix, kind): opening, debit and credit turnover,
-    closing, each split rouble / currency / total. All three inputs join on
-    account, so they share one hash partitioning.
+    closing, each split rouble / currency / total.
     """
     lo, hi = prev_month_bounds(report_date)
     base = report_accounts(accounts, ledgers, lo, hi)
-    b_in = (balances.where(F.col("on_date") == F.lit(lo - dt.timedelta(days=1)))
-                    .select(F.col("account_rk").alias("_a1"), F.col("balance_out_rub").alias("balance_in")))
-    t = monthly_turnover(turnover, lo, hi).select(F.col("account_rk").alias("_a2"),
-                                                  F.col("debet_amount_rub").alias("turn_deb"),
-                                                  F.col("credit_amount_rub").alias("turn_cre"))
-    b_out = (balances.where(F.col("on_date") == F.lit(hi))
-                     .select(F.col("account_rk").alias("_a3"), F.col("balance_out_rub").alias("balance_out")))
-    x = (base.join(b_in, base["account_rk"] == b_in["_a1"], "left")
-             .join(t, base["account_rk"] == t["_a2"], "left")
-             .join(b_out, base["account_rk"] == b_out["_a3"], "left"))
+    x = base.join(period_measures(turnover, balances, lo, hi), "account_rk", "left")
     sums = []
     for m in F101_MEASURES:
         v = F.coalesce(F.col(m), F.lit(0))
