@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import as_date, prev_month_bounds
+from ledgerline.functions.dates import OPEN_END, as_date, overlaps, prev_month_bounds
 from ledgerline.functions.money import MONEY, money, to_rub, zero
 from ledgerline.functions.rules import balance_delta, is_rub
 from ledgerline.operators.asof import (
@@ -114,16 +114,37 @@ def account_balance(turnover: DataFrame, accounts: DataFrame, opening: DataFrame
     A row exists for each account active that day (latest version's kind
     decides the sign). ``opening`` holds balance rows; those on ``lo - 1`` seed
     the first island.
+
+    Plan: account versions and the range's turnover rows are one union,
+    hash-partitioned once by account; versions are expanded to their days
+    inside the partitions, then the per-day aggregate (latest version, day's
+    amounts) and the carry-forward windows all run on that partitioning. One
+    exchange, of versions + turnover rows; a partition holds whole accounts,
+    each at most one row per day of the range.
     """
     hi = lo if hi is None else hi
-    active = expand_to_days(accounts, ["account_rk"], lo, hi, ["char_type"])
-    t = (turnover.where(within("on_date", lo, hi))
-                 .select("on_date", F.col("account_rk").alias("_acct"), "credit_amount", "debet_amount",
-                         "credit_amount_rub", "debet_amount_rub"))
-    x = active.join(t, (active["account_rk"] == t["_acct"]) & (active["on_date"] == t["on_date"]), "left")
-    x = x.select(active["account_rk"], active["on_date"],
-                 balance_delta("char_type", "debet_amount", "credit_amount").alias("balance_out"),
-                 balance_delta("char_type", "debet_amount_rub", "credit_amount_rub").alias("balance_out_rub"))
+    amounts = ("credit_amount", "debet_amount", "credit_amount_rub", "debet_amount_rub")
+    none_m = F.lit(None).cast(MONEY)
+    versions = accounts.where(overlaps(lo, hi)).select(
+        "account_rk", F.col("data_actual_date").alias("_from"), F.col("char_type"),
+        F.greatest(F.col("data_actual_date"), as_date(lo)).alias("_s"),
+        F.least(F.coalesce(F.col("data_actual_end_date"), F.lit(OPEN_END)), as_date(hi)).alias("_e"),
+        *[none_m.alias(a) for a in amounts])
+    turns = turnover.where(within("on_date", lo, hi)).select(
+        "account_rk", F.lit(None).cast("date").alias("_from"), F.lit(None).cast("string").alias("char_type"),
+        F.col("on_date").alias("_s"), F.col("on_date").alias("_e"), *[money(a).alias(a) for a in amounts])
+    rows = versions.unionByName(turns).repartition("account_rk")
+    days = rows.select("account_rk", "_from", "char_type", *amounts,
+                       F.explode(F.sequence("_s", "_e")).alias("on_date"))
+    per_day = (days.groupBy("account_rk", "on_date")
+                   .agg(F.max("_from").alias("_active"), F.max_by("char_type", "_from").alias("char_type"),
+                        # one turnover row per day: the sum is that row, kept at (23,8)
+                        # so the running sums below stay within 38 digits
+                        *[money(F.sum(a)).alias(a) for a in amounts])
+                   .where(F.col("_active").isNotNull()))
+    x = per_day.select("account_rk", "on_date",
+                       balance_delta("char_type", "debet_amount", "credit_amount").alias("balance_out"),
+                       balance_delta("char_type", "debet_amount_rub", "credit_amount_rub").alias("balance_out_rub"))
     prev_day = _date(lo) - dt.timedelta(days=1)
     op = opening.where(F.col("on_date") == F.lit(prev_day)).select("account_rk", "balance_out", "balance_out_rub")
     x = island_running_sum(x, "account_rk", "on_date", ["balance_out", "balance_out_rub"], lo, op)
