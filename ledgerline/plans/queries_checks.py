@@ -173,7 +173,7 @@ def q_not_null_violations(spark, sf_dir):
 
 
 @query("length_violations", """
-SELECT c_custkey, 'c_mktsegment' AS column_name, c_mktsegment AS value, length(c_mktsegment) AS value_length,
+SELECT c_custkey, 'c_mktsegment' AS column_name, c_mktsegment AS value, CAST(length(c_mktsegment) AS INTEGER) AS value_length,
        9 AS max_length
 FROM customer WHERE length(c_mktsegment) > 9""")
 def q_length_violations(spark, sf_dir):

@@ -218,7 +218,7 @@ def q_audit_duration(spark, sf_dir):
 
 
 @query("audit_truncate_message", """
-SELECT doc_id, left(text, 4000) AS error_message, length(left(text, 4000)) AS message_length FROM documents""")
+SELECT doc_id, left(text, 4000) AS error_message, CAST(length(left(text, 4000)) AS INTEGER) AS message_length FROM documents""")
 def q_audit_truncate_message(spark, sf_dir):
     d = fixtures(spark, sf_dir).documents
     msg = audit.truncate_message("text")
