@@ -20,10 +20,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.dates import OPEN_END, as_date, overlaps, prev_month_bounds
 from ledgerline.functions.money import MONEY, money, to_rub, zero
-from ledgerline.functions.rules import balance_delta, is_rub
+from ledgerline.functions.rules import balance_delta, is_passive, is_rub
 from ledgerline.operators.asof import (
     asof_lookup, asof_lookup_by_row, broadcast_if_small, expand_to_days, versions_in,
     versions_on, within,
@@ -117,34 +118,40 @@ def account_balance(turnover: DataFrame, accounts: DataFrame, opening: DataFrame
 
     Plan: account versions and the range's turnover rows are one union,
     hash-partitioned once by account; versions are expanded to their days
-    inside the partitions, then the per-day aggregate (latest version, day's
-    amounts) and the carry-forward windows all run on that partitioning. One
-    exchange, of versions + turnover rows; a partition holds whole accounts,
-    each at most one row per day of the range.
+    inside the partitions, then the per-day aggregate (latest version's kind,
+    the day's signed change) and the carry-forward windows all run on that
+    partitioning. One exchange, of versions + turnover rows; a partition holds
+    whole accounts, each at most one row per day of the range.
     """
     hi = lo if hi is None else hi
-    amounts = ("credit_amount", "debet_amount", "credit_amount_rub", "debet_amount_rub")
-    none_m = F.lit(None).cast(MONEY)
+    change = DecimalType(24, 8)      # credit − debit of one day: fits 38 digits after the running sums
+    none_c = F.lit(None).cast(change)
     versions = accounts.where(overlaps(lo, hi)).select(
-        "account_rk", F.col("data_actual_date").alias("_from"), F.col("char_type"),
+        "account_rk", F.col("data_actual_date").alias("_from"), is_passive("char_type").alias("_passive"),
         F.greatest(F.col("data_actual_date"), as_date(lo)).alias("_s"),
         F.least(F.coalesce(F.col("data_actual_end_date"), F.lit(OPEN_END)), as_date(hi)).alias("_e"),
-        *[none_m.alias(a) for a in amounts])
+        none_c.alias("_chg"), none_c.alias("_chg_rub"))
+    signed = lambda c, d: (F.coalesce(money(c), zero()) - F.coalesce(money(d), zero())).cast(change)
     turns = turnover.where(within("on_date", lo, hi)).select(
-        "account_rk", F.lit(None).cast("date").alias("_from"), F.lit(None).cast("string").alias("char_type"),
-        F.col("on_date").alias("_s"), F.col("on_date").alias("_e"), *[money(a).alias(a) for a in amounts])
-    rows = versions.unionByName(turns).repartition("account_rk")
-    days = rows.select("account_rk", "_from", "char_type", *amounts,
+        "account_rk", F.lit(None).cast("date").alias("_from"), F.lit(None).cast("boolean").alias("_passive"),
+        F.col("on_date").alias("_s"), F.col("on_date").alias("_e"),
+        signed("credit_amount", "debet_amount").alias("_chg"),
+        signed("credit_amount_rub", "debet_amount_rub").alias("_chg_rub"))
+    # The exchange carries rows before the day expansion; its size says nothing about the
+    # work after it, so its partition count is the configured one, not AQE's coalesced one.
+    n = int(turnover.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = versions.unionByName(turns).repartition(n, "account_rk")
+    days = rows.select("account_rk", "_from", "_passive", "_chg", "_chg_rub",
                        F.explode(F.sequence("_s", "_e")).alias("on_date"))
+    # Fixed-width buffers only (date, boolean, decimal): a hash aggregate.
     per_day = (days.groupBy("account_rk", "on_date")
-                   .agg(F.max("_from").alias("_active"), F.max_by("char_type", "_from").alias("char_type"),
-                        # one turnover row per day: the sum is that row, kept at (23,8)
-                        # so the running sums below stay within 38 digits
-                        *[money(F.sum(a)).alias(a) for a in amounts])
+                   .agg(F.max("_from").alias("_active"), F.max_by("_passive", "_from").alias("_passive"),
+                        F.sum("_chg").cast(change).alias("_chg"), F.sum("_chg_rub").cast(change).alias("_chg_rub"))
                    .where(F.col("_active").isNotNull()))
-    x = per_day.select("account_rk", "on_date",
-                       balance_delta("char_type", "debet_amount", "credit_amount").alias("balance_out"),
-                       balance_delta("char_type", "debet_amount_rub", "credit_amount_rub").alias("balance_out_rub"))
+    # passive: +credit −debit; otherwise the opposite sign; no turnover: 0
+    sign = lambda c: F.when(F.col("_passive"), F.coalesce(c, F.lit(0))).otherwise(-F.coalesce(c, F.lit(0)))
+    x = per_day.select("account_rk", "on_date", sign(F.col("_chg")).alias("balance_out"),
+                       sign(F.col("_chg_rub")).alias("balance_out_rub"))
     prev_day = _date(lo) - dt.timedelta(days=1)
     op = opening.where(F.col("on_date") == F.lit(prev_day)).select("account_rk", "balance_out", "balance_out_rub")
     x = island_running_sum(x, "account_rk", "on_date", ["balance_out", "balance_out_rub"], lo, op)
