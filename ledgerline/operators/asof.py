@@ -2,9 +2,9 @@
 
 The reference picks "the latest version valid on a date" with a correlated
 ``ORDER BY valid_from DESC LIMIT 1`` per row. Here that is a ``max_by``
-aggregate: a hash aggregate with a map-side partial step, so a key that
-holds a large share of the rows never lands whole in one task, and no sort
-is needed.
+aggregate with a map-side partial step, so a key that holds a large share of
+the rows never lands whole in one task. With one fixed-width value it is a
+hash aggregate; a struct of several values makes Spark sort-aggregate.
 """
 
 from __future__ import annotations
@@ -106,9 +106,15 @@ def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fac
     cond.append(F.col(fact_date).between(F.col("_from"), F.col("_to")))
     joined = facts.join(d, cond, "left")
     others = [c for c in facts.columns if c not in fact_id]
-    best = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_from")).alias("_v")
-    agg = joined.groupBy(*fact_id).agg(*[F.any_value(F.col(c)).alias(c) for c in others], best)
-    return agg.select(*facts.columns, *[F.col("_v." + v).alias(v) for v in values])
+    if len(values) == 1:
+        # one value: no struct, so fixed-width values keep a hash aggregate
+        best = [F.max_by(F.col(values[0]), F.col("_from")).alias(values[0])]
+        picked = [F.col(values[0])]
+    else:
+        best = [F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_from")).alias("_v")]
+        picked = [F.col("_v." + v).alias(v) for v in values]
+    agg = joined.groupBy(*fact_id).agg(*[F.any_value(F.col(c)).alias(c) for c in others], *best)
+    return agg.select(*facts.columns, *picked)
 
 
 def expand_to_days(dim: DataFrame, keys: Sequence[str], lo, hi, values: Sequence[str],
@@ -128,6 +134,8 @@ def expand_to_days(dim: DataFrame, keys: Sequence[str], lo, hi, values: Sequence
     days = (dim.where(overlaps(lo, hi, valid_from, valid_to))
                .select(*keys, F.col(valid_from).alias("_from"), *values,
                        F.explode(F.sequence(start, end)).alias(day_col)))
+    if len(values) == 1:
+        return days.groupBy(*keys, day_col).agg(F.max_by(F.col(values[0]), F.col("_from")).alias(values[0]))
     best = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_from")).alias("_v")
     return (days.groupBy(*keys, day_col).agg(best)
                 .select(*keys, day_col, *[F.col("_v." + v).alias(v) for v in values]))
