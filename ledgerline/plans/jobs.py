@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 )
 
 from ledgerline.functions.dates import prev_month_bounds
+from ledgerline.operators.asof import versions_in
 from ledgerline.operators.write import refresh_partitions, write_table
 from ledgerline.plans import marts
 from ledgerline.plans.audit import MAX_MESSAGE, TABLE_EVENT_SCHEMA
@@ -219,8 +220,9 @@ def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run
         report = marts.form101(ds("md_account_d"), ds("md_ledger_account_s"),
                                spark.read.parquet(dm("dm_account_turnover_f")),
                                spark.read.parquet(dm("dm_account_balance_f")), report_date)
+        # rows_read: accounts of the period, before the report's account-number filter
         run.table("dm.dm_f101_round_f", "dm", "refresh_by_period", lambda: (
-            report.count(), refresh(report.withColumn("period", F.concat_ws("_", "from_date", "to_date")),
+            versions_in(ds("md_account_d"), lo, hi, ["account_rk"], ["data_actual_date"]).count(), refresh(report.withColumn("period", F.concat_ws("_", "from_date", "to_date")),
                                     "dm_f101_round_f", "period", [f"{lo}_{hi}"]), 0))
 
     return _audited(run, body)

@@ -66,7 +66,11 @@ def test_load_all_failure_is_audited(spark, tmp_path):
 
 def test_run_month_matches_in_memory_chain_and_is_idempotent(spark, loaded):
     root, _ = loaded
-    jobs.run_month(spark, root, D(2018, 2, 1))
+    run = jobs.run_month(spark, root, D(2018, 2, 1))
+    rep_ev = (spark.read.parquet(f"{root}/logs/etl_table_log")
+              .where((F.col("run_id") == run.run_id) & (F.col("table_name") == "dm.dm_f101_round_f")
+                     & (F.col("status") == "SUCCESS")).first())
+    assert rep_ev.rows_read == 2      # accounts of the period
     ds = lambda t: spark.read.parquet(f"{root}/ds/{t}")
     lo, hi = D(2018, 1, 1), D(2018, 1, 31)
     t = marts.account_turnover(ds("ft_posting_f"), ds("md_account_d"), ds("md_exchange_rate_d"), lo, hi)
