@@ -98,22 +98,30 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Sequence[object]) -> None:
-    """Replace the given partitions of a partitioned table (daily/period refresh).
+    """Replace the given partitions of a table partitioned by ``partition_col``
+    (daily or period refresh): delete each listed partition, insert ``df``.
 
-    Dynamic partition overwrite rewrites the partitions that ``df`` has rows
-    for; a refreshed value with no new rows must be deleted explicitly,
-    otherwise its old rows would stay.
+    ``df`` is written once, to a staging folder; then each partition folder is
+    swapped in by rename. A listed value without new rows loses its old rows
+    (dynamic partition overwrite alone would keep them). Other partitions are
+    untouched, so ``df`` may read them.
     """
     spark = df.sparkSession
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
-    present = {r[0] for r in df.select(partition_col).distinct().collect()}  # at most len(values) rows
-    fs, _, jvm = _fs(spark, path)
-    for v in values:
-        if v not in present:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}")
-            if fs.exists(p):
-                fs.delete(p, True)
+    staging = f"{path.rstrip('/')}.__refresh_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    fs, target, jvm = _fs(spark, path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(target):
+        fs.mkdirs(target)
+    written = {st.getPath().getName() for st in fs.listStatus(Path(staging))
+               if st.isDirectory() and st.getPath().getName().startswith(partition_col + "=")}
+    for name in sorted(written | {f"{partition_col}={v}" for v in values}):
+        dst = Path(f"{path.rstrip('/')}/{name}")
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        if name in written:
+            fs.rename(Path(f"{staging}/{name}"), dst)
+    fs.delete(Path(staging), True)
 
 
 def export_csv(df: DataFrame, path: str, order_by: Sequence[str], single_file: bool = False) -> str:
