@@ -136,3 +136,13 @@ def test_asof_lookups_const_and_by_row(spark):
     lv = {r.k: r.v for r in latest_version(dim, ["k"], "data_actual_date", ["v"]).collect()}
     assert lv == {1: None, 2: "c"}
     assert versions_on(dim, D(2024, 1, 3), ["k"], ["v"]).count() == 2
+
+
+def test_dedup_postconditions_no_duplicate_keys_left(spark):
+    rows = [(k % 7, D(2020, 1, 1), None if k % 3 else D(2021, 1, 1), k % 5) for k in range(200)]
+    df = spark.createDataFrame(rows, "k int, f date, t date, n int")
+    kept, deleted = quality.dedup_split(df, ["k", "f"])
+    assert quality.duplicate_key_count(kept, ["k", "f"]).first()[0] == 0
+    assert quality.key_violations({"kept": (kept, ["k", "f"])}).count() == 0
+    both = sorted(map(tuple, kept.unionByName(deleted).collect()), key=str)
+    assert both == sorted(map(tuple, df.collect()), key=str)
