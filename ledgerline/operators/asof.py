@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import OPEN_END, as_date, effective_on, overlaps
 
-# A dimension side is broadcast only when it has at most this many rows.
+# A dimension side is broadcast only under both bounds: rows, and rows × row width.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -25,14 +26,22 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is checked to be at most ``max_rows``.
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (Spark's default sizes per type)."""
+    return 8 + int(df._jdf.schema().defaultSize())
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when a counting job proves it has at most
+    ``min(max_rows, max_bytes / row width)`` rows.
 
     Otherwise the frame is returned as is and the planner shuffles it; AQE may
     still pick a broadcast from the measured shuffle size, and splits skewed
     partitions of a sort-merge join.
     """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    bound = max(1, min(max_rows, max_bytes // row_width(df)))
+    return F.broadcast(df) if has_at_most(df, bound) else df
 
 
 def latest_version(dim: DataFrame, keys: Sequence[str], order_col: str,

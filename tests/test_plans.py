@@ -74,3 +74,19 @@ def test_broadcast_only_under_the_checked_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_broadcast_bound_counts_bytes_too(spark):
+    from ledgerline.operators.asof import row_width
+    wide = spark.range(50).selectExpr("id", *[f"repeat('x', 10) AS s{i}" for i in range(20)])
+    assert row_width(wide) > 20 * 20
+    probe = spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(probe.join(broadcast_if_small(wide, max_rows=1000, max_bytes=10 * row_width(wide)),
+                             F.col("k") == F.col("id")))
+        assert "BroadcastHashJoin" not in p        # 50 rows > 10 rows' worth of bytes
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
