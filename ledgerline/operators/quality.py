@@ -1,15 +1,15 @@
 """Data-quality checks and repairs.
 
-All checks are aggregates or equi-joins, so a key holding a large share of
-rows is folded by the map-side partial aggregate, or split by AQE's skew join,
-instead of being sent whole to one task.
+Checks are aggregates (a key holding a large share of rows is folded by the
+map-side partial aggregate), equi-joins on full keys (AQE splits a skewed
+side), or windows over a key with at most one row per day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.asof import broadcast_if_small
@@ -107,47 +107,53 @@ def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
 
 
 # ---------------------------------------------------------------- balance chain
+#
+# (key, day) is the table's key, so "yesterday's row" is the previous row in day
+# order when it is exactly one day earlier; a missing day is no error (plain
+# ``lag`` without the day check would compare with an older day). One shuffle
+# by key and one sort; a key has at most one row per day.
+
+def _neighbours(chain: DataFrame, key: str, day: str, in_col: str, out_col: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy(day)
+    return chain.select("*", F.lag(day).over(w).alias("_pd"), F.lag(out_col).over(w).alias("_po"),
+                        F.lead(day).over(w).alias("_nd"), F.lead(in_col).over(w).alias("_ni"))
+
+
+def _in_wrong(day: str, in_col: str) -> Column:
+    return (F.col("_pd") == F.date_sub(F.col(day), 1)) & ~F.col(in_col).eqNullSafe(F.col("_po"))
+
 
 def chain_in_errors(chain: DataFrame, key: str = "account_rk", day: str = "effective_date",
                     in_col: str = "account_in_sum", out_col: str = "account_out_sum") -> DataFrame:
-    """Days whose opening differs (NULL-safe) from the previous day's closing.
-
-    A self join on (key, day − 1): a missing previous day is no error, unlike
-    ``lag``, which would compare with an older day.
-    """
-    prev = chain.select(F.col(key).alias("_pk"), F.col(day).alias("previous_effective_date"),
-                        F.col(out_col).alias("correct_" + in_col))
-    x = chain.join(prev, (F.col(key) == F.col("_pk"))
-                   & (F.col("previous_effective_date") == F.date_sub(F.col(day), 1)), "inner")
-    return (x.where(~F.col(in_col).eqNullSafe(F.col("correct_" + in_col)))
-             .select(key, day, F.col(in_col).alias("wrong_" + in_col), "correct_" + in_col,
-                     "previous_effective_date"))
+    """Days whose opening differs (NULL-safe) from the previous day's closing."""
+    x = _neighbours(chain, key, day, in_col, out_col)
+    return x.where(_in_wrong(day, in_col)).select(
+        key, day, F.col(in_col).alias("wrong_" + in_col), F.col("_po").alias("correct_" + in_col),
+        F.col("_pd").alias("previous_effective_date"))
 
 
 def chain_out_errors(chain: DataFrame, key: str = "account_rk", day: str = "effective_date",
                      in_col: str = "account_in_sum", out_col: str = "account_out_sum") -> DataFrame:
     """Mirror check: days whose closing differs from the next day's opening."""
-    nxt = chain.select(F.col(key).alias("_nk"), F.col(day).alias("next_effective_date"),
-                       F.col(in_col).alias("correct_" + out_col))
-    x = chain.join(nxt, (F.col(key) == F.col("_nk"))
-                   & (F.col("next_effective_date") == F.date_add(F.col(day), 1)), "inner")
-    return (x.where(~F.col(out_col).eqNullSafe(F.col("correct_" + out_col)))
-             .select(key, day, F.col(out_col).alias("wrong_" + out_col), "correct_" + out_col,
-                     "next_effective_date"))
+    x = _neighbours(chain, key, day, in_col, out_col)
+    wrong = (F.col("_nd") == F.date_add(F.col(day), 1)) & ~F.col(out_col).eqNullSafe(F.col("_ni"))
+    return x.where(wrong).select(
+        key, day, F.col(out_col).alias("wrong_" + out_col), F.col("_ni").alias("correct_" + out_col),
+        F.col("_nd").alias("next_effective_date"))
 
 
 def repair_chain(chain: DataFrame, key: str = "account_rk", day: str = "effective_date",
                  in_col: str = "account_in_sum", out_col: str = "account_out_sum") -> tuple[DataFrame, DataFrame]:
     """(repaired table, fixes): each wrong opening set to yesterday's closing.
 
-    The fix set is computed from the table before the update, like
-    ``UPDATE ... FROM fixes``; ``fixes.count()`` is the updated row count.
+    Fixes come from the table before the update, like ``UPDATE ... FROM fixes``
+    (an update never changes a closing, so one pass is enough);
+    ``fixes.count()`` is the updated row count.
     """
-    fixes = chain_in_errors(chain, key, day, in_col, out_col).select(
-        F.col(key).alias("_fk"), F.col(day).alias("_fd"), F.col("correct_" + in_col).alias("_fix"))
-    x = chain.join(fixes, (F.col(key) == F.col("_fk")) & (F.col(day) == F.col("_fd")), "left")
-    fixed = x.select(*[F.when(F.col("_fk").isNotNull(), F.col("_fix")).otherwise(F.col(c)).alias(c)
-                       if c == in_col else F.col(c) for c in chain.columns])
+    x = _neighbours(chain, key, day, in_col, out_col).withColumn("_fix", _in_wrong(day, in_col))
+    fixed = x.select(*[F.when(F.col("_fix"), F.col("_po")).otherwise(F.col(c)).alias(c) if c == in_col
+                       else F.col(c) for c in chain.columns])
+    fixes = x.where("_fix").select(key, day, F.col("_po").alias("correct_" + in_col))
     return fixed, fixes
 
 

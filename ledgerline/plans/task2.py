@@ -73,13 +73,18 @@ def loan_holiday_rows_read(deal: DataFrame, holiday: DataFrame, product: DataFra
 
 
 def account_balance_turnover(account: DataFrame, balance: DataFrame, dict_currency: DataFrame) -> DataFrame:
-    """account ⋈ balance (left join whose WHERE keeps matched rows only: an
-    inner join) ⟕ currency names, missing name → '-1'."""
-    a, ab = account.alias("a"), balance.alias("ab")
+    """account ⋈ balance ⟕ currency names, missing name → '-1'.
+
+    The reference's left join keeps only rows with a balance date, so it is an
+    inner join; the account dimension (one row per account) is then the side
+    to broadcast, under the checked bound, and the balance rows stream through
+    without a shuffle, whatever share of them one account holds.
+    """
+    a, ab = broadcast_if_small(account).alias("a"), balance.alias("ab")
     dc = broadcast_if_small(dict_currency).alias("dc")
-    x = (a.join(ab, F.col("ab.account_rk") == F.col("a.account_rk"), "left")
-          .join(dc, F.col("dc.currency_cd") == F.col("a.currency_cd"), "left")
-          .where(F.col("ab.effective_date").isNotNull()))
+    x = (ab.join(a, F.col("ab.account_rk") == F.col("a.account_rk"), "inner")
+           .join(dc, F.col("dc.currency_cd") == F.col("a.currency_cd"), "left")
+           .where(F.col("ab.effective_date").isNotNull()))
     return x.select(F.col("a.account_rk").alias("account_rk"),
                     F.coalesce(F.col("dc.currency_name"), F.lit("-1")).alias("currency_name"),
                     F.col("a.department_rk").alias("department_rk"),

@@ -90,3 +90,12 @@ def test_broadcast_bound_counts_bytes_too(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_chain_repair_is_one_shuffle_without_join(spark):
+    ch = spark.createDataFrame([(1, D(2024, 1, 1), Decimal(0), Decimal(1))],
+                               "account_rk int, effective_date date, account_in_sum decimal(23,8), "
+                               "account_out_sum decimal(23,8)")
+    fixed, _ = quality.repair_chain(ch)
+    p = _plan(fixed)
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
