@@ -24,7 +24,7 @@ from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.dates import OPEN_END, as_date, overlaps, prev_month_bounds
 from ledgerline.functions.money import MONEY, money, to_rub, zero
-from ledgerline.functions.rules import balance_delta, is_passive, is_rub
+from ledgerline.functions.rules import is_passive, is_rub
 from ledgerline.operators.asof import (
     asof_lookup, asof_lookup_by_row, broadcast_if_small, expand_to_days, versions_in,
     versions_on, within,

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import prev_month_bounds
 from ledgerline.operators import quality
 from ledgerline.operators.asof import asof_lookup, versions_in, versions_on
 from ledgerline.plans import marts, task2
