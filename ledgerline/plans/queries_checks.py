@@ -260,7 +260,8 @@ WHERE r.table_name IS NULL OR c.table_name IS NULL OR c.rows_count <> r.rows_cou
 def q_period_reconciliation(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return quality.reconcile_periods({"deal_info": fx.v_stg_deal, "product": fx.v_stg_product},
-                                     {"deal_info": fx.v_rd_deal, "product": fx.v_rd_product})
+                                     {"deal_info": fx.v_rd_deal, "product": fx.v_rd_product}).orderBy(
+        "table_name", "effective_from_date", "effective_to_date")
 
 
 _LH_FROM = """
