@@ -77,10 +77,21 @@ def require_columns(df: DataFrame, columns: Sequence[str], source: str) -> None:
 
 def cast_tag(c: Column | str, tag: str) -> Column:
     """Trim, blank → NULL, then the tag's type. Dates try each accepted format;
-    numbers that do not parse become NULL (``try_cast``; ANSI mode would raise)."""
+    numbers that do not parse become NULL (``try_cast``; ANSI mode would raise).
+
+    Integers keep the non-ANSI cast's behaviour the loads were written for:
+    plain decimal text is truncated to its integer part ('12.7' → 12).
+    Decimal tags round half up ('12.7' → 13 for decimal(20,0)), as before.
+    """
     if tag == "date":
         return parse_date_multi(c)
-    return blank_to_null(c).try_cast(type_of(tag))
+    text = blank_to_null(c)
+    if tag == "integer":
+        plain = text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$")
+        whole = F.regexp_extract(text, r"^([+-]?[0-9]*)", 1)
+        whole = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
+        return F.when(plain, whole.try_cast(type_of(tag)))
+    return text.try_cast(type_of(tag))
 
 
 def typed(df: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -157,3 +157,11 @@ def test_audit_state_totals_duration(spark):
     one = spark.createDataFrame([(t0, t0 + dt.timedelta(microseconds=1500)), (t0, t0 + dt.timedelta(microseconds=1499))],
                                 "s timestamp, e timestamp")
     assert [r[0] for r in one.select(audit.duration_sec("s", "e")).collect()] == [Decimal("0.002"), Decimal("0.001")]
+
+
+def test_cast_tags_like_the_non_ansi_loads(spark):
+    vals = [" 12 ", "12.7", "-12.7", "+3.", ".5", "1e3", "x", "", "99999999999"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [tuple(r) for r in df.select(ingest.cast_tag("s", "integer"), ingest.cast_tag("s", "decimal20")).collect()]
+    assert [g[0] for g in got] == [12, 12, -12, 3, 0, None, None, None, None]
+    assert [g[1] for g in got][:3] == [Decimal(12), Decimal(13), Decimal(-13)]
