@@ -8,7 +8,7 @@ from ledgerline.operators import quality
 from ledgerline.operators.asof import asof_lookup, versions_in, versions_on
 from ledgerline.plans import marts, task2
 from ledgerline.plans.queries import (
-    ACTIVE_DAY, DAY, RANGE_HI, RANGE_LO, REPORT_DATE, _mart_sql, _q, balances_all, query,
+    ACTIVE_DAY, DAY, RANGE_HI, RANGE_LO, REPORT_DATE, _mart_sql, _q, balances_all, f101, query,
     turnover_range,
 )
 from ledgerline.sources.fixtures import fixtures, with_views
@@ -309,8 +309,8 @@ UNION ALL SELECT 'dm_f101_round_f', count(*) FROM f101""", report=REPORT_DATE))
 def q_table_counts(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     t = turnover_range(fx)
-    b = balances_all(fx, t)
-    r = marts.form101(fx.v_account, fx.v_ledger, t, b, REPORT_DATE)
+    b = balances_all(fx)
+    r = f101(fx)
     parts = [("ft_posting_f", fx.v_posting), ("dm_account_turnover_f", t), ("dm_account_balance_f", b),
              ("dm_f101_round_f", r)]
     out = None
@@ -326,7 +326,7 @@ UNION ALL SELECT 'dm_account_balance_f', on_date, count(*) FROM bal_all GROUP BY
 def q_rows_by_date(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     t = turnover_range(fx)
-    b = balances_all(fx, t)
+    b = balances_all(fx)
     return (t.groupBy("on_date").agg(F.count(F.lit(1)).alias("rows_count"))
              .select(F.lit("dm_account_turnover_f").alias("table_name"), "on_date", "rows_count")
              .unionByName(b.groupBy("on_date").agg(F.count(F.lit(1)).alias("rows_count"))
