@@ -57,10 +57,11 @@ SELECT DATE '2023-12-31' AS on_date, c_custkey AS account_rk,
        CASE WHEN c_custkey % 5 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS currency_rk,
        CAST(c_acctbal AS DECIMAL(23,8)) AS balance_out
 FROM customer""",
+    # every line of an order shares (client_rk, effective_from_date): duplicate keys over the whole table
     "v_client": """
 SELECT l_orderkey AS client_rk, DATE '2020-01-01' AS effective_from_date, CAST(l_shipdate AS DATE) AS effective_to_date,
        l_linenumber AS branch_no, l_partkey AS note_no, l_suppkey AS src_no, l_returnflag AS flag
-FROM lineitem WHERE l_orderkey % 3 = 0 AND l_linenumber <= 2""",
+FROM lineitem""",
     "v_deal": """
 SELECT o_orderkey AS deal_rk, CAST(o_orderdate AS DATE) AS effective_from_date, DATE '2999-12-31' AS effective_to_date,
        o_custkey AS client_rk, o_custkey % 60 AS product_rk, o_orderstatus AS deal_type_cd,
