@@ -56,6 +56,11 @@ def latest_version(dim: DataFrame, keys: Sequence[str], order_col: str,
     cols = [c for c in (cols or dim.columns) if c not in keys]
     if order_col not in cols:
         cols.append(order_col)
+    values = [c for c in cols if c != order_col]
+    if len(values) <= 1:
+        # one value: no struct, so fixed-width values keep a hash aggregate
+        picked = [F.max_by(F.col(v), F.col(order_col)).alias(v) for v in values]
+        return dim.groupBy(*keys).agg(*picked, F.max(order_col).alias(order_col)).select(*keys, *cols)
     best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_v")
     return dim.groupBy(*keys).agg(best).select(*keys, *[F.col("_v." + c).alias(c) for c in cols])
 
