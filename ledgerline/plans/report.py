@@ -29,8 +29,11 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position")
     broadcast). The sorted frame is persisted so both passes see the same
     partitions.
     """
-    s = df.orderBy(*order_cols).select("*", F.spark_partition_id().alias("_pid"),
-                                       F.monotonically_increasing_id().alias("_mid")).persist()
+    # Remaining columns break ties, so the order is total (full copies are
+    # interchangeable) and a recomputed partition numbers its rows the same way.
+    tie = [c for c in df.columns if c not in order_cols]
+    s = df.orderBy(*order_cols, *tie).select("*", F.spark_partition_id().alias("_pid"),
+                                             F.monotonically_increasing_id().alias("_mid")).persist()
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
