@@ -122,7 +122,7 @@ def load_all(spark: SparkSession, files: Mapping[str, str], root: str, sep: str
     ``files`` maps table name → CSV path; tables without a file are skipped.
     ``rows_loaded`` of a table is its size after the load, as in the reference.
     """
-    run = Run(spark, root, "bank_etl", run_type)
+    run = Run(spark, root, "detail_load", run_type)
 
     def body():
         for name in LOAD_ORDER:
@@ -148,13 +148,13 @@ def load_extracts(spark: SparkSession, files: Mapping[str, str], root: str, step
     ``rd`` (full reload, columns by name), ``all`` = both; totals add both steps."""
     if step not in ("stage", "rd", "all"):
         raise ValueError(f"unknown step {step!r}")
-    run = Run(spark, root, "load_rd_csv")
+    run = Run(spark, root, "extract_load")
 
     def body():
         if step in ("stage", "all"):
             for name, src in files.items():
                 stg = _path(root, "stg", name)
-                run.table(f"stg.{name}", f"csv:{src}", "truncate_copy_from_csv",
+                run.table(f"stg.{name}", f"csv:{src}", "stage_from_csv",
                           lambda src=src, stg=stg: (lambda n: (n, n, 0))(ingest.stage_cp1251(spark, src, stg)))
         if step in ("rd", "all"):
             for name in files:
@@ -167,7 +167,7 @@ def load_extracts(spark: SparkSession, files: Mapping[str, str], root: str, step
                     write_table(src.select(*cols), rd)
                     return n, spark.read.parquet(rd).count(), 0
 
-                run.table(f"rd.{name}", f"stg.{name}", "truncate_insert_from_stg", to_rd)
+                run.table(f"rd.{name}", f"stg.{name}", "reload_from_staging", to_rd)
 
     return _audited(run, body)
 
@@ -194,7 +194,7 @@ def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run
     seed_day = seed_day or (lo - dt.timedelta(days=1))
     ds = lambda t: spark.read.parquet(_path(root, "ds", t))
     dm = lambda t: _path(root, "dm", t)
-    run = Run(spark, root, "dm.fill_month", "procedure")
+    run = Run(spark, root, "month_marts", "procedure")
     days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
     def refresh(df: DataFrame, table: str, col: str, values) -> int:
