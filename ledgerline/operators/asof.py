@@ -100,15 +100,19 @@ def asof_lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], d,
 def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fact_date: str,
                        fact_id: Sequence[str], values: Sequence[str],
                        valid_from: str = "data_actual_date",
-                       valid_to: str = "data_actual_end_date") -> DataFrame:
+                       valid_to: str = "data_actual_end_date",
+                       max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """As-of by each fact row's own date.
 
     Equi-join on the keys plus ``fact_date BETWEEN from AND coalesce(to, OPEN_END)``
-    (a sort-merge join on the keys; the range is a post-filter over the few
-    versions of a key), then the latest matching version per fact row by
-    ``max_by``. ``fact_id`` must be unique in ``facts``; the aggregate groups on
-    it, and when it contains the join keys the join's partitioning already
-    satisfies the aggregate, so there is no extra shuffle.
+    (the range is a post-filter over the few versions of a key), then the
+    latest matching version per fact row by ``max_by``. ``fact_id`` must be
+    unique in ``facts``; the aggregate groups on it.
+
+    A dimension under the checked bound is broadcast: the facts keep their
+    partitioning and, when it is on ``fact_id``, the aggregate needs no
+    shuffle at all. A larger dimension meets the facts in a sort-merge join on
+    the keys, whose partitioning then satisfies the aggregate.
     """
     fact_id = list(fact_id)
     dkeys = list(on.values())
@@ -116,6 +120,7 @@ def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fac
                    F.col(valid_from).alias("_from"),
                    F.coalesce(F.col(valid_to), F.lit(OPEN_END)).alias("_to"),
                    *[F.col(v) for v in values])
+    d = broadcast_if_small(d, max_broadcast_rows)
     cond = [F.col(fk) == F.col(f"_k{i}") for i, fk in enumerate(on)]
     cond.append(F.col(fact_date).between(F.col("_from"), F.col("_to")))
     joined = facts.join(d, cond, "left")

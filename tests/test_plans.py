@@ -99,3 +99,16 @@ def test_chain_repair_is_one_shuffle_without_join(spark):
     fixed, _ = quality.repair_chain(ch)
     p = _plan(fixed)
     assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+
+
+def test_turnover_range_shuffles_the_facts_once_when_dimensions_are_small(spark):
+    acc = spark.createDataFrame([(D(2024, 1, 1), None, 1, 5)],
+                                "data_actual_date date, data_actual_end_date date, account_rk long, currency_rk long")
+    rt = spark.createDataFrame([(D(2024, 1, 1), None, 5, Decimal(2))],
+                               "data_actual_date date, data_actual_end_date date, currency_rk long, "
+                               "reduced_cource decimal(23,8)")
+    p = _plan(marts.account_turnover(_postings(spark), acc, rt, D(2024, 1, 1), D(2024, 1, 31)))
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    fact_side = [k for k in keys if "account_rk" in k]
+    assert len(fact_side) == 1 and "on_date" in fact_side[0]      # the postings aggregate only
+    assert all("currency_rk" in k for k in keys if k not in fact_side)  # the rate dimension, before broadcast

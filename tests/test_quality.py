@@ -146,3 +146,12 @@ def test_dedup_postconditions_no_duplicate_keys_left(spark):
     assert quality.key_violations({"kept": (kept, ["k", "f"])}).count() == 0
     both = sorted(map(tuple, kept.unionByName(deleted).collect()), key=str)
     assert both == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_asof_by_row_same_result_broadcast_or_shuffled(spark):
+    dim = spark.createDataFrame(VERS, VS)
+    facts = spark.createDataFrame([(k, D(2024, 1, 1) + dt.timedelta(days=i)) for k in (1, 2, 3) for i in range(14)],
+                                  "fk int, d date")
+    small = asof_lookup_by_row(facts, dim, {"fk": "k"}, "d", ["fk", "d"], ["v"])
+    big = asof_lookup_by_row(facts, dim, {"fk": "k"}, "d", ["fk", "d"], ["v"], max_broadcast_rows=1)
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, big.collect()), key=str)
