@@ -85,8 +85,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
         w = w.option(k, v)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(tmp)
     fs, target, jvm = _fs(spark, path)
+    try:
+        w.save(tmp)
+    except Exception:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # the old table stays as it was
+        raise
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}")
     had_old = fs.exists(target)
     if had_old:
@@ -108,9 +112,13 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__refresh_{uuid.uuid4().hex}"
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     fs, target, jvm = _fs(spark, path)
     Path = jvm.org.apache.hadoop.fs.Path
+    try:
+        df.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    except Exception:
+        fs.delete(Path(staging), True)   # no partition was touched yet
+        raise
     if not fs.exists(target):
         fs.mkdirs(target)
     written = {st.getPath().getName() for st in fs.listStatus(Path(staging))

@@ -31,6 +31,16 @@ def refresh_days(spark: SparkSession, posting_table: str, turnover_table: str, a
     refresh_partitions(t.repartition("on_date"), turnover_table, "on_date", days)
 
 
+def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, posting_table: str,
+                turnover_table: str, accounts: DataFrame, rates: DataFrame) -> None:
+    """One micro-batch: land it under its batch id (a replay overwrites the same
+    folder), then refresh the days it touched. Safe to run again."""
+    batch.write.mode("overwrite").parquet(f"{posting_table}/batch_id={batch_id}")
+    # distinct days of one batch: a handful of values
+    days = sorted(r[0] for r in batch.select("oper_date").distinct().collect() if r[0] is not None)
+    refresh_days(spark, posting_table, turnover_table, accounts, rates, days)
+
+
 def start_turnover_refresh(spark: SparkSession, source_dir: str, schema: StructType, posting_table: str,
                            turnover_table: str, accounts: DataFrame, rates: DataFrame,
                            checkpoint_location: str, fmt: str = "parquet",
@@ -40,10 +50,7 @@ def start_turnover_refresh(spark: SparkSession, source_dir: str, schema: StructT
     stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{posting_table}/batch_id={batch_id}")
-        # distinct days of one batch: a handful of values
-        days = sorted(r[0] for r in batch.select("oper_date").distinct().collect() if r[0] is not None)
-        refresh_days(spark, posting_table, turnover_table, accounts, rates, days)
+        apply_batch(spark, batch, batch_id, posting_table, turnover_table, accounts, rates)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w

@@ -165,3 +165,15 @@ def test_cast_tags_like_the_non_ansi_loads(spark):
     got = [tuple(r) for r in df.select(ingest.cast_tag("s", "integer"), ingest.cast_tag("s", "decimal20")).collect()]
     assert [g[0] for g in got] == [12, 12, -12, 3, 0, None, None, None, None]
     assert [g[1] for g in got][:3] == [Decimal(12), Decimal(13), Decimal(-13)]
+
+
+def test_failed_write_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write.write_table(spark.createDataFrame([(1,), (2,)], "k int"), path)
+    bad = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("boom"))).otherwise(F.col("id"))
+                                 .alias("k"))
+    with pytest.raises(Exception, match="boom"):
+        write.write_table(bad, path)
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
+    import os
+    assert [n for n in os.listdir(tmp_path) if n != "t"] == []     # no staging folder left behind

@@ -33,3 +33,21 @@ def test_stream_refresh_equals_batch_turnover(spark, tmp_path):
     exp = {tuple(r) for r in account_turnover(allp, acc, rates, D(2024, 1, 1), D(2024, 1, 2)).collect()}
     assert got == exp
     assert (D(2024, 1, 2), 1, Decimal("1.25"), Decimal("3.125"), Decimal(0), Decimal(0)) in got
+
+
+def test_replayed_batch_gives_the_same_tables(spark, tmp_path):
+    from ledgerline.streaming.daily_refresh import apply_batch
+    acc = spark.createDataFrame([(D(2024, 1, 1), None, 1, 7)],
+                                "data_actual_date date, data_actual_end_date date, account_rk long, currency_rk long")
+    rates = spark.createDataFrame([(D(2024, 1, 1), None, 7, Decimal("2"))],
+                                  "data_actual_date date, data_actual_end_date date, currency_rk long, "
+                                  "reduced_cource decimal(23,8)")
+    batch = spark.createDataFrame([(D(2024, 1, 3), 1, None, Decimal("4"), None)], POST)
+    post, turn = str(tmp_path / "p"), str(tmp_path / "t")
+    snap = lambda: sorted(map(tuple, spark.read.parquet(turn).select(
+        "on_date", "account_rk", "credit_amount", "credit_amount_rub").collect()))
+    apply_batch(spark, batch, 0, post, turn, acc, rates)
+    first = snap()
+    apply_batch(spark, batch, 0, post, turn, acc, rates)          # the retry after a failure
+    assert snap() == first == [(D(2024, 1, 3), 1, Decimal("4"), Decimal("8"))]
+    assert spark.read.parquet(post).count() == 1
