@@ -133,7 +133,10 @@ def load_all(spark: SparkSession, files: Mapping[str, str], root: str, sep: str
             def step(spec=spec, target_path=target_path, src=files[name]):
                 target = spark.read.parquet(target_path) if _exists(spark, target_path) else None
                 res = ingest.load_table(spark, spec, src, target, sep=sep)
-                write_table(res.table, target_path)
+                try:
+                    write_table(res.table, target_path)
+                finally:
+                    res.release()
                 return res.rows_read, spark.read.parquet(target_path).count(), res.bad_date_rows
 
             run.table(spec.target, f"csv:{files[name]}", spec.mode, step)

@@ -127,6 +127,12 @@ class LoadResult:
     table: DataFrame          # new content of the target table
     rows_read: int
     bad_date_rows: int
+    parsed: DataFrame | None = None   # the persisted typed file rows
+
+    def release(self) -> None:
+        """Drop the persisted file rows once ``table`` has been written."""
+        if self.parsed is not None:
+            self.parsed.unpersist()
 
 
 def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFrame | None = None,
@@ -155,4 +161,4 @@ def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFram
         table = final.drop(ROW_ID)
     else:
         raise ValueError(f"Unsupported load mode: {spec.mode}")
-    return LoadResult(table, rows_read, bad)
+    return LoadResult(table, rows_read, bad, parsed)
