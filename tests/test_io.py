@@ -177,3 +177,9 @@ def test_failed_write_keeps_the_old_table(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
     import os
     assert [n for n in os.listdir(tmp_path) if n != "t"] == []     # no staging folder left behind
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    from ledgerline.sources import jdbc
+    with pytest.raises(ValueError, match="lower, upper and num_partitions"):
+        jdbc.read_table(spark, "jdbc:postgresql://db/x", "dm.dm_f101_round_f", {}, partition_column="id")
