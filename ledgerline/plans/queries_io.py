@@ -218,8 +218,12 @@ def q_audit_duration(spark, sf_dir):
 
 
 @query("audit_truncate_message", """
-SELECT doc_id, left(text, 4000) AS error_message, CAST(length(left(text, 4000)) AS INTEGER) AS message_length FROM documents""")
+SELECT doc_id, left(text, 4000) AS error_message, CAST(length(left(text, 4000)) AS INTEGER) AS message_length,
+       CAST(length(text) AS INTEGER) AS text_length, length(text) > 4000 AS truncated
+FROM documents""")
 def q_audit_truncate_message(spark, sf_dir):
+    # the stored message is cut to 4000 characters (the audit column's limit); the whole text is read
     d = fixtures(spark, sf_dir).documents
     msg = audit.truncate_message("text")
-    return d.select("doc_id", msg.alias("error_message"), F.length(msg).alias("message_length"))
+    return d.select("doc_id", msg.alias("error_message"), F.length(msg).alias("message_length"),
+                    F.length("text").alias("text_length"), (F.length("text") > audit.MAX_MESSAGE).alias("truncated"))
