@@ -139,8 +139,9 @@ def account_balance(turnover: DataFrame, accounts: DataFrame, opening: DataFrame
         signed("credit_amount_rub", "debet_amount_rub").alias("_chg_rub"))
     # The exchange carries rows before the day expansion; its size says nothing about the
     # work after it, so its partition count is the configured one, not AQE's coalesced one.
-    n = int(turnover.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = versions.unionByName(turns).repartition(n, "account_rk")
+    n = turnover.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    union = versions.unionByName(turns)
+    rows = union.repartition(int(n), "account_rk") if n.isdigit() else union.repartition("account_rk")
     days = rows.select("account_rk", "_from", "_passive", "_chg", "_chg_rub",
                        F.explode(F.sequence("_s", "_e")).alias("on_date"))
     # Fixed-width buffers only (date, boolean, decimal): a hash aggregate.
