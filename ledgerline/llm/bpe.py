@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from tokenizers import Tokenizer
 from ledgerline.llm.common import column, staged
 
 #: Words in a chunk; bounds what one task holds at a time. A longer text makes a longer chunk of its own.
-CHUNK_WORDS = 600_000
+CHUNK_WORDS = 2_400_000
 #: White space as the vocabulary's patterns have it (Unicode White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: The vocabulary's own pattern (fixed value), and the same for lower-case text within Latin-1.
@@ -102,9 +103,9 @@ def chunked(spark: SparkSession, docs: DataFrame, path: str, buckets: int, most:
                            T.StructField("ids", T.ArrayType(id_type)), T.StructField("data", T.BinaryType()),
                            T.StructField("ranks", T.BinaryType())])
 
-    def rows(ids: list, lengths: list[int], places: list[int], seen: dict[str, int]) -> pd.DataFrame:
+    def rows(ids: list, lengths: list[int], places: array, seen: dict[str, int]) -> pd.DataFrame:
         chunk, listed = uuid.uuid4().hex, list(seen)
-        places = np.array(places, dtype=np.uint32)
+        places = np.frombuffer(places, dtype=np.uint32)
         counts = np.bincount(places, minlength=len(listed))
         rank = np.empty(len(listed), dtype=np.uint32)
         rank[np.argsort(-counts, kind="stable")] = np.arange(len(listed))  # frequent words get small numbers
@@ -113,21 +114,22 @@ def chunked(spark: SparkSession, docs: DataFrame, path: str, buckets: int, most:
         for i, w in enumerate(listed):
             own.setdefault(bucket_of(w, buckets), []).append(i)
         for b, at in own.items():
-            out.append((chunk, b, [], zstandard.compress("\n".join([listed[i] for i in at]).encode("utf-8"), 3), pack(rank[at])))
+            at.sort(key=rank.__getitem__)  # growing numbers: their steps are small
+            out.append((chunk, b, [], zstandard.compress("\n".join([listed[i] for i in at]).encode("utf-8"), 3), pack(np.diff(rank[at], prepend=np.uint32(0)))))
         return pd.DataFrame(out, columns=["chunk", "bucket", "ids", "data", "ranks"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = WordBpe(path)
-        ids, lengths, places, seen = [], [], [], {}
+        ids, lengths, places, seen = [], [], array("I"), {}
         for batch in batches:
             for doc, text in zip(batch["doc_id"].tolist(), batch["text"]):
                 words = bpe.words(text)
-                places += [seen.setdefault(w, len(seen)) for w in words]
+                places.extend([seen.setdefault(w, len(seen)) for w in words])
                 ids.append(None if pd.isna(doc) else doc)
                 lengths.append(len(words))
                 if len(places) >= most or len(ids) >= most:
                     yield rows(ids, lengths, places, seen)
-                    ids, lengths, places, seen = [], [], [], {}
+                    ids, lengths, places, seen = [], [], array("I"), {}
         if ids:
             yield rows(ids, lengths, places, seen)
 
@@ -180,7 +182,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
             n, places = int(places[0]), places[1:]
             as_ids, as_pieces, count = [None] * n, [None] * n, np.zeros(n, dtype=np.int64)
             for data_b, ranks_b in zip(lists["data"], lists["ranks"]):
-                for r, w in zip(unpack(bytes(ranks_b)).tolist(), zstandard.decompress(bytes(data_b)).decode().split("\n")):
+                for r, w in zip(np.cumsum(unpack(bytes(ranks_b))).tolist(), zstandard.decompress(bytes(data_b)).decode().split("\n")):
                     got = w.split(" ")
                     as_ids[r], as_pieces[r], count[r] = w, " ".join([pieces[int(i)] for i in got]), len(got)
             if any(w is None for w in as_ids):
