@@ -4,19 +4,20 @@ The incidence matrix has a row per distinct n-gram set and a column per
 n-gram. Two sets with Jaccard similarity t or more share an n-gram among the
 first ``n - ceil(t n) + 1`` of each, in any order common to all. So the
 product runs over that part of the matrix only, with rare n-grams first:
-columns are the blocks, entries of a column pair up, and the overlap counts
-of a pair are added up over columns. A pair is discarded when its sizes, or
-its count so far plus what its rows have left after the last common column,
-cannot reach the bound; the rest is verified on the whole sets.
-
-Groups need no pair twice: within a column every row first meets one leader,
-and once rows are known to be linked, only pairs between groups are made,
-until no column holds an untested pair of two groups. So a group of m near
-copies costs m pairs a round, not m^2, and no link between groups is lost.
+columns are the blocks and entries of a column pair up. At the first column
+that a pair has in common its overlap is at most 1 plus the shorter rest of
+the two rows; a pair whose bound cannot reach what its sizes ask is
+discarded, the others get their overlap counted over the whole rows.
+
+Within a column every row first meets one leader; once rows are known to be
+linked, only pairs of different groups are made. So a group of m near copies
+costs m pairs where they are linked through leaders, not m^2, and no link
+between two groups is lost.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -32,13 +33,11 @@ from ledgerline.llm.common import column, free_name, staged
 N, SIMILARITY = 4, Fraction(85, 100)
 #: Counters of the frequency sketch (fixed size, all n-grams of all rows), and counters in one block of it.
 SKETCH, BLOCK = 1 << 24, 1 << 18
-#: Bits of the filter for the sets that some pair needs (fixed size; a fuller filter lets more sets through).
-FILTER = 1 << 24
-#: Rounds in which rows meet leaders only, before the pairs left between groups are made.
-LEADER_ROUNDS = 3
+#: Bits of the filters for n-grams and sets that are needed again (fixed size; a fuller filter lets more through).
+FILTER = 1 << 26
 
 _U = np.uint64
-_ODD = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0xD6E8FEB86659FD93)]
+_ODD = _U(0x9E3779B97F4A7C15)
 _P, _PINV = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
 
 
@@ -53,6 +52,7 @@ class Grams:
 
     def __init__(self, n: int = N):
         self.n = n
+        self.odd = [_U(int.from_bytes(hashlib.sha256(f"place {i}".encode()).digest()[:8], "big") | 1) for i in range(n)]
         self._grow(1 << 16)
 
     def _grow(self, size: int) -> None:
@@ -78,17 +78,19 @@ class Grams:
         start, end = np.concatenate(([0], spaces + 1)), np.concatenate((spaces, [len(b)]))
         word = _mix((total[end] - total[start]) * self.down[start])
         k = min(self.n, len(words))
-        out = np.full(len(words) - k + 1, k, dtype=_U)
-        for i in range(k):
-            out = _mix(out * _ODD[i % 4] + word[i:len(words) - k + 1 + i])
-        return np.unique(out)
+        out = word[:len(words) - k + 1] * self.odd[0]
+        for i in range(1, k):
+            out += word[i:len(words) - k + 1 + i] * self.odd[i]
+        out = _mix(out + _U(k))
+        out.sort()
+        return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def node_of(grams: np.ndarray) -> int:
     """64 bits of the whole set: equal sets are one row of the matrix."""
     if not len(grams):
         return 0
-    return int(np.add.reduce(_mix(grams * _ODD[1]) ^ _U(len(grams))).astype(np.int64))
+    return int(np.add.reduce(_mix(grams * _ODD) ^ _U(len(grams))).astype(np.int64))
 
 
 def prefix_length(n: int, t: Fraction) -> int:
@@ -105,17 +107,17 @@ def _classes(spark: SparkSession, texts: DataFrame, n: int) -> tuple[DataFrame,
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, counters = Grams(n), np.zeros(SKETCH, dtype=np.uint16)
+        grams, counters, seen = Grams(n), np.zeros(SKETCH, dtype=np.uint16), 0
         for batch in batches:
             nodes, sizes = [], []
             for text in batch["text"]:
                 g = grams.of(text)
                 nodes.append(node_of(g))
                 sizes.append(len(g))
-                at = (g & _U(SKETCH - 1)).astype(np.int64)
-                np.add.at(counters, at, 1)
-                over = at[counters[at] > 60_000]
-                counters[over] = 60_000  # far beyond any other count of one task
+                counters[(g & _U(SKETCH - 1)).astype(np.int64)] += 1  # a text adds 1 to a counter at most
+                seen += 1
+                if seen % 5_000 == 0:
+                    np.minimum(counters, 60_000, out=counters)  # far beyond other counts of one task
             yield pd.DataFrame({"doc_id": batch["doc_id"], "node": pd.Series(nodes, dtype="int64"), "size": pd.Series(sizes, dtype="int64"),
                                 "block": -1, "data": None})
         for k in range(SKETCH // BLOCK):
@@ -142,79 +144,89 @@ def _classes(spark: SparkSession, texts: DataFrame, n: int) -> tuple[DataFrame,
     return both.where("block < 0").select("doc_id", "node", "size"), bytes(sketch)
 
 
-def _entries(spark: SparkSession, texts: DataFrame, sketch: bytes, n: int, t: Fraction) -> DataFrame:
-    """The matrix part that can decide: (gram, node, size, place), rare n-grams first in each row."""
-    shared = spark.sparkContext.broadcast(sketch)
+def _entries(spark: SparkSession, texts: DataFrame, shared, n: int, t: Fraction, only=None) -> DataFrame:
+    """The matrix part that can decide: (gram, node, size, place), rare n-grams first in each row.
+
+    ``only``: a bit filter of the n-grams that are wanted.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, rank = Grams(n), np.frombuffer(shared.value, dtype=np.uint8)
+        bits = None if only is None else np.frombuffer(only.value, dtype=np.uint8)
         for batch in batches:
-            rows: list[tuple[np.ndarray, int, int, int]] = []
+            rows, held = [], 0
             for text in batch["text"]:
                 g = grams.of(text)
                 if len(g):
                     k = prefix_length(len(g), t)
                     first = g[np.lexsort((g, rank[(g & _U(SKETCH - 1)).astype(np.int64)]))[:k]]
-                    rows.append((first, node_of(g), len(g), k))
-                if sum(r[3] for r in rows) > 200_000:
+                    place = np.arange(1, k + 1, dtype=np.int32)
+                    if bits is not None:
+                        keep = _may_hold(bits, first)
+                        first, place = first[keep], place[keep]
+                    if len(first):
+                        rows.append((first, place, node_of(g), len(g)))
+                        held += len(first)
+                if held > 200_000:
                     yield frame(rows)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield frame(rows)
 
     def frame(rows: list) -> pd.DataFrame:
-        lengths = [r[3] for r in rows]
-        return pd.DataFrame({"gram": np.concatenate([r[0] for r in rows]).view(np.int64),
-                             "node": np.repeat(np.array([r[1] for r in rows], dtype=np.int64), lengths),
-                             "size": np.repeat(np.array([r[2] for r in rows], dtype=np.int32), lengths),
-                             "place": np.concatenate([np.arange(1, k + 1, dtype=np.int32) for k in lengths])})
+        lengths = [len(r[0]) for r in rows]
+        return pd.DataFrame({"gram": np.concatenate([r[0] for r in rows]).view(np.int64), "place": np.concatenate([r[1] for r in rows]),
+                             "node": np.repeat(np.array([r[2] for r in rows], dtype=np.int64), lengths),
+                             "size": np.repeat(np.array([r[3] for r in rows], dtype=np.int32), lengths)})
 
-    return texts.select("text").mapInPandas(scan, "gram long, node long, size int, place int")
+    return texts.select("text").mapInPandas(scan, "gram long, place int, node long, size int")
 
 
-def _sizes_fit(t: Fraction):
-    """The smaller set can still have t of the larger."""
-    return F.least("size", "o_size") * t.denominator >= F.greatest("size", "o_size") * t.numerator
+def _can_reach(t: Fraction, a: str = "", b: str = "o_"):
+    """Whether a pair can reach the similarity if this column is the first that it has in common.
 
+    Then nothing before their places is common, and at most the shorter rest
+    after them. At a pair's first common column this is a true bound, sizes
+    included: overlap * (p + q) >= p * (size + o_size) is J >= p / q.
+    """
+    reach = 1 + F.least(F.col(f"{a}size") - F.col(f"{a}place"), F.col(f"{b}size") - F.col(f"{b}place"))
+    return reach * (t.numerator + t.denominator) >= (F.col(f"{a}size") + F.col(f"{b}size")) * t.numerator
 
-def _survivors(pairs: DataFrame, t: Fraction) -> DataFrame:
-    """Adds up a pair's overlap over its columns and drops it if it cannot reach the bound.
 
-    ``pairs``: node, size, place, o_node, o_size, o_place, one row per common column.
-    """
-    summed = pairs.groupBy("node", "o_node", "size", "o_size").agg(
-        F.count(F.lit(1)).alias("common"), F.max("place").alias("place"), F.max("o_place").alias("o_place"))
-    reach = F.col("common") + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
-    # J >= p/q  <=>  overlap * (p + q) >= p * (size + o_size)
-    enough = reach * (t.numerator + t.denominator) >= (F.col("size") + F.col("o_size")) * t.numerator
-    return summed.where(enough).select("node", "o_node", "size", "o_size")
+def _bits(spark: SparkSession, keys: DataFrame, name: str):
+    """A broadcast bit filter of FILTER bits over a long column, made by Spark's bitmap aggregate."""
+    bit = F.pmod(name, F.lit(FILTER)) + 1
+    maps = (keys.groupBy(F.bitmap_bucket_number(bit).alias("b"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).toLocalIterator())
+    bits = np.zeros(FILTER // 8, dtype=np.uint8)
+    for r in maps:  # FILTER bits in all
+        part = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+        bits[(r["b"] - 1) * 4096:(r["b"] - 1) * 4096 + len(part)] = part
+    return spark.sparkContext.broadcast(bits.tobytes())
+
+
+def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = (keys & _U(FILTER - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
 def _sets(spark: SparkSession, texts: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     """(node, grams) of the sets that ``needed`` names, computed from the texts again.
 
-    A bit filter of fixed size, made by Spark's bitmap aggregate, keeps the
-    other sets from leaving Python; the join then takes out what slipped through.
+    The bit filter keeps the other sets from leaving Python; the join then
+    takes out what slipped through.
     """
-    bit = F.pmod("node", F.lit(FILTER)) + 1
-    maps = (needed.groupBy(F.bitmap_bucket_number(bit).alias("b"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())  # FILTER bits in all
-    bits = np.zeros(FILTER // 8, dtype=np.uint8)
-    for r in maps:
-        part = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-        bits[(r["b"] - 1) * 4096:(r["b"] - 1) * 4096 + len(part)] = part
-    shared = spark.sparkContext.broadcast(bits.tobytes())
+    shared = _bits(spark, needed, "node")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, bit = Grams(n), np.frombuffer(shared.value, dtype=np.uint8)
+        grams, bits = Grams(n), np.frombuffer(shared.value, dtype=np.uint8)
         seen: set[int] = set()  # a task sends a set of its own rows once
         for batch in batches:
             nodes, sets, held = [], [], 0
             for text in batch["text"]:
                 g = grams.of(text)
                 node = node_of(g)
-                slot = node % FILTER
-                if len(g) and node not in seen and bit[slot >> 3] >> (slot & 7) & 1:
+                if len(g) and node not in seen and _may_hold(bits, np.array([node]).astype(_U))[0]:
                     seen.add(node)
                     nodes.append(node)
                     sets.append(g.view(np.int64))
@@ -304,66 +316,40 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, n:
     """(doc_id, node, size, group) of every row; the group is a node's, null for the empty set."""
     texts = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     rows, sketch = _classes(spark, texts, n)
-    entries = _entries(spark, texts, sketch, n, t)
-    blocks = entries.groupBy("gram").agg(F.min(F.struct("node", "size", "place")).alias("lead"), F.max("node").alias("last"))
-    blocks = blocks.where(F.col("lead.node") < F.col("last")).select("gram")
-    # equal rows of the matrix, from equal texts, count once
-    shared = staged(spark, entries.join(blocks, "gram").dropDuplicates(["gram", "node"]), "gram-blocks")
-    links = spark.createDataFrame([], "node long, o_node long")
-    tested = links
-    roots = spark.createDataFrame([], "node long, root long")
-    left = shared.withColumn("root", F.col("node"))
-    for turn in range(LEADER_ROUNDS + 1):
-        if turn < LEADER_ROUNDS:
-            pairs = _leader_pairs(left, turn, t)
-        else:
-            pairs = _cross_pairs(left, t)
-        new = pairs.join(tested, ["node", "o_node"], "left_anti") if turn else pairs
-        new = staged(spark, new, "gram-pairs")
-        if new.limit(1).count():
-            links = staged(spark, links.union(_verified(spark, texts, new, n, t)), "gram-links")
-            tested = staged(spark, tested.union(new.select("node", "o_node")), "gram-tested")
-            roots = components(spark, links)
-        if turn < LEADER_ROUNDS:
-            known = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_ = known.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("gram")
-            left = staged(spark, known.join(open_, "gram", "left_semi"), "gram-open")
-            if not left.limit(1).count():
-                break
+    rank = spark.sparkContext.broadcast(sketch)
+    held = _entries(spark, texts, rank, n, t).groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    columns = staged(spark, held.where("a < b").select("gram"), "gram-columns")
+    entries = _entries(spark, texts, rank, n, t, _bits(spark, columns, "gram")).join(columns, "gram")
+    # rows of equal texts are one row of the matrix
+    entries = staged(spark, entries.dropDuplicates(["gram", "node"]), "gram-entries")
+    pairs = staged(spark, _leader_pairs(entries, t), "gram-pairs")
+    links = staged(spark, _verified(spark, texts, pairs, n, t), "gram-links")
+    roots = components(spark, links)
+    cross = staged(spark, _cross_pairs(entries, roots, t).join(pairs, ["node", "o_node"], "left_anti"), "gram-pairs")
+    more = staged(spark, _verified(spark, texts, cross, n, t), "gram-links")
+    roots = components(spark, links.union(more))
     known = rows.join(roots, "node", "left")
     return known.select("doc_id", "node", "size", F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("group"))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Each pair with the smaller node first."""
-    swap = F.col("node") > F.col("o_node")
-    return pairs.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("node", "o_node"), ("size", "o_size"), ("place", "o_place"))],
-                        *[F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("node", "o_node"), ("size", "o_size"), ("place", "o_place"))])
-
-
-def _leader_pairs(left: DataFrame, turn: int, t: Fraction) -> DataFrame:
-    """Every entry against one leader of its column, of another group: by another order each round."""
-    order = F.col("node") if turn == 0 else F.xxhash64(F.col("node"), F.lit(turn))
-    entry = F.struct(order.alias("order"), "node", "size", "place", "root")
-    leads = left.groupBy("gram").agg(F.min(F.struct("root", entry.alias("e"))).alias("low"), F.max(F.struct("root", entry.alias("e"))).alias("high"))
-    both = left.join(leads, "gram")
-    lead = F.when(F.col("root") != F.col("low.root"), F.col("low.e")).otherwise(F.col("high.e"))
-    pairs = both.select("gram", "node", "size", "place", "root", lead.alias("l")).where(F.col("l.root") != F.col("root")).select(
-        "gram", "node", "size", "place", F.col("l.node").alias("o_node"), F.col("l.size").alias("o_size"), F.col("l.place").alias("o_place"))
-    # A pair may meet here in some of its common columns only, so its overlap is bounded by places:
-    # at most the shorter beginning up to this column, and the shorter rest after it.
-    reach = F.least("place", "o_place") + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
-    enough = reach * (t.numerator + t.denominator) >= (F.col("size") + F.col("o_size")) * t.numerator
-    return _ordered(pairs.where(_sizes_fit(t) & enough)).select("node", "o_node", "size", "o_size").distinct()
-
+def _leader_pairs(entries: DataFrame, t: Fraction) -> DataFrame:
+    """(node, o_node), the smaller first: every entry against the leader of its column, the row that has it earliest.
 
+    Such a row has the fewest n-grams of its own, so it is near the middle of a group of near copies.
+    """
+    leads = entries.groupBy("gram").agg(F.min(F.struct(F.col("place").alias("o_place"), F.col("node").alias("o_node"), F.col("size").alias("o_size"))).alias("l"))
+    pairs = entries.join(leads, "gram").select("node", "size", "place", "l.*").where((F.col("node") != F.col("o_node")) & _can_reach(t))
+    return pairs.select(F.least("node", "o_node").alias("node"), F.greatest("node", "o_node").alias("o_node")).distinct()
 
 
-def _cross_pairs(left: DataFrame, t: Fraction) -> DataFrame:
-    """All pairs of different groups that a column still holds, with their whole overlap counted."""
+def _cross_pairs(entries: DataFrame, roots: DataFrame, t: Fraction) -> DataFrame:
+    """(node, o_node): the pairs of two groups that share a column and can reach the similarity at their first one."""
+    known = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = known.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("gram")
+    left = staged(spark=entries.sparkSession, df=known.join(open_, "gram", "left_semi"), name="gram-open")
     other = left.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("node", "size", "place", "root")])
-    pairs = left.join(other, "gram").where((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _sizes_fit(t))
-    return _survivors(pairs, t)
+    pairs = left.join(other, "gram").where((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _can_reach(t))
+    return pairs.select("node", "o_node").distinct()
 
 
 def brute_force(rows: list[tuple], n: int = N, t: Fraction = SIMILARITY) -> list[tuple]:
