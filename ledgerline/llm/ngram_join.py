@@ -243,10 +243,9 @@ def _sets(spark: SparkSession, texts: DataFrame, needed: DataFrame, n: int) -> D
 
 def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, n: int, t: Fraction) -> DataFrame:
     """The pairs (node, o_node) whose whole sets reach the similarity."""
-    needed = pairs.select("node").union(pairs.select(F.col("o_node"))).distinct()
-    sets = staged(spark, _sets(spark, texts, needed, n), "gram-needed")
-    one = pairs.join(sets, "node")
-    both = one.join(sets.toDF("o_node", "o_grams"), "o_node")
+    one = _sets(spark, texts, pairs.select("node").distinct(), n)
+    other = _sets(spark, texts, pairs.select("o_node").distinct().toDF("node"), n).toDF("o_node", "o_grams")
+    both = pairs.join(one, "node").join(other, "o_node")
     overlap = F.size(F.array_intersect("grams", "o_grams"))
     similar = overlap * (t.numerator + t.denominator) >= (F.size("grams") + F.size("o_grams")) * t.numerator
     return both.where(similar).select("node", "o_node")
@@ -325,7 +324,8 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, n:
     pairs = staged(spark, _leader_pairs(entries, t), "gram-pairs")
     links = staged(spark, _verified(spark, texts, pairs, n, t), "gram-links")
     roots = components(spark, links)
-    cross = staged(spark, _cross_pairs(entries, roots, t).join(pairs, ["node", "o_node"], "left_anti"), "gram-pairs")
+    tested = pairs.select(F.least("node", "o_node").alias("node"), F.greatest("node", "o_node").alias("o_node"))
+    cross = staged(spark, _cross_pairs(entries, roots, t).join(tested, ["node", "o_node"], "left_anti"), "gram-pairs")
     more = staged(spark, _verified(spark, texts, cross, n, t), "gram-links")
     roots = components(spark, links.union(more))
     known = rows.join(roots, "node", "left")
@@ -333,13 +333,13 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, n:
 
 
 def _leader_pairs(entries: DataFrame, t: Fraction) -> DataFrame:
-    """(node, o_node), the smaller first: every entry against the leader of its column, the row that has it earliest.
+    """(node, o_node): every entry against the leader of its column, the row that has it earliest.
 
     Such a row has the fewest n-grams of its own, so it is near the middle of a group of near copies.
     """
     leads = entries.groupBy("gram").agg(F.min(F.struct(F.col("place").alias("o_place"), F.col("node").alias("o_node"), F.col("size").alias("o_size"))).alias("l"))
     pairs = entries.join(leads, "gram").select("node", "size", "place", "l.*").where((F.col("node") != F.col("o_node")) & _can_reach(t))
-    return pairs.select(F.least("node", "o_node").alias("node"), F.greatest("node", "o_node").alias("o_node")).distinct()
+    return pairs.select("node", "o_node").distinct()
 
 
 def _cross_pairs(entries: DataFrame, roots: DataFrame, t: Fraction) -> DataFrame:
