@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import column, staged
+from ledgerline.llm.common import bounded_batches, column, staged
 
 #: Words in a chunk; bounds what one task holds at a time. A longer text makes a longer chunk of its own.
 CHUNK_WORDS = 2_400_000
@@ -169,6 +169,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
     """
     own = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     id_field = own.schema["doc_id"]
+    bounded_batches(spark)
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     chunks = staged(spark, chunked(spark, own, path, buckets, most), "bpe-chunks")
     words = encoded(chunks.where("bucket >= 0"), path, buckets)

@@ -52,3 +52,15 @@ def free_name(df: DataFrame, base: str) -> str:
 def column(df: DataFrame, name: str):
     """A column by its exact name, dots and spaces included."""
     return df[f"`{name.replace('`', '``')}`"]
+
+
+#: Rows that a Python worker gets at a time; texts can be long.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches at BATCH_ROWS rows or fewer, so that a worker holds few texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))

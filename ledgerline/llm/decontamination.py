@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column, staged
+from ledgerline.llm.common import bounded_batches, column, staged
 
 #: Words in a window.
 WINDOW = 10
@@ -112,6 +112,7 @@ def finder(spark: SparkSession, benchmark: DataFrame, id_col: str = "item_id", t
     which a window occurs, sorted as strings; starts and ends are offsets in
     the original text.
     """
+    bounded_batches(spark)
     parts = automata(spark, benchmark, id_col, text_col, size, most)
 
     @F.pandas_udf("n_words long, n_hit long, items array<string>, starts array<long>, ends array<long>")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column
+from ledgerline.llm.common import bounded_batches, column
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
 ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -281,5 +281,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             yield pd.Series([main_text(p) for p in batch], dtype=object)
 
+    bounded_batches(pages.sparkSession)
     return (pages.select(column(pages, id_col).alias("page_id"), column(pages, url_col).alias("url"), text_of(column(pages, html_col)).alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column
+from ledgerline.llm.common import bounded_batches, column
 
 #: Hashed n-gram slots; a language model is this many numbers.
 FEATURES = 1 << 14
@@ -115,6 +115,7 @@ def train(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
             at = np.flatnonzero(c)
             yield pd.DataFrame({"lang": lang, "slot": at.astype("int32"), "n": c[at]})
 
+    bounded_batches(spark)
     known = rows.select(column(rows, text_col).alias("text"), column(rows, lang_col).alias("lang")).dropna()
     sums = known.mapInPandas(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     return fit([tuple(r) for r in sums.collect()])  # bounded: languages x FEATURES
@@ -122,6 +123,7 @@ def train(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
 
 def predictor(spark: SparkSession, model: Model):
     """A column function text -> struct(lang_pred, score, ambiguous)."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # FEATURES x bits numbers
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")

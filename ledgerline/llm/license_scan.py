@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column
+from ledgerline.llm.common import bounded_batches, column
 
 # Licence sentences as their licences word them, by identifier. Names of licences vary in
 # brackets of alternatives; <any> stands for up to eight words (a year, an owner).
@@ -147,4 +147,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 rows.append(([k for k, _ in found], names, rest, all(n.startswith(PERMISSIVE) for n in names) if names else None))
             yield pd.DataFrame(rows, columns=["sentences", "licences", "unmatched", "permissive"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(column(docs, id_col).alias("doc_id"), look(column(docs, text_col)).alias("s")).select("doc_id", "s.*")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import column, free_name, staged
+from ledgerline.llm.common import bounded_batches, column, free_name, staged
 
 #: A key counts from so many code points on, and is repeated from so many documents on.
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -261,6 +261,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     without doc_id neither count nor lose lines; rows that share a doc_id are
     one document, and each loses the line. All columns of ``docs`` stay.
     """
+    bounded_batches(spark)
     index = index or LineIndex.build(spark, line_refs(docs, id_col, text_col), min_docs)
     key, keys = free_name(docs, "__drop_id"), free_name(docs, "__drop_keys")
     drops = index.dropped(spark).toDF(key, keys)

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column, free_name, staged
+from ledgerline.llm.common import bounded_batches, column, free_name, staged
 
 #: Words in an n-gram, and the least similarity of a link, as a fraction of whole numbers.
 N, SIMILARITY = 4, Fraction(85, 100)
@@ -314,6 +314,7 @@ def first_of_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 def groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, n: int, t: Fraction) -> DataFrame:
     """(doc_id, node, size, group) of every row; the group is a node's, null for the empty set."""
     texts = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
+    bounded_batches(spark)
     rows, sketch = _classes(spark, texts, n)
     rank = spark.sparkContext.broadcast(sketch)
     held = _entries(spark, texts, rank, n, t).groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("b"))

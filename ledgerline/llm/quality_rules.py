@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import column, staged
+from ledgerline.llm.common import bounded_batches, column, staged
 
 #: Base rules: least words, and the most percent of words in repeated three-word windows.
 MIN_WORDS, MAX_REPEAT = 50, 50
@@ -142,6 +142,7 @@ def judge(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id
     counts. Repeated rows get equal results, and weigh in the quartiles as
     often as they are there. Other columns of ``docs`` are ignored.
     """
+    bounded_batches(spark)
     measured = staged(spark, measure(docs, path, id_col, text_col, lang_col), "quality")
     b = bands(measured).collect()  # one row per language
     whole = next((r for r in b if r["band_group"] is None), None)
