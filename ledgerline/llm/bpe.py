@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -84,7 +85,7 @@ class WordBpe:
 
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers as compressed byte planes."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -176,26 +177,40 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
     schema = T.StructType([id_field, T.StructField("n_tokens", T.LongType()), T.StructField("ids_text", T.StringType()),
                            T.StructField("decoded", T.StringType())])
 
-    def put_back(texts: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
-        pieces, out = WordBpe(path).pieces, []
-        for ids, data, lengths in zip(texts["ids"], texts["data"], texts["ranks"]):  # one row
-            places, sizes = unpack(bytes(data)), unpack(bytes(lengths))
+    def put_back(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        pieces = [x.encode("utf-8") for x in WordBpe(path).pieces]
+        done = []
+        for row in texts.to_pylist():  # one
+            places, sizes = unpack(row["data"]), unpack(row["ranks"])
             n, places = int(places[0]), places[1:]
-            as_ids, as_pieces, count = [None] * n, [None] * n, np.zeros(n, dtype=np.int64)
-            for data_b, ranks_b in zip(lists["data"], lists["ranks"]):
-                for r, w in zip(np.cumsum(unpack(bytes(ranks_b))).tolist(), zstandard.decompress(bytes(data_b)).decode().split("\n")):
-                    got = w.split(" ")
-                    as_ids[r], as_pieces[r], count[r] = w, " ".join([pieces[int(i)] for i in got]), len(got)
-            if any(w is None for w in as_ids):
+            as_ids, as_pieces, count = [b""] * n, [b""] * n, np.zeros(n, dtype=np.int64)
+            for data, ranks in zip(lists["data"], lists["ranks"]):
+                for r, w in zip(np.cumsum(unpack(ranks.as_py())).tolist(), zstandard.decompress(data.as_py()).split(b"\n")):
+                    got = w.split(b" ")
+                    as_ids[r], as_pieces[r], count[r] = w, b" ".join([pieces[int(i)] for i in got]), len(got)
+            if not count.all():
                 raise ValueError("a chunk's word list is incomplete")
             ends = np.cumsum(sizes.astype(np.int64))
-            for doc, a, b in zip(ids, ends - sizes, ends):
-                own = places[a:b].tolist()
-                out.append((doc, int(count[places[a:b]].sum()), " ".join([as_ids[i] for i in own]), " ".join([as_pieces[i] for i in own])))
-        return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_text", "decoded"])
+            spans = list(zip((ends - sizes).tolist(), ends.tolist()))
+            tokens = np.concatenate(([0], np.cumsum(count[places])))
+            done.append(pa.table([pa.array(row["ids"], type=texts.schema.field("ids").type.value_type),
+                                  pa.array(tokens[ends] - tokens[ends - sizes], type=pa.int64()),
+                                  _joined(as_ids, places, spans), _joined(as_pieces, places, spans)], names=schema.names))
+        return pa.concat_tables(done)
 
     return (chunks.where("bucket < 0").select("chunk", "ids", "data", "ranks").groupBy("chunk")
-            .cogroup(words.groupBy("chunk")).applyInPandas(lambda t, w: put_back(t, w), schema))
+            .cogroup(words.groupBy("chunk")).applyInArrow(lambda t, w: put_back(t, w), schema))
+
+
+def _joined(entries: list[bytes], places: np.ndarray, spans: list[tuple[int, int]]) -> pa.Array:
+    """A text per span: its entries, one space between them. The characters lie in one buffer."""
+    buffer, at = bytearray(), np.zeros(len(spans) + 1, dtype=np.int64)
+    for k, (a, b) in enumerate(spans):
+        buffer += b" ".join([entries[i] for i in places[a:b].tolist()])
+        at[k + 1] = len(buffer)
+    if len(buffer) < 2**31:
+        return pa.StringArray.from_buffers(len(spans), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(buffer))
+    return pa.LargeStringArray.from_buffers(len(spans), pa.py_buffer(at), pa.py_buffer(buffer)).cast(pa.string())
 
 
 def brute_force(texts: list, path: str) -> list[tuple[int, str, str]]:

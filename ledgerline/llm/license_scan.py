@@ -69,7 +69,7 @@ PERMISSIVE = ("Apache-2.0", "MIT", "BSD", "CC0-1.0", "CC-BY-1", "CC-BY-2", "CC-B
 KNOWN = [(k, re.compile(p.replace("<any>", r"(?:\S+ ?){0,40}?"))) for k, p in SENTENCES.items()]
 #: A sentence is looked up only if it holds one of these words.
 HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|free software|cc0|creative commons|endorse|\(c\)", re.I)
-BREAK = re.compile(r"\n|(?<=[.!?;:])[^\w\s]*\s+(?!\d)")
+BREAK = re.compile(r"\n|(?<=[.!?;])[^\w\s]*\s+(?!\d)")
 JUNK = re.compile(r"[^\w.+,]+|(?<!\d)\.|\.(?!\d)", re.UNICODE)
 
 

@@ -210,13 +210,12 @@ def _may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def _sets(spark: SparkSession, texts: DataFrame, needed: DataFrame, n: int) -> DataFrame:
+def _sets(texts: DataFrame, needed: DataFrame, n: int, shared) -> DataFrame:
     """(node, grams) of the sets that ``needed`` names, computed from the texts again.
 
-    The bit filter keeps the other sets from leaving Python; the join then
-    takes out what slipped through.
+    ``shared``, a bit filter of them, keeps the other sets from leaving
+    Python; the join then takes out what slipped through.
     """
-    shared = _bits(spark, needed, "node")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, bits = Grams(n), np.frombuffer(shared.value, dtype=np.uint8)
@@ -243,12 +242,16 @@ def _sets(spark: SparkSession, texts: DataFrame, needed: DataFrame, n: int) -> D
 
 def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, n: int, t: Fraction) -> DataFrame:
     """The pairs (node, o_node) whose whole sets reach the similarity."""
-    one = _sets(spark, texts, pairs.select("node").distinct(), n)
-    other = _sets(spark, texts, pairs.select("o_node").distinct().toDF("node"), n).toDF("o_node", "o_grams")
-    both = pairs.join(one, "node").join(other, "o_node")
+    first, second = pairs.select("node").distinct(), pairs.select("o_node").distinct().toDF("node")
+    filters = [_bits(spark, x, "node") for x in (first, second)]
+    one, other = (_sets(texts, x, n, f) for x, f in zip((first, second), filters))
+    both = pairs.join(one, "node").join(other.toDF("o_node", "o_grams"), "o_node")
     overlap = F.size(F.array_intersect("grams", "o_grams"))
     similar = overlap * (t.numerator + t.denominator) >= (F.size("grams") + F.size("o_grams")) * t.numerator
-    return both.where(similar).select("node", "o_node")
+    links = staged(spark, both.where(similar).select("node", "o_node"), "gram-links")
+    for f in filters:
+        f.unpersist()
+    return links
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -319,15 +322,18 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, n:
     rank = spark.sparkContext.broadcast(sketch)
     held = _entries(spark, texts, rank, n, t).groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     columns = staged(spark, held.where("a < b").select("gram"), "gram-columns")
-    entries = _entries(spark, texts, rank, n, t, _bits(spark, columns, "gram")).join(columns, "gram")
+    wanted = _bits(spark, columns, "gram")
+    entries = _entries(spark, texts, rank, n, t, wanted).join(columns, "gram")
     # rows of equal texts are one row of the matrix
     entries = staged(spark, entries.dropDuplicates(["gram", "node"]), "gram-entries")
+    rank.unpersist()
+    wanted.unpersist()
     pairs = staged(spark, _leader_pairs(entries, t), "gram-pairs")
-    links = staged(spark, _verified(spark, texts, pairs, n, t), "gram-links")
+    links = _verified(spark, texts, pairs, n, t)
     roots = components(spark, links)
     tested = pairs.select(F.least("node", "o_node").alias("node"), F.greatest("node", "o_node").alias("o_node"))
     cross = staged(spark, _cross_pairs(entries, roots, t).join(tested, ["node", "o_node"], "left_anti"), "gram-pairs")
-    more = staged(spark, _verified(spark, texts, cross, n, t), "gram-links")
+    more = _verified(spark, texts, cross, n, t)
     roots = components(spark, links.union(more))
     known = rows.join(roots, "node", "left")
     return known.select("doc_id", "node", "size", F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("group"))

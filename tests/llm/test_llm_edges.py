@@ -1,0 +1,350 @@
+"""Edge cases and brute-force comparisons of the training-data operators, on small made tables."""
+
+import hashlib
+import os
+import random
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import (bpe, decontamination, feistel, html_text, language_id, license_scan, line_dedup, ngram_join,
+                            pseudonyms, quality_rules, sharding)
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+LONG = "the common line that many documents hold in full"
+SCHEMA = "doc_id long, text string, lang string, n_words int, `key` string, node string, shard string, `a.b` string"
+
+
+def rows_of(texts):
+    return [(i, t, "en", 7, "x", "y", "z", "q") for i, t in texts]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)] + ["Straße", "日本語", "naïve", "éte", "ΣΑΣ"]
+    base = [" ".join(rng.choices(words, k=rng.randint(60, 200))) for _ in range(8)]
+    out = [(100, None), (101, ""), (102, "   \n\t "), (103, "one"), (103, "one"), (104, "one two three"), (None, base[0]), (105, "x" * 50_000), (106, "w1 " * 20_000)]
+    for i in range(60):
+        t = base[i % 8].split(" ")
+        for _ in range(rng.choice((0, 0, 1, 1, 2, 9))):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        t = " ".join(t)
+        out.append((i, t + "\n" + LONG + ("\n  " + LONG.upper() + "  " if i % 3 else "")))
+    out.append((7, "another text under a doc_id that is there already " * 3))
+    out += [(200, "<|endoftext|> isn't DON'T <|x|> 12½ a\x85b c 🙂"), (201, "." * 300), (202, "9" * 40)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    return spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def sort(rows):
+    return sorted(map(repr, map(tuple, rows)))
+
+
+def test_decontaminate(spark, docs, texts, empty):
+    items = [(1, texts[9][1][:200]), (2, "one two"), (3, None), (None, "w1"), (4, ""), (5, "one two"), (2, "three"), (6, "Nothing, that is here at all or ever was")]
+    bm = spark.createDataFrame(items, "item_id long, text string")
+    for most in (decontamination.AUTOMATON_BYTES, 2_000):  # one automaton, and several
+        got = [(r.doc_id, r.n_words, r.n_hit, hashlib.sha256(",".join(r["items"]).encode()).hexdigest())
+               for r in decontamination.decontaminate(spark, docs, bm, most=most).collect()]
+        assert sort(got) == sort(decontamination.brute_force(texts, items))
+    assert decontamination.decontaminate(spark, empty, bm).count() == 0
+    assert all(r.n_hit == 0 for r in decontamination.decontaminate(spark, docs, bm.limit(0)).collect())
+
+
+def test_decontaminate_spans_point_into_the_text(spark):
+    text = "Intro,  ÉTÉ! " + "Alpha beta-gamma  delta" + " (end)."
+    bm = spark.createDataFrame([(1, "alpha BETA gamma delta")], "item_id long, text string")
+    r = decontamination.decontaminate(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"), bm).head()
+    assert [text[a:b] for a, b in zip(r.starts, r.ends)] == ["Alpha beta-gamma  delta"] and r.n_hit == 4
+
+
+def test_line_dedup(spark, docs, texts, empty):
+    got = line_dedup.dedup_lines(spark, docs, name="lines").select("doc_id", "lines.n_lines", "lines.n_dropped", "lines.kept").collect()
+    assert sort(got) == sort(line_dedup.brute_force(texts))
+    assert line_dedup.dedup_lines(spark, empty).count() == 0
+
+
+def test_line_dedup_is_reversible(spark):
+    line = "a line of more than twenty characters"
+    four = spark.createDataFrame([(i, f"{line}\nown text of document {i} here") for i in range(4)], "doc_id long, text string")
+    index = line_dedup.LineIndex.build(spark, line_dedup.line_refs(four.limit(0)))
+    index = index.insert(spark, four)
+    assert {r.doc_id for r in index.dropped(spark).collect()} == {0, 1, 2}
+    fewer = index.delete(spark, four.where("doc_id >= 2").select("doc_id"))
+    assert fewer.dropped(spark).count() == 0 and fewer.repeated.count() == 0
+    assert not any(line_dedup.CuckooFilter.read(bytes(r["data"])).table.any() for r in fewer.filters.collect())
+    again = fewer.insert(spark, four.where("doc_id >= 2"))
+    assert sort(again.refs.collect()) == sort(index.refs.collect())
+    assert {r.doc_id for r in again.dropped(spark).collect()} == {0, 1, 2}
+
+
+def test_cuckoo_filter_against_a_set():
+    rng, f, held = random.Random(3), line_dedup.CuckooFilter.sized(2000), []
+    for _ in range(2000):
+        k = rng.randbytes(16)
+        assert f.insert(k)
+        held.append(k)
+    for k in held[:1000]:
+        assert f.delete(k)
+    assert f.has(held[1000:]).all()
+    assert f.has([rng.randbytes(16) for _ in range(5000)]).mean() < 0.01
+
+
+def test_bpe(spark, docs, texts, empty):
+    for most in (bpe.CHUNK_WORDS, 500):
+        got = bpe.encode_texts(spark, docs, WORD_BPE, most=most).collect()
+        want = [(d, *x) for (d, _), x in zip(texts, bpe.brute_force([t for _, t in texts], WORD_BPE))]
+        assert sort(got) == sort(want)
+    assert bpe.encode_texts(spark, empty, WORD_BPE).count() == 0
+
+
+def test_ngram_join(spark, docs, texts, empty):
+    got = ngram_join.grouped(spark, docs).collect()
+    assert sort(got) == sort(ngram_join.brute_force(texts))
+    assert ngram_join.grouped(spark, empty).count() == 0
+
+
+def test_ngram_join_in_a_dense_group_without_a_middle(spark):
+    """Near copies of which few pairs are links: every link between two groups must be found."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        t = list(base)
+        for _ in range(rng.randint(0, 6)):
+            t[rng.randrange(len(t))] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(t)))
+    got = ngram_join.grouped(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = ngram_join.brute_force(rows)
+    assert 1 < len({w[2] for w in want}) < 150 and sort(got) == sort(want)
+
+
+def test_first_of_groups(spark, docs, texts):
+    kept = ngram_join.first_of_groups(spark, docs)
+    assert kept.columns == docs.columns
+    by_place = ngram_join.brute_force([(i, t) for i, (_, t) in enumerate(texts)])
+    groups = defaultdict(list)
+    for i, n, c in by_place:
+        if n:
+            groups[c].append(texts[i][0])
+    empties = sum(1 for _, n, _ in by_place if not n)
+    assert kept.count() == len(groups) + empties
+    leads = [min((d for d in g if d is not None), default=None) for g in groups.values()]
+    assert sorted(map(str, leads)) == sorted(str(r.doc_id) for r in kept.collect() if (r.text or "").split())
+
+
+def test_language_id(spark, empty):
+    rng = random.Random(2)
+    syllables = {"en": ["the", "ing", "tion", "wh"], "de": ["sch", "ung", "keit", "ü"], "fr": ["eau", "oi", "ê", "que"]}
+    rows = [(i, " ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(rng.randint(3, 40))), lang)
+            for i, lang in enumerate(rng.choices(list(syllables), k=300))]
+    odd = [(900, None, "en"), (901, "", "en"), (902, "12 +++ ²", "en"), (None, "theing thetion", None), (903, "theing whtion theing", None), (903, "theing whtion theing", None)]
+    out = language_id.identify(spark, spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r.doc_id].append(r)
+    held = [(by[i][0].lang_pred, lang) for i, _, lang in rows if by[i][0].held_out]
+    assert len(held) > 60 and sum(a == b for a, b in held) / len(held) > 0.97
+    assert all(by[i][0].lang_pred == "und" and by[i][0].score == 0 and by[i][0].ambiguous for i in (900, 901, 902))
+    assert by[903][0] == by[903][1] and by[903][0].lang_pred == "en" and not by[None][0].held_out
+    assert all(0 <= r.score <= 1 for r in out)
+    untaught = language_id.identify(spark, spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()
+    assert untaught[0].lang_pred == "und" and language_id.identify(spark, empty).count() == 0
+
+
+def test_codewords_are_far_apart():
+    for k in (2, 4, 6, 12, 40):
+        code = language_id.codewords(k)
+        apart = min((a != b).sum() for i, a in enumerate(code) for b in code[:i])
+        assert apart >= (2 ** (k - 2) if k <= language_id.EXHAUSTIVE else 8)
+
+
+def test_feistel_is_a_permutation(spark):
+    for n in (1, 2, 3, 10, 97, 1000, 4099):
+        out = [r[0] for r in spark.range(n).select(feistel.cycle_walk(F.col("id"), n, f"k{n}")).collect()]
+        assert sorted(out) == list(range(n))
+    a, b = (spark.range(500).select(feistel.cycle_walk(F.col("id"), 500, k).alias("p")).collect() for k in ("k1", "k2"))
+    assert a != b
+
+
+def test_shards(spark, docs, texts, empty):
+    out = sharding.shard_rows(spark, docs, 8).collect()
+    slots = defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) == set(range(8))
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert sort((r.doc_id, r["size"]) for r in out) == sort((d, len((t or "").encode()) + 1) for d, t in texts)
+    again = sharding.shard_rows(spark, docs.repartition(7), 8).collect()
+    assert sort(out) == sort(again) and sharding.shard_rows(spark, empty, 8).count() == 0
+    with pytest.raises(ValueError):
+        sharding.shard_rows(spark, docs, 0)
+
+
+def luhn(s):
+    d = [int(c) for c in s if c.isdigit()][::-1]
+    return sum(d[::2]) + sum(x * 2 - 9 if x > 4 else x * 2 for x in d[1::2])
+
+
+def test_pseudonyms(spark, docs, texts, empty):
+    card, bad, day = "4539 1488 0343 6467", "4539148803436468", "2024-02-29"
+    rows = [(1, f"pay {card} or {bad}, mail jo.99@mail2.example.com on {day}, not 2023-02-29 or 31.04.2020"), (2, f"again jo.99@mail2.example.com {card}"),
+            (3, 'ip 10.0.255.1 and 256.1.1.1 call +1 (974) 555-3436. token = "681c09b8e90e7e8c9575180f595f646cf2969054"'), (4, None), (5, ""), (6, "no match: a@b = 7")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one, two, three = out[1].text, out[2].text, out[3].text
+    assert out[1].kinds == ["card", "email", "date"] and out[3].kinds == ["ip", "phone", "secret"]
+    assert bad in one and "2023-02-29" in one and "31.04.2020" in one and "256.1.1.1" in three
+    assert card not in one + two and "jo.99@" not in one + two and day not in one and "10.0.255.1" not in three and "555-3436" not in three and "681c09b8" not in three
+    new = one[4:4 + len(card)]
+    assert luhn(new) % 10 == 0 and [c == " " for c in new] == [c == " " for c in card] and new in two
+    assert one.split("mail ")[1].split(" ")[0] in two and one.split("mail ")[1].split(" ")[0].endswith("@mail2.example.com")
+    assert out[4].text is None and out[5].text == "" and out[6].text == rows[5][1]
+    assert pseudonyms.pseudonymise(empty).count() == 0 and pseudonyms.pseudonymise(docs).count() == len(texts)
+
+
+def test_pseudonyms_are_one_to_one(spark):
+    days = spark.sql("SELECT id, cast(date_add(date'1900-01-01', cast(id * 13 as int)) as string) AS s FROM range(5000)")
+    p = days.select("s", pseudonyms.pseudonym_date(F.col("s"), "k").alias("p"))
+    assert p.select("p").distinct().count() == 5000 and p.where("p is null").count() == 0
+    numbers = spark.sql("SELECT lpad(cast(id as string), 4, '0') AS s FROM range(10000)")
+    assert numbers.select(pseudonyms.permute_text(F.col("s"), "k").alias("p")).distinct().count() == 10_000
+    ips = spark.sql("SELECT concat_ws('.', cast(id % 256 as string), '7', cast(id div 256 as string), '250') AS s FROM range(3000)")
+    got = [r.p for r in ips.select(pseudonyms.pseudonym_ip(F.col("s"), "k").alias("p")).collect()]
+    assert len(set(got)) == 3000 and all(0 <= int(x) < 256 for p in got for x in p.split("."))
+
+
+def test_license_scan(spark, docs, texts, empty):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+           "to deal in the Software without restriction, including use.\nThe above copyright notice and this permission notice shall be included in all copies "
+           "or substantial portions of the Software.\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.")
+    rows = [(1, "Foo bar.\nLicensed under the Apache License, Version 2.0."), (2, "Released under the MIT License. And more."), (3, "Licensed under CC BY-NC 4.0."),
+            (4, "This work is licensed under the GNU General Public License, version 3."), (5, mit), (6, None), (7, ""), (8, "a text about licences, nothing else"),
+            (9, "SPDX-License-Identifier: Apache-2.0"), (10, "Copyright 2020 Foo. All rights reserved."), (1, "Released under the MIT License.")]
+    out = defaultdict(list)
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        out[r.doc_id].append(r)
+    named = {i: v[0].licences for i, v in out.items() if i != 1}
+    assert named == {2: ["MIT"], 3: ["CC-BY-NC-4.0"], 4: ["GPL-3.0"], 5: ["MIT"], 6: [], 7: [], 8: [], 9: ["Apache-2.0"], 10: []}
+    assert sorted(r.licences[0] for r in out[1]) == ["Apache-2.0", "MIT"]
+    assert out[2][0].permissive and not out[3][0].permissive and not out[4][0].permissive and out[6][0].permissive is None
+    assert out[10][0].unmatched == ["copyright", "reserved"]
+    assert license_scan.scan(empty).count() == 0 and license_scan.scan(docs).count() == len(texts)
+
+
+def base_rules(text):
+    text = text or ""
+    words = [w for w in text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w]
+    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    at = defaultdict(list)
+    for i in range(len(words) - 2):
+        at[tuple(words[i:i + 3])].append(i)
+    hit = {k for v in at.values() if len(v) > 1 for i in v for k in range(i, i + 3)}
+    failed = len(words) < 50 or 100 * len(hit) > 50 * len(words)
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit), failed
+
+
+def test_quality_rules(spark, docs, texts, empty):
+    out = quality_rules.judge(spark, docs, PIECE_BPE).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
+    assert sort(out) == sort((d, *base_rules(t)) for d, t in texts)
+    assert quality_rules.judge(spark, empty, PIECE_BPE).count() == 0
+
+
+def test_quality_rules_reject_what_is_no_running_text(spark):
+    rng = random.Random(4)
+    words = ["this", "house", "green", "water", "under", "people", "always", "walking", "there", "because", "small", "morning"]
+    rows = [(i, " ".join(rng.choices(words, k=300)), "en") for i in range(80)] + [(100, " ".join("".join(rng.choices("⌬⍟⎈ꙮ𝌆", k=3)) for _ in range(300)), "en"),
+            (101, " ".join("".join(rng.choices("qxzjvk#*$%&", k=7)) for _ in range(300)), "en")]
+    out = {r.doc_id: r for r in quality_rules.judge(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECE_BPE).collect()}
+    assert "byte_share" in out[100].reasons and "chars_per_token" in out[101].reasons
+    assert all(out[i].kept or out[i].base_failed for i in range(80))
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{a:b}</style><script>var t="</p><p>no";</script></head><body class="has-sidebar">
+<header><h2>Site name</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice"><p>We use cookies, which is a long sentence about cookies.</p></div>
+<article><h1>The  title</h1><p>First &lt;b&gt;\n paragraph<b>bold</b>.<br>next &eacute;<p>Second <a href="x">linked</a> 1 < 2 text.</p><!-- <p>no</p> --><form><p>Your name</p></form>
+<div class="comments"><p>Reader comment, long enough to look like a text of its own.</p></div></article><aside><p>Other news that you may like to read today.</p></aside>
+<div class="ad">Buy this now.</div><footer>&copy; me</footer></body></html>"""
+
+
+def test_html_text(spark):
+    want = "The title\nFirst <b> paragraphbold. next é\nSecond linked 1 < 2 text."
+    rows = [(1, "u", PAGE, "x"), (2, "u", None, "x"), (3, None, "", "x"), (1, "u", PAGE, "x"), (4, "u", "<p>unclosed <b>text", "x"), (5, "u", "<script>" * 2000 + "<" * 2000, "x"),
+            (6, "u", "<article>" + "<div>" * 3000 + "deep text" + "<p>a &amp; b" * 3000, "x"), (7, "u", "<!-- never closed <p>x", "x")]
+    out = defaultdict(list)
+    for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect():
+        assert r.n_chars == len(r.text)
+        out[r.page_id].append(r.text)
+    assert out[1] == [want, want] and out[2] == [""] and out[3] == [""] and out[7] == [""]
+    assert out[6][0].startswith("deep text\na & b") and out[6][0].count("\n") == 3000
+
+
+def test_html_without_an_article():
+    body = "<p>" + "This is a sentence of the story that goes on for a while, as they do. " * 4 + "</p>"
+    page = "<body><div><a href=a>One</a> <a href=b>Two</a></div><div>" + body + "<p>Short one.</p>" + body + "</div><div><a href=c>Imprint</a></div></body>"
+    got = html_text.main_text(page).split("\n")
+    assert len(got) == 3 and got[1] == "Short one."  # smoothness carries the short block between two long ones
+
+
+def test_min_cut_is_minimal():
+    rng = random.Random(9)
+    for _ in range(40):
+        n = rng.randint(1, 8)
+        src, snk = ([rng.choice((0, rng.random() * 4)) for _ in range(n)] for _ in range(2))
+        edges = [(i, j, rng.random() * 2) for i in range(n) for j in range(i) if rng.random() < 0.5]
+
+        def cost(keep):
+            return sum(snk[i] if keep[i] else src[i] for i in range(n)) + sum(w for a, b, w in edges if keep[a] != keep[b])
+        best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
+        assert abs(cost(html_text.min_cut(src, snk, edges)) - best) < 1e-9
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_queries_equal_their_oracles(spark):
+    import duckdb
+
+    from ledgerline.llm.queries import ORACLE, QUERIES
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for name, sql in ORACLE.items():
+        rel = con.sql(sql)
+        cols, df = rel.columns, QUERIES[name](spark, SF)
+        assert sorted(cols) == sorted(df.columns)
+        assert sort(tuple(r[c] for c in cols) for r in df.collect()) == sort(rel.fetchall()), name
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_pipeline_equals_brute_force_stages(spark):
+    import corpus_pipeline
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [(d, t) for d, t in rows if any(c.isalpha() for c in t or "")]
+    rows = [(d, kept) for d, _, _, kept in line_dedup.brute_force(rows)]
+    rows = [(d, t) for (d, t), (_, n, c) in zip(rows, ngram_join.brute_force(rows)) if c == d]
+    clean = [n == 0 for _, _, n, _ in decontamination.brute_force(rows, items)]
+    rows = [r for r, ok in zip(rows, clean) if ok]
+    want = [(d, *x) for (d, _), x in zip(rows, bpe.brute_force([t for _, t in rows], WORD_BPE))]
+    assert sort(corpus_pipeline.run(spark, SF).collect()) == sort(want)
+
+
+def test_stages_keep_odd_rows_and_columns(spark, docs, empty):
+    import corpus_pipeline
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, docs, SF).columns == docs.columns, name
+        assert stage(spark, empty, SF).count() == 0, name
