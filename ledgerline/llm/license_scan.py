@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import bounded_batches, column
 
 # Licence sentences as their licences word them, by identifier. Names of licences vary in
-# brackets of alternatives; <any> stands for up to eight words (a year, an owner).
+# brackets of alternatives; <any> stands for up to 400 characters (a year, an owner).
 SENTENCES = {
     "spdx": r"spdx license identifier (?P<id>[a-z0-9. +-]+?)",
     "apache_by": r"(?:this (?:file|work|project|software|code) is )?licensed under the apache license,? version 2(?:\.0)?(?: the license)?",
@@ -43,7 +43,7 @@ SENTENCES = {
     "cc0": r"(?:cc0 1\.0(?: universal)?|to the extent possible under law <any>has waived all copyright<any>)",
     "mpl_by": r"this source code form is subject to the terms of the mozilla public license,? v(?:ersion)? ?2\.0",
     "reserved": r"all rights reserved",
-    "copyright": r"(?:copyright|c) (?:c )?[0-9]{4}(?: [0-9]{4})?<any>",
+    "copyright": r"(?:copyright|c) (?:c )?[0-9]{4}(?: [0-9]{4})?(?: <any>)?",
 }
 # Ordered rules: a licence, and the identifiers that must follow each other. Longest first.
 RULES = [
@@ -66,7 +66,7 @@ RULES = [
 ]
 #: Licences that ask nothing of the text that is trained on beyond notices.
 PERMISSIVE = ("Apache-2.0", "MIT", "BSD", "CC0-1.0", "CC-BY-1", "CC-BY-2", "CC-BY-3", "CC-BY-4")
-KNOWN = [(k, re.compile(p.replace("<any>", r"(?:\S+ ?){0,40}?"))) for k, p in SENTENCES.items()]
+KNOWN = [(k, re.compile(p.replace("<any>", r".{0,400}?"))) for k, p in SENTENCES.items()]
 #: A sentence is looked up only if it holds one of these words.
 HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|free software|cc0|creative commons|endorse|\(c\)", re.I)
 BREAK = re.compile(r"\n|(?<=[.!?;])[^\w\s]*\s+(?!\d)")

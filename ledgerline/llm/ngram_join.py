@@ -286,6 +286,7 @@ def grouped(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     """
     known = groups(spark, docs, id_col, text_col, n, t)
     least = known.where("size > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
+    least = staged(spark, least, "gram-least")  # a table on both sides lets Spark split the rows of a large group
     return known.join(least, "group", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
