@@ -1,9 +1,10 @@
 """Exact decimal money.
 
-Stored money is decimal(23,8). A rate is narrowed to decimal(14,8) before it
-multiplies money, so the product is decimal(38,16) and keeps every digit;
-the store cast back to (23,8) rounds half away from zero. Multiplying two
-(23,8) values instead would make Spark drop digits to fit 38 places.
+Stored money and rates are decimal(23,8). Multiplying two of them would make
+Spark drop digits to fit 38 places. So a rate is split into millions and the
+rest below a million: each product keeps every digit, the rest's is rounded to
+money (half away from zero), and as both have the sign of the amount their sum
+is the rounded product. No rate is narrowed, whatever the session's ANSI setting.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(23, 8)
-RATE = DecimalType(14, 8)
+RATE = DecimalType(23, 8)
+REST = DecimalType(14, 8)   # below a million
+MILLIONS = DecimalType(9, 0)
 KEY = DecimalType(20, 0)
 
 
@@ -31,7 +34,11 @@ def rate(c) -> Column:
 
 def to_rub(amount, fx_rate) -> Column:
     """``amount * coalesce(rate, 1)`` rounded to money. NULL amount stays NULL."""
-    return (money(amount) * F.coalesce(rate(fx_rate), F.lit(1).cast(RATE))).cast(MONEY)
+    r = F.coalesce(rate(fx_rate), F.lit(1).cast(RATE))
+    million = F.lit(1_000_000).cast(DecimalType(7, 0))
+    rest = (r % million).cast(REST)
+    millions = ((r - rest) / million).cast(MILLIONS)
+    return ((money(amount) * millions).cast(MONEY) * million + (money(amount) * rest).cast(MONEY)).cast(MONEY)
 
 
 def zero() -> Column:

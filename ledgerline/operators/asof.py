@@ -152,7 +152,8 @@ def expand_to_days(dim: DataFrame, keys: Sequence[str], lo, hi, values: Sequence
     end = F.least(F.coalesce(F.col(valid_to), F.lit(OPEN_END)), hi_c)
     days = (dim.where(overlaps(lo, hi, valid_from, valid_to))
                .select(*keys, F.col(valid_from).alias("_from"), *values,
-                       F.explode(F.sequence(start, end)).alias(day_col)))
+                       # an inverted validity covers no day (a plain sequence would count down)
+                       F.explode(F.when(start <= end, F.sequence(start, end))).alias(day_col)))
     if len(values) == 1:
         return days.groupBy(*keys, day_col).agg(F.max_by(F.col(values[0]), F.col("_from")).alias(values[0]))
     best = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_from")).alias("_v")

@@ -69,6 +69,10 @@ def length_violations(df: DataFrame, limits: Mapping[str, int], keep: Sequence[s
 
 # ---------------------------------------------------------------- ranked duplicates
 
+#: Copies of one row that come out as one array.
+COPIES = 10_000
+
+
 def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
                 nulls_last: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split rows into (kept, deleted): per key the first row in ``order`` is kept
@@ -84,7 +88,8 @@ def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """
     keys = list(keys)
     cols = df.columns
-    order = list(order or [c for c in cols if c not in keys])
+    order = list(order or [])
+    order += [c for c in cols if c not in keys and c not in order]  # ties are broken by what is left
     # Sort key: (isnull flag, value) per column gives NULLS LAST under min().
     def sort_key(prefix=""):
         parts = []
@@ -101,7 +106,10 @@ def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     kept = x.where("_is_first").select(*cols)
     copies = F.when(F.col("_is_first"), F.col("_n") - 1).otherwise(F.col("_n"))
     deleted = (x.withColumn("_copies", copies).where(F.col("_copies") > 0)
-                .select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_c"))
+                # many copies of one row come out in bounded pieces, not as one array
+                .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.call_function("div", F.col("_copies") - 1, F.lit(COPIES)))))
+                .withColumn("_left", F.least(F.col("_copies") - F.col("_piece") * COPIES, F.lit(COPIES)))
+                .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_left"))).alias("_c"))
                 .drop("_c"))
     return kept, deleted
 

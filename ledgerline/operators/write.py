@@ -41,7 +41,8 @@ def refresh_by(old: DataFrame, new: DataFrame, match: Mapping[str, object]) -> D
     hit = F.lit(True)
     for c, v in match.items():
         hit = hit & (F.col(c) == (as_date(v) if not isinstance(v, (int, float)) else F.lit(v)))
-    return old.where(~hit).unionByName(new.select(*old.columns))
+    # a row whose match column is NULL does not match: it stays, as after a SQL DELETE
+    return old.where(~F.coalesce(hit, F.lit(False))).unionByName(new.select(*old.columns))
 
 
 def apply_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -91,16 +92,41 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     except Exception:
         fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # the old table stays as it was
         raise
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}")
-    had_old = fs.exists(target)
-    if had_old:
-        fs.rename(target, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target)
-    if had_old:
-        fs.delete(old, True)
+    try:
+        _swap_in(fs, jvm, tmp, path.rstrip("/"))
+    except Exception:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # the old table is back in its place
+        raise
     return path
 
 
+def _move(fs, source, target) -> None:
+    """Rename, and raise if the file system says no (HDFS answers false instead of raising)."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _swap_in(fs, jvm, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``.
+
+    The old folder is moved aside and deleted only after the new one is in
+    place; if that move fails, the old folder goes back and the error is raised.
+    """
+    Path = jvm.org.apache.hadoop.fs.Path
+    target, aside = Path(path), None
+    if fs.exists(target):
+        aside = Path(f"{target.getParent().toString()}/.__old_{uuid.uuid4().hex}")
+        _move(fs, target, aside)
+    try:
+        _move(fs, Path(new), target)
+    except Exception:
+        if aside is not None:
+            _move(fs, aside, target)
+        raise
+    if aside is not None:
+        fs.delete(aside, True)
+
+
 def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Sequence[object]) -> None:
     """Replace the given partitions of a table partitioned by ``partition_col``
     (daily or period refresh): delete each listed partition, insert ``df``.
@@ -125,10 +151,10 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
                if st.isDirectory() and st.getPath().getName().startswith(partition_col + "=")}
     for name in sorted(written | {f"{partition_col}={v}" for v in values}):
         dst = Path(f"{path.rstrip('/')}/{name}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
         if name in written:
-            fs.rename(Path(f"{staging}/{name}"), dst)
+            _swap_in(fs, jvm, f"{staging}/{name}", dst.toString())
+        elif fs.exists(dst):
+            fs.delete(dst, True)
     fs.delete(Path(staging), True)
 
 

@@ -143,7 +143,8 @@ def account_balance(turnover: DataFrame, accounts: DataFrame, opening: DataFrame
     union = versions.unionByName(turns)
     rows = union.repartition(int(n), "account_rk") if n.isdigit() else union.repartition("account_rk")
     days = rows.select("account_rk", "_from", "_passive", "_chg", "_chg_rub",
-                       F.explode(F.sequence("_s", "_e")).alias("on_date"))
+                       # an inverted validity covers no day (a plain sequence would count down)
+                       F.explode(F.when(F.col("_s") <= F.col("_e"), F.sequence("_s", "_e"))).alias("on_date"))
     # Fixed-width buffers only (date, boolean, decimal): a hash aggregate.
     per_day = (days.groupBy("account_rk", "on_date")
                    .agg(F.max("_from").alias("_active"), F.max_by("_passive", "_from").alias("_passive"),

@@ -64,7 +64,7 @@ SELECT l_orderkey AS client_rk, DATE '2020-01-01' AS effective_from_date, CAST(l
 FROM lineitem""",
     "v_deal": """
 SELECT o_orderkey AS deal_rk, CAST(o_orderdate AS DATE) AS effective_from_date, DATE '2999-12-31' AS effective_to_date,
-       o_custkey AS client_rk, o_custkey % 60 AS product_rk, o_orderstatus AS deal_type_cd,
+       o_custkey AS client_rk, o_custkey AS product_rk, o_orderstatus AS deal_type_cd,
        CAST(o_totalprice AS DECIMAL(23,8)) AS deal_sum
 FROM orders""",
     "v_holiday": """
@@ -74,10 +74,10 @@ SELECT o_orderkey AS deal_rk,
 FROM orders WHERE o_orderkey % 2 = 0""",
     "v_product": """
 SELECT p_partkey AS product_rk, concat(p_name, ' old') AS product_name, DATE '1990-01-01' AS effective_from_date, DATE '1998-06-30' AS effective_to_date
-FROM part WHERE p_partkey < 50
+FROM part WHERE p_partkey % 6 <> 0
 UNION ALL
 SELECT p_partkey, p_name, DATE '1998-06-30', CASE WHEN p_partkey % 9 = 0 THEN CAST(NULL AS DATE) ELSE DATE '2999-12-31' END
-FROM part WHERE p_partkey < 50""",
+FROM part WHERE p_partkey % 6 <> 0""",
     "v_chain": """
 SELECT account_rk, effective_date,
        CAST(account_rk * 100 + dd * 10 + CASE WHEN (account_rk + dd) % 7 = 0 THEN 5 ELSE 0 END AS DECIMAL(23,8)) AS account_in_sum,

@@ -144,7 +144,8 @@ def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFram
     """
     raw = read_delimited(spark, path, sep=sep)
     require_columns(raw, spec.column_names, path)
-    raw = raw.select(*spec.column_names).withColumn(ROW_ID, F.monotonically_increasing_id())
+    raw = raw.select(*spec.column_names).withColumn(
+        ROW_ID, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))  # the order of a folder's files is by name
     parsed = raw.select(ROW_ID, *[cast_tag(c, t).alias(c) for c, t in spec.columns],
                         bad_date_flag(raw, spec.date_columns).alias("_bad")).persist(StorageLevel.MEMORY_AND_DISK)
     stats = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_bad").cast("long")).alias("bad")).first()
