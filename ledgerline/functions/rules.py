@@ -19,16 +19,6 @@ def is_passive(char_type) -> Column:
     return F.coalesce(_col(char_type).isin(*PASSIVE_TYPES), F.lit(False))
 
 
-def balance_delta(char_type, debet, credit) -> Column:
-    """Day's change of the balance: passive −debit +credit, otherwise +debit −credit.
-
-    Missing amounts count as 0.
-    """
-    d = F.coalesce(_col(debet), F.lit(0))
-    c = F.coalesce(_col(credit), F.lit(0))
-    return F.when(is_passive(char_type), c - d).otherwise(d - c)
-
-
 def is_rub(currency_code) -> Column:
     """Rouble flag; NULL code → False."""
     return F.coalesce(_col(currency_code).isin(*ROUBLE_CODES), F.lit(False))

@@ -5,6 +5,11 @@ The reference picks "the latest version valid on a date" with a correlated
 aggregate with a map-side partial step, so a key that holds a large share of
 the rows never lands whole in one task. With one fixed-width value it is a
 hash aggregate; a struct of several values makes Spark sort-aggregate.
+
+No function here runs a job or forces a broadcast: a dimension below
+``spark.sql.autoBroadcastJoinThreshold`` is broadcast by the planner, by its
+statistics or, under AQE, by the bytes that its stage really wrote; a larger
+one meets the facts in a sort-merge join whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -16,34 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import OPEN_END, as_date, effective_on, overlaps
 
-# A dimension side is broadcast only under both bounds: rows, and rows × row width.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proven size bound: a job that stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (Spark's default sizes per type)."""
-    return 8 + int(df._jdf.schema().defaultSize())
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` when a counting job proves it has at most
-    ``min(max_rows, max_bytes / row width)`` rows.
-
-    Otherwise the frame is returned as is and the planner shuffles it; AQE may
-    still pick a broadcast from the measured shuffle size, and splits skewed
-    partitions of a sort-merge join.
-    """
-    bound = max(1, min(max_rows, max_bytes // row_width(df)))
-    return F.broadcast(df) if has_at_most(df, bound) else df
-
-
 def latest_version(dim: DataFrame, keys: Sequence[str], order_col: str,
                    cols: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_col``.
@@ -79,19 +56,16 @@ def versions_in(dim: DataFrame, lo, hi, keys: Sequence[str], cols: Sequence[str]
 
 def asof_lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], d,
                 values: Sequence[str], valid_from: str = "data_actual_date",
-                valid_to: str = "data_actual_end_date",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                valid_to: str = "data_actual_end_date") -> DataFrame:
     """Left-join each fact to the dimension version effective on constant ``d``.
 
     ``on`` maps fact column → dimension column. Facts without a version keep
-    NULL values. The resolved dimension has one row per key; it is broadcast
-    only under the checked row bound.
+    NULL values. The resolved dimension has one row per key.
     """
     dkeys = list(on.values())
     resolved = versions_on(dim, d, dkeys, list(values), valid_from, valid_to)
     resolved = resolved.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(dkeys)],
                                *[F.col(v) for v in values])
-    resolved = broadcast_if_small(resolved, max_broadcast_rows)
     cond = [F.col(fk) == F.col(f"_k{i}") for i, fk in enumerate(on)]
     out = facts.join(resolved, cond, "left")
     return out.drop(*[f"_k{i}" for i in range(len(dkeys))])
@@ -100,8 +74,7 @@ def asof_lookup(facts: DataFrame, dim: DataFrame, on: dict[str, str], d,
 def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fact_date: str,
                        fact_id: Sequence[str], values: Sequence[str],
                        valid_from: str = "data_actual_date",
-                       valid_to: str = "data_actual_end_date",
-                       max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                       valid_to: str = "data_actual_end_date") -> DataFrame:
     """As-of by each fact row's own date.
 
     Equi-join on the keys plus ``fact_date BETWEEN from AND coalesce(to, OPEN_END)``
@@ -109,10 +82,10 @@ def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fac
     latest matching version per fact row by ``max_by``. ``fact_id`` must be
     unique in ``facts``; the aggregate groups on it.
 
-    A dimension under the checked bound is broadcast: the facts keep their
-    partitioning and, when it is on ``fact_id``, the aggregate needs no
-    shuffle at all. A larger dimension meets the facts in a sort-merge join on
-    the keys, whose partitioning then satisfies the aggregate.
+    Where the dimension is broadcast the facts keep their partitioning and,
+    when it is on ``fact_id``, the aggregate needs no shuffle at all. A larger
+    dimension meets the facts in a sort-merge join on the keys, whose
+    partitioning then satisfies the aggregate.
     """
     fact_id = list(fact_id)
     dkeys = list(on.values())
@@ -120,7 +93,6 @@ def asof_lookup_by_row(facts: DataFrame, dim: DataFrame, on: dict[str, str], fac
                    F.col(valid_from).alias("_from"),
                    F.coalesce(F.col(valid_to), F.lit(OPEN_END)).alias("_to"),
                    *[F.col(v) for v in values])
-    d = broadcast_if_small(d, max_broadcast_rows)
     cond = [F.col(fk) == F.col(f"_k{i}") for i, fk in enumerate(on)]
     cond.append(F.col(fact_date).between(F.col("_from"), F.col("_to")))
     joined = facts.join(d, cond, "left")

@@ -1,8 +1,7 @@
 """Data-quality checks and repairs.
 
 Checks are aggregates (a key holding a large share of rows is folded by the
-map-side partial aggregate), equi-joins on full keys (AQE splits a skewed
-side), or windows over a key with at most one row per day.
+map-side partial aggregate) or windows over a key with at most one row per day.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.asof import broadcast_if_small
-
 
 # ---------------------------------------------------------------- keys, nulls, lengths
 
@@ -79,33 +76,27 @@ def dedup_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     (``row_number() = 1``), all others are deleted.
 
     ``order`` defaults to all non-key columns, which makes it a total order:
-    rows equal in it are full copies and interchangeable. Done without a
-    window, so a hot key is not one task: full copies are folded to a count,
-    the first row per key is a ``min`` aggregate, and the join back to it is
-    one row per key (AQE splits a skewed side). Deleted copies come back with
-    their multiplicity. ``nulls_last`` sorts NULL after values (PostgreSQL's
-    ascending default).
+    rows equal in it are full copies and interchangeable; columns missing from
+    a given ``order`` break its ties. No window and no join, so a hot key is
+    not one task: ``kept`` is one ``min`` aggregate by key whose struct holds
+    the whole row, and ``deleted`` is all rows minus the kept ones, counted per
+    distinct row. Deleted copies come back with their multiplicity.
+    ``nulls_last`` sorts NULL after values (PostgreSQL's ascending default).
     """
-    keys = list(keys)
-    cols = df.columns
+    keys, cols = list(keys), df.columns
     order = list(order or [])
-    order += [c for c in cols if c not in keys and c not in order]  # ties are broken by what is left
-    # Sort key: (isnull flag, value) per column gives NULLS LAST under min().
-    def sort_key(prefix=""):
-        parts = []
-        for i, c in enumerate(order):
-            col = F.col(prefix + c)
-            parts += [(col.isNull() if nulls_last else col.isNotNull()).alias(f"n{i}"), col.alias(f"v{i}")]
-        return F.struct(*parts)
-
-    folded = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    first = folded.groupBy(*keys).agg(F.min(sort_key()).alias("_first"))
-    first = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    x = folded.join(first, cond, "inner").withColumn("_is_first", sort_key() == F.col("_first"))
-    kept = x.where("_is_first").select(*cols)
-    copies = F.when(F.col("_is_first"), F.col("_n") - 1).otherwise(F.col("_n"))
-    deleted = (x.withColumn("_copies", copies).where(F.col("_copies") > 0)
+    order += [c for c in cols if c not in keys and c not in order]
+    # (is-null flag, value) per column puts NULL last under min()
+    parts = []
+    for i, c in enumerate(order):
+        parts += [(F.col(c).isNull() if nulls_last else F.col(c).isNotNull()).alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    if not order:  # the key is the whole row
+        kept = df.select(*cols).distinct()
+    else:
+        first = df.groupBy(*keys).agg(F.min(F.struct(*parts)).alias("_first"))
+        kept = first.select(*[F.col(c) if c in keys else F.col(f"_first.v{order.index(c)}").alias(c) for c in cols])
+    tally = df.select(*cols, F.lit(1).alias("_n")).unionAll(kept.select(*cols, F.lit(-1).alias("_n")))
+    deleted = (tally.groupBy(*cols).agg(F.sum("_n").alias("_copies")).where(F.col("_copies") > 0)
                 # many copies of one row come out in bounded pieces, not as one array
                 .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.call_function("div", F.col("_copies") - 1, F.lit(COPIES)))))
                 .withColumn("_left", F.least(F.col("_copies") - F.col("_piece") * COPIES, F.lit(COPIES)))
@@ -188,24 +179,22 @@ def reconcile_periods(staging: Mapping[str, DataFrame], detail: Mapping[str, Dat
                       valid_to: str = "effective_to_date") -> DataFrame:
     """Periods that are missing in detail, extra in detail, or have another row count.
 
-    Full outer join on (table, from, to) with NULL-safe period keys.
+    Both sides are one long table, tagged; one aggregate per (table, period)
+    counts each side. Grouping treats NULL bounds as equal.
     """
-    c = period_counts(staging, valid_from, valid_to).alias("c")
-    r = period_counts(detail, valid_from, valid_to).alias("r")
-    cond = ((F.col("c.table_name") == F.col("r.table_name"))
-            & F.col("c." + valid_from).eqNullSafe(F.col("r." + valid_from))
-            & F.col("c." + valid_to).eqNullSafe(F.col("r." + valid_to)))
-    x = c.join(r, cond, "full")
-    problem = (F.when(F.col("r.table_name").isNull(), F.lit("missing_in_rd"))
-                .when(F.col("c.table_name").isNull(), F.lit("extra_in_rd"))
-                .when(F.col("c.rows_count") != F.col("r.rows_count"), F.lit("row_count_differs")))
-    out = x.select(F.coalesce("c.table_name", "r.table_name").alias("table_name"),
-                   F.coalesce("c." + valid_from, "r." + valid_from).alias(valid_from),
-                   F.coalesce("c." + valid_to, "r." + valid_to).alias(valid_to),
-                   F.col("c.rows_count").alias("csv_rows_count"),
-                   F.col("r.rows_count").alias("rd_rows_count"),
-                   problem.alias("problem"))
-    return out.where(F.col("problem").isNotNull())
+    counted = None
+    for tag, side in (("staged", staging), ("stored", detail)):
+        for name, df in side.items():
+            part = df.select(F.lit(name).alias("table_name"), valid_from, valid_to, F.lit(tag).alias("_tag"))
+            counted = part if counted is None else counted.unionByName(part)
+    n = {tag: F.count_if(F.col("_tag") == tag) for tag in ("staged", "stored")}
+    out = counted.groupBy("table_name", valid_from, valid_to).agg(n["staged"].alias("_a"), n["stored"].alias("_b"))
+    problem = (F.when(F.col("_b") == 0, F.lit("missing_in_rd")).when(F.col("_a") == 0, F.lit("extra_in_rd"))
+                .otherwise(F.lit("row_count_differs")))
+    shown = lambda c: F.nullif(F.col(c), F.lit(0).cast("long"))
+    return out.where(F.col("_a") != F.col("_b")).select(
+        "table_name", valid_from, valid_to, shown("_a").alias("csv_rows_count"), shown("_b").alias("rd_rows_count"),
+        problem.alias("problem"))
 
 
 def snapshot_diff(src: DataFrame, dst: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -220,7 +209,3 @@ def snapshot_diff(src: DataFrame, dst: DataFrame, keys: Sequence[str], measures:
     cols = [c for m in measures for c in ("source_" + m, "imported_" + m)]
     return a.join(b, cond, "inner").where(differs).select(*keys, *cols)
 
-
-def small_dim(df: DataFrame) -> DataFrame:
-    """Broadcast a code dimension after checking its size."""
-    return broadcast_if_small(df)

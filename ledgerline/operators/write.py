@@ -24,10 +24,13 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     """``INSERT ... ON CONFLICT (keys) DO UPDATE SET <all other columns>``:
     target rows whose key is not in source, plus all source rows.
 
-    Source must be unique on ``keys`` (see ``keep_last``).
+    Source must be unique on ``keys`` (see ``keep_last``). Keys are compared
+    NULL-safely, so the same upsert twice gives the same table.
     """
     src = source.select(*target.columns)
-    return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
+    new = src.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return target.join(new, same, "left_anti").unionByName(src)
 
 
 def replace(target_columns: Sequence[str], source: DataFrame) -> DataFrame:
@@ -72,6 +75,18 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this package."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def spread(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of a partition value together, in files of a good size: AQE splits
+    a large value over several tasks and puts small ones together."""
+    return df.hint("rebalance", partition_col)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                 options: Mapping[str, str] | None = None) -> str:
     """Replace the table at ``path`` with ``df``: write a sibling folder, then swap.
@@ -81,7 +96,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     """
     spark = df.sparkSession
     tmp = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex}"
-    w = df.write.mode("overwrite").format(fmt)
+    w = (spread(df, partition_by[0]) if partition_by else df).write.mode("overwrite").format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if partition_by:
@@ -141,7 +156,7 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
     fs, target, jvm = _fs(spark, path)
     Path = jvm.org.apache.hadoop.fs.Path
     try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+        spread(df, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     except Exception:
         fs.delete(Path(staging), True)   # no partition was touched yet
         raise

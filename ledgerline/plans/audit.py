@@ -25,7 +25,8 @@ TABLE_EVENT_SCHEMA = StructType([
     StructField("load_mode", StringType(), False), StructField("status", StringType(), False),
     StructField("started_at", TimestampType(), False), StructField("rows_read", LongType(), True),
     StructField("rows_loaded", LongType(), True), StructField("bad_date_rows", LongType(), True),
-    StructField("error_message", StringType(), True),
+    StructField("error_message", StringType(), True), StructField("ended_at", TimestampType(), True),
+    StructField("bad_number_rows", LongType(), True),
 ])
 
 
@@ -37,18 +38,22 @@ def truncate_message(c: Column | str) -> Column:
 def table_event(spark: SparkSession, run_id: str, table_name: str, source_file: str, load_mode: str,
                 status: str, rows_read: int | None = None, rows_loaded: int | None = None,
                 bad_date_rows: int | None = None, error: str | None = None,
-                at: dt.datetime | None = None) -> DataFrame:
-    """One audit row (append it to the audit table)."""
+                at: dt.datetime | None = None, ended_at: dt.datetime | None = None,
+                bad_number_rows: int | None = None) -> DataFrame:
+    """One audit row (append it to the audit table). ``at`` is the start of the
+    table's load in all its rows; its last row has ``ended_at`` too."""
     row = (uuid.uuid4().hex, run_id, table_name, source_file, load_mode, status,
            at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), rows_read, rows_loaded,
-           bad_date_rows, error[:MAX_MESSAGE] if error else None)
+           bad_date_rows, error[:MAX_MESSAGE] if error else None, ended_at, bad_number_rows)
     return spark.createDataFrame([row], TABLE_EVENT_SCHEMA)
 
 
 def current_state(log: DataFrame, keys: Sequence[str] = ("run_id", "table_name"),
-                  order: Sequence[str] = ("started_at", "id"),
+                  order: Sequence[str] | None = None,
                   cols: Sequence[str] = ("status", "started_at", "rows_read", "rows_loaded", "id")) -> DataFrame:
-    """Latest event per (run, table): ``max_by`` over (time, id)."""
+    """Latest event per (run, table): ``max_by`` over (start, end if there is one, id);
+    an event that has ended comes after the one that has not."""
+    order = order or [c for c in ("started_at", "ended_at", "id") if c in log.columns]
     best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order])).alias("_v")
     return log.groupBy(*keys).agg(best).select(*keys, *[F.col("_v." + c).alias(c) for c in cols])
 
@@ -63,8 +68,8 @@ def run_totals(log: DataFrame) -> DataFrame:
 
 def runs(log: DataFrame) -> DataFrame:
     """Run table derived from its events: first and last event time."""
-    return log.groupBy("run_id").agg(F.min("started_at").alias("started_at"),
-                                     F.max("started_at").alias("ended_at"))
+    last = F.coalesce("ended_at", "started_at") if "ended_at" in log.columns else F.col("started_at")
+    return log.groupBy("run_id").agg(F.min("started_at").alias("started_at"), F.max(last).alias("ended_at"))
 
 
 def latest_run_rows(log: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Composed jobs: load the detail layer, load task-2 extracts, run the month's marts.
+"""Composed jobs: load the detail layer, load task-2 extracts, run the month's marts,
+reload the task-2 marts, repair and clean stored tables, exchange reports.
 
 Tables live under one root folder (on a cluster a shared file system):
 ``ds/<table>`` detail, ``stg/<table>`` staging, ``rd/<table>`` task-2 detail,
@@ -22,12 +23,13 @@ from pyspark.sql.types import (
 )
 
 from ledgerline.functions.dates import prev_month_bounds
+from ledgerline.operators import quality
 from ledgerline.operators.asof import versions_in
-from ledgerline.operators.write import refresh_partitions, write_table
-from ledgerline.plans import marts
-from ledgerline.plans.audit import MAX_MESSAGE, TABLE_EVENT_SCHEMA
+from ledgerline.operators.write import check_loaded, refresh_partitions, require_rows, upsert_by_key, write_table
+from ledgerline.plans import marts, report, task2
+from ledgerline.plans.audit import MAX_MESSAGE, table_event
 from ledgerline.sources import ingest
-from ledgerline.sources.specs import LOAD_ORDER, TABLES
+from ledgerline.sources.specs import LOAD_ORDER, TABLES, UPSERT, TableSpec
 
 RUN_EVENT_SCHEMA = StructType([
     StructField("run_id", StringType(), False), StructField("dag_id", StringType(), False),
@@ -82,22 +84,28 @@ class Run:
                        self.rows_read, self.rows_loaded, error[:MAX_MESSAGE] if error else None)],
                      RUN_EVENT_SCHEMA, "etl_run_log")
 
-    def table(self, table_name: str, source: str, mode: str, fn: Callable[[], tuple[int, int, int]]) -> tuple[int, int]:
-        """Run one table step ``fn() -> (rows_read, rows_loaded, bad_date_rows)`` between
-        a STARTED and a SUCCESS/FAILED event. Totals count successful steps."""
-        ev = lambda status, r=None, lo=None, bad=None, err=None: self._append(
-            [(uuid.uuid4().hex, self.run_id, table_name, source, mode, status, _now(), r, lo, bad,
-              err[:MAX_MESSAGE] if err else None)], TABLE_EVENT_SCHEMA, "etl_table_log")
-        ev("STARTED")
+    def table(self, table_name: str, source: str, mode: str,
+              fn: Callable[[], tuple[int, int] | tuple[int, int, int] | tuple[int, int, int, int]]) -> tuple[int, int]:
+        """Run one table step ``fn() -> (rows_read, rows_loaded[, bad_date_rows, bad_number_rows])``
+        between a STARTED and a SUCCESS/FAILED event. Totals count successful steps."""
+        start = _now()
+
+        def event(status: str, counts=(None,) * 4, error=None, ended=None) -> None:
+            read, loaded, dates, numbers = counts
+            table_event(self.spark, self.run_id, table_name, source, mode, status, read, loaded, dates, error, start,
+                        ended, numbers).write.mode("append").parquet(_path(self.root, "logs", "etl_table_log"))
+
+        event("STARTED")
         try:
-            read, loaded, bad = fn()
+            counts = (tuple(fn()) + (0, 0))[:4]
         except Exception as exc:
-            ev("FAILED", err=f"{type(exc).__name__}: {exc}")
+            known = [getattr(exc, k, None) for k in ("rows_read", "rows_loaded", "bad_date_rows", "bad_number_rows")]
+            event("FAILED", known, f"{type(exc).__name__}: {exc}", _now())
             raise
-        ev("SUCCESS", read, loaded, bad)
-        self.rows_read += read
-        self.rows_loaded += loaded
-        return read, loaded
+        event("SUCCESS", counts, None, _now())
+        self.rows_read += counts[0]
+        self.rows_loaded += counts[1]
+        return counts[0], counts[1]
 
     def finish(self, error: str | None = None) -> None:
         self._run_event("FAILED" if error else "SUCCESS", error)
@@ -134,45 +142,167 @@ def load_all(spark: SparkSession, files: Mapping[str, str], root: str, sep: str
                 target = spark.read.parquet(target_path) if _exists(spark, target_path) else None
                 res = ingest.load_table(spark, spec, src, target, sep=sep)
                 try:
-                    write_table(res.table, target_path)
+                    _store(spark, spec, res, target, target_path)
                 finally:
                     res.release()
-                return res.rows_read, spark.read.parquet(target_path).count(), res.bad_date_rows
+                return res.rows_read, spark.read.parquet(target_path).count(), res.bad_date_rows, res.bad_number_rows
 
             run.table(spec.target, f"csv:{files[name]}", spec.mode, step)
 
     return _audited(run, body)
 
 
+def _store(spark: SparkSession, spec: TableSpec, res: ingest.LoadResult, target: DataFrame | None, path: str) -> None:
+    """Store a load. An upsert into a table partitioned by a key date reads and
+    rewrites the days of the file only; the rest of the table is not touched."""
+    day = spec.partition_by
+    if target is None or spec.mode != UPSERT or day is None:
+        write_table(res.table, path, [day] if day else ())
+        return
+    days = [r[0] for r in res.source.select(day).distinct().collect()]   # one value per calendar day of the file
+    touched = target.where(F.col(day).isin(days))
+    refresh_partitions(upsert_by_key(touched, res.source, spec.keys), path, day, days)
+
+
 # ---------------------------------------------------------------- D11: task-2 extracts
 
-def load_extracts(spark: SparkSession, files: Mapping[str, str], root: str, step: str = "all") -> Run:
+def load_extracts(spark: SparkSession, files: Mapping[str, str], root: str, step: str = "all",
+                  schemas: Mapping[str, StructType] | None = None) -> Run:
     """Two-step extract load: ``stage`` = cp1251 CSV → ``stg``, ``rd`` = ``stg`` →
-    ``rd`` (full reload, columns by name), ``all`` = both; totals add both steps."""
+    ``rd`` (full reload, columns by name), ``all`` = both; totals add both steps.
+
+    Staging is typed like the detail table: by ``schemas`` where it names the
+    table, else like the stored ``rd`` table; the first load of a table without
+    either keeps text.
+    """
     if step not in ("stage", "rd", "all"):
         raise ValueError(f"unknown step {step!r}")
     run = Run(spark, root, "extract_load")
 
+    def like(name: str) -> StructType | None:
+        if name in (schemas or {}):
+            return schemas[name]
+        rd = _path(root, "rd", name)
+        return spark.read.parquet(rd).schema if _exists(spark, rd) else None
+
+    def stage(name: str, src: str) -> tuple[int, int]:
+        n = ingest.stage_cp1251(spark, src, _path(root, "stg", name), like=like(name))
+        return n, n
+
+    def to_rd(name: str) -> tuple[int, int]:
+        src, rd, kept = spark.read.parquet(_path(root, "stg", name)), _path(root, "rd", name), like(name)
+        if kept is not None:
+            src = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kept])
+        return src.count(), _reload(spark, src, rd)
+
     def body():
         if step in ("stage", "all"):
             for name, src in files.items():
-                stg = _path(root, "stg", name)
-                run.table(f"stg.{name}", f"csv:{src}", "stage_from_csv",
-                          lambda src=src, stg=stg: (lambda n: (n, n, 0))(ingest.stage_cp1251(spark, src, stg)))
+                run.table(f"stg.{name}", f"csv:{src}", "stage_from_csv", lambda name=name, src=src: stage(name, src))
         if step in ("rd", "all"):
             for name in files:
-                stg, rd = _path(root, "stg", name), _path(root, "rd", name)
+                run.table(f"rd.{name}", f"stg.{name}", "reload_from_staging", lambda name=name: to_rd(name))
 
-                def to_rd(stg=stg, rd=rd):
-                    src = spark.read.parquet(stg)
-                    cols = spark.read.parquet(rd).columns if _exists(spark, rd) else src.columns
-                    n = src.count()
-                    write_table(src.select(*cols), rd)
-                    return n, spark.read.parquet(rd).count(), 0
+    return _audited(run, body)
 
-                run.table(f"rd.{name}", f"stg.{name}", "reload_from_staging", to_rd)
 
-    return _audited(run, body)
+def _reload(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
+    """Full reload of a stored table; the stored row count."""
+    write_table(df, path, partition_by)
+    return spark.read.parquet(path).count()
+
+
+# ---------------------------------------------------------------- D10, D13-D15: task-2 tables
+
+def reload_loan_holiday(spark: SparkSession, root: str) -> Run:
+    """Full reload of ``dm.loan_holiday_info`` from the three ``rd`` tables."""
+    run = Run(spark, root, "loan_holiday_info", "procedure")
+    rd = [spark.read.parquet(_path(root, "rd", t)) for t in ("deal_info", "loan_holiday", "product")]
+    return _audited(run, lambda: run.table("dm.loan_holiday_info", "rd", "full_reload", lambda: (
+        int(task2.loan_holiday_rows_read(*rd).first()[0]),
+        _reload(spark, task2.loan_holiday_info(*rd), _path(root, "dm", "loan_holiday_info")))))
+
+
+def repair_balance(spark: SparkSession, root: str) -> Run:
+    """Set each wrong opening of ``rd.account_balance`` to the closing of the day
+    before, and store the table. ``rows_loaded`` is the number of updated rows;
+    fails, and keeps the old table, if (account, day) is not unique."""
+    run, path = Run(spark, root, "account_balance_repair"), _path(root, "rd", "account_balance")
+    chain = spark.read.parquet(path)
+
+    def step():
+        twice = quality.duplicate_key_count(chain, ["account_rk", "effective_date"]).first()[0]
+        if twice:
+            raise ValueError(f"rd.account_balance has {twice} repeated (account, day) keys")
+        fixed, fixes = quality.repair_chain(chain)
+        updated, rows = fixes.count(), chain.count()
+        check_loaded(rows, _reload(spark, fixed, path), "rd.account_balance")
+        return rows, updated
+
+    return _audited(run, lambda: run.table("rd.account_balance", "rd.account_balance", "update_from_fixes", step))
+
+
+def reload_balance_turnover(spark: SparkSession, root: str) -> Run:
+    """Full reload of ``dm.account_balance_turnover``."""
+    run = Run(spark, root, "account_balance_turnover", "procedure")
+    src = [spark.read.parquet(_path(root, layer, t)) for layer, t in
+           (("rd", "account"), ("rd", "account_balance"), ("dm", "dict_currency"))]
+    return _audited(run, lambda: run.table("dm.account_balance_turnover", "rd", "full_reload", lambda: (
+        int(task2.balance_turnover_rows_read(*src).first()[0]),
+        _reload(spark, task2.account_balance_turnover(*src), _path(root, "dm", "account_balance_turnover")))))
+
+
+def delete_duplicates(spark: SparkSession, root: str, table: str = "client",
+                      keys: tuple[str, ...] = ("client_rk", "effective_from_date")) -> Run:
+    """Keep one row per key of ``dm.<table>``; the deleted rows are stored in
+    ``dm.<table>_deleted``. Fails if a key is still repeated in the stored table."""
+    run, path = Run(spark, root, f"{table}_duplicates"), _path(root, "dm", table)
+
+    def step():
+        rows = spark.read.parquet(path)
+        kept, deleted = quality.dedup_split(rows, keys)
+        gone, n = _reload(spark, deleted, f"{path}_deleted"), rows.count()
+        left = _reload(spark, kept, path)
+        check_loaded(n - gone, left, f"dm.{table}")
+        still = quality.duplicate_key_count(spark.read.parquet(path), keys).first()[0]
+        if still:
+            raise RuntimeError(f"dm.{table}: {still} keys are still repeated")
+        return n, left
+
+    return _audited(run, lambda: run.table(f"dm.{table}", f"dm.{table}", "delete_duplicates", step))
+
+
+# ---------------------------------------------------------------- D9: report exchange
+
+def export_report(spark: SparkSession, root: str, path: str, single_file: bool = False) -> Run:
+    """The stored report as a sorted CSV; the file's rows must equal the table's."""
+    run = Run(spark, root, "report_export")
+
+    def step():
+        rows = spark.read.parquet(_path(root, "dm", "dm_f101_round_f")).select(*marts.F101_COLS)
+        n = report.export_report(rows, path, single_file)
+        loaded = ingest.file_data_rows(spark, path)
+        check_loaded(n, loaded, path)
+        return n, loaded
+
+    return _audited(run, lambda: run.table("csv:" + path, "dm.dm_f101_round_f", "export", step))
+
+
+def import_report(spark: SparkSession, root: str, path: str, table: str = "dm_f101_round_f_v2") -> Run:
+    """A report CSV into a second table with the first one's schema: replaced as
+    a whole, and its stored rows must equal the file's. A failure is audited."""
+    run = Run(spark, root, "report_import")
+
+    def step():
+        schema = spark.read.parquet(_path(root, "dm", "dm_f101_round_f")).select(*marts.F101_COLS).schema
+        rows = report.import_report(spark, path, schema)
+        require_rows(rows, path)
+        n = ingest.file_data_rows(spark, path)
+        loaded = _reload(spark, rows, _path(root, "dm", table))
+        check_loaded(n, loaded, f"dm.{table}")
+        return n, loaded
+
+    return _audited(run, lambda: run.table(f"dm.{table}", f"csv:{path}", "full_reload", step))
 
 
 # ---------------------------------------------------------------- D3-D8: the month's marts
@@ -186,6 +316,7 @@ def read_partition(spark: SparkSession, path: str, col: str, value) -> DataFrame
         return spark.read.option("basePath", path).parquet(part)
     return spark.read.parquet(path).where(F.lit(False))
 
+
 def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run:
     """Seed balance, turnover and balance for every day of the month before
     ``report_date``, then its form-101 report; each stored, each audited.

@@ -26,7 +26,7 @@ from ledgerline.functions.dates import OPEN_END, as_date, overlaps, prev_month_b
 from ledgerline.functions.money import MONEY, money, to_rub, zero
 from ledgerline.functions.rules import is_passive, is_rub
 from ledgerline.operators.asof import (
-    asof_lookup, asof_lookup_by_row, broadcast_if_small, expand_to_days, versions_in,
+    asof_lookup, asof_lookup_by_row, expand_to_days, versions_in,
     versions_on, within,
 )
 from ledgerline.operators.running import island_running_sum
@@ -85,10 +85,9 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     else:
         t = asof_lookup_by_row(t, acc, {"account_rk": "account_rk"}, "on_date",
                                ["on_date", "account_rk"], ["currency_rk"])
-    # Rate per (currency, day): currencies × days, broadcast under a checked bound.
+    # Rate per (currency, day): currencies × days.
     day_rates = expand_to_days(rates, ["currency_rk"], lo, hi, ["reduced_cource"])
-    day_rates = broadcast_if_small(day_rates.withColumnRenamed("currency_rk", "_cur")
-                                            .withColumnRenamed("on_date", "_day"))
+    day_rates = day_rates.withColumnRenamed("currency_rk", "_cur").withColumnRenamed("on_date", "_day")
     t = t.join(day_rates, (t["currency_rk"] == day_rates["_cur"]) & (t["on_date"] == day_rates["_day"]), "left")
     return t.select(
         "on_date", "account_rk", "credit_amount",
@@ -174,7 +173,7 @@ def report_accounts(accounts: DataFrame, ledgers: DataFrame, lo, hi) -> DataFram
                      F.trim("char_type").alias("characteristic"),
                      F.trim("currency_code").alias("currency_code"))
     chapters = versions_on(ledgers, hi, ["ledger_account"], ["chapter"], "start_date", "end_date")
-    chapters = broadcast_if_small(chapters.select(F.col("ledger_account").cast("string").alias("_ledger"), "chapter"))
+    chapters = chapters.select(F.col("ledger_account").cast("string").alias("_ledger"), "chapter")
     acc = acc.join(chapters, acc["ledger_account"] == chapters["_ledger"], "left")
     return (acc.where(F.col("ledger_account").isNotNull() & (F.length("ledger_account") == 5)
                       & F.col("characteristic").isNotNull())

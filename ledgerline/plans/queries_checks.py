@@ -261,11 +261,12 @@ LEFT JOIN v_product AS sold ON sold.product_rk = v_deal.product_rk
 
 @query("loan_holiday_info", with_views(f"""
 SELECT deal_rk, v_deal.effective_from_date AS effective_from_date, coalesce(pause.effective_to_date, v_deal.effective_to_date) AS effective_to_date,
-       client_rk, v_deal.product_rk AS product_rk, product_name, deal_type_cd, deal_sum, loan_holiday_type_cd
+       agreement_rk, account_rk, client_rk, department_rk, v_deal.product_rk AS product_rk, product_name, deal_type_cd, deal_start_date,
+       deal_name, deal_num AS deal_number, deal_sum, COLUMNS('loan_holiday_.*')
 {_DEALS}""", "v_deal", "v_holiday", "v_product"))
 def q_loan_holiday_info(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
-    return task2.loan_holiday_info(fx.v_deal, fx.v_holiday, fx.v_product, fill_missing=False)
+    return task2.loan_holiday_info(fx.v_deal, fx.v_holiday, fx.v_product)
 
 
 @query("join_row_count", with_views(f"SELECT count(*) AS rows_count {_DEALS}", "v_deal", "v_holiday", "v_product"))
@@ -274,6 +275,14 @@ def q_join_row_count(spark, sf_dir):
     return task2.loan_holiday_rows_read(fx.v_deal, fx.v_holiday, fx.v_product)
 
 
+@query("balance_turnover_rows_read", with_views("""
+SELECT count(*) AS rows_count FROM v_chain JOIN v_acct USING (account_rk) LEFT JOIN v_dict_currency USING (currency_cd)
+WHERE effective_date IS NOT NULL""", "v_acct", "v_chain", "v_dict_currency"))
+def q_balance_turnover_rows_read(spark, sf_dir):
+    fx = fixtures(spark, sf_dir)
+    return task2.balance_turnover_rows_read(fx.v_acct, fx.v_chain, fx.v_dict_currency)
+
+
 @query("account_balance_turnover", with_views("""
 SELECT account_rk, coalesce(currency_name, '-1') AS currency_name, department_rk, effective_date, account_in_sum, account_out_sum
 FROM v_chain JOIN v_acct USING (account_rk) LEFT JOIN v_dict_currency USING (currency_cd)

@@ -5,31 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.asof import broadcast_if_small
-
-# Fixed value: loan_holiday_info columns in table order, with their sources
-# (several sources = first non-NULL wins).
+# Fixed value: loan_holiday_info columns in table order, with their types and
+# sources (several sources = first non-NULL wins).
 LOAN_HOLIDAY_COLUMNS = (
-    ("deal_rk", ("d.deal_rk",)),
-    ("effective_from_date", ("lh.effective_from_date", "d.effective_from_date")),
-    ("effective_to_date", ("lh.effective_to_date", "d.effective_to_date")),
-    ("agreement_rk", ("d.agreement_rk",)),
-    ("account_rk", ("d.account_rk",)),
-    ("client_rk", ("d.client_rk",)),
-    ("department_rk", ("d.department_rk",)),
-    ("product_rk", ("d.product_rk",)),
-    ("product_name", ("p.product_name",)),
-    ("deal_type_cd", ("d.deal_type_cd",)),
-    ("deal_start_date", ("d.deal_start_date",)),
-    ("deal_name", ("d.deal_name",)),
-    ("deal_number", ("d.deal_num",)),
-    ("deal_sum", ("d.deal_sum",)),
-    ("loan_holiday_type_cd", ("lh.loan_holiday_type_cd",)),
-    ("loan_holiday_start_date", ("lh.loan_holiday_start_date",)),
-    ("loan_holiday_finish_date", ("lh.loan_holiday_finish_date",)),
-    ("loan_holiday_fact_finish_date", ("lh.loan_holiday_fact_finish_date",)),
-    ("loan_holiday_finish_flg", ("lh.loan_holiday_finish_flg",)),
-    ("loan_holiday_last_possible_date", ("lh.loan_holiday_last_possible_date",)),
+    ("deal_rk", "bigint", ("d.deal_rk",)),
+    ("effective_from_date", "date", ("lh.effective_from_date", "d.effective_from_date")),
+    ("effective_to_date", "date", ("lh.effective_to_date", "d.effective_to_date")),
+    ("agreement_rk", "bigint", ("d.agreement_rk",)),
+    ("account_rk", "bigint", ("d.account_rk",)),
+    ("client_rk", "bigint", ("d.client_rk",)),
+    ("department_rk", "bigint", ("d.department_rk",)),
+    ("product_rk", "bigint", ("d.product_rk",)),
+    ("product_name", "string", ("p.product_name",)),
+    ("deal_type_cd", "string", ("d.deal_type_cd",)),
+    ("deal_start_date", "date", ("d.deal_start_date",)),
+    ("deal_name", "string", ("d.deal_name",)),
+    ("deal_number", "string", ("d.deal_num",)),
+    ("deal_sum", "decimal(23,8)", ("d.deal_sum",)),
+    ("loan_holiday_type_cd", "string", ("lh.loan_holiday_type_cd",)),
+    ("loan_holiday_start_date", "date", ("lh.loan_holiday_start_date",)),
+    ("loan_holiday_finish_date", "date", ("lh.loan_holiday_finish_date",)),
+    ("loan_holiday_fact_finish_date", "date", ("lh.loan_holiday_fact_finish_date",)),
+    ("loan_holiday_finish_flg", "boolean", ("lh.loan_holiday_finish_flg",)),
+    ("loan_holiday_last_possible_date", "date", ("lh.loan_holiday_last_possible_date",)),
 )
 
 
@@ -39,11 +37,11 @@ def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFram
     shared boundary day matches two product versions and appears twice).
 
     Deal and holiday are both large and meet in a sort-merge join on the deal
-    key. Product is a dimension: broadcast under a checked row bound, else a
-    shuffle join on product key that AQE splits when one product is hot.
+    key. Product is a dimension: the planner broadcasts it while it is below
+    its threshold, else a shuffle join on product key that AQE splits when one
+    product is hot.
     """
-    d, lh = deal.alias("d"), holiday.alias("lh")
-    p = broadcast_if_small(product).alias("p")
+    d, lh, p = deal.alias("d"), holiday.alias("lh"), product.alias("p")
     x = d.join(lh, (F.col("lh.deal_rk") == F.col("d.deal_rk"))
                & (F.col("lh.effective_from_date") == F.col("d.effective_from_date")), "left")
     return x.join(p, (F.col("p.product_rk") == F.col("d.product_rk"))
@@ -51,20 +49,15 @@ def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFram
                                                           F.col("p.effective_to_date")), "left")
 
 
-def loan_holiday_info(deal: DataFrame, holiday: DataFrame, product: DataFrame,
-                      fill_missing: bool = True) -> DataFrame:
-    """The 20-column mart. Source columns absent from the inputs become typed
-    NULLs (``fill_missing``) or are left out of the result."""
+def loan_holiday_info(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
+    """The 20-column mart, each column in its declared type; a source column
+    that the inputs lack is a NULL of that type."""
     have = {"d": set(deal.columns), "lh": set(holiday.columns), "p": set(product.columns)}
-    x = _joined(deal, holiday, product)
     out = []
-    for name, sources in LOAN_HOLIDAY_COLUMNS:
+    for name, dtype, sources in LOAN_HOLIDAY_COLUMNS:
         present = [F.col(r) for r in sources if r.split(".")[1] in have[r.split(".")[0]]]
-        if present:
-            out.append((F.coalesce(*present) if len(present) > 1 else present[0]).alias(name))
-        elif fill_missing:
-            out.append(F.lit(None).cast("string").alias(name))
-    return x.select(*out)
+        out.append(F.coalesce(*present, F.lit(None)).cast(dtype).alias(name))
+    return _joined(deal, holiday, product).select(*out)
 
 
 def loan_holiday_rows_read(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
@@ -72,22 +65,30 @@ def loan_holiday_rows_read(deal: DataFrame, holiday: DataFrame, product: DataFra
     return _joined(deal, holiday, product).agg(F.count(F.lit(1)).alias("rows_count"))
 
 
-def account_balance_turnover(account: DataFrame, balance: DataFrame, dict_currency: DataFrame) -> DataFrame:
-    """account ⋈ balance ⟕ currency names, missing name → '-1'.
+def _balances(account: DataFrame, balance: DataFrame, dict_currency: DataFrame) -> DataFrame:
+    """account ⋈ balance ⟕ currency names.
 
-    The reference's left join keeps only rows with a balance date, so it is an
-    inner join; the account dimension (one row per account) is then the side
-    to broadcast, under the checked bound, and the balance rows stream through
-    without a shuffle, whatever share of them one account holds.
+    The left join keeps only rows with a balance date, so it is an inner join;
+    where the account dimension is small it is broadcast by the planner and the
+    balance rows stream through without a shuffle, whatever share one account holds.
     """
-    a, ab = broadcast_if_small(account).alias("a"), balance.alias("ab")
-    dc = broadcast_if_small(dict_currency).alias("dc")
-    x = (ab.join(a, F.col("ab.account_rk") == F.col("a.account_rk"), "inner")
-           .join(dc, F.col("dc.currency_cd") == F.col("a.currency_cd"), "left")
-           .where(F.col("ab.effective_date").isNotNull()))
-    return x.select(F.col("a.account_rk").alias("account_rk"),
-                    F.coalesce(F.col("dc.currency_name"), F.lit("-1")).alias("currency_name"),
-                    F.col("a.department_rk").alias("department_rk"),
-                    F.col("ab.effective_date").alias("effective_date"),
-                    F.col("ab.account_in_sum").alias("account_in_sum"),
-                    F.col("ab.account_out_sum").alias("account_out_sum"))
+    a, ab, dc = account.alias("a"), balance.alias("ab"), dict_currency.alias("dc")
+    return (ab.join(a, F.col("ab.account_rk") == F.col("a.account_rk"), "inner")
+              .join(dc, F.col("dc.currency_cd") == F.col("a.currency_cd"), "left")
+              .where(F.col("ab.effective_date").isNotNull()))
+
+
+def account_balance_turnover(account: DataFrame, balance: DataFrame, dict_currency: DataFrame) -> DataFrame:
+    """The mart's rows; a missing currency name is '-1'."""
+    return _balances(account, balance, dict_currency).select(
+        F.col("a.account_rk").alias("account_rk"),
+        F.coalesce(F.col("dc.currency_name"), F.lit("-1")).alias("currency_name"),
+        F.col("a.department_rk").alias("department_rk"),
+        F.col("ab.effective_date").alias("effective_date"),
+        F.col("ab.account_in_sum").alias("account_in_sum"),
+        F.col("ab.account_out_sum").alias("account_out_sum"))
+
+
+def balance_turnover_rows_read(account: DataFrame, balance: DataFrame, dict_currency: DataFrame) -> DataFrame:
+    """Row count of the mart's join (the job's ``rows_read``)."""
+    return _balances(account, balance, dict_currency).agg(F.count(F.lit(1)).alias("rows_count"))

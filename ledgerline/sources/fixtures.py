@@ -38,7 +38,8 @@ JOIN (SELECT 0 AS m, 1 AS ver, DATE '2023-12-01' AS data_actual_date, DATE '2024
       UNION ALL SELECT 1, 1, DATE '2023-12-01', CAST(NULL AS DATE)
       UNION ALL SELECT 2, 1, DATE '2023-12-01', DATE '2024-01-31'
       UNION ALL SELECT 2, 2, DATE '2024-01-10', CAST(NULL AS DATE)
-      UNION ALL SELECT 3, 1, DATE '2024-01-05', DATE '2024-01-25') v
+      UNION ALL SELECT 3, 1, DATE '2024-01-05', DATE '2024-01-25'
+      UNION ALL SELECT 3, 2, DATE '2024-01-28', DATE '2024-01-12') v
   ON c.c_custkey % 4 = v.m
 WHERE c.c_custkey % 10 <> 9""",
     "v_rate": """
@@ -47,7 +48,11 @@ SELECT DATE '2023-01-01' AS data_actual_date, DATE '2024-01-10' AS data_actual_e
 FROM nation WHERE n_nationkey BETWEEN 2 AND 20
 UNION ALL
 SELECT DATE '2024-01-11', CAST(NULL AS DATE), n_nationkey, CAST(60 + n_nationkey * 0.41 AS DECIMAL(23,8))
-FROM nation WHERE n_nationkey BETWEEN 2 AND 20""",
+FROM nation WHERE n_nationkey BETWEEN 2 AND 20
+UNION ALL
+SELECT DATE '2023-01-01', CAST(NULL AS DATE), n_nationkey, CAST(2500000.5 + n_nationkey AS DECIMAL(23,8)) FROM nation WHERE n_nationkey = 21
+UNION ALL
+SELECT DATE '2024-01-29', DATE '2024-01-05', n_nationkey, CAST(7 AS DECIMAL(23,8)) FROM nation WHERE n_nationkey BETWEEN 2 AND 5""",
     "v_ledger": """
 SELECT 30100 + n_nationkey AS ledger_account, CASE WHEN n_nationkey < 4 THEN 'А' ELSE 'Б' END AS chapter,
        DATE '2008-01-01' AS start_date, CASE WHEN n_nationkey = 0 THEN CAST(NULL AS DATE) ELSE DATE '2050-12-31' END AS end_date
@@ -65,12 +70,17 @@ FROM lineitem""",
     "v_deal": """
 SELECT o_orderkey AS deal_rk, CAST(o_orderdate AS DATE) AS effective_from_date, DATE '2999-12-31' AS effective_to_date,
        o_custkey AS client_rk, o_custkey AS product_rk, o_orderstatus AS deal_type_cd,
-       CAST(o_totalprice AS DECIMAL(23,8)) AS deal_sum
+       CAST(o_totalprice AS DECIMAL(23,8)) AS deal_sum, o_orderkey * 10 AS agreement_rk, o_orderkey + o_custkey AS account_rk,
+       o_custkey % 9 AS department_rk, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS deal_start_date,
+       concat('deal of ', CAST(o_custkey AS STRING)) AS deal_name, CAST(o_orderkey AS STRING) AS deal_num
 FROM orders""",
     "v_holiday": """
 SELECT o_orderkey AS deal_rk,
        CASE WHEN o_orderkey % 5 = 0 THEN DATE '1990-01-01' ELSE CAST(o_orderdate AS DATE) END AS effective_from_date,
-       DATE '2998-12-31' AS effective_to_date, substring(o_orderpriority, 1, 1) AS loan_holiday_type_cd
+       DATE '2998-12-31' AS effective_to_date, substring(o_orderpriority, 1, 1) AS loan_holiday_type_cd,
+       CAST(o_orderdate AS DATE) AS loan_holiday_start_date, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE DATE '2000-01-01' END AS loan_holiday_finish_date,
+       CASE WHEN o_orderkey % 4 = 0 THEN DATE '1999-12-01' END AS loan_holiday_fact_finish_date, o_orderkey % 4 = 0 AS loan_holiday_finish_flg,
+       DATE '2001-06-30' AS loan_holiday_last_possible_date
 FROM orders WHERE o_orderkey % 2 = 0""",
     "v_product": """
 SELECT p_partkey AS product_rk, concat(p_name, ' old') AS product_name, DATE '1990-01-01' AS effective_from_date, DATE '1998-06-30' AS effective_to_date
@@ -179,11 +189,11 @@ class Fixtures:
             raise AttributeError(name) from exc
 
 
-_CACHE: dict[tuple[int, str], Fixtures] = {}
+_CACHE: dict[tuple[str, str], Fixtures] = {}
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (f"{spark.sparkContext.applicationId} {spark.sparkContext.startTime}", sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = Fixtures(spark, sf_dir)
     return _CACHE[key]

@@ -1,34 +1,44 @@
 """Delimited-file ingest: all-string scan, typed projection, date gate, keep-last.
 
-One lazy plan per file. Row count and bad-date count come from one aggregate
-over a persisted typed frame, so the file is scanned once for checks and
-once more only if the persisted blocks are lost.
+One scan per file: the typed rows are written once to a staging folder, and
+the row, bad-date, bad-number and contract counts are observed on the way. The
+table's new content is read from that folder, so nothing is cached and a lost
+executor rereads the staged rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructType
 
 from ledgerline.functions.dates import parse_date_multi
 from ledgerline.functions.money import blank_to_null
-from ledgerline.operators.write import upsert_by_key
+from ledgerline.operators.write import drop_folder, upsert_by_key, write_table
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.specs import TRUNCATE_INSERT, UPSERT, TableSpec, type_of
 
 ROW_ID = "_row_id"
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV read as all strings (no inference), header names lower-cased."""
+    """Header CSV read as all strings (no inference), header names trimmed and lower-cased."""
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
                .option("inferSchema", False).csv(path))
-    return df.toDF(*[c.lower() for c in df.columns])
+    return df.toDF(*[c.strip().lower() for c in df.columns])
+
+
+def split_lines(df: DataFrame, line: str, header: str, sep: str = ";") -> DataFrame:
+    """Lines of delimited text in a column → string columns named by ``header``
+    (names trimmed, lower-cased), like ``read_delimited`` of a file."""
+    names = [c.strip().lower() for c in header.split(sep)]
+    schema = ", ".join(f"`{c}` string" for c in names)
+    return df.select(F.from_csv(line, schema, {"sep": sep}).alias("_c")).select(*[F.col("_c")[c].alias(c) for c in names])
 
 
 @contextmanager
@@ -45,16 +55,34 @@ def legacy_charsets(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def stage_cp1251(spark: SparkSession, path: str, staging_path: str, sep: str = ",") -> int:
-    """Windows-1251 extract → staging Parquet (columns by header name, all
-    strings). Returns the staged row count."""
-    from ledgerline.operators.write import write_table
+def stage_cp1251(spark: SparkSession, path: str, staging_path: str, sep: str = ",",
+                 like: StructType | None = None) -> int:
+    """Windows-1251 extract → staging Parquet, columns by header name. Returns
+    the staged row count.
 
+    ``like``: the detail table's schema. Staging then has its columns and types
+    (the file's other columns are left out), and text that does not fit its
+    type fails the load. Without it all columns are strings.
+    """
     with legacy_charsets(spark):
-        write_table(read_delimited(spark, path, sep=sep, encoding="windows-1251"), staging_path)
+        raw = read_delimited(spark, path, sep=sep, encoding="windows-1251")
+        if like is not None:
+            require_columns(raw, [f.name.lower() for f in like], path)
+            raw = raw.select(*[strict_cast(f.name.lower(), f.dataType).alias(f.name) for f in like])
+        write_table(raw, staging_path)
     return spark.read.parquet(staging_path).count()
 
 
+def strict_cast(name: str, dtype) -> Column:
+    """A text column in the given type: blank → NULL, text that does not fit raises an error."""
+    text = blank_to_null(name)
+    if isinstance(dtype, StringType):
+        return text
+    value = parse_date_multi(name) if isinstance(dtype, DateType) else text.try_cast(dtype)
+    wrong = F.raise_error(F.concat(F.lit(f"{name}: not a {dtype.simpleString()}: "), text))
+    return F.when(text.isNotNull() & value.isNull(), wrong.cast(dtype)).otherwise(value)
+
+
 def read_with_schema(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
     """Header CSV read with a given schema; a cell that does not fit becomes NULL."""
     return (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
@@ -72,7 +100,7 @@ def file_data_rows(spark: SparkSession, path: str) -> int:
 def require_columns(df: DataFrame, columns: Sequence[str], source: str) -> None:
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing columns in {source}: {', '.join(missing)}")
+        raise ValueError(f"{source} lacks {len(missing)} columns: {', '.join(missing)}")
 
 
 def cast_tag(c: Column | str, tag: str) -> Column:
@@ -122,44 +150,81 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_v." + c).alias(c) for c in cols]).select(*df.columns)
 
 
+class RejectedLoad(ValueError):
+    """A file that breaks the table's contract; carries what was counted."""
+
+    def __init__(self, message: str, counts: Mapping[str, int]):
+        super().__init__(message)
+        self.rows_read, self.bad_date_rows, self.bad_number_rows = counts["n"], counts["dates"], counts["numbers"]
+
+
 @dataclass
 class LoadResult:
     table: DataFrame          # new content of the target table
     rows_read: int
     bad_date_rows: int
-    parsed: DataFrame | None = None   # the persisted typed file rows
+    bad_number_rows: int = 0
+    source: DataFrame | None = None   # the file's rows, one per key in an upsert
+    staging: str | None = None        # the folder they were staged in
 
     def release(self) -> None:
-        """Drop the persisted file rows once ``table`` has been written."""
-        if self.parsed is not None:
-            self.parsed.unpersist()
+        """Drop the staged file rows once ``table`` has been written."""
+        if self.staging is not None:
+            drop_folder(self.table.sparkSession, self.staging)
+
+
+def bad_number_flag(spec: TableSpec) -> Column:
+    """True when some number column has non-blank text that its type does not take."""
+    cond = F.lit(False)
+    for c, tag in spec.columns:
+        if tag not in ("date", "string"):
+            cond = cond | (blank_to_null(c).isNotNull() & cast_tag(c, tag).isNull())
+    return cond
+
+
+def contract_counts(spec: TableSpec) -> dict[str, Column]:
+    """Per contract of the table, how many rows of the typed frame break it."""
+    broken = {f"null {c}": F.col(c).isNull() for c in spec.required}
+    broken |= {f"{c} over {n} characters": F.length(c) > n for c, n in spec.max_lengths.items()}
+    return {what: F.count_if(cond) for what, cond in broken.items()}
 
 
 def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFrame | None = None,
                sep: str = ";") -> LoadResult:
-    """Scan → column check → typed cast → bad-date gate → keep-last → upsert/replace.
+    """Scan → column check → typed cast → staging → contract gate → keep-last → upsert/replace.
 
-    Returns the target's new content (write it with ``write_table``). Raises on
-    missing columns and on any bad date, like the reference load.
+    Returns the target's new content (write it with ``write_table``). Raises
+    ``ValueError`` on missing columns, and ``RejectedLoad`` on any bad date, NULL
+    in a required column or text beyond its declared length. A number that does
+    not parse becomes NULL and is counted. The later row of a file wins; in a
+    folder, files are in name order.
     """
     raw = read_delimited(spark, path, sep=sep)
     require_columns(raw, spec.column_names, path)
     raw = raw.select(*spec.column_names).withColumn(
-        ROW_ID, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))  # the order of a folder's files is by name
+        ROW_ID, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
     parsed = raw.select(ROW_ID, *[cast_tag(c, t).alias(c) for c, t in spec.columns],
-                        bad_date_flag(raw, spec.date_columns).alias("_bad")).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_bad").cast("long")).alias("bad")).first()
-    rows_read, bad = int(stats["n"]), int(stats["bad"] or 0)
-    if bad:
-        parsed.unpersist()
-        raise ValueError(f"Found {bad} rows with invalid date values in {path}")
-    final = parsed.drop("_bad")
+                        bad_date_flag(raw, spec.date_columns).alias("_bad_date"), bad_number_flag(spec).alias("_bad_number"))
+    contracts = contract_counts(spec)
+    seen = Observation()
+    parsed = parsed.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("_bad_date").alias("dates"),
+                            F.count_if("_bad_number").alias("numbers"),
+                            *[c.alias(f"broken{i}") for i, c in enumerate(contracts.values())])
+    staging = f"{checkpoint_dir(spark)}/load-{spec.name}-{uuid.uuid4().hex}"
+    parsed.write.parquet(staging)
+    counts = {k: int(v or 0) for k, v in seen.get.items()}
+    broken = {what: counts[f"broken{i}"] for i, what in enumerate(contracts) if counts[f"broken{i}"]}
+    if counts["dates"] or broken:
+        drop_folder(spark, staging)
+        said = [f"{counts['dates']} rows with invalid date text"] if counts["dates"] else []
+        said += [f"{n} rows with {what}" for what, n in broken.items()]
+        raise RejectedLoad(f"{path}: {'; '.join(said)}", counts)
+    rows = spark.read.schema(parsed.schema).parquet(staging).drop("_bad_date", "_bad_number")
     if spec.mode == UPSERT:
-        final = keep_last(final, spec.keys, ROW_ID)
-        final = final.drop(ROW_ID)
-        table = upsert_by_key(target, final, spec.keys) if target is not None else final
+        source = keep_last(rows, spec.keys, ROW_ID).drop(ROW_ID)
+        table = upsert_by_key(target, source, spec.keys) if target is not None else source
     elif spec.mode == TRUNCATE_INSERT:
-        table = final.drop(ROW_ID)
+        source = table = rows.drop(ROW_ID)
     else:
-        raise ValueError(f"Unsupported load mode: {spec.mode}")
-    return LoadResult(table, rows_read, bad, parsed)
+        raise ValueError(f"{spec.name}: no load mode {spec.mode!r}")
+    return LoadResult(table, counts["n"], counts["dates"], counts["numbers"], source, staging)

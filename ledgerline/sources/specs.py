@@ -29,6 +29,8 @@ class TableSpec:
     mode: str
     keys: tuple[str, ...]
     columns: tuple[tuple[str, str], ...]   # (column, type tag), in file order
+    not_null: tuple[str, ...] = ()         # required columns besides the key
+    partition_by: str | None = None        # date column that the stored table is partitioned by
 
     @property
     def column_names(self) -> list[str]:
@@ -38,6 +40,14 @@ class TableSpec:
     def date_columns(self) -> list[str]:
         return [c for c, t in self.columns if t == "date"]
 
+    @property
+    def required(self) -> tuple[str, ...]:
+        return self.keys + self.not_null
+
+    @property
+    def max_lengths(self) -> dict[str, int]:
+        return MAX_LENGTHS.get(self.name, {})
+
     def schema(self) -> StructType:
         return StructType([StructField(c, type_of(t), True) for c, t in self.columns])
 
@@ -46,7 +56,7 @@ def type_of(tag: str) -> DataType:
     try:
         return TAG_TYPES[tag]
     except KeyError:
-        raise ValueError(f"Unsupported column type: {tag}") from None
+        raise ValueError(f"no type for tag {tag!r}") from None
 
 
 # The six detail tables of the load, their modes, keys and columns.
@@ -54,11 +64,12 @@ TABLES: dict[str, TableSpec] = {
     "ft_balance_f": TableSpec(
         "ft_balance_f", "ds.ft_balance_f", UPSERT, ("on_date", "account_rk"),
         (("on_date", "date"), ("account_rk", "decimal20"), ("currency_rk", "decimal20"),
-         ("balance_out", "decimal23_8"))),
+         ("balance_out", "decimal23_8")), partition_by="on_date"),
     "ft_posting_f": TableSpec(
         "ft_posting_f", "ds.ft_posting_f", TRUNCATE_INSERT, (),
         (("oper_date", "date"), ("credit_account_rk", "decimal20"), ("debet_account_rk", "decimal20"),
-         ("credit_amount", "decimal23_8"), ("debet_amount", "decimal23_8"))),
+         ("credit_amount", "decimal23_8"), ("debet_amount", "decimal23_8")), not_null=("oper_date",),
+        partition_by="oper_date"),
     "md_account_d": TableSpec(
         "md_account_d", "ds.md_account_d", UPSERT, ("data_actual_date", "account_rk"),
         (("data_actual_date", "date"), ("data_actual_end_date", "date"), ("account_rk", "decimal20"),

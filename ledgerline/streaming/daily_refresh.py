@@ -4,9 +4,11 @@ The reference refreshes the turnover mart one day at a time (delete the day,
 insert its rows). As a stream: new posting files arriving in a folder are
 landed per micro-batch, and the turnover of every day touched by the batch is
 recomputed from all postings of that day and replaces that day's partition.
+The landing table is partitioned by day, then batch: a refresh reads the
+touched days only.
 
-Both writes are idempotent (the landing folder is keyed by batch id, the mart
-write replaces whole day partitions), so a batch replayed after a failure
+Both writes are idempotent (a batch overwrites its own landing folders, the
+mart write replaces whole day partitions), so a batch replayed after a failure
 gives the same tables; the checkpoint records which files were consumed.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.write import refresh_partitions
+from ledgerline.operators.write import refresh_partitions, spread
 from ledgerline.plans.marts import account_turnover
 
 
@@ -28,15 +30,16 @@ def refresh_days(spark: SparkSession, posting_table: str, turnover_table: str, a
         return
     postings = spark.read.parquet(posting_table).where(F.col("oper_date").isin(days))
     t = account_turnover(postings, accounts, rates, min(days), max(days)).where(F.col("on_date").isin(days))
-    refresh_partitions(t.repartition("on_date"), turnover_table, "on_date", days)
+    refresh_partitions(t, turnover_table, "on_date", days)
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, posting_table: str,
                 turnover_table: str, accounts: DataFrame, rates: DataFrame) -> None:
-    """One micro-batch: land it under its batch id (a replay overwrites the same
-    folder), then refresh the days it touched. Safe to run again."""
-    batch.write.mode("overwrite").parquet(f"{posting_table}/batch_id={batch_id}")
-    # distinct days of one batch: a handful of values
+    """One micro-batch: land it by (day, batch id), where a replay overwrites the
+    same folders, then refresh the days it touched. Safe to run again."""
+    (spread(batch.withColumn("batch_id", F.lit(batch_id)), "oper_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("oper_date", "batch_id").parquet(posting_table))
+    # distinct days of one batch: at most one value per calendar day
     days = sorted(r[0] for r in batch.select("oper_date").distinct().collect() if r[0] is not None)
     refresh_days(spark, posting_table, turnover_table, accounts, rates, days)
 

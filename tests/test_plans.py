@@ -4,10 +4,7 @@ import datetime as dt
 import re
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from ledgerline.operators import quality
-from ledgerline.operators.asof import broadcast_if_small
 from ledgerline.plans import marts
 from ledgerline.sources.ingest import keep_last
 
@@ -61,35 +58,47 @@ def test_dedup_and_keep_last_use_aggregates_not_windows(spark):
         assert "partial_" in p
 
 
-def test_broadcast_only_under_the_checked_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(5).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in _plan(probe.join(broadcast_if_small(small, 100), F.col("k") == F.col("id")))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def _jobs_started(spark, group, build) -> int:
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        p = _plan(probe.join(broadcast_if_small(big, 100), F.col("k") == F.col("id")))
-        assert "BroadcastHashJoin" not in p
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_mart_starts_no_job(spark):
+    acc = spark.createDataFrame([(D(2024, 1, 1), None, 1, 5)],
+                                "data_actual_date date, data_actual_end_date date, account_rk long, currency_rk long")
+    rt = spark.createDataFrame([(D(2024, 1, 1), None, 5, Decimal(2))],
+                               "data_actual_date date, data_actual_end_date date, currency_rk long, "
+                               "reduced_cource decimal(23,8)")
+    post = _postings(spark)
+    assert _jobs_started(spark, "turnover", lambda: marts.account_turnover(post, acc, rt, D(2024, 1, 1), D(2024, 1, 31))) == 0
+    assert _jobs_started(spark, "one", lambda: post.count()) > 0   # the probe sees jobs
 
 
-def test_broadcast_bound_counts_bytes_too(spark):
-    from ledgerline.operators.asof import row_width
-    wide = spark.range(50).selectExpr("id", *[f"repeat('x', 10) AS s{i}" for i in range(20)])
-    assert row_width(wide) > 20 * 20
-    probe = spark.range(5).withColumnRenamed("id", "k")
+def test_no_mart_forces_a_broadcast(spark):
+    """With automatic broadcasts off nothing is broadcast: no hint overrides the planner."""
+    acc = spark.createDataFrame([(D(2024, 1, 1), None, 1, 5)],
+                                "data_actual_date date, data_actual_end_date date, account_rk long, currency_rk long")
+    rt = spark.createDataFrame([(D(2024, 1, 1), None, 5, Decimal(2))],
+                               "data_actual_date date, data_actual_end_date date, currency_rk long, "
+                               "reduced_cource decimal(23,8)")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = _plan(probe.join(broadcast_if_small(wide, max_rows=1000, max_bytes=10 * row_width(wide)),
-                             F.col("k") == F.col("id")))
-        assert "BroadcastHashJoin" not in p        # 50 rows > 10 rows' worth of bytes
+        p = _plan(marts.account_turnover(_postings(spark), acc, rt, D(2024, 1, 1), D(2024, 1, 31)))
+        assert "Broadcast" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_dedup_kept_is_one_exchange_without_a_join(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "k int, a int, b int")
+    kept, deleted = quality.dedup_split(df, ["k"])
+    p = _plan(kept)
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+    assert "Join" not in _plan(deleted)
 
 
 def test_chain_repair_is_one_shuffle_without_join(spark):
@@ -101,12 +110,15 @@ def test_chain_repair_is_one_shuffle_without_join(spark):
     assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
 
 
-def test_turnover_range_shuffles_the_facts_once_when_dimensions_are_small(spark):
+def test_turnover_range_shuffles_the_facts_once_when_dimensions_are_small(spark, tmp_path):
     acc = spark.createDataFrame([(D(2024, 1, 1), None, 1, 5)],
                                 "data_actual_date date, data_actual_end_date date, account_rk long, currency_rk long")
     rt = spark.createDataFrame([(D(2024, 1, 1), None, 5, Decimal(2))],
                                "data_actual_date date, data_actual_end_date date, currency_rk long, "
                                "reduced_cource decimal(23,8)")
+    for name, df in (("acc", acc), ("rt", rt)):   # stored tables have a size that the planner knows
+        df.write.parquet(str(tmp_path / name))
+    acc, rt = (spark.read.parquet(str(tmp_path / n)) for n in ("acc", "rt"))
     p = _plan(marts.account_turnover(_postings(spark), acc, rt, D(2024, 1, 1), D(2024, 1, 31)))
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     fact_side = [k for k in keys if "account_rk" in k]

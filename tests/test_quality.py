@@ -152,6 +152,14 @@ def test_asof_by_row_same_result_broadcast_or_shuffled(spark):
     dim = spark.createDataFrame(VERS, VS)
     facts = spark.createDataFrame([(k, D(2024, 1, 1) + dt.timedelta(days=i)) for k in (1, 2, 3) for i in range(14)],
                                   "fk int, d date")
-    small = asof_lookup_by_row(facts, dim, {"fk": "k"}, "d", ["fk", "d"], ["v"])
-    big = asof_lookup_by_row(facts, dim, {"fk": "k"}, "d", ["fk", "d"], ["v"], max_broadcast_rows=1)
-    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, big.collect()), key=str)
+    from pyspark.sql import functions as F
+    small = asof_lookup_by_row(facts, F.broadcast(dim), {"fk": "k"}, "d", ["fk", "d"], ["v"]).collect()
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        big = asof_lookup_by_row(facts, dim, {"fk": "k"}, "d", ["fk", "d"], ["v"]).collect()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert sorted(map(tuple, small), key=str) == sorted(map(tuple, big), key=str)
