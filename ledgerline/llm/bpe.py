@@ -33,6 +33,8 @@ from ledgerline.llm.common import bounded_batches, column, staged
 
 #: Words in a chunk; bounds what one task holds at a time. A longer text makes a longer chunk of its own.
 CHUNK_WORDS = 2_400_000
+#: zstandard level of what is stored and shuffled: texts as positions, word lists, their ids.
+LEVEL = 9
 #: White space as the vocabulary's patterns have it (Unicode White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: The vocabulary's own pattern (fixed value), and the same for lower-case text within Latin-1.
@@ -85,7 +87,7 @@ class WordBpe:
 
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers as compressed byte planes."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), LEVEL)
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -116,7 +118,7 @@ def chunked(spark: SparkSession, docs: DataFrame, path: str, buckets: int, most:
             own.setdefault(bucket_of(w, buckets), []).append(i)
         for b, at in own.items():
             at.sort(key=rank.__getitem__)  # growing numbers: their steps are small
-            out.append((chunk, b, [], zstandard.compress("\n".join([listed[i] for i in at]).encode("utf-8"), 3), pack(np.diff(rank[at], prepend=np.uint32(0)))))
+            out.append((chunk, b, [], zstandard.compress("\n".join([listed[i] for i in at]).encode("utf-8"), LEVEL), pack(np.diff(rank[at], prepend=np.uint32(0)))))
         return pd.DataFrame(out, columns=["chunk", "bucket", "ids", "data", "ranks"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,7 +153,7 @@ def encoded(words: DataFrame, path: str, buckets: int) -> DataFrame:
                 for w in listed:
                     if w not in known:
                         known[w] = " ".join(map(str, bpe.encode(w)))
-                out.append(zstandard.compress("\n".join([known[w] for w in listed]).encode(), 3))
+                out.append(zstandard.compress("\n".join([known[w] for w in listed]).encode(), LEVEL))
             yield batch.assign(data=out)
 
     rows = words.select("chunk", "bucket", "data", "ranks")
