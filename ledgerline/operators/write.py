@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import as_date
+from ledgerline.session import checkpoint_dir
 
 
 # ---------------------------------------------------------------- content of the new table
@@ -81,6 +82,15 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: later
+    steps read the files, where an eager checkpoint would compute it twice."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, partition_col: str) -> DataFrame:
     """Rows of a partition value together, in files of a good size: AQE splits
     a large value over several tasks and puts small ones together."""

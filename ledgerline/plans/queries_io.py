@@ -137,14 +137,15 @@ def q_refresh_by_period(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     # the stored mart holds December and a January that is out of date; January is replaced as a partition and
     # once more by its two period columns, which changes nothing
-    checkpoint_dir(spark)
-    jan = f101(fx, REPORT_DATE).checkpoint()
-    stale = jan.select(*[(F.col(c) * 2).cast(MONEY).alias(c) if c.endswith(("_rub", "_val", "_total")) else F.col(c)
-                         for c in jan.columns])
-    period = F.concat_ws("_", "from_date", "to_date")
     lo, hi = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+    both = write.stored(f101(fx, _PREV_REPORT).unionByName(f101(fx, REPORT_DATE)), "both-reports")
+    in_jan = (F.col("from_date") == F.lit(lo)) & (F.col("to_date") == F.lit(hi))
+    jan = both.where(in_jan)
+    old = both.select(*[F.when(in_jan, F.col(c) * 2).otherwise(F.col(c)).cast(MONEY).alias(c)
+                        if c.endswith(("_rub", "_val", "_total")) else F.col(c) for c in both.columns])
+    period = F.concat_ws("_", "from_date", "to_date")
     path = _scratch(spark, "refresh-by-period")
-    write.write_table(f101(fx, _PREV_REPORT).unionByName(stale).withColumn("period", period), path, ["period"])
+    write.write_table(old.withColumn("period", period), path, ["period"])
     write.refresh_partitions(jan.withColumn("period", period), path, "period", [f"{lo}_{hi}"])
     return write.refresh_by(spark.read.parquet(path).select(*jan.columns), jan, {"from_date": lo, "to_date": hi})
 
@@ -193,8 +194,7 @@ GROUP BY from_date, to_date, ledger_account, characteristic HAVING count(*) = 2
 @query("snapshot_diff", _patched_sql(_two_sides()))
 def q_snapshot_diff(spark, sf_dir):
     # the whole exchange over one computed report: sorted export, patched copy, typed import, diff
-    checkpoint_dir(spark)
-    src = f101(fixtures(spark, sf_dir)).checkpoint()
+    src = write.stored(f101(fixtures(spark, sf_dir)), "report")
     out, patched = _scratch(spark, "report-export"), _scratch(spark, "report-patched")
     report.export_report(src, out)
     report.modify_report_csv(spark, out, patched)

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from ledgerline.operators.quality import snapshot_diff
-from ledgerline.operators.write import check_loaded, export_csv, require_rows
-from ledgerline.session import checkpoint_dir
+from ledgerline.operators.write import check_loaded, export_csv, require_rows, stored
 from ledgerline.sources.ingest import file_data_rows, read_with_schema
 
 # Report key order of the export, and the two demo patches.
@@ -27,7 +26,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position")
 
     Sort (range-partitioned), number rows inside each sorted partition, add the
     row counts of all earlier partitions (a table with one row per partition,
-    broadcast). The sorted frame is checkpointed in the shared folder, so both
+    broadcast). The sorted frame is written once to the shared folder, so both
     passes see the same partitions and nothing stays cached.
     """
     # Remaining columns break ties, so the order is total (full copies are
@@ -35,8 +34,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], name: str = "position")
     tie = [c for c in df.columns if c not in order_cols]
     s = df.orderBy(*order_cols, *tie).select("*", F.spark_partition_id().alias("_pid"),
                                              F.monotonically_increasing_id().alias("_mid"))
-    checkpoint_dir(df.sparkSession)
-    s = s.checkpoint()
+    s = stored(s, "positions")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)

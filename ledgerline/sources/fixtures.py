@@ -192,6 +192,11 @@ class Fixtures:
 _CACHE: dict[tuple[str, str], Fixtures] = {}
 
 
+def forget_frames() -> None:
+    """Drop all views and the frames that queries share over them."""
+    _CACHE.clear()
+
+
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
     key = (f"{spark.sparkContext.applicationId} {spark.sparkContext.startTime}", sf_dir.rstrip("/"))
     if key not in _CACHE:
