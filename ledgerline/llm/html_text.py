@@ -23,19 +23,25 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import bounded_batches, column
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
-ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: An element that is not shown: the attribute ``hidden`` (its value apart), or a style that says so.
+QUOTED = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*')")
+HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
+UNSEEN = re.compile(r"(?<![\w-])style\s*=\s*[\"'][^\"']*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 # Elements of HTML by how their text counts.
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "select", "title", "head", "audio", "video"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "annotation", "canvas", "object", "select", "title", "head", "audio", "video"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
           "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+FORMULA = {"math", "semantics", "menclose", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle",
+           "msub", "msubsup", "msup", "mtext", "munder", "munderover"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: An opening tag ends an open element of its own kind (paragraphs: any block does).
 SELF_ENDING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CHROME = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
 #: Words in class, id or role that name page furniture.
-FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "gdpr", "notice",
+FURNITURE = {"ad", "ads", "adbox", "adsbygoogle", "adslot", "advert", "advertising", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "gdpr", "notice",
              "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "related", "recommended", "sidebar", "side",
-             "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "comment", "comments", "disqus", "reply",
+             "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "comment", "commentlist", "comments", "respond", "responses", "disqus", "reply",
              "replies", "toolbar", "pagination", "pager", "login", "signup", "search", "contentinfo", "complementary", "widget", "tags", "skip"}
 BODY = {"article", "main"}
 BODY_WORDS = {"article", "main", "content", "entry", "post", "story", "prose"}
@@ -69,12 +75,19 @@ def _words_of(attributes: str) -> set[str]:
     return out
 
 
+def _hidden(attributes: str) -> bool:
+    return bool(HIDDEN.search(QUOTED.sub("", attributes)) or UNSEEN.search(attributes))
+
+
 def _element(name: str, attributes: str, up: Element) -> Element:
     words = _words_of(attributes) if attributes.strip() else set()
-    body = up.body or name in BODY or bool(words & BODY_WORDS) and not words & FURNITURE
-    furniture = up.furniture or name in CHROME or name not in ("html", "body", "main", "article") and bool(words & FURNITURE)
-    if name == "header" and not up.body:  # the page's header; an article's own header holds its title
-        furniture = True
+    if up.body:  # the page has a header; an article's own header holds its title
+        words.discard("header")
+    elif name == "header":
+        words.add("header")
+    whole = name in ("html", "body")  # classes there speak of the page, not of a part of it
+    body = up.body or name in BODY or not whole and bool(words & BODY_WORDS) and not words & FURNITURE
+    furniture = up.furniture or name in CHROME or not whole and name not in BODY and bool(words & FURNITURE) or not whole and _hidden(attributes)
     return Element(name, up, furniture, body, up.depth + 1)
 
 
@@ -131,7 +144,12 @@ def blocks_of(page: str) -> list[Block]:
             links = 0 if closing else 1
         if name == "br":
             say(" ")
-        if name in INLINE or name == "br":
+        if name in INLINE or name in FORMULA or name in VOID and name != "hr":
+            continue
+        if name in RAW and name != "head":  # within a paragraph it does not end it
+            if not closing and not attributes.rstrip().endswith("/"):
+                stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                at = stop.end() if stop else len(page)
             continue
         end()
         if closing:
@@ -142,12 +160,7 @@ def blocks_of(page: str) -> list[Block]:
                 here = e.up
                 links = 0
             continue
-        if name in RAW and name != "head":
-            if not attributes.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else len(page)
-            continue
-        if name in VOID:
+        if name == "hr":
             continue
         if here.name == "p":
             here = here.up

@@ -1,8 +1,9 @@
 """PII: format-preserving Feistel pseudonyms with built-in functions only.
 
 Validated values are permuted within their format under a key: a card number
-becomes another number that passes the Luhn check, an address another
-address, a date another date. The permutation is the same everywhere, so
+becomes another number that passes the Luhn check, a bank account number
+(IBAN) another with right check digits, an address another address, a date
+another date. The permutation is the same everywhere, so
 equal values stay equal across documents and can be linked, and different
 values stay different.
 """
@@ -21,16 +22,20 @@ KEY = "ledgerline-pii-1"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,128}(?![A-Za-z0-9+/_-])",
+    "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![0-9])\+?1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])\+[1-9][0-9]{0,2}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9/-])",
+    "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 #: All kinds in one pattern; the look ahead spares most places most kinds.
-ANY = (f"(?=[A-Za-z0-9])(?:{PATTERNS['email']}|{PATTERNS['secret']})|(?=[0-9+])(?:"
-       + "|".join(f"(?:{PATTERNS[k]})" for k in ("phone", "ip", "date", "card")) + ")")
-#: Every match holds one of these characters; a text without them is not searched.
-HINT = "[0-9@=:]"
+ANY = (f"(?=[A-Za-z0-9])(?:{PATTERNS['email']}|{PATTERNS['secret']})|"
+       f"(?=[A-Z]{{2}})(?:{PATTERNS['access_key']}|{PATTERNS['iban']})|(?=[0-9+])(?:"
+       + "|".join(f"(?:{PATTERNS[k]})" for k in ("phone", "ip", "date", "ssn", "card")) + ")")
+#: Every match holds one of these; a text without them is not searched.
+HINT = "[0-9@=:]|A[KS]IA"
 #: What stands before a secret.
 NAMED = r"^([A-Za-z_]+\s{0,3}[=:]\s{0,3}[\"']?)"
 #: Date formats by the look of the value, and the days they range over (1900-01-01 to 2099-12-31).
@@ -38,6 +43,9 @@ DATES = {"-": "yyyy-MM-dd", ".": "dd.MM.yyyy", "/": "MM/dd/yyyy"}
 DAYS = 73_049
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 HEX = ("0123456789abcdef",)
+CAPITALS = (ALPHABETS[2] + ALPHABETS[0],)
+#: Social security numbers: areas 001-899 without 666, groups 01-99, serials 0001-9999.
+AREAS, GROUPS, SERIALS = 898, 99, 9_999
 
 
 def _draw(*parts: Column) -> Column:
@@ -95,6 +103,42 @@ def pseudonym_card(s: Column, key: str) -> Column:
     return F.concat(body, check.cast("string"))
 
 
+def _mod_97(s: Column) -> Column:
+    """The remainder by 97 of a text of digits and capitals, where A is 10 and Z is 35."""
+    def step(acc: Column, ch: Column) -> Column:
+        v = F.instr(F.lit(ALPHABETS[0] + ALPHABETS[2]), ch) - 1
+        return F.when(v < 10, acc * 10 + v).otherwise(acc * 100 + v) % 97
+    return F.aggregate(F.split(s, ""), F.lit(0), step)
+
+
+def iban_valid(s: Column) -> Column:
+    """The remainder fits, and there are 15 to 34 characters and check digits from 02 to 98, of which each number has one."""
+    bare = F.replace(s, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(4)))
+    return F.length(bare).between(15, 34) & F.substring(bare, 3, 2).between("02", "98") & (_mod_97(turned) == 1)
+
+
+def pseudonym_iban(s: Column, key: str) -> Column:
+    """The country stays, the account moves within its format, the check digits follow."""
+    country = F.substring(s, 1, 2)
+    account = permute_text(F.substr(s, F.lit(5), F.length(s)), key + "|iban")
+    check = 98 - _mod_97(F.concat(F.replace(account, F.lit(" "), F.lit("")), country, F.lit("00")))
+    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), account)
+
+
+def pseudonym_ssn(s: Column, key: str) -> Column:
+    """A permutation of the valid numbers, by their rank."""
+    area, group, serial = (F.substring(s, at, n).cast("long") for at, n in ((1, 3), (5, 2), (8, 4)))
+    rank = ((area - F.when(area > 666, 2).otherwise(1)) * GROUPS + group - 1) * SERIALS + serial - 1
+    p = cycle_walk(rank, AREAS * GROUPS * SERIALS, key + "|ssn", _keyed(key + "|ssn"))
+    parts = F.struct(F.call_function("div", p, F.lit(GROUPS * SERIALS)).alias("a"), F.pmod(F.call_function("div", p, F.lit(SERIALS)), F.lit(GROUPS)).alias("g"),
+                     F.pmod(p, F.lit(SERIALS)).alias("n"))
+    # one fold over a single element, so that the walk is written once
+    return F.aggregate(F.array(parts), F.lit(""), lambda _, x: F.concat_ws(
+        "-", F.lpad((x["a"] + F.when(x["a"] >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+        F.lpad((x["g"] + 1).cast("string"), 2, "0"), F.lpad((x["n"] + 1).cast("string"), 4, "0")))
+
+
 def pseudonym_ip(s: Column, key: str) -> Column:
     four = F.split(s, r"\.")
     number = F.aggregate(four, F.lit(0).cast("long"), lambda a, v: a * 256 + v.cast("long"))
@@ -122,7 +166,8 @@ def kind_of(s: Column) -> Column:
     def whole(kind: str) -> Column:
         return s.rlike(f"^(?:{PATTERNS[kind]})$")
     return (F.when(F.instr(s, "@") > 0, "email").when(whole("phone"), "phone").when(whole("ip"), "ip")
-            .when(whole("date"), F.when(_date_of(s)[0].isNotNull(), "date"))
+            .when(whole("date"), F.when(_date_of(s)[0].isNotNull(), "date")).when(whole("ssn"), "ssn")
+            .when(whole("access_key"), "access_key").when(whole("iban"), F.when(iban_valid(s), "iban"))
             .when(whole("card"), F.when(luhn_valid(s), "card"))
             .when(s.rlike(NAMED), "secret"))
 
@@ -137,7 +182,8 @@ def pseudonym_of(s: Column, kind: Column, key: str = KEY) -> Column:
     return (F.when(kind == "email", F.concat(permute_text(local, key + "|email"), F.substr(s, F.length(local) + 1, F.length(s))))
             .when(kind == "phone", F.concat(plus, permute_text(rest, key + "|phone", ALPHABETS[:1])))
             .when(kind == "ip", pseudonym_ip(s, key)).when(kind == "date", pseudonym_date(s, key))
-            .when(kind == "card", pseudonym_card(s, key))
+            .when(kind == "card", pseudonym_card(s, key)).when(kind == "ssn", pseudonym_ssn(s, key)).when(kind == "iban", pseudonym_iban(s, key))
+            .when(kind == "access_key", F.concat(F.substring(s, 1, 4), permute_text(F.substr(s, F.lit(5), F.length(s)), key + "|access_key", CAPITALS)))
             .when(kind == "secret", F.concat(named, F.when(secret.rlike("^[0-9a-f]+$"), permute_text(secret, key + "|hex", HEX)).otherwise(permute_text(secret, key + "|secret"))))
             .otherwise(s))
 
