@@ -85,14 +85,33 @@ class WordBpe:
         return [t.id for t in self.tok.model.tokenize("".join([self.letters[b] for b in word.encode("utf-8")]))]
 
 
+#: First bytes below ONE are numbers themselves, those below TWO begin two bytes, those below FIVE three, and FIVE five.
+ONE, TWO, FIVE = 192, 240, 255
+
+
 def pack(numbers: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers as compressed byte planes."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), LEVEL)
+    """Unsigned 32-bit numbers, compressed; small ones take one byte. All first bytes stand together, then the second ones and so on."""
+    x = numbers.astype(np.int64)
+    y = x - ONE
+    z = y - ((TWO - ONE) << 8)
+    two, three, five = (y >= 0) & (z < 0), (z >= 0) & (z < (FIVE - TWO) << 16), z >= (FIVE - TWO) << 16
+    heads = np.select([two, three, five], [ONE + (y >> 8), TWO + (z >> 16), FIVE], x)
+    parts = [heads, y[two] & 255, (z[three] >> 8) & 255, z[three] & 255]
+    raw = np.array([len(x)], dtype="<u8").tobytes() + b"".join([p.astype(np.uint8).tobytes() for p in parts]) + x[five].astype("<u4").tobytes()
+    return zstandard.compress(raw, LEVEL)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    raw = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
+    n = int(raw[:8].view("<u8")[0])
+    heads = raw[8:8 + n]
+    two, three, five = (np.flatnonzero(k) for k in ((heads >= ONE) & (heads < TWO), (heads >= TWO) & (heads < FIVE), heads == FIVE))
+    second, high, low, whole = np.split(raw[8 + n:], np.cumsum([len(two), len(three), len(three)]))
+    out = heads.astype(np.uint32)
+    out[two] = ((out[two] - ONE) << 8) + second + ONE
+    out[three] = ((out[three] - TWO) << 16) + (high.astype(np.uint32) << 8) + low + ONE + ((TWO - ONE) << 8)
+    out[five] = np.frombuffer(whole.tobytes(), dtype="<u4")
+    return out
 
 
 def bucket_of(word: str, buckets: int) -> int:

@@ -111,6 +111,16 @@ def test_bpe(spark, docs, texts, empty):
     assert bpe.encode_texts(spark, empty, WORD_BPE).count() == 0
 
 
+def test_packed_numbers_come_back():
+    import numpy as np
+    edges = [0, 1, 191, 192, 193, 12_479, 12_480, 12_481, 995_519, 995_520, 995_521, 2**31, 2**32 - 1]
+    rng = np.random.default_rng(1)
+    for x in ([], [0], edges, edges * 3, rng.integers(0, 2**21, 5000), rng.integers(0, 300, 5000)):
+        x = np.array(x, dtype=np.uint32)
+        back = bpe.unpack(bpe.pack(x))
+        assert back.dtype == np.uint32 and np.array_equal(back, x)
+
+
 def test_ngram_join(spark, docs, texts, empty):
     got = ngram_join.grouped(spark, docs).collect()
     assert sort(got) == sort(ngram_join.brute_force(texts))
