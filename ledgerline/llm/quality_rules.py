@@ -4,7 +4,8 @@ For each text: characters per token, the share of byte-fallback tokens, and
 the entropy of its tokens. Texts of a language have these within narrow
 bands; a text far outside them is no running text of the language. Bands
 come from the quartiles of all rows of the language (or script, where no
-language is named), found in one aggregate over the measured table.
+language is named) that are alike in length, as entropy and noise depend on
+it; they are found in one aggregate over the measured table.
 """
 
 from __future__ import annotations
@@ -23,11 +24,14 @@ from ledgerline.llm.common import bounded_batches, column, staged
 
 #: Base rules: least words, and the most percent of words in repeated three-word windows.
 MIN_WORDS, MAX_REPEAT = 50, 50
-#: A band reaches so many quartile distances beyond the quartiles; a language with fewer rows takes the bands of all.
-REACH, MIN_ROWS = 2.0, 30
-#: Least distance to the quartiles, so that a very even language does not reject its own, and what is
-#: added for short texts, over the square root of their tokens.
-LEAST = {"chars_per_token": 0.12, "byte_share": 0.03, "entropy": 0.12}
+#: A band reaches so many quartile distances beyond the quartiles. Rows of a language whose token counts lie
+#: between the same powers of two share a band; with fewer rows than this they take their language's, and a
+#: language with fewer the band of all.
+REACH, MIN_ROWS = 3.0, 30
+#: Least distance to the quartiles, so that a very even language does not reject its own, and what is added
+#: for short texts where a band spans all lengths, over the square root of their tokens.
+LEAST = {"chars_per_token": 0.05, "byte_share": 0.02, "entropy": 0.02}
+WIDE = {"chars_per_token": 0.12, "byte_share": 0.03, "entropy": 0.12}
 NOISE = {"chars_per_token": 4.0, "byte_share": 0.5, "entropy": 1.0}
 SYMBOLS = "#*$%&|<>"
 METRICS = ("chars_per_token", "byte_share", "entropy")
@@ -112,19 +116,27 @@ def measure(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     return m.select("doc_id", F.coalesce(F.concat(F.lit("lang:"), "lang"), F.concat(F.lit("script:"), "m.script")).alias("band_group"), "m.*").drop("script")
 
 
+def octave():
+    """Between which powers of two the token count lies; null without tokens."""
+    return F.when(F.col("n_tokens") > 0, F.floor(F.log2(F.col("n_tokens"))).cast("int"))
+
+
 def bands(measured: DataFrame) -> DataFrame:
-    """Per group (and for all together, group null): the bounds lo_x and hi_x of each measure, and the rows behind them.
+    """(level, band_group, octave, n_rows) with the bounds lo_x and hi_x of each measure.
 
-    Quartiles are over all rows that pass the base rules. One row per language.
+    Level 0: a language at one length; 1: a language; 3: all together. The
+    quartiles are over all rows that pass the base rules; rows equal in all
+    measures, as copies are, count once.
     """
-    good = measured.where("n_tokens > 0").where(~base_failed())
+    good = measured.where("n_tokens > 0").where(~base_failed()).select("band_group", octave().alias("octave"), "n_tokens", *METRICS).distinct()
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.percentile_approx(m, [0.25, 0.75], 1000).alias(f"q_{m}") for m in METRICS]
-    q = good.rollup("band_group").agg(*aggs)  # quartile sketches of bounded size per group
-    out = ["band_group", "n_rows"]
+    q = good.rollup("band_group", "octave").agg(F.grouping_id().alias("level"), *aggs)  # quartile sketches of bounded size per group
+    out = ["level", "band_group", "octave", "n_rows"]
     for m in METRICS:
         lo, hi = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
-        reach = F.greatest(F.lit(REACH) * (hi - lo), F.lit(LEAST[m]))
+        least = F.when(F.col("level") == 0, LEAST[m]).otherwise(WIDE[m])
+        reach = F.greatest(F.lit(REACH) * (hi - lo), least)
         out += [(lo - reach).alias(f"lo_{m}"), (hi + reach).alias(f"hi_{m}")]
     return q.select(*out)
 
@@ -137,25 +149,33 @@ def judge(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id
     """The measures of every row with base_failed, the reasons against it, and kept.
 
     ``reasons``: the measures outside their band. A text without tokens fails
-    the base rules. A language with fewer than MIN_ROWS good rows is judged by
-    the bands of all rows; with no good row at all nothing but the base rules
-    counts. Repeated rows get equal results, and weigh in the quartiles as
-    often as they are there. Other columns of ``docs`` are ignored.
+    the base rules. Fewer than MIN_ROWS good rows of a language at one length
+    are judged by the bands of the language, and a language with fewer by
+    those of all rows; with no good row at all nothing but the base rules
+    counts. Repeated rows get equal results, and count once in the quartiles.
+    Other columns of ``docs`` are ignored.
     """
     bounded_batches(spark)
     measured = staged(spark, measure(docs, path, id_col, text_col, lang_col), "quality")
-    b = bands(measured).collect()  # one row per language
-    whole = next((r for r in b if r["band_group"] is None), None)
-    own = [r for r in b if r["band_group"] is not None and r["n_rows"] >= MIN_ROWS]
-
-    def bound(name: str):
-        out = F.lit(None if whole is None else whole[name]).cast("double")
-        for r in own:
-            out = F.when(F.col("band_group") == r["band_group"], F.lit(r[name])).otherwise(out)
-        return out
-
-    noise = {m: F.lit(NOISE[m]) / F.sqrt(F.greatest("n_tokens", F.lit(1))) for m in METRICS}
-    outside = [F.when((F.col(m) < bound(f"lo_{m}") - noise[m]) | (F.col(m) > bound(f"hi_{m}") + noise[m]), F.lit(m)) for m in METRICS]
+    b = staged(spark, bands(measured), "quality-bands")  # a row per language and length
+    whole = b.where("level = 3").head()
+    bounds = [f"{side}_{m}" for m in METRICS for side in ("lo", "hi")]
+
+    def level(n: int, on: list[str]) -> DataFrame:
+        rows = b.where((F.col("level") == n) & (F.col("n_rows") >= MIN_ROWS))
+        return rows.select(*on, F.lit(True).alias(f"has_{n}"), *[F.col(c).alias(f"{c}_{n}") for c in bounds])
+
+    rows = (measured.withColumn("octave", octave()).join(level(0, ["band_group", "octave"]), ["band_group", "octave"], "left")
+            .join(level(1, ["band_group"]), "band_group", "left"))
+
+    def bound(name: str, sign: int):
+        m = name[3:]
+        noise = F.lit(sign * NOISE[m]) / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+        wide = F.coalesce(F.col(f"{name}_1"), F.lit(None if whole is None else whole[name]).cast("double")) + noise
+        return F.when(F.col("has_0"), F.col(f"{name}_0")).otherwise(wide)
+
+    outside = [F.when((F.col(m) < bound(f"lo_{m}", -1)) | (F.col(m) > bound(f"hi_{m}", 1)), F.lit(m)) for m in METRICS]
     failed = base_failed()
-    return (measured.withColumn("base_failed", failed).withColumn("reasons", F.array_compact(F.array(*outside)))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)))
+    judged = (rows.withColumn("base_failed", failed).withColumn("reasons", F.array_compact(F.array(*outside)))
+              .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)))
+    return judged.select(*measured.columns, "base_failed", "reasons", "kept")
