@@ -18,10 +18,14 @@ from ledgerline.llm.feistel import ROUNDS, cycle_walk, permute
 
 KEY = "ledgerline-pii-1"
 
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
+#: A secret of any length, 16 characters at least: letters, digits and +/_~%-, between them also marks such as the dots of a
+#: signed token, '=' at the end. Each part is possessive, so that a long value is read once and without recursion.
+SECRET = r"(?=[A-Za-z0-9+/_~%.=:!#$*^-]{15}[A-Za-z0-9+/_~%=-])[A-Za-z0-9+/_~%-]++(?:[.=:!#$*^]++[A-Za-z0-9+/_~%-]++)*+=*+"
 #: What is looked for, in order; a place belongs to the first kind that fits it.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,128}(?![A-Za-z0-9+/_-])",
+    "email": EMAIL,
+    "secret": rf"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api_?key)\s{{0,3}}[=:]\s{{0,3}}[\"']?(?!{EMAIL}){SECRET}",
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![0-9])\+?1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])\+[1-9][0-9]{0,2}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
@@ -46,6 +50,8 @@ HEX = ("0123456789abcdef",)
 CAPITALS = (ALPHABETS[2] + ALPHABETS[0],)
 #: Social security numbers: areas 001-899 without 666, groups 01-99, serials 0001-9999.
 AREAS, GROUPS, SERIALS = 898, 99, 9_999
+#: A half longer than this counts by its SHA-256 in a round, so that a long text takes time in proportion to its length.
+HALF = 64
 
 
 def _draw(*parts: Column) -> Column:
@@ -70,12 +76,17 @@ def permute_text(s: Column, key: str, alphabets: tuple[str, ...] = ALPHABETS) ->
                 spot = F.instr(F.lit(a), ch)
                 out = F.when(spot > 0, F.substr(F.lit(a), (F.pmod(spot - 1 + v, F.lit(len(a))) + 1).cast("int"), F.lit(1))).otherwise(out)
             return out
-        return F.when(F.length(part) == 0, part).otherwise(F.array_join(F.transform(F.split(part, ""), letter), ""))
+        return F.array_join(F.transform(F.split(part, ""), letter), "")
+
+    def turned(part: Column, full: Column, turn: Column) -> Column:
+        short = F.when(F.length(full) > HALF, F.sha2(full.cast("binary"), 256)).otherwise(full)
+        # one fold over a single element, so that the digest is taken once and not for each letter
+        return F.when(F.length(part) == 0, part).otherwise(F.aggregate(F.array(short), F.lit(""), lambda _, o: moved(part, o, turn)))
 
     def step(acc: Column, turn: Column) -> Column:
         even = turn % 2 == 0
-        return F.struct(F.when(even, moved(acc["l"], acc["r"], turn)).otherwise(acc["l"]).alias("l"),
-                        F.when(even, acc["r"]).otherwise(moved(acc["r"], acc["l"], turn)).alias("r"))
+        return F.struct(F.when(even, turned(acc["l"], acc["r"], turn)).otherwise(acc["l"]).alias("l"),
+                        F.when(even, acc["r"]).otherwise(turned(acc["r"], acc["l"], turn)).alias("r"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda acc: F.concat(acc["l"], acc["r"]))
 

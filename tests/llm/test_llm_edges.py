@@ -225,6 +225,21 @@ def test_pseudonyms(spark, docs, texts, empty):
     assert pseudonyms.pseudonymise(empty).count() == 0 and pseudonyms.pseudonymise(docs).count() == len(texts)
 
 
+def test_pseudonyms_of_secrets_of_any_length(spark):
+    rng = random.Random(8)
+    code = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-", k=200_000))
+    jwt = ".".join(("eyJ" + code[:33], "eyJ" + code[50:250], code[300:343]))
+    values = [code[:128], code[:129], code[:5000], code, jwt, code[:40] + "==", code[:7] + "!" + code[7:20]]
+    rows = [(i, f"so token={v}. Then") for i, v in enumerate(values)] + [(100, f"token: {jwt}, that's it"), (101, "password: ann.of.some.name@mail.org secret: short.one password: 10.0.255.1")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, v in enumerate(values):
+        new = out[i].text[len("so token="):-len(". Then")]
+        assert out[i].kinds == ["secret"] and out[i].text == f"so token={new}. Then" and len(new) == len(v)
+        assert not any(a == b for a, b in zip(new.split("."), v.split("."))) and [c for c in new if c in ".=!"] == [c for c in v if c in ".=!"]
+    assert out[4].text[len("so token="):-len(". Then")] in out[100].text
+    assert out[101].kinds == ["email", "ip"] and "secret: short.one" in out[101].text
+
+
 def mod_97(iban):
     iban = iban.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
