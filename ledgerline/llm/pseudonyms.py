@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import column
-from ledgerline.llm.feistel import ROUNDS, cycle_walk, permute
+from ledgerline.llm.feistel import ROUNDS, WALK, cycle_walk, permute
 
 KEY = "ledgerline-pii-1"
 
@@ -22,29 +22,50 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,
 #: A secret of any length, 16 characters at least: letters, digits and +/_~%-, between them also marks such as the dots of a
 #: signed token, '=' at the end. Each part is possessive, so that a long value is read once and without recursion.
 SECRET = r"(?=[A-Za-z0-9+/_~%.=:!#$*^-]{15}[A-Za-z0-9+/_~%=-])[A-Za-z0-9+/_~%-]++(?:[.=:!#$*^]++[A-Za-z0-9+/_~%-]++)*+=*+"
+#: The next group of a phone number after a space does not begin another value: address, date, card, social security number, phone number.
+NEXT = (r"(?! (?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])|[0-9]{4}[/-][0-9]{1,2}[/-]|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}(?:[ -][0-9]{4}){3}"
+        r"|[0-9]{4}[ -][0-9]{6}[ -]|[0-9]{13}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}))")
+#: Phone numbers: with a country code in one piece, in groups, with an area code in brackets; then the national forms, which are
+#: no part of a longer row of numbers: area codes in brackets, three and three and four digits, and those with a leading 0.
+PHONES = (
+    r"(?<![0-9])\+[1-9][0-9]{7,14}(?![0-9])",
+    r"(?<![0-9])(?:\+?1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    rf"(?<![0-9])\+[1-9][0-9]{{0,2}}[ .-]?\([0-9]{{1,5}}\)[ .-]?[0-9]{{2,8}}(?:{NEXT}[ .-][0-9]{{2,8}}){{0,4}}(?![0-9])",
+    rf"(?<![0-9])\+[1-9][0-9]{{0,2}}(?:[ .-][0-9])?[ .-][0-9]{{2,4}}(?:{NEXT}[ .-][0-9]{{2,4}}){{1,3}}(?![0-9])",
+    rf"(?<![0-9])\+[1-9][0-9]{{0,2}}(?:[ .-][0-9]{{1,5}})?{NEXT}[ .-][0-9]{{5,12}}(?![0-9])",
+    rf"\(0[0-9]{{1,4}}\)[ .-]?[0-9]{{3,4}}(?:{NEXT}[ .-])?[0-9]{{3,5}}(?![0-9])",
+    r"(?<![0-9])(?<![0-9][.-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9]|[.-][0-9])",
+    r"(?<![0-9])(?<![0-9][.-])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|[.-][0-9])",
+    r"(?<![0-9])(?<![0-9][ .-])(?:1 )?[0-9]{3} [0-9]{3}[ -][0-9]{4}(?![0-9]|[ .-][0-9])",
+    r"(?<![0-9])(?<![0-9][ .-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9]|[ .-][0-9])",
+    r"(?<![0-9])(?<![0-9][ .-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[ .-][0-9])",
+)
+#: What stands before the number within a country: its code (ITU-T E.164, as assigned), a leading 1 or 0.
+COUNTRY = (r"^(\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?:[ .-]?\(0\))?[ .-]?\(?0?"
+           r"|1(?=[ .-]?\()|1[ .-](?=[0-9]{3}[ .-])|\(?0|)")
 #: What is looked for, in order; a place belongs to the first kind that fits it.
 PATTERNS = {
     "email": EMAIL,
     "secret": rf"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api_?key)\s{{0,3}}[=:]\s{{0,3}}[\"']?(?!{EMAIL}){SECRET}",
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9])\+?1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])\+[1-9][0-9]{0,2}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
+    "phone": "|".join(PHONES),
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
-    "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9/-])",
+    "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)(?:19|20)[0-9]{2})(?![0-9/-])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 #: All kinds in one pattern; the look ahead spares most places most kinds.
 ANY = (f"(?=[A-Za-z0-9])(?:{PATTERNS['email']}|{PATTERNS['secret']})|"
-       f"(?=[A-Z]{{2}})(?:{PATTERNS['access_key']}|{PATTERNS['iban']})|(?=[0-9+])(?:"
+       f"(?=[A-Z]{{2}})(?:{PATTERNS['access_key']}|{PATTERNS['iban']})|(?=[0-9+(])(?:"
        + "|".join(f"(?:{PATTERNS[k]})" for k in ("phone", "ip", "date", "ssn", "card")) + ")")
 #: Every match holds one of these; a text without them is not searched.
 HINT = "[0-9@=:]|A[KS]IA"
 #: What stands before a secret.
 NAMED = r"^([A-Za-z_]+\s{0,3}[=:]\s{0,3}[\"']?)"
-#: Date formats by the look of the value, and the days they range over (1900-01-01 to 2099-12-31).
-DATES = {"-": "yyyy-MM-dd", ".": "dd.MM.yyyy", "/": "MM/dd/yyyy"}
-DAYS = 73_049
+#: Dates range over the months from 1900-01 to 2099-12. The days up to DOZEN change places among themselves, and so do the later
+#: ones: a pseudonym with the day first can then be told from one with the month first just as the value itself.
+MONTHS, DOZEN, LATER = 2_400, 12, 19
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 HEX = ("0123456789abcdef",)
 CAPITALS = (ALPHABETS[2] + ALPHABETS[0],)
@@ -161,15 +182,63 @@ def pseudonym_ip(s: Column, key: str) -> Column:
 
 
 def _date_of(s: Column) -> tuple[Column, Column]:
-    """(the date or null, its format)."""
-    fmt = F.when(F.substring(s, 5, 1) == "-", F.lit(DATES["-"])).when(F.substring(s, 3, 1) == ".", F.lit(DATES["."])).otherwise(F.lit(DATES["/"]))
+    """(the date or null, its format). Slash dates have the month first unless only the day can be."""
+    parts, sep = F.split(s, "[./-]"), F.regexp_extract(s, "[./-]", 0)
+
+    def look(letter: str, at: int, other: int) -> Column:
+        own, two = parts[at], F.length(parts[other]) == 2
+        return F.when(own.startswith("0") | (F.length(own) == 2) & two, letter * 2).otherwise(letter)
+
+    def fmt_of(day: int, month: int) -> list[Column]:
+        return [look("d", day, month), look("M", month, day)]
+
+    year_first, day_first, month_first = fmt_of(2, 1), fmt_of(0, 1), fmt_of(1, 0)
+    fmt = (F.when(s.rlike("^[0-9]{4}"), F.concat(F.lit("yyyy"), sep, year_first[1], sep, year_first[0]))
+           .when((sep == ".") | (parts[0].cast("int") > 12), F.concat(day_first[0], sep, day_first[1], sep, F.lit("yyyy")))
+           .otherwise(F.concat(month_first[1], sep, month_first[0], sep, F.lit("yyyy"))))
     return F.try_to_timestamp(s, fmt).cast("date"), fmt
 
 
+def _day_at(p: Column, first: int, n: int) -> Column:
+    """The day of place p among the days first .. first + n - 1 of all months; null if its month is too short."""
+    start = F.add_months(F.lit("1900-01-01").cast("date"), F.call_function("div", p, F.lit(n)).cast("int"))
+    at = (F.pmod(p, F.lit(n)) + first).cast("int")
+    return F.when(F.dayofmonth(F.last_day(start)) >= at, F.date_add(start, at - 1))
+
+
 def pseudonym_date(s: Column, key: str) -> Column:
+    """A permutation of the days, written as the value is."""
+    def moved(x: Column) -> Column:
+        month, at = (F.year(x["day"]) - 1900) * 12 + F.month(x["day"]) - 1, F.dayofmonth(x["day"])
+
+        def turn(p: Column) -> Column:
+            return permute(p, MONTHS, LATER, key + "|late date", _keyed(key + "|late date"))
+
+        early = permute((month * DOZEN + at - 1).cast("long"), MONTHS, DOZEN, key + "|date", _keyed(key + "|date"))
+        first = turn((month * LATER + at - DOZEN - 1).cast("long"))
+        late = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first,  # until the month has such a day
+                           lambda acc, _: F.when(_day_at(acc, DOZEN + 1, LATER).isNull(), turn(acc)).otherwise(acc),
+                           lambda acc: F.coalesce(_day_at(acc, DOZEN + 1, LATER), F.raise_error(F.lit("cycle walk did not end")).cast("date")))
+        new = F.when(at <= DOZEN, _day_at(early, 1, DOZEN)).otherwise(late)
+        return F.call_function("date_format", new, x["fmt"])
+
     day, fmt = _date_of(s)
-    p = cycle_walk(F.datediff(day, F.lit("1900-01-01").cast("date")), DAYS, key + "|date", _keyed(key + "|date"))
-    return F.call_function("date_format", F.date_add(F.lit("1900-01-01").cast("date"), p.cast("int")), fmt)
+    # one fold over a single element, so that the value is read once
+    return F.aggregate(F.array(F.struct(day.alias("day"), fmt.alias("fmt"))), F.lit(None).cast("string"), lambda _, x: F.when(x["day"].isNotNull(), moved(x)))
+
+
+def pseudonym_phone(s: Column, key: str) -> Column:
+    """The digits after the country code or the leading 1 or 0 move, equal digits alike however the number is written."""
+    fixed = F.regexp_extract(s, COUNTRY, 1)
+    rest = F.substr(s, F.length(fixed) + 1, F.length(s))
+    digits = permute_text(F.regexp_replace(rest, "[^0-9]", ""), key + "|phone", ALPHABETS[:1])
+
+    def put(acc: Column, ch: Column) -> Column:
+        digit = ch.between("0", "9")
+        return F.struct(F.concat(acc["out"], F.when(digit, F.substring(acc["left"], 1, 1)).otherwise(ch)).alias("out"),
+                        F.when(digit, F.substr(acc["left"], F.lit(2), F.length(acc["left"]))).otherwise(acc["left"]).alias("left"))
+
+    return F.aggregate(F.split(rest, ""), F.struct(fixed.alias("out"), digits.alias("left")), put, lambda acc: acc["out"])
 
 
 def kind_of(s: Column) -> Column:
@@ -186,12 +255,10 @@ def kind_of(s: Column) -> Column:
 def pseudonym_of(s: Column, kind: Column, key: str = KEY) -> Column:
     """The pseudonym of a validated value, another value of the same kind and format; else the value itself."""
     local = F.substring_index(s, "@", 1)
-    plus = F.regexp_extract(s, r"^(\+?[0-9]{1,3}[ .-]?)(.*)$", 1)  # the country code stays
-    rest = F.substr(s, F.length(plus) + 1, F.length(s))
     named = F.regexp_extract(s, NAMED, 1)
     secret = F.substr(s, F.length(named) + 1, F.length(s))
     return (F.when(kind == "email", F.concat(permute_text(local, key + "|email"), F.substr(s, F.length(local) + 1, F.length(s))))
-            .when(kind == "phone", F.concat(plus, permute_text(rest, key + "|phone", ALPHABETS[:1])))
+            .when(kind == "phone", pseudonym_phone(s, key))
             .when(kind == "ip", pseudonym_ip(s, key)).when(kind == "date", pseudonym_date(s, key))
             .when(kind == "card", pseudonym_card(s, key)).when(kind == "ssn", pseudonym_ssn(s, key)).when(kind == "iban", pseudonym_iban(s, key))
             .when(kind == "access_key", F.concat(F.substring(s, 1, 4), permute_text(F.substr(s, F.lit(5), F.length(s)), key + "|access_key", CAPITALS)))

@@ -240,6 +240,40 @@ def test_pseudonyms_of_secrets_of_any_length(spark):
     assert out[101].kinds == ["email", "ip"] and "secret: short.one" in out[101].text
 
 
+def test_pseudonyms_of_phone_numbers_however_written(spark):
+    same = ["(555) 123-4567", "555-123-4567", "555.123.4567", "555 123 4567", "+15551234567", "+1 (555) 123-4567", "1-555-123-4567", "+1 555 123 4567"]
+    more = ["+7 (495) 123-4567", "+7 (495) 123-45-67", "+442079460958", "+44 (0) 20 7946 0958", "020 7946 0958", "+49 30 1234567", "(030) 1234567", "+33 1 23 45 67 89", "01 23 45 67 89"]
+    rows = [(i, f"call {v}, or not") for i, v in enumerate(same + more)]
+    rows.append((100, "555-123-45678 1555-123-4567 12-555-123-4567 3.555.123.4567 1.5 +2.5 +3.5 ISBN 0-306-40615-2 05/2019-2021 123-00-4567"))
+    rows.append((101, "+1 (826) 555-4081 190.137.223.10 +44 20 7946 0958 10.0.255.1 +7 (495) 123-45-67 2024-12-25 +33 1 23 45 67 89 4539 1488 0343 6467 (030) 1234567 219-09-9999"))
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = []
+    for i, v in enumerate(same + more):
+        new.append(out[i].text[len("call "):-len(", or not")])
+        assert out[i].kinds == ["phone"] and new[-1] != v and [c for c in new[-1] if not c.isdigit()] == [c for c in v if not c.isdigit()], v
+    bare = ["".join(c for c in n if c.isdigit()) for n in new]
+    assert len({b[-10:] for b in bare[:len(same)]}) == 1 and bare[8] == bare[9] and bare[8][0] == "7"
+    assert bare[10][2:] == bare[11][3:] == bare[12][1:] and bare[13][2:] == bare[14][1:] and bare[15][2:] == bare[16][1:]
+    assert out[100].text == rows[-2][1]
+    assert out[101].kinds == ["phone", "ip", "phone", "ip", "phone", "date", "phone", "card", "phone", "ssn"]
+
+
+def test_pseudonyms_of_dates_however_written(spark):
+    same = ["2024-12-25", "12/25/2024", "25/12/2024", "25.12.2024", "2024/12/25"]
+    short = ["1/5/2024", "01/05/2024", "5.1.2024", "2024-1-5", "2024/1/5"]
+    rows = [(i, f"on {v}, or not") for i, v in enumerate(same + short)] + [(100, "31/04/2024 13/13/2024 0/5/2024 2024/13/01 1/2/345 2024-12-250")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = [out[i].text[len("on "):-len(", or not")] for i in range(10)]
+    assert all(out[i].kinds == ["date"] for i in range(10)) and out[100].text == rows[-1][1]
+    y, m, d = new[0].split("-")
+    assert int(d) > 12 and new[:5] == [f"{y}-{m}-{d}", f"{m}/{d}/{y}", f"{d}/{m}/{y}", f"{d}.{m}.{y}", f"{y}/{m}/{d}"]
+    m, d, y = new[5].split("/")
+    assert int(d) <= 12 and new[5:] == [f"{m}/{d}/{y}", f"{m:0>2}/{d:0>2}/{y}", f"{d}.{m}.{y}", f"{y}-{m}-{d}", f"{y}/{m}/{d}"] and m[0] != "0" != d[0]
+    days = spark.sql("SELECT date_format(date_add(date'1900-01-01', cast(id as int)), if(id % 2 = 0, 'yyyy-MM-dd', 'yyyy/MM/dd')) AS s FROM range(73049)")
+    p = days.select(F.replace(pseudonyms.pseudonym_date(F.col("s"), "k"), F.lit("/"), F.lit("-")).alias("p"))
+    assert p.distinct().count() == 73_049 and p.where("p is null or p < '1900' or p > '2100'").count() == 0
+
+
 def mod_97(iban):
     iban = iban.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
