@@ -43,7 +43,7 @@ SENTENCES = {
     "cc0": r"(?:cc0 1\.0(?: universal)?|to the extent possible under law <any>has waived all copyright<any>)",
     "mpl_by": r"this source code form is subject to the terms of the mozilla public license,? v(?:ersion)? ?2\.0",
     "reserved": r"all rights reserved",
-    "copyright": r"(?:copyright|c) (?:c )?[0-9]{4}(?: [0-9]{4})?(?: <any>)?",
+    "copyright": r"(?P<years>(?:copyright|c) (?:c )?[0-9]{4}(?: [0-9]{4})?)(?:,? .*)?",
 }
 # Ordered rules: a licence, and the identifiers that must follow each other. Longest first.
 RULES = [
@@ -67,6 +67,8 @@ RULES = [
 #: Licences that ask nothing of the text that is trained on beyond notices.
 PERMISSIVE = ("Apache-2.0", "MIT", "BSD", "CC0-1.0", "CC-BY-1", "CC-BY-2", "CC-BY-3", "CC-BY-4")
 KNOWN = [(k, re.compile(p.replace("<any>", r".{0,400}?"))) for k, p in SENTENCES.items()]
+#: Wordings that take a whole line; all others may stand within a longer sentence.
+BY_LINE = {k: p for k, p in KNOWN if k in ("copyright", "spdx")}
 #: A sentence is looked up only if it holds one of these words.
 HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|free software|cc0|creative commons|endorse|\(c\)", re.I)
 BREAK = re.compile(r"\n|(?<=[.!?;])[^\w\s]*\s+(?!\d)")
@@ -86,16 +88,29 @@ def licence_sentences(text: str | None) -> list[tuple[str, dict]]:
     out = []
     for sentence in BREAK.split(text):
         if sentence and HINT.search(sentence):
-            s = normalised(sentence)
-            for k, p in KNOWN:
-                if m := p.fullmatch(s):
-                    out.append((k, m.groupdict()))
-                    break
-            else:  # a known wording inside a longer sentence
-                for k, p in KNOWN:
-                    if k not in ("copyright", "reserved", "spdx") and (m := p.search(s)):
-                        out.append((k, m.groupdict()))
-                        break
+            out += [(k, parts) for _, _, k, parts in _matches(sentence)]
+    return out
+
+
+def _matches(sentence: str) -> list[tuple[int, int, str, dict]]:
+    """(start, -end, identifier, named parts) of all known wordings in a sentence, the longest of those that overlap at one start."""
+    s, hits = normalised(sentence), []
+    for k, p in KNOWN:
+        if k not in BY_LINE:
+            hits += [(m.start(), -m.end(), k, m.groupdict()) for m in p.finditer(s)]
+    words, first = [m.start() for m in re.finditer(r"\S+", s)], 0
+    for line in map(normalised, sentence.split("\n")):
+        for k, p in BY_LINE.items():
+            if m := p.fullmatch(line):
+                # an owner's name can hold another wording, so only the years count as taken
+                length = len(line) if k == "spdx" else m.end("years")
+                hits.append((words[first], -words[first] - length, k, m.groupdict() if k == "spdx" else {}))
+        first += len(line.split())
+    out, end = [], 0
+    for hit in sorted(hits, key=lambda h: h[:2]):
+        if hit[0] >= end:
+            out.append(hit)
+            end = -hit[1]
     return out
 
 

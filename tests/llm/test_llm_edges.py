@@ -333,6 +333,15 @@ def test_license_scan(spark, docs, texts, empty):
     assert license_scan.scan(empty).count() == 0 and license_scan.scan(docs).count() == len(texts)
 
 
+def test_license_scan_finds_all_licences_of_a_sentence(spark):
+    rows = [(1, "Licensed under the MIT License, and the data is licensed under CC BY-NC 4.0."), (2, "licensed under CC BY-NC 4.0 and code released under the MIT License"),
+            (3, "code released under the MIT License " * 3 + "x " * 3000 + "distributed under the GNU General Public License, version 3 and cc0 1.0 of licensed under the Apache License, Version 2.0"),
+            (4, "Copyright 2020 Foo, released under the MIT License"), (5, "SPDX-License-Identifier: CC0-1.0")]
+    out = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.licences for i, r in out.items()} == {1: ["MIT", "CC-BY-NC-4.0"], 2: ["CC-BY-NC-4.0", "MIT"], 3: ["MIT"] * 3 + ["GPL-3.0", "CC0-1.0", "Apache-2.0"], 4: ["MIT"], 5: ["CC0-1.0"]}
+    assert [out[i].permissive for i in range(1, 6)] == [False, False, False, True, True] and out[4].unmatched == ["copyright"]
+
+
 def base_rules(text):
     text = text or ""
     words = [w for w in text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w]
