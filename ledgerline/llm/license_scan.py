@@ -23,7 +23,7 @@ SENTENCES = {
     "spdx": r"spdx license identifier (?P<id>[a-z0-9. +-]+?)",
     "apache_by": r"(?:this (?:file|work|project|software|code) is )?licensed under the apache license,? version 2(?:\.0)?(?: the license)?",
     "apache_use": r"you may not use this file except in compliance with the license",
-    "apache_copy": r"you may obtain a copy of the license at <any>",
+    "apache_copy": r"you may obtain a copy of the license at",
     "apache_asis": r"unless required by applicable law or agreed to in writing,? software distributed under the license is distributed on an as is basis,? without warranties or conditions of any kind,? either express or implied",
     "apache_see": r"see the license for the specific language governing permissions and limitations under the license",
     "mit_by": r"(?:this (?:file|work|project|software|code) is )?(?:released|licensed|distributed) under the (?:terms of the )?mit license",
@@ -70,8 +70,9 @@ KNOWN = [(k, re.compile(p.replace("<any>", r".{0,400}?"))) for k, p in SENTENCES
 #: Wordings that take a whole line; all others may stand within a longer sentence.
 BY_LINE = {k: p for k, p in KNOWN if k in ("copyright", "spdx")}
 #: A sentence is looked up only if it holds one of these words.
-HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|warrant|rights reserved|free software|cc0|creative commons|endorse|\(c\)", re.I)
-BREAK = re.compile(r"\n|(?<=[.!?;])[^\w\s]*\s+(?!\d)")
+HINT = re.compile(r"licen[cs]e|copyright|permission|redistribut|warrant|rights\W+reserved|free\W+software|cc0|creative\W+commons|endorse|\(c\)", re.I)
+#: Sentences end at a full stop or at a line without a word (a blank one, or only a comment leader), not where a line is wrapped.
+BREAK = re.compile(r"\n(?:[^\w\n]*\n)+|(?<=[.!?])[^\w\s]*\s+(?!\d)")
 JUNK = re.compile(r"[^\w.+,]+|(?<!\d)\.|\.(?!\d)", re.UNICODE)
 
 
@@ -86,7 +87,7 @@ def licence_sentences(text: str | None) -> list[tuple[str, dict]]:
     if not text or not HINT.search(text):
         return []
     out = []
-    for sentence in BREAK.split(text):
+    for sentence in BREAK.split(text.replace("\r\n", "\n").replace("\r", "\n")):
         if sentence and HINT.search(sentence):
             out += [(k, parts) for _, _, k, parts in _matches(sentence)]
     return out

@@ -342,6 +342,84 @@ def test_license_scan_finds_all_licences_of_a_sentence(spark):
     assert [out[i].permissive for i in range(1, 6)] == [False, False, False, True, True] and out[4].unmatched == ["copyright"]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+BSD = """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+GPL_2 = GPL.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_license_scan_of_wrapped_notices(spark):
+    notices = [(MIT, "MIT", ["copyright"]), (BSD, "BSD-3-Clause", ["copyright", "reserved"]), (GPL, "GPL-3.0-or-later", []), (GPL_2, "GPL-2.0-or-later", []), (APACHE, "Apache-2.0", [])]
+    shapes = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "x = 1\n" + t + "y = 2", lambda t: "/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "/\nint x;"]
+    shapes += [lambda t, lead=lead: "\n".join((lead + x).rstrip() for x in t.split("\n")) for lead in ("# ", "// ", "-- ", ";; ", "    ")]
+    rows = [(100 * i + j, shape(t)) for i, (t, _, _) in enumerate(notices) for j, shape in enumerate(shapes)]
+    rows += [(1000, "first line\nReleased under the MIT License\nSPDX-License-Identifier: MIT\nCopyright 2020 Foo\nall rights\nreserved, Licensed under CC BY-SA 4.0\nlast line")]
+    out = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (_, name, rest) in enumerate(notices):
+        for j in range(len(shapes)):
+            assert (out[100 * i + j].licences, out[100 * i + j].unmatched) == ([name], rest), (name, j)
+    assert out[1000].licences == ["MIT", "MIT", "CC-BY-SA-4.0"] and out[1000].unmatched == ["copyright", "reserved"]
+
+
 def base_rules(text):
     text = text or ""
     words = [w for w in text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w]
