@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import bounded_batches, column
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
-ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: An element that is not shown: the attribute ``hidden`` (its value apart), or a style that says so.
 QUOTED = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*')")
 HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
@@ -37,26 +37,48 @@ FORMULA = {"math", "semantics", "menclose", "mfrac", "mi", "mmultiscripts", "mn"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: An opening tag ends an open element of its own kind (paragraphs: any block does).
 SELF_ENDING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-CHROME = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset"}
-#: Words in class, id or role that name page furniture.
+CHROME = {"nav", "footer", "aside", "button", "menu", "dialog"}
+#: Furniture if their text is mostly that of their controls.
+FORMS = {"form", "fieldset"}
+CONTROLS = {"input", "select", "textarea", "button"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Words that name page furniture: a class, id, role or label does if it is made of these and NEUTRAL words only.
 FURNITURE = {"ad", "ads", "adbox", "adsbygoogle", "adslot", "advert", "advertising", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent", "gdpr", "notice",
              "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "related", "recommended", "sidebar", "side",
              "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "comment", "commentlist", "comments", "respond", "responses", "disqus", "reply",
              "replies", "toolbar", "pagination", "pager", "login", "signup", "search", "contentinfo", "complementary", "widget", "tags", "skip"}
+NEUTRAL = {"site", "page", "container", "wrapper", "wrap", "box", "block", "area", "list", "section", "bar", "inner", "outer", "link", "links", "button", "buttons",
+           "item", "items", "body", "content", "form", "title", "left", "right", "top", "bottom", "primary", "secondary", "global", "main", "post", "posts", "article",
+           "articles", "text", "message", "policy", "group", "row", "col", "wp", "js", "to", "icons", "media"}
 BODY = {"article", "main"}
 BODY_WORDS = {"article", "main", "content", "entry", "post", "story", "prose"}
 SURE = 1e6
 #: Price of a cut between neighbours, and between the next two blocks of one parent.
 NEXT, SIBLING = 0.8, 1.2
+#: What a name of furniture takes from a block's score. It does not count for an element with more than half of the page's words, and
+#: LONG at least, if articles outside have less than a tenth of them; nor for a form with PER_CONTROL words for each control and one more.
+NAMED, LONG, PER_CONTROL = 5.0, 50, 8
+
+
+@dataclass
+class Mark:
+    """An element that is furniture by its name, or a form; settled when the page is read."""
+
+    form: bool
+    outer: Mark | None
+    words: float = 0.0
+    controls: int = 0
+    stands: bool = True
 
 
 @dataclass
 class Element:
     name: str
     up: Element | None
-    furniture: bool
+    furniture: bool  # for sure: not shown, or an element of HTML for it
     body: bool
     depth: int
+    mark: Mark | None = None
 
 
 @dataclass
@@ -68,10 +90,15 @@ class Block:
     parts: list = field(default_factory=list)
 
 
-def _words_of(attributes: str) -> set[str]:
-    out: set[str] = set()
+def _names_of(name: str, attributes: str) -> list[set[str]]:
+    """The words of each class, id, role and label; ids of headings and sections are places to link to, and tell nothing."""
+    out: list[set[str]] = []
     for m in ATTRIBUTE.finditer(attributes):
-        out.update(w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[1] or m[2] or m[3] or "").lower()) if w)
+        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if kind == "id" and (name == "section" or name in HEADINGS):
+            continue
+        for one in value.split() if kind in ("class", "role") else [value]:
+            out.append({w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", one).lower()) if w})
     return out
 
 
@@ -80,28 +107,58 @@ def _hidden(attributes: str) -> bool:
 
 
 def _element(name: str, attributes: str, up: Element) -> Element:
-    words = _words_of(attributes) if attributes.strip() else set()
+    names = _names_of(name, attributes) if attributes.strip() else []
     if up.body:  # the page has a header; an article's own header holds its title
-        words.discard("header")
+        names = [w - {"header"} for w in names]
     elif name == "header":
-        words.add("header")
+        names.append({"header"})
     whole = name in ("html", "body")  # classes there speak of the page, not of a part of it
-    body = up.body or name in BODY or not whole and bool(words & BODY_WORDS) and not words & FURNITURE
-    furniture = up.furniture or name in CHROME or not whole and name not in BODY and bool(words & FURNITURE) or not whole and _hidden(attributes)
-    return Element(name, up, furniture, body, up.depth + 1)
+    named = not whole and any(w & FURNITURE and w <= FURNITURE | NEUTRAL for w in names)
+    body = up.body or name in BODY or not whole and not named and any(w & BODY_WORDS and not w & FURNITURE for w in names)
+    furniture = up.furniture or name in CHROME or not whole and _hidden(attributes)
+    mark = up.mark
+    if name in BODY and not up.body:
+        mark = up.mark if named else None  # an article in a wrapper is no furniture, unless it is called so too
+    elif name in FORMS or named and name not in BODY:
+        mark = Mark(not named, up.mark)
+    return Element(name, up, furniture, body, up.depth + 1, mark)
+
+
+def _settle(blocks: list[Block], marks: list[Mark]) -> None:
+    """Decide which marks stand, from the words outside links."""
+    total = articles = 0.0
+    for b in blocks:
+        if not b.parent.furniture:
+            words = (b.text.count(" ") + 1) * (1 - min(1.0, b.linked / max(1, len(b.text))))
+            total += words
+            if b.parent.mark:
+                b.parent.mark.words += words
+            elif b.parent.body:
+                articles += words
+    for m in reversed(marks):
+        if m.outer:
+            m.outer.words += m.words
+            m.outer.controls += m.controls
+    for m in marks:
+        if m.form:
+            own = m.words < PER_CONTROL * (m.controls + 1)
+        else:
+            own = m.words < LONG or m.words * 2 <= total or articles * 10 >= m.words
+        m.stands = own or m.outer is not None and m.outer.stands
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order. Markup, comments, scripts and hidden elements have no text."""
     top = Element("", None, False, False, 0)
     at, here, out, links = 0, top, [], 0
+    marks: list[Mark] = []
     block: Block | None = None
 
     def say(s: str) -> None:
         nonlocal block
         if s:
             if block is None:
-                block = Block(here, here.name in ("h1", "h2", "h3", "h4", "h5", "h6"))
+                block = Block(here, here.name in HEADINGS)
             block.parts.append(s)
             if links:
                 block.linked += len(s.strip())
@@ -144,6 +201,8 @@ def blocks_of(page: str) -> list[Block]:
             links = 0 if closing else 1
         if name == "br":
             say(" ")
+        if name in CONTROLS and not closing and here.mark and not HIDDEN.search(attributes):
+            here.mark.controls += 1
         if name in INLINE or name in FORMULA or name in VOID and name != "hr":
             continue
         if name in RAW and name != "head":  # within a paragraph it does not end it
@@ -168,7 +227,10 @@ def blocks_of(page: str) -> list[Block]:
             if here.name == e:
                 here = here.up
         here = _element(name, attributes, here)
+        if here.mark and here.mark is not here.up.mark:
+            marks.append(here.mark)
     end()
+    _settle(out, marks)
     return out
 
 
@@ -178,10 +240,11 @@ def price(b: Block) -> tuple[float, float]:
         return 0.0, SURE
     words = b.text.count(" ") + 1
     linked = min(1.0, b.linked / max(1, len(b.text)))
-    if b.parent.body:
+    named = b.parent.mark is not None and b.parent.mark.stands
+    if b.parent.body and not named:
         score = 6.0 - 8.0 * (linked > 0.8 and words < 12 and not b.heading)
     else:
-        score = 1.2 * math.log(words / 8) + (1.0 if b.text[-1] in ".!?…\"'»)" else -0.7) - 6.0 * linked + (0.8 if b.parent.name == "p" else 0.0)
+        score = 1.2 * math.log(words / 8) + (1.0 if b.text[-1] in ".!?…\"'»)" else -0.7) - 6.0 * linked + (0.8 if b.parent.name == "p" else 0.0) - NAMED * named
     return max(0.0, score), max(0.0, -score)
 
 

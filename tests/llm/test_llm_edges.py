@@ -483,6 +483,26 @@ def test_html_without_an_article():
     assert len(got) == 3 and got[1] == "Short one."  # smoothness carries the short block between two long ones
 
 
+def test_html_named_like_furniture_but_content():
+    one, two = ("This is a sentence of the story that goes on for a while, as they do. " * 4).strip(), "And a short one."
+    story = f"<h1>A title</h1><p>{one}</p><p>{two}</p><p>{one}</p>"
+    want = f"A title\n{one}\n{two}\n{one}"
+    for page in (f'<div class="site has-sidebar"><article>{story}</article></div>', f'<div class="sidebar"><main>{story}</main></div>',
+                 f'<div class="elementor-widget-container"><article>{story}</article></div>',
+                 f'<form id="aspnetForm" method="post"><input type=hidden name=a><input name=q><article>{story}</article></form>',
+                 f'<article class="post sidebar-right">{story}</article>'):
+        assert html_text.main_text(f"<html><body><nav><a href=a>Home</a></nav>{page}<footer>me</footer></body></html>") == want, page
+    for tag in ('<div class="elementor-widget-container">', '<div class="widget">', "<form id=aspnetForm><input type=hidden name=a><input name=q>", '<div class="post has-sidebar">'):
+        got = html_text.main_text(f"<body><nav><a href=a>Home</a></nav>{tag}<p>{one}</p><p>{two}</p><p>{one}</p></{tag[1:].split()[0]}></body>")
+        assert got == f"{one}\n{two}\n{one}", tag
+    slugs = ('<section id="search-algorithms"><p>Short.</p></section><h2 id="related-work">Related work</h2><div id="side-effects"><p>Some of them.</p></div><section id="search"><h3 id="comments">On comments</h3></section>')
+    junk = ('<div class="cookie-notice"><p>We use cookies, a long sentence about cookies.</p></div><div class="site-footer"><p>This is our page, all of it.</p></div>'
+            '<ol class="comment-list"><li class="comment"><article class="comment-body"><p>A reader comment, long enough to look like text.</p></article></li></ol>'
+            "<form><label>Your name</label><input name=a><p>Your address will not be published, we promise you that.</p></form>")
+    assert html_text.main_text(f"<body><article>{story}{slugs}</article>{junk}</body>") == want + "\nShort.\nRelated work\nSome of them.\nOn comments"
+    assert html_text.main_text(f"<body><article>{story}{junk}</article></body>") == want
+
+
 def test_min_cut_is_minimal():
     rng = random.Random(9)
     for _ in range(40):
