@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, decontamination, html_text, language_id, license_scan, line_dedup, ngram_join, pseudonyms,
-                            quality_rules, sharding)
+                            quality_rules, sharding, spelling)
 from ledgerline.llm.common import table
 from ledgerline.llm.feistel import round_keys
 
@@ -83,9 +83,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(spark, table(spark, sf_dir, "documents"), SHARDS).drop("place")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words' count, its form and the root of its forms."""
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_fertility, op4_bpe, op5_html_text, op6_ngram_join, op7_pseudonyms,
-                            op8_language_id, op9_license_scan, op10_shards)}
+                            op8_language_id, op9_license_scan, op10_shards, op11_spelling)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -174,5 +179,40 @@ def _nested(step: str, times: int) -> str:
     return f"list_reduce(list_prepend(i, range({times})), lambda c, _: {step})"
 
 
+#: One row with the CRC-32 table t by its rule.
+_CRC_TABLE = f"""SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, {_nested("CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END", 8)} AS c FROM (SELECT i, i AS c FROM range(256) r(i)))"""
+
+
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of a short text's UTF-8, with the table's column t in scope."""
+    h = f"hex(encode({text}))"
+    byte = f"CAST(instr('0123456789ABCDEF', {h}[2 * i - 1]) * 16 + instr('0123456789ABCDEF', {h}[2 * i]) - 17 AS BIGINT)"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [{byte} for i in range(1, length({h}) // 2 + 1)]), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _spelling_sql() -> str:
+    runs = r"regexp_extract_all({}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')".format(_LOWER.format("coalesce(text, '')"))
+    return f"""
+WITH RECURSIVE crc_table AS ({_CRC_TABLE}),
+said AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest({runs}) AS w FROM documents) GROUP BY ALL HAVING length(w) >= {spelling.MIN_LENGTH}),
+hashed AS (SELECT w, k, CAST({_crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w")} AS BIGINT) AS h FROM said, crc_table),
+cut AS (SELECT CASE WHEN h % {spelling.DELETE_EVERY} = 0 THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS w, k FROM hashed),
+word AS (SELECT w, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(w) >= {spelling.MIN_LENGTH} GROUP BY w HAVING sum(k) >= {spelling.MIN_COUNT}),
+spot AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM word),
+gap AS (SELECT w, n, i, left(w, i - 1) AS a, substr(w, i + 1) AS b FROM spot),
+pair AS (SELECT x.w AS x, y.w AS y, y.n AS n FROM gap x JOIN gap y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.w <> y.w
+         UNION SELECT g.w, o.w, o.n FROM gap g JOIN word o ON o.w = g.a || g.b
+         UNION SELECT o.w, g.w, g.n FROM gap g JOIN word o ON o.w = g.a || g.b),
+best AS (SELECT x, count(*) AS n_near, max(n) AS most FROM pair GROUP BY x),
+named AS (SELECT x, min(y) AS form, any_value(n) AS form_n, any_value(n_near) AS n_near FROM pair JOIN best USING (x) WHERE n = most GROUP BY x),
+formed AS (SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {spelling.RATIO} * n THEN form END AS form,
+                  CASE WHEN form_n >= {spelling.RATIO} * n THEN form_n END AS form_n FROM word LEFT JOIN named ON w = x),
+follow AS (SELECT w, w AS at FROM formed UNION ALL SELECT follow.w, formed.form FROM follow JOIN formed ON formed.w = follow.at WHERE formed.form IS NOT NULL),
+ends AS (SELECT follow.w, follow.at AS root FROM follow JOIN formed ON formed.w = follow.at WHERE formed.form IS NULL)
+SELECT w AS word, form, root, n, n_near, form_n FROM formed JOIN ends USING (w)"""
+
+
 ORACLE: dict[str, str] = {"op1_decontaminate": _decontaminate_sql(), "op2_line_dedup": _line_dedup_sql(), "op6_ngram_join": _ngram_sql(),
-                          "op10_shards": _shards_sql()}
+                          "op10_shards": _shards_sql(), "op11_spelling": _spelling_sql()}
