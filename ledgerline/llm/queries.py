@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (bpe, decontamination, html_text, language_id, license_scan, line_dedup, ngram_join, pseudonyms,
-                            quality_rules, sharding, spelling)
+                            quality_rules, resampling, sharding, spelling, token_file)
 from ledgerline.llm.common import table
 from ledgerline.llm.feistel import round_keys
 
 #: Vocabulary files; found at the same place on every machine.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 8
 
@@ -88,9 +89,21 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, as read back from a Re-Pair token file."""
+    folder = token_file.write_tokens(spark, table(spark, sf_dir, "documents"), BYTE_BPE)
+    return token_file.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark, and the rank of those drawn."""
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_fertility, op4_bpe, op5_html_text, op6_ngram_join, op7_pseudonyms,
-                            op8_language_id, op9_license_scan, op10_shards, op11_spelling)}
+                            op8_language_id, op9_license_scan, op10_shards, op11_spelling, op12_token_file,
+                            op13_resample)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -214,5 +227,30 @@ ends AS (SELECT follow.w, follow.at AS root FROM follow JOIN formed ON formed.w
 SELECT w AS word, form, root, n, n_near, form_n FROM formed JOIN ends USING (w)"""
 
 
+def _resample_sql() -> str:
+    b, p = resampling.BUCKETS, resampling.PERCENT
+    ws = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER.format("coalesce(text, '')"))
+    digest = f"sha256('{resampling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
+    h = " * 16 + ".join(["(" * 7 + f"CAST(instr('0123456789abcdef', {digest}[1]) - 1 AS BIGINT)"] +
+                        [f"(instr('0123456789abcdef', {digest}[{i}]) - 1))" for i in range(2, 9)])
+    gain = f"floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + {b} AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + {b} AS DOUBLE))))"
+    return f"""
+WITH crc_table AS ({_CRC_TABLE}),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {ws} AS ws FROM documents),
+said AS (SELECT r, w, count(*) AS k FROM (SELECT r, unnest(ws) AS w FROM doc) GROUP BY r, w),
+aim AS (SELECT w, count(*) AS k FROM (SELECT unnest({ws}) AS w FROM benchmark) GROUP BY w),
+hashed AS (SELECT w, {_crc("w")} % {b} AS b FROM (SELECT w FROM said UNION SELECT w FROM aim), crc_table),
+s AS (SELECT b, sum(k) AS s FROM said JOIN hashed USING (w) GROUP BY b), t AS (SELECT b, sum(k) AS t FROM aim JOIN hashed USING (w) GROUP BY b),
+totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS s_all, (SELECT coalesce(sum(t), 0) FROM t) AS t_all),
+gain AS (SELECT b, CAST({gain} AS BIGINT) AS g FROM (SELECT b, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM s FULL JOIN t USING (b)), totals),
+weighed AS (SELECT r, sum(k * g) AS total FROM said JOIN hashed USING (w) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(CASE WHEN len(ws) = 0 THEN 0 ELSE (total - ((total % len(ws)) + len(ws)) % len(ws)) // len(ws) END AS BIGINT) AS weight,
+           CAST(floor(-1000 * ln(-ln((({h}) + 0.5) / 4294967296))) AS BIGINT) AS noise FROM doc LEFT JOIN weighed USING (r)),
+placed AS (SELECT doc_id, n_features, weight, weight + noise AS score, n_features >= {resampling.MIN_WORDS} AS able,
+           row_number() OVER (PARTITION BY n_features >= {resampling.MIN_WORDS} ORDER BY weight + noise DESC, doc_id NULLS FIRST) AS place,
+           count(*) OVER (PARTITION BY n_features >= {resampling.MIN_WORDS}) AS all_ FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= {p} * all_ // 100 THEN place END AS rank FROM placed"""
+
+
 ORACLE: dict[str, str] = {"op1_decontaminate": _decontaminate_sql(), "op2_line_dedup": _line_dedup_sql(), "op6_ngram_join": _ngram_sql(),
-                          "op10_shards": _shards_sql(), "op11_spelling": _spelling_sql()}
+                          "op10_shards": _shards_sql(), "op11_spelling": _spelling_sql(), "op13_resample": _resample_sql()}
