@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import bounded_batches, column, staged
+from ledgerline.llm.common import bounded_batches, column, give_back, staged
 
 #: Words in a chunk; bounds what one task holds at a time. A longer text makes a longer chunk of its own.
 CHUNK_WORDS = 2_400_000
@@ -152,6 +152,7 @@ def chunked(spark: SparkSession, docs: DataFrame, path: str, buckets: int, most:
                 if len(places) >= most or len(ids) >= most:
                     yield rows(ids, lengths, places, seen)
                     ids, lengths, places, seen = [], [], array("I"), {}
+                    give_back()
         if ids:
             yield rows(ids, lengths, places, seen)
 
@@ -174,6 +175,8 @@ def encoded(words: DataFrame, path: str, buckets: int) -> DataFrame:
                         known[w] = " ".join(map(str, bpe.encode(w)))
                 out.append(zstandard.compress("\n".join([known[w] for w in listed]).encode(), LEVEL))
             yield batch.assign(data=out)
+        known.clear()
+        give_back()
 
     rows = words.select("chunk", "bucket", "data", "ranks")
     return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(encode, rows.schema)
@@ -217,6 +220,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
             done.append(pa.table([pa.array(row["ids"], type=texts.schema.field("ids").type.value_type),
                                   pa.array(tokens[ends] - tokens[ends - sizes], type=pa.int64()),
                                   _joined(as_ids, places, spans), _joined(as_pieces, places, spans)], names=schema.names))
+            del as_ids, as_pieces, places, spans
+            give_back()
         return pa.concat_tables(done)
 
     return (chunks.where("bucket < 0").select("chunk", "ids", "data", "ranks").groupBy("chunk")

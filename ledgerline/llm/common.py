@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,13 +57,20 @@ def column(df: DataFrame, name: str):
     return df[f"`{name.replace('`', '``')}`"]
 
 
-#: Rows that a Python worker gets at a time; texts can be long.
-BATCH_ROWS = 1000
+#: Rows, and bytes, that a Python worker gets at a time; texts can be long.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep the session's Arrow batches at BATCH_ROWS rows or fewer, so that a worker holds few texts at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name, "10000"))
-    if not 0 < now <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Keep the session's Arrow batches at BATCH_ROWS rows and BATCH_BYTES bytes or fewer, so that a worker holds few texts at once."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(re.match(r"-?\d+", spark.conf.get(name))[0])
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: workers are used again, and stay."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
