@@ -51,9 +51,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(F.col(f"{name}.n_hit") == 0).drop(name)
 
 
+#: Words that a task of the last stage holds at a time: fewer than by default, as its workers come from four stages before.
+CHUNK_WORDS = 400_000
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token ids and decoded text of every document that is left."""
-    return bpe.encode_texts(spark, docs, WORD_BPE)
+    return bpe.encode_texts(spark, docs, WORD_BPE, most=CHUNK_WORDS)
 
 
 STAGES = [("language_id", keep_known_language), ("line_dedup", drop_repeated_lines), ("ngram_join", keep_one_of_near_copies),
