@@ -41,7 +41,7 @@ LAST_GAIN = 1 / 200
 #: zstandard level of the planes of a grammar.
 LEVEL = 3
 #: Words whose ids a Python worker remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
 
 
 # ---------------------------------------------------------------- ids of a text
