@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: loan_holiday_info columns in table order, with their types and
@@ -31,22 +31,51 @@ LOAN_HOLIDAY_COLUMNS = (
 )
 
 
+def month_of(day: Column) -> Column:
+    """Months since year 0."""
+    return F.year(day) * 12 + F.month(day)
+
+
+def with_versions(facts: DataFrame, day: str, key: str, versions: DataFrame) -> DataFrame:
+    """``facts`` left join ``versions`` (valid_from, valid_to, other columns) on ``key`` and
+    ``day BETWEEN valid_from AND valid_to``: an interval-bin join.
+
+    Each version stands in every month that it covers within the span of the
+    facts' days (one row of bounds, read from the facts); facts and versions
+    meet on (key, month), and the exact range decides within the month. A fact
+    meets only the versions of its month, and the facts of a hot key spread
+    over the months. A NULL end never matches; a fact on a day that two
+    versions share comes twice; a version never meets a fact in two months, as
+    a fact has one.
+    """
+    lo, hi = (facts.select(f(day)).scalar() for f in (F.min, F.max))
+    start = F.greatest(F.col("valid_from"), lo)
+    end = F.least(F.col("valid_to"), hi)
+    covered = F.col("valid_to").isNotNull() & (start <= end)
+    binned = (versions.select("*", F.explode(F.when(covered, F.sequence(month_of(start), month_of(end)))).alias("_month"))
+              .withColumnsRenamed({key: "_key", "_month": "_bin"}))
+    f = facts.withColumn("_month", month_of(F.col(day)))
+    on = (F.col("_key") == F.col(key)) & (F.col("_bin") == F.col("_month")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
+    return f.join(binned, on, "left").drop("_month", "_key", "_bin")
+
+
 def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
     """deal ⟕ holiday on (deal, from) ⟕ product on product and
     ``d.from BETWEEN p.from AND p.to`` (a NULL end never matches; a deal on a
     shared boundary day matches two product versions and appears twice).
+    Columns are named ``d_``, ``lh_`` and ``p_`` and their table's name.
 
     Deal and holiday are both large and meet in a sort-merge join on the deal
-    key. Product is a dimension: the planner broadcasts it while it is below
-    its threshold, else a shuffle join on product key that AQE splits when one
-    product is hot.
+    key. Products meet the deals by product and month (``with_versions``): the
+    planner broadcasts them while they are below its threshold, else a hot
+    product's deals are spread over months.
     """
-    d, lh, p = deal.alias("d"), holiday.alias("lh"), product.alias("p")
-    x = d.join(lh, (F.col("lh.deal_rk") == F.col("d.deal_rk"))
-               & (F.col("lh.effective_from_date") == F.col("d.effective_from_date")), "left")
-    return x.join(p, (F.col("p.product_rk") == F.col("d.product_rk"))
-                  & F.col("d.effective_from_date").between(F.col("p.effective_from_date"),
-                                                          F.col("p.effective_to_date")), "left")
+    d, lh, p = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns]) for tag, df in (("d", deal), ("lh", holiday), ("p", product)))
+    x = d.join(lh, (F.col("lh_deal_rk") == F.col("d_deal_rk")) & (F.col("lh_effective_from_date") == F.col("d_effective_from_date")), "left")
+    p = p.select("*", F.col("p_effective_from_date").alias("valid_from"), F.col("p_effective_to_date").alias("valid_to"),
+                 F.col("p_product_rk").alias("product"))
+    x = with_versions(x.withColumn("product", F.col("d_product_rk")), "d_effective_from_date", "product", p)
+    return x.drop("product", "valid_from", "valid_to")
 
 
 def loan_holiday_info(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
@@ -55,7 +84,7 @@ def loan_holiday_info(deal: DataFrame, holiday: DataFrame, product: DataFrame) -
     have = {"d": set(deal.columns), "lh": set(holiday.columns), "p": set(product.columns)}
     out = []
     for name, dtype, sources in LOAN_HOLIDAY_COLUMNS:
-        present = [F.col(r) for r in sources if r.split(".")[1] in have[r.split(".")[0]]]
+        present = [F.col(r.replace(".", "_", 1)) for r in sources if r.split(".")[1] in have[r.split(".")[0]]]
         out.append(F.coalesce(*present, F.lit(None)).cast(dtype).alias(name))
     return _joined(deal, holiday, product).select(*out)
 
