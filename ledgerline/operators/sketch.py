@@ -94,8 +94,8 @@ def seen_twice(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFram
     return sent.repartition("slice").sortWithinPartitions("slice").mapInPandas(merge, "slice int, bits binary")
 
 
-def maybe_repeated(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:
-    """The rows of ``df`` whose key may occur more than once: all of those that do, and few others.
+def split_repeated(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may occur more than once, rows whose key occurs once): the first has all that do, and few others.
 
     Runs the sketch as a job; the bitmap (2^bits bits at most, 16 MB) passes
     through the driver to the tasks that filter.
@@ -103,7 +103,7 @@ def maybe_repeated(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> Data
     span = 1 << min(bits, SLICE_BITS)
     bitmap = {r["slice"]: bytes(r["bits"]) for r in seen_twice(df, keys, bits).collect()}   # bounded: 2^bits bits
     if not bitmap:
-        return df.where(F.lit(False))
+        return df.where(F.lit(False)), df
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
@@ -119,7 +119,13 @@ def maybe_repeated(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> Data
                 out[here] = slices[s][at[here] - s * span] > 0
             yield pd.Series(out)
 
-    return df.where(hit(_key_hash(keys, bits)))
+    may = hit(_key_hash(keys, bits))
+    return df.where(may), df.where(~may)
+
+
+def maybe_repeated(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose key may occur more than once."""
+    return split_repeated(df, keys, bits)[0]
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:

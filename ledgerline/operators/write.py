@@ -34,6 +34,25 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.join(new, same, "left_anti").unionByName(src)
 
 
+#: Partition column of tables stored in hash buckets of their key.
+BUCKET = "_bucket"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with the hash bucket of its key. The keys must have the stored table's types."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_buckets(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int, path: str) -> list[int]:
+    """Upsert into the table at ``path``, stored in hash buckets: only the buckets of the source's keys
+    are read and replaced. Returns them."""
+    src = with_bucket(source.select(*[c for c in target.columns if c != BUCKET]), keys, buckets)
+    hit = sorted(r[0] for r in src.select(BUCKET).distinct().collect())   # at most ``buckets`` values
+    touched = target.where(F.col(BUCKET).isin(hit)).select(*src.columns)
+    refresh_partitions(upsert_by_key(touched, src, keys), path, BUCKET, hit)
+    return hit
+
+
 def replace(target_columns: Sequence[str], source: DataFrame) -> DataFrame:
     """Full reload (truncate + insert of named columns)."""
     return source.select(*target_columns)
@@ -185,12 +204,12 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
 
 def export_csv(df: DataFrame, path: str, order_by: Sequence[str], single_file: bool = False) -> str:
     """Sorted CSV with header, UTF-8. Part files follow the sort order; one
-    file only on request (that funnels the data through one task)."""
+    file only on request (that funnels the data through one task). A failed
+    export leaves the old one as it was."""
     out = df.orderBy(*order_by)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
-    return path
+    return write_table(out, path, fmt="csv", options={"header": "true", "encoding": "UTF-8"})
 
 
 def require_rows(df: DataFrame, what: str) -> None:

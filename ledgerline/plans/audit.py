@@ -16,6 +16,8 @@ from pyspark.sql.types import (
     DecimalType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
+from ledgerline.operators.write import write_table
+
 # Fixed value: longest stored error message.
 MAX_MESSAGE = 4000
 
@@ -26,7 +28,7 @@ TABLE_EVENT_SCHEMA = StructType([
     StructField("started_at", TimestampType(), False), StructField("rows_read", LongType(), True),
     StructField("rows_loaded", LongType(), True), StructField("bad_date_rows", LongType(), True),
     StructField("error_message", StringType(), True), StructField("ended_at", TimestampType(), True),
-    StructField("bad_number_rows", LongType(), True),
+    StructField("bad_number_rows", LongType(), True), StructField("malformed_rows", LongType(), True),
 ])
 
 
@@ -35,17 +37,36 @@ def truncate_message(c: Column | str) -> Column:
     return F.substring(c, 1, MAX_MESSAGE)
 
 
-def table_event(spark: SparkSession, run_id: str, table_name: str, source_file: str, load_mode: str,
+def event_row(run_id: str, table_name: str, source_file: str, load_mode: str,
                 status: str, rows_read: int | None = None, rows_loaded: int | None = None,
                 bad_date_rows: int | None = None, error: str | None = None,
                 at: dt.datetime | None = None, ended_at: dt.datetime | None = None,
-                bad_number_rows: int | None = None) -> DataFrame:
-    """One audit row (append it to the audit table). ``at`` is the start of the
+                bad_number_rows: int | None = None, malformed_rows: int | None = None) -> tuple:
+    """One audit row, in the order of TABLE_EVENT_SCHEMA. ``at`` is the start of the
     table's load in all its rows; its last row has ``ended_at`` too."""
-    row = (uuid.uuid4().hex, run_id, table_name, source_file, load_mode, status,
-           at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), rows_read, rows_loaded,
-           bad_date_rows, error[:MAX_MESSAGE] if error else None, ended_at, bad_number_rows)
-    return spark.createDataFrame([row], TABLE_EVENT_SCHEMA)
+    return (uuid.uuid4().hex, run_id, table_name, source_file, load_mode, status,
+            at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), rows_read, rows_loaded,
+            bad_date_rows, error[:MAX_MESSAGE] if error else None, ended_at, bad_number_rows, malformed_rows)
+
+
+def table_event(spark: SparkSession, *args, **kw) -> DataFrame:
+    """One audit row as a frame (append it to the audit table); arguments as of ``event_row``."""
+    return spark.createDataFrame([event_row(*args, **kw)], TABLE_EVENT_SCHEMA)
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> int:
+    """Rewrite an event table with the latest event of each key only, in few files; the rows left.
+
+    The current state, totals and durations that end events give stay as they
+    are; what goes are the STARTED rows of what has ended.
+    """
+    log = spark.read.schema(schema).parquet(path)
+    order = [c for c in ("started_at", "ended_at", "id", "status") if c in log.columns]
+    ended = F.col("ended_at").isNotNull()
+    best = F.max_by(F.struct(*log.columns), F.struct(ended, *[F.col(c) for c in order])).alias("_v")
+    left = log.groupBy(*keys).agg(best).select("_v.*")
+    write_table(left.select(*log.columns).coalesce(1), path)
+    return spark.read.parquet(path).count()
 
 
 def current_state(log: DataFrame, keys: Sequence[str] = ("run_id", "table_name"),

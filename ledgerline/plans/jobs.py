@@ -12,10 +12,13 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -23,13 +26,16 @@ from pyspark.sql.types import (
 )
 
 from ledgerline.functions.dates import prev_month_bounds
-from ledgerline.operators import quality
+from ledgerline.operators import quality, sketch
 from ledgerline.operators.asof import versions_in
-from ledgerline.operators.write import check_loaded, refresh_partitions, require_rows, upsert_by_key, write_table
+from ledgerline.operators.write import (
+    BUCKET, check_loaded, empty_like, refresh_partitions, require_rows, stored, upsert_buckets, upsert_by_key, with_bucket,
+    write_table,
+)
 from ledgerline.plans import marts, report, task2
-from ledgerline.plans.audit import MAX_MESSAGE, table_event
+from ledgerline.plans.audit import MAX_MESSAGE, TABLE_EVENT_SCHEMA, compact, event_row
 from ledgerline.sources import ingest
-from ledgerline.sources.specs import LOAD_ORDER, TABLES, UPSERT, TableSpec
+from ledgerline.sources.specs import LOAD_AFTER, LOAD_ORDER, TABLES, UPSERT, TableSpec
 
 RUN_EVENT_SCHEMA = StructType([
     StructField("run_id", StringType(), False), StructField("dag_id", StringType(), False),
@@ -56,7 +62,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 @dataclass
 class Run:
-    """One audited run: appends run and table events to the audit tables."""
+    """One audited run: run and table events in the audit tables.
+
+    Events are gathered and written once per change of state: STARTED events
+    with the next end event, each write one file. Steps may run in threads.
+    """
 
     spark: SparkSession
     root: str
@@ -68,10 +78,19 @@ class Run:
     rows_loaded: int = 0
 
     def __post_init__(self):
+        self._lock, self._waiting = threading.Lock(), []
         self._run_event("STARTED")
 
     def _append(self, rows, schema, table):
-        self.spark.createDataFrame(rows, schema).write.mode("append").parquet(_path(self.root, "logs", table))
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(_path(self.root, "logs", table))
+
+    def _table_events(self, row, write: bool) -> None:
+        """Keep a table event, and write all that are kept if its state is an end."""
+        with self._lock:
+            self._waiting.append(row)
+            if write:
+                rows, self._waiting = self._waiting, []
+                self._append(rows, TABLE_EVENT_SCHEMA, "etl_table_log")
 
     def _run_event(self, status, error=None):
         ended = None if status == "STARTED" else _now()
@@ -85,26 +104,28 @@ class Run:
                      RUN_EVENT_SCHEMA, "etl_run_log")
 
     def table(self, table_name: str, source: str, mode: str,
-              fn: Callable[[], tuple[int, int] | tuple[int, int, int] | tuple[int, int, int, int]]) -> tuple[int, int]:
-        """Run one table step ``fn() -> (rows_read, rows_loaded[, bad_date_rows, bad_number_rows])``
-        between a STARTED and a SUCCESS/FAILED event. Totals count successful steps."""
-        start = _now()
+              fn: Callable[[], tuple[int, ...]], at: dt.datetime | None = None) -> tuple[int, int]:
+        """Run one table step ``fn() -> (rows_read, rows_loaded[, bad_date_rows, bad_number_rows, malformed_rows])``
+        between a STARTED and a SUCCESS/FAILED event. Totals count successful steps.
+        ``at``: when the step was started, if not now."""
+        start = at or _now()
 
-        def event(status: str, counts=(None,) * 4, error=None, ended=None) -> None:
-            read, loaded, dates, numbers = counts
-            table_event(self.spark, self.run_id, table_name, source, mode, status, read, loaded, dates, error, start,
-                        ended, numbers).write.mode("append").parquet(_path(self.root, "logs", "etl_table_log"))
+        def event(status: str, counts=(None,) * 5, error=None, ended=None) -> None:
+            read, loaded, dates, numbers, malformed = counts
+            self._table_events(event_row(self.run_id, table_name, source, mode, status, read, loaded, dates, error, start,
+                                         ended, numbers, malformed), status != "STARTED")
 
         event("STARTED")
         try:
-            counts = (tuple(fn()) + (0, 0))[:4]
+            counts = (tuple(fn()) + (0, 0, 0))[:5]
         except Exception as exc:
-            known = [getattr(exc, k, None) for k in ("rows_read", "rows_loaded", "bad_date_rows", "bad_number_rows")]
+            known = [getattr(exc, k, None) for k in ("rows_read", "rows_loaded", "bad_date_rows", "bad_number_rows", "malformed_rows")]
             event("FAILED", known, f"{type(exc).__name__}: {exc}", _now())
             raise
         event("SUCCESS", counts, None, _now())
-        self.rows_read += counts[0]
-        self.rows_loaded += counts[1]
+        with self._lock:
+            self.rows_read += counts[0]
+            self.rows_loaded += counts[1]
         return counts[0], counts[1]
 
     def finish(self, error: str | None = None) -> None:
@@ -124,38 +145,110 @@ def _audited(run: Run, body: Callable[[], None]) -> Run:
 # ---------------------------------------------------------------- D2: detail layer
 
 def load_all(spark: SparkSession, files: Mapping[str, str], root: str, sep: str = ";",
-             run_type: str = "manual") -> Run:
-    """Load the declared detail tables in dependency order (D1 per table).
+             run_type: str = "manual", at_once: int = 3) -> Run:
+    """Load the declared detail tables (D1 per table), as many as ``at_once`` at a time.
 
     ``files`` maps table name → CSV path; tables without a file are skipped.
-    ``rows_loaded`` of a table is its size after the load, as in the reference.
+    A table waits for those that it depends on (``specs.LOAD_AFTER``); where
+    one fails, its dependants are left out and audited as FAILED, the others
+    are loaded, and the run fails with the first error. ``at_once`` 1 loads in
+    the declared order. ``rows_loaded`` of a table is its size after the load.
     """
     run = Run(spark, root, "detail_load", run_type)
 
-    def body():
-        for name in LOAD_ORDER:
-            if name not in files:
+    def load(name: str, at: dt.datetime) -> None:
+        spec, target_path = TABLES[name], _path(root, "ds", name)
+
+        def step():
+            target = spark.read.parquet(target_path) if _exists(spark, target_path) else None
+            res = ingest.load_table(spark, spec, files[name], None if target is None else target.drop(BUCKET), sep,
+                                    lambda lines: _keep_rejects(run, name, lines))
+            try:
+                _store(spark, spec, res, target, target_path)
+            finally:
+                res.release()
+            return res.rows_read, spark.read.parquet(target_path).count(), res.bad_date_rows, res.bad_number_rows, res.malformed_rows
+
+        run.table(spec.target, f"csv:{files[name]}", spec.mode, step, at)
+
+    def skip(name: str, after: str) -> None:
+        def step():
+            raise RuntimeError(f"not loaded: {after} failed")
+        try:
+            run.table(TABLES[name].target, f"csv:{files[name]}", TABLES[name].mode, step)
+        except RuntimeError:
+            pass
+
+    return _audited(run, lambda: _in_graph(spark, [t for t in LOAD_ORDER if t in files], LOAD_AFTER, load, skip, at_once, run.run_id))
+
+
+def _in_graph(spark: SparkSession, names: list[str], after: Mapping[str, tuple[str, ...]], work: Callable[[str, dt.datetime], None],
+              skip: Callable[[str, str], None], at_once: int, group: str) -> None:
+    """Run ``work(name, start)`` for each name once those in ``after`` are done, in threads.
+
+    Each thread has its own job group, and its own pool, which counts where the
+    session's scheduler is FAIR. A name whose need failed is skipped. When all
+    that could run has run, the first error is raised.
+    """
+    done: set[str] = set()
+    failed: dict[str, BaseException | None] = {}
+    running: dict = {}
+
+    @inheritable_thread_target(spark)
+    def one(name: str, at: dt.datetime) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        spark.sparkContext.setJobGroup(f"{group}-{name}", f"load {name}", interruptOnCancel=True)
+        work(name, at)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        todo = list(names)
+        while todo or running:
+            for name in list(todo):
+                needs = [n for n in after.get(name, ()) if n in names]
+                broken = next((n for n in needs if n in failed), None)
+                if broken:
+                    todo.remove(name)
+                    failed[name] = None
+                    skip(name, broken)
+                elif all(n in done for n in needs) and len(running) < max(1, at_once):
+                    todo.remove(name)
+                    running[pool.submit(one, name, _now())] = name
+            if not running:
                 continue
-            spec, target_path = TABLES[name], _path(root, "ds", name)
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                if future.exception() is None:
+                    done.add(name)
+                else:
+                    failed[name] = future.exception()
+    for error in failed.values():
+        if error is not None:
+            raise error
 
-            def step(spec=spec, target_path=target_path, src=files[name]):
-                target = spark.read.parquet(target_path) if _exists(spark, target_path) else None
-                res = ingest.load_table(spark, spec, src, target, sep=sep)
-                try:
-                    _store(spark, spec, res, target, target_path)
-                finally:
-                    res.release()
-                return res.rows_read, spark.read.parquet(target_path).count(), res.bad_date_rows, res.bad_number_rows
 
-            run.table(spec.target, f"csv:{files[name]}", spec.mode, step)
+def compact_audit(spark: SparkSession, root: str) -> None:
+    """Rewrite both audit tables with the latest event of each run, and of each run's table. Run it while no job writes events."""
+    for table, schema, keys in (("etl_run_log", RUN_EVENT_SCHEMA, ["run_id"]), ("etl_table_log", TABLE_EVENT_SCHEMA, ["run_id", "table_name"])):
+        compact(spark, _path(root, "logs", table), schema, keys)
 
-    return _audited(run, body)
+
+def _keep_rejects(run: Run, table: str, lines: DataFrame) -> None:
+    """Malformed lines of a file, in ``logs/rejected_lines`` under the run and table."""
+    path = os.path.join(_path(run.root, "logs", "rejected_lines"), f"run_id={run.run_id}", f"table_name={table}")
+    write_table(lines, path)
 
 
 def _store(spark: SparkSession, spec: TableSpec, res: ingest.LoadResult, target: DataFrame | None, path: str) -> None:
     """Store a load. An upsert into a table partitioned by a key date reads and
-    rewrites the days of the file only; the rest of the table is not touched."""
+    rewrites the days of the file only, one into a table in hash buckets the
+    buckets of the file's keys only; the rest of the table is not touched."""
     day = spec.partition_by
+    if spec.buckets and spec.mode == UPSERT:
+        if target is not None and BUCKET in target.columns:
+            upsert_buckets(target, res.source, spec.keys, spec.buckets, path)
+        else:
+            write_table(with_bucket(res.table, spec.keys, spec.buckets), path, [BUCKET])
+        return
     if target is None or spec.mode != UPSERT or day is None:
         write_table(res.table, path, [day] if day else ())
         return
@@ -231,7 +324,7 @@ def repair_balance(spark: SparkSession, root: str) -> Run:
     chain = spark.read.parquet(path)
 
     def step():
-        twice = quality.duplicate_key_count(chain, ["account_rk", "effective_date"]).first()[0]
+        twice = sketch.repeated_keys(chain, ["account_rk", "effective_date"]).count()
         if twice:
             raise ValueError(f"rd.account_balance has {twice} repeated (account, day) keys")
         fixed, fixes = quality.repair_chain(chain)
@@ -255,16 +348,23 @@ def reload_balance_turnover(spark: SparkSession, root: str) -> Run:
 def delete_duplicates(spark: SparkSession, root: str, table: str = "client",
                       keys: tuple[str, ...] = ("client_rk", "effective_from_date")) -> Run:
     """Keep one row per key of ``dm.<table>``; the deleted rows are stored in
-    ``dm.<table>_deleted``. Fails if a key is still repeated in the stored table."""
+    ``dm.<table>_deleted``, in a partition per run, so that a later run leaves
+    them there. Fails if a key is still repeated in the stored table.
+
+    Rows whose key cannot be repeated (``sketch``) are kept as they are,
+    without a shuffle; only the others are ranked."""
     run, path = Run(spark, root, f"{table}_duplicates"), _path(root, "dm", table)
 
     def step():
         rows = spark.read.parquet(path)
-        kept, deleted = quality.dedup_split(rows, keys)
-        gone, n = _reload(spark, deleted, f"{path}_deleted"), rows.count()
-        left = _reload(spark, kept, path)
+        maybe, sure = sketch.split_repeated(rows, keys)
+        kept, deleted = quality.dedup_split(maybe, keys)
+        out, n = f"{path}_deleted", rows.count()
+        refresh_partitions(deleted.withColumn("run_id", F.lit(run.run_id)), out, "run_id", [run.run_id])
+        gone = read_partition(spark, out, "run_id", run.run_id).count() if _exists(spark, f"{out}/run_id={run.run_id}") else 0
+        left = _reload(spark, sure.unionByName(kept.select(*rows.columns)), path)
         check_loaded(n - gone, left, f"dm.{table}")
-        still = quality.duplicate_key_count(spark.read.parquet(path), keys).first()[0]
+        still = sketch.repeated_keys(spark.read.parquet(path), keys).count()
         if still:
             raise RuntimeError(f"dm.{table}: {still} keys are still repeated")
         return n, left
@@ -294,7 +394,10 @@ def import_report(spark: SparkSession, root: str, path: str, table: str = "dm_f1
     run = Run(spark, root, "report_import")
 
     def step():
-        schema = spark.read.parquet(_path(root, "dm", "dm_f101_round_f")).select(*marts.F101_COLS).schema
+        target = _path(root, "dm", table)
+        if not _exists(spark, target):   # made like the first report table
+            write_table(empty_like(spark, spark.read.parquet(_path(root, "dm", "dm_f101_round_f")).select(*marts.F101_COLS)), target)
+        schema = spark.read.parquet(target).schema
         rows = report.import_report(spark, path, schema)
         require_rows(rows, path)
         n = ingest.file_data_rows(spark, path)
@@ -326,7 +429,7 @@ def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run
     """
     lo, hi = prev_month_bounds(report_date)
     seed_day = seed_day or (lo - dt.timedelta(days=1))
-    ds = lambda t: spark.read.parquet(_path(root, "ds", t))
+    ds = lambda t: spark.read.parquet(_path(root, "ds", t)).drop(BUCKET)
     dm = lambda t: _path(root, "dm", t)
     run = Run(spark, root, "month_marts", "procedure")
     days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
@@ -361,3 +464,59 @@ def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run
                                     "dm_f101_round_f", "period", [f"{lo}_{hi}"]), 0))
 
     return _audited(run, body)
+
+
+def post_late(spark: SparkSession, root: str, late: DataFrame, lo, hi) -> Run:
+    """Postings that arrive after the marts of [lo, hi] were stored: the same marts as a full recompute.
+
+    ``late`` has the columns of ``ft_posting_f``; all its days must lie in
+    [lo, hi], else the job fails before it writes. The postings are added to
+    the stored days of ``ds.ft_posting_f``; the turnover of the late days gets
+    new rows for the touched accounts; the balances of the touched accounts
+    move by suffix deltas from the first late day on. Days before it, and the
+    balances' plan for other accounts, are not touched; a day's folder is
+    rewritten whole, with the other accounts' rows copied. The steps replace
+    whole days, but a rerun would add the postings again.
+    """
+    run = Run(spark, root, "late_postings", "procedure")
+    ds, dm = (lambda t: _path(root, "ds", t)), (lambda t: _path(root, "dm", t))
+    cols = [c for c, _ in TABLES["ft_posting_f"].columns]
+    late = stored(late.select(*cols), "late-postings")
+
+    def body():
+        days = sorted(r[0] for r in late.select("oper_date").distinct().collect())   # one value per calendar day
+        if any(d is None or not lo <= d <= hi for d in days):
+            raise ValueError(f"late postings outside {lo}..{hi}")
+        if not days:
+            return
+        dims = [spark.read.parquet(ds(t)).drop(BUCKET) for t in ("md_account_d", "md_exchange_rate_d")]
+        turnover, balance = spark.read.parquet(dm("dm_account_turnover_f")), spark.read.parquet(dm("dm_account_balance_f"))
+        new, change = marts.late_turnover(turnover.where(F.col("on_date").isin(days)), late, *dims, lo, hi)
+        new, change = stored(new, "late-turnover"), stored(change, "late-change")   # before the days they read are replaced
+
+        def post():
+            old = spark.read.parquet(ds("ft_posting_f")).where(F.col("oper_date").isin(days)).select(*cols)
+            refresh_partitions(old.unionByName(late), ds("ft_posting_f"), "oper_date", days)
+            return late.count(), late.count()
+
+        def turn():
+            keys = new.select(F.col("on_date").alias("_d"), F.col("account_rk").alias("_a"))
+            rest = turnover.where(F.col("on_date").isin(days)).join(
+                keys, (F.col("on_date") == F.col("_d")) & (F.col("account_rk") == F.col("_a")), "left_anti")
+            refresh_partitions(rest.select(*marts.TURNOVER_COLS).unionByName(new), dm("dm_account_turnover_f"), "on_date", days)
+            return late.count(), new.count()
+
+        def carry():
+            first = days[0]
+            later = [first + dt.timedelta(days=i) for i in range((hi - first).days + 1)]
+            moved = stored(marts.late_balance(balance, change, dims[0], first, hi), "late-balance")
+            touched = change.select(F.col("account_rk").alias("_t")).distinct()
+            rest = balance.where(F.col("on_date").isin(later)).join(touched, F.col("account_rk") == F.col("_t"), "left_anti")
+            refresh_partitions(rest.select(*marts.BALANCE_COLS).unionByName(moved), dm("dm_account_balance_f"), "on_date", later)
+            return change.count(), moved.count()
+
+        run.table("ds.ft_posting_f", "late postings", "append_days", post)
+        run.table("dm.dm_account_turnover_f", "late postings", "late_change", turn)
+        run.table("dm.dm_account_balance_f", "late postings", "late_change", carry)
+
+    return _audited(run, body)

@@ -78,7 +78,11 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     version of that currency effective on that day; no rate → 1.
     """
     hi = lo if hi is None else hi
-    t = daily_turnover(postings, lo, hi)
+    return in_roubles(daily_turnover(postings, lo, hi), accounts, rates, lo, hi)
+
+
+def in_roubles(t: DataFrame, accounts: DataFrame, rates: DataFrame, lo, hi) -> DataFrame:
+    """Daily sums (on_date, account_rk, credit_amount, debet_amount) with their rouble amounts."""
     acc = accounts.select("account_rk", "data_actual_date", "data_actual_end_date", "currency_rk")
     if _date(lo) == _date(hi):
         t = asof_lookup(t, acc, {"account_rk": "account_rk"}, lo, ["currency_rk"])
@@ -97,6 +101,56 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     )
 
 
+# ---------------------------------------------------------------- late postings
+
+def late_turnover(stored: DataFrame, late: DataFrame, accounts: DataFrame, rates: DataFrame, lo, hi) -> tuple[DataFrame, DataFrame]:
+    """(new turnover rows, change): what late postings of days in [lo, hi] make of the stored turnover.
+
+    Only (day, account) pairs that the late postings touch come out. The
+    amounts add up; the rouble amounts are converted again from the new sums,
+    as their rounding does not add up. ``change`` (on_date, account_rk, chg,
+    chg_rub) is new less stored, credit less debit.
+    """
+    sums = daily_turnover(late, lo, hi)
+    old = (stored.where(within("on_date", lo, hi))
+                 .join(sums.select(F.col("on_date").alias("_d"), F.col("account_rk").alias("_a")),
+                       (F.col("on_date") == F.col("_d")) & (F.col("account_rk") == F.col("_a")), "left_semi"))
+    both = old.select("on_date", "account_rk", "credit_amount", "debet_amount").unionByName(sums)
+    total = both.groupBy("on_date", "account_rk").agg(money(F.sum("credit_amount")).alias("credit_amount"),
+                                                      money(F.sum("debet_amount")).alias("debet_amount"))
+    new = in_roubles(total, accounts, rates, lo, hi).select(*TURNOVER_COLS)
+    change = DecimalType(24, 8)
+    net = lambda sign, c, d: (sign * (F.col(c) - F.col(d))).cast(change)
+    legs = [df.select("on_date", "account_rk", net(sign, "credit_amount", "debet_amount").alias("chg"),
+                      net(sign, "credit_amount_rub", "debet_amount_rub").alias("chg_rub")) for df, sign in ((new, F.lit(1)), (old, F.lit(-1)))]
+    moved = legs[0].unionByName(legs[1]).groupBy("on_date", "account_rk").agg(
+        F.sum("chg").cast(change).alias("chg"), F.sum("chg_rub").cast(change).alias("chg_rub"))
+    return new, moved
+
+
+def late_balance(stored: DataFrame, change: DataFrame, accounts: DataFrame, lo, hi) -> DataFrame:
+    """The stored balances of [lo, hi] of the accounts in ``change``, moved by suffix deltas.
+
+    A day's signed change (the sign of the kind effective that day) is added to
+    that day and the account's later days of the same run of consecutive days;
+    a day on which the account has no balance changes nothing. ``lo`` must be
+    no later than the first changed day. Other accounts' rows do not come out.
+    """
+    kinds = accounts.select("account_rk", "data_actual_date", "data_actual_end_date", is_passive("char_type").alias("_passive"))
+    signed = asof_lookup_by_row(change.where(within("on_date", lo, hi)), kinds, {"account_rk": "account_rk"}, "on_date",
+                                ["on_date", "account_rk"], ["_passive"])
+    sign = lambda c: F.when(F.col("_passive"), F.col(c)).otherwise(-F.col(c))
+    deltas = signed.select(F.col("account_rk").alias("_a"), F.col("on_date").alias("_d"), sign("chg").alias("_x"), sign("chg_rub").alias("_x_rub"))
+    touched = change.select(F.col("account_rk").alias("_t")).distinct()
+    rows = (stored.where(within("on_date", lo, hi)).join(touched, F.col("account_rk") == F.col("_t"), "left_semi")
+                  .join(deltas, (F.col("account_rk") == F.col("_a")) & (F.col("on_date") == F.col("_d")), "left"))
+    zero_if_none = lambda c: F.coalesce(F.col(c), F.lit(0).cast(DecimalType(24, 8))).alias(c)
+    rows = rows.select(*BALANCE_COLS, zero_if_none("_x"), zero_if_none("_x_rub"))
+    run = island_running_sum(rows, "account_rk", "on_date", ["_x", "_x_rub"], lo)
+    return run.select("on_date", "account_rk", money(F.col("balance_out") + F.col("_x")).alias("balance_out"),
+                      money(F.col("balance_out_rub") + F.col("_x_rub")).alias("balance_out_rub"))
+
+
 def seed_balance(balances: DataFrame, rates: DataFrame, d) -> DataFrame:
     """Opening balance mart rows for date ``d`` from the source balance file,
     converted with the rate of the row's own currency effective on ``d``."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import quality
+from ledgerline.operators import quality, sketch
 from ledgerline.operators.asof import asof_lookup, versions_in, versions_on
 from ledgerline.plans import marts, task2
 from ledgerline.plans.queries import (
@@ -49,16 +49,11 @@ def q_active_accounts_in_period(spark, sf_dir):
 
 
 @query("asof_account_currency", with_views(f"""
-WITH acct AS (
-  SELECT credit_account_rk AS account_rk FROM v_posting WHERE oper_date = {_q(DAY)} AND credit_account_rk IS NOT NULL
-  UNION
-  SELECT debet_account_rk FROM v_posting WHERE oper_date = {_q(DAY)} AND debet_account_rk IS NOT NULL)
-SELECT t.account_rk, acc.currency_rk
-FROM acct t
-LEFT JOIN LATERAL (SELECT a.currency_rk FROM v_account a
-                   WHERE a.account_rk = t.account_rk
-                     AND {_q(DAY)} BETWEEN a.data_actual_date AND coalesce(a.data_actual_end_date, DATE '5999-12-31')
-                   ORDER BY a.data_actual_date DESC LIMIT 1) acc ON TRUE""", "v_posting", "v_account"))
+WITH legs AS (SELECT unnest([credit_account_rk, debet_account_rk]) AS account_rk FROM v_posting WHERE oper_date = {_q(DAY)}),
+valid AS (SELECT account_rk, arg_max_null(currency_rk, data_actual_date) AS currency_rk FROM v_account
+          WHERE data_actual_date <= {_q(DAY)} AND (data_actual_end_date IS NULL OR data_actual_end_date >= {_q(DAY)}) GROUP BY account_rk)
+SELECT DISTINCT legs.account_rk, valid.currency_rk FROM legs LEFT JOIN valid USING (account_rk)
+WHERE legs.account_rk IS NOT NULL""", "v_posting", "v_account"))
 def q_asof_account_currency(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     p = fx.v_posting.where(F.col("oper_date") == F.lit(DAY))
@@ -71,19 +66,13 @@ def q_asof_account_currency(spark, sf_dir):
 
 
 @query("asof_ledger_chapter", with_views(f"""
-WITH aa AS (
-  SELECT account_rk, ledger_account FROM (
-    SELECT a.account_rk, substring(CAST(a.account_number AS STRING), 1, 5) AS ledger_account,
-           row_number() OVER (PARTITION BY a.account_rk ORDER BY a.data_actual_date DESC) AS rn
-    FROM v_account a
-    WHERE a.data_actual_date <= {_q(RANGE_HI)} AND coalesce(a.data_actual_end_date, DATE '5999-12-31') >= {_q(RANGE_LO)}
-      AND a.account_number IS NOT NULL) s WHERE rn = 1)
-SELECT a.account_rk, a.ledger_account, l.chapter
-FROM aa a
-LEFT JOIN LATERAL (SELECT ls.chapter FROM v_ledger ls
-                   WHERE CAST(ls.ledger_account AS STRING) = a.ledger_account
-                     AND {_q(RANGE_HI)} BETWEEN ls.start_date AND coalesce(ls.end_date, DATE '5999-12-31')
-                   ORDER BY ls.start_date DESC LIMIT 1) l ON TRUE""", "v_account", "v_ledger"))
+WITH numbered AS (SELECT account_rk, arg_max(account_number, data_actual_date) AS number FROM v_account
+                  WHERE account_number IS NOT NULL AND data_actual_date <= {_q(RANGE_HI)}
+                    AND (data_actual_end_date IS NULL OR data_actual_end_date >= {_q(RANGE_LO)}) GROUP BY account_rk),
+chapters AS (SELECT CAST(ledger_account AS STRING) AS code, arg_max_null(chapter, start_date) AS chapter FROM v_ledger
+             WHERE start_date <= {_q(RANGE_HI)} AND (end_date IS NULL OR end_date >= {_q(RANGE_HI)}) GROUP BY ledger_account)
+SELECT account_rk, left(CAST(number AS STRING), 5) AS ledger_account, chapter
+FROM numbered LEFT JOIN chapters ON code = left(CAST(number AS STRING), 5)""", "v_account", "v_ledger"))
 def q_asof_ledger_chapter(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     acc = versions_in(fx.v_account.where(F.col("account_number").isNotNull()), RANGE_LO, RANGE_HI,
@@ -115,6 +104,14 @@ def q_duplicate_keys(spark, sf_dir):
         "client_rk", "effective_from_date")
 
 
+@query("duplicate_keys_sketched", with_views("""
+SELECT client_rk, effective_from_date, count(*) AS rows_count FROM v_client
+GROUP BY client_rk, effective_from_date HAVING count(*) > 1""", "v_client"))
+def q_duplicate_keys_sketched(spark, sf_dir):
+    """The same keys through the fixed-size sketch; its bitmap is built while the frame is."""
+    return sketch.repeated_keys(fixtures(spark, sf_dir).v_client, ["client_rk", "effective_from_date"])
+
+
 @query("duplicate_key_count", with_views("""
 SELECT count(*) AS duplicate_keys FROM (
   SELECT client_rk, effective_from_date FROM v_client GROUP BY client_rk, effective_from_date HAVING count(*) > 1) d""",
@@ -140,22 +137,20 @@ def q_key_violations(spark, sf_dir):
     return quality.key_violations({t: (fx[t], keys) for t, keys in _KEYED})
 
 
-_RANKED = f"""
-ranked AS (
-  SELECT c.*, row_number() OVER (PARTITION BY client_rk, effective_from_date
-                                 ORDER BY {', '.join(f'{c} NULLS LAST' for c in _CLIENT_COLS[2:])}) AS rn
-  FROM v_client c)"""
+def _nth_copies(which: str) -> str:
+    """Rows of a key by their place in the order of their other columns, NULLs last."""
+    cols, rest = ", ".join(_CLIENT_COLS), ", ".join(f"{c} NULLS LAST" for c in _CLIENT_COLS[2:])
+    return with_views(f"SELECT {cols} FROM v_client WINDOW same_key AS (PARTITION BY client_rk, effective_from_date ORDER BY {rest}) "
+                      f"QUALIFY row_number() OVER same_key {which}", "v_client")
 
 
-@query("dedup_kept", with_views(f", {_RANKED.strip()}\nSELECT {', '.join(_CLIENT_COLS)} FROM ranked WHERE rn = 1",
-                                "v_client").replace(")\n, ranked", "),\nranked"))
+@query("dedup_kept", _nth_copies("= 1"))
 def q_dedup_kept(spark, sf_dir):
     kept, _ = quality.dedup_split(fixtures(spark, sf_dir).v_client, ["client_rk", "effective_from_date"])
     return kept
 
 
-@query("dedup_deleted", with_views(f", {_RANKED.strip()}\nSELECT {', '.join(_CLIENT_COLS)} FROM ranked WHERE rn > 1",
-                                   "v_client").replace(")\n, ranked", "),\nranked"))
+@query("dedup_deleted", _nth_copies("> 1"))
 def q_dedup_deleted(spark, sf_dir):
     _, deleted = quality.dedup_split(fixtures(spark, sf_dir).v_client, ["client_rk", "effective_from_date"])
     # returned in the reference's order: key, then end date and the rest NULLS LAST

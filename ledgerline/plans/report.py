@@ -51,13 +51,35 @@ def with_export_order(report: DataFrame) -> DataFrame:
 def patch_nth_rows(df: DataFrame, changes: Sequence[tuple[str, Decimal]],
                    order_cols: Sequence[str] = REPORT_ORDER) -> DataFrame:
     """Add ``delta`` to column ``c`` of the i-th row (1-based, in ``order_cols``
-    order) for the i-th change. Exact decimal add; the column keeps its type."""
-    for c, _ in changes:
-        if c not in df.columns:
-            raise RuntimeError(f"no required column {c!r}")
-    x = positions(df, order_cols, "_pos")
-    cols = []
-    for c in df.columns:
+    order) for the i-th change. Exact decimal add; the column keeps its type.
+
+    Only the first n rows are looked for (a top-n per task, no sort of the
+    frame); they are then met again by all their values, NULLs included. The
+    other columns break ties in the order, and of full copies as many are
+    patched as stand among the first n.
+    """
+    absent = sorted({c for c, _ in changes} - set(df.columns))
+    if absent:
+        raise RuntimeError(f"nothing to patch in {', '.join(absent)}: not in the report")
+    if not changes:
+        return df
+    cols = df.columns
+    total = [*order_cols, *[c for c in cols if c not in order_cols]]
+    first = df.orderBy(*total).limit(len(changes))
+    # as many rows as there are changes
+    numbered = first.withColumn("_pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*total)))
+    spots = numbered.groupBy(*cols).agg(F.sort_array(F.collect_list("_pos")).alias("_spots"))
+    spots = spots.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(cols)], "_spots")
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_t{i}"))
+    met = df.join(F.broadcast(spots), same, "left")
+    rest = met.where(F.col("_spots").isNull()).select(*cols, F.lit(0).alias("_pos"))
+    copies = met.where(F.col("_spots").isNotNull()).groupBy(*cols, "_spots").agg(F.count(F.lit(1)).alias("_n"))
+    hit = copies.select(*cols, "_spots", F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i", "_c")).select(
+        *cols, F.coalesce(F.get("_spots", F.col("_i")), F.lit(0)).alias("_pos"))
+    out = []
+    for c in cols:
         expr = F.col(c)
         for i, (name, delta) in enumerate(changes, start=1):
             if name == c:
@@ -67,8 +89,8 @@ def patch_nth_rows(df: DataFrame, changes: Sequence[tuple[str, Decimal]],
                 if not isinstance(dtype, DecimalType):
                     bumped = F.format_string("%s", bumped)
                 expr = F.when(F.col("_pos") == i, bumped).otherwise(expr)
-        cols.append(expr.alias(c))
-    return x.select(*cols)
+        out.append(expr.alias(c))
+    return rest.unionByName(hit).select(*out)
 
 
 def export_report(report: DataFrame, path: str, single_file: bool = False) -> int:
@@ -83,8 +105,8 @@ def modify_report_csv(spark: SparkSession, src: str, dst: str,
     """Read an exported report as text, patch rows 1..n, write it back sorted."""
     df = spark.read.option("header", True).option("encoding", "UTF-8").csv(src)
     n = df.count()
-    if n < len(changes):
-        raise RuntimeError(f"{src} must contain at least {len(changes)} data rows")
+    if len(changes) > n:
+        raise RuntimeError(f"{len(changes)} rows to patch, but {src} has {n}")
     patched = patch_nth_rows(df, changes, REPORT_ORDER)
     export_csv(patched, dst, REPORT_ORDER)
     return n

@@ -9,13 +9,13 @@ executor rereads the staged rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ledgerline.functions.dates import parse_date_multi
 from ledgerline.functions.money import blank_to_null
@@ -33,6 +33,22 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
+#: Column with the text of a line that has too many or too few fields.
+MALFORMED = "_malformed"
+
+
+def read_checked(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
+    """``read_delimited``, plus MALFORMED: NULL, or the whole line where its fields are not as many as the header's.
+
+    The reader's corrupt-record channel tells them apart; it counts fields only
+    while it parses all of them, so columns are not pruned in this scan.
+    """
+    names = read_delimited(spark, path, sep, encoding).columns
+    schema = StructType([StructField(c, StringType()) for c in (*names, MALFORMED)])
+    return (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).csv(path))
+
+
 def split_lines(df: DataFrame, line: str, header: str, sep: str = ";") -> DataFrame:
     """Lines of delimited text in a column → string columns named by ``header``
     (names trimmed, lower-cased), like ``read_delimited`` of a file."""
@@ -156,6 +172,7 @@ class RejectedLoad(ValueError):
     def __init__(self, message: str, counts: Mapping[str, int]):
         super().__init__(message)
         self.rows_read, self.bad_date_rows, self.bad_number_rows = counts["n"], counts["dates"], counts["numbers"]
+        self.malformed_rows = counts["malformed"]
 
 
 @dataclass
@@ -164,6 +181,7 @@ class LoadResult:
     rows_read: int
     bad_date_rows: int
     bad_number_rows: int = 0
+    malformed_rows: int = 0
     source: DataFrame | None = None   # the file's rows, one per key in an upsert
     staging: str | None = None        # the folder they were staged in
 
@@ -183,43 +201,53 @@ def bad_number_flag(spec: TableSpec) -> Column:
 
 
 def contract_counts(spec: TableSpec) -> dict[str, Column]:
-    """Per contract of the table, how many rows of the typed frame break it."""
+    """Per contract of the table, which rows of the typed frame break it."""
     broken = {f"null {c}": F.col(c).isNull() for c in spec.required}
-    broken |= {f"{c} over {n} characters": F.length(c) > n for c, n in spec.max_lengths.items()}
-    return {what: F.count_if(cond) for what, cond in broken.items()}
+    return broken | {f"{c} over {n} characters": F.length(c) > n for c, n in spec.max_lengths.items()}
 
 
 def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFrame | None = None,
-               sep: str = ";") -> LoadResult:
+               sep: str = ";", on_rejects: Callable[[DataFrame], None] | None = None) -> LoadResult:
     """Scan → column check → typed cast → staging → contract gate → keep-last → upsert/replace.
 
     Returns the target's new content (write it with ``write_table``). Raises
     ``ValueError`` on missing columns, and ``RejectedLoad`` on any bad date, NULL
-    in a required column or text beyond its declared length. A number that does
-    not parse becomes NULL and is counted. The later row of a file wins; in a
-    folder, files are in name order.
+    in a required column or text beyond its declared length, and on more lines
+    with a wrong number of fields than the spec allows. Such lines are counted
+    and handed to ``on_rejects`` (``file``, ``line``), whatever becomes of the
+    load, and never loaded. A number that does not parse becomes NULL and is
+    counted. The later row of a file wins; in a folder, files are in name order.
     """
-    raw = read_delimited(spark, path, sep=sep)
+    raw = read_checked(spark, path, sep=sep)
     require_columns(raw, spec.column_names, path)
-    raw = raw.select(*spec.column_names).withColumn(
+    raw = raw.select(MALFORMED, *spec.column_names).withColumn(
         ROW_ID, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
-    parsed = raw.select(ROW_ID, *[cast_tag(c, t).alias(c) for c, t in spec.columns],
+    parsed = raw.select(ROW_ID, MALFORMED, *[cast_tag(c, t).alias(c) for c, t in spec.columns],
                         bad_date_flag(raw, spec.date_columns).alias("_bad_date"), bad_number_flag(spec).alias("_bad_number"))
     contracts = contract_counts(spec)
+    whole = F.col(MALFORMED).isNull()
     seen = Observation()
-    parsed = parsed.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("_bad_date").alias("dates"),
-                            F.count_if("_bad_number").alias("numbers"),
-                            *[c.alias(f"broken{i}") for i, c in enumerate(contracts.values())])
+    parsed = parsed.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(~whole).alias("malformed"),
+                            F.count_if(whole & F.col("_bad_date")).alias("dates"), F.count_if(whole & F.col("_bad_number")).alias("numbers"),
+                            *[F.count_if(whole & c).alias(f"broken{i}") for i, c in enumerate(contracts.values())])
     staging = f"{checkpoint_dir(spark)}/load-{spec.name}-{uuid.uuid4().hex}"
     parsed.write.parquet(staging)
     counts = {k: int(v or 0) for k, v in seen.get.items()}
-    broken = {what: counts[f"broken{i}"] for i, what in enumerate(contracts) if counts[f"broken{i}"]}
-    if counts["dates"] or broken:
-        drop_folder(spark, staging)
+    rows = spark.read.schema(parsed.schema).parquet(staging)
+    try:
+        if counts["malformed"] and on_rejects is not None:
+            on_rejects(rows.where(~whole).select(F.col(f"{ROW_ID}.file").alias("file"), F.col(MALFORMED).alias("line")))
+        broken = {what: counts[f"broken{i}"] for i, what in enumerate(contracts) if counts[f"broken{i}"]}
         said = [f"{counts['dates']} rows with invalid date text"] if counts["dates"] else []
         said += [f"{n} rows with {what}" for what, n in broken.items()]
-        raise RejectedLoad(f"{path}: {'; '.join(said)}", counts)
-    rows = spark.read.schema(parsed.schema).parquet(staging).drop("_bad_date", "_bad_number")
+        if counts["malformed"] > spec.max_malformed:
+            said.append(f"{counts['malformed']} lines with a wrong number of fields")
+        if said:
+            raise RejectedLoad(f"{path}: {'; '.join(said)}", counts)
+    except Exception:
+        drop_folder(spark, staging)
+        raise
+    rows = rows.where(whole).drop(MALFORMED, "_bad_date", "_bad_number")
     if spec.mode == UPSERT:
         source = keep_last(rows, spec.keys, ROW_ID).drop(ROW_ID)
         table = upsert_by_key(target, source, spec.keys) if target is not None else source
@@ -227,4 +255,4 @@ def load_table(spark: SparkSession, spec: TableSpec, path: str, target: DataFram
         source = table = rows.drop(ROW_ID)
     else:
         raise ValueError(f"{spec.name}: no load mode {spec.mode!r}")
-    return LoadResult(table, counts["n"], counts["dates"], counts["numbers"], source, staging)
+    return LoadResult(table, counts["n"], counts["dates"], counts["numbers"], counts["malformed"], source, staging)

@@ -18,6 +18,9 @@ TAG_TYPES: dict[str, DataType] = {
     "string": StringType(),
 }
 
+#: Hash buckets of a detail table without a day. The stored layout depends on it.
+BUCKETS = 16
+
 UPSERT = "upsert"
 TRUNCATE_INSERT = "truncate_insert"
 
@@ -31,6 +34,8 @@ class TableSpec:
     columns: tuple[tuple[str, str], ...]   # (column, type tag), in file order
     not_null: tuple[str, ...] = ()         # required columns besides the key
     partition_by: str | None = None        # date column that the stored table is partitioned by
+    buckets: int = 0                       # a table without a day is stored in so many hash buckets of its key
+    max_malformed: int = 0                 # lines with too many or too few fields that a file may have
 
     @property
     def column_names(self) -> list[str]:
@@ -74,28 +79,36 @@ TABLES: dict[str, TableSpec] = {
         "md_account_d", "ds.md_account_d", UPSERT, ("data_actual_date", "account_rk"),
         (("data_actual_date", "date"), ("data_actual_end_date", "date"), ("account_rk", "decimal20"),
          ("account_number", "decimal25"), ("char_type", "string"), ("currency_rk", "decimal20"),
-         ("currency_code", "string"))),
+         ("currency_code", "string")), buckets=BUCKETS),
     "md_currency_d": TableSpec(
         "md_currency_d", "ds.md_currency_d", UPSERT, ("currency_rk", "data_actual_date"),
         (("currency_rk", "decimal20"), ("data_actual_date", "date"), ("data_actual_end_date", "date"),
-         ("currency_code", "string"), ("code_iso_char", "string"))),
+         ("currency_code", "string"), ("code_iso_char", "string")), buckets=BUCKETS),
     "md_exchange_rate_d": TableSpec(
         "md_exchange_rate_d", "ds.md_exchange_rate_d", UPSERT, ("data_actual_date", "currency_rk"),
         (("data_actual_date", "date"), ("data_actual_end_date", "date"), ("currency_rk", "decimal20"),
-         ("reduced_cource", "decimal23_8"), ("code_iso_num", "string"))),
+         ("reduced_cource", "decimal23_8"), ("code_iso_num", "string")), buckets=BUCKETS),
     "md_ledger_account_s": TableSpec(
         "md_ledger_account_s", "ds.md_ledger_account_s", UPSERT, ("ledger_account", "start_date"),
         (("chapter", "string"), ("chapter_name", "string"), ("section_number", "integer"),
          ("section_name", "string"), ("subsection_name", "string"), ("ledger1_account", "integer"),
          ("ledger1_account_name", "string"), ("ledger_account", "integer"),
          ("ledger_account_name", "string"), ("characteristic", "string"), ("start_date", "date"),
-         ("end_date", "date"))),
+         ("end_date", "date")), buckets=BUCKETS),
 }
 
 # Fixed value: load order (dimensions before facts).
 LOAD_ORDER = ("md_currency_d", "md_exchange_rate_d", "md_ledger_account_s", "md_account_d",
               "ft_balance_f", "ft_posting_f")
 
+#: Tables that must be loaded before a table: facts after the accounts they name, accounts and rates after currencies.
+LOAD_AFTER: dict[str, tuple[str, ...]] = {
+    "md_exchange_rate_d": ("md_currency_d",),
+    "md_account_d": ("md_currency_d", "md_ledger_account_s"),
+    "ft_balance_f": ("md_account_d",),
+    "ft_posting_f": ("md_account_d",),
+}
+
 # Declared maximum lengths of text columns.
 MAX_LENGTHS: dict[str, dict[str, int]] = {
     "md_account_d": {"char_type": 1, "currency_code": 3},
