@@ -36,7 +36,7 @@ CHUNK_WORDS = 2_400_000
 #: zstandard level of what is stored and shuffled: texts as positions, word lists, their ids.
 LEVEL = 9
 #: White space as the vocabulary's patterns have it (Unicode White_Space).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The vocabulary's own pattern (fixed value), and the same for lower-case text within Latin-1.
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+")
 LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
