@@ -176,7 +176,8 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
     (daily or period refresh): delete each listed partition, insert ``df``.
 
     ``df`` is written once, to a staging folder; then each partition folder is
-    swapped in by rename. A listed value without new rows loses its old rows
+    swapped in by rename. If one of the swaps fails, those made are undone and
+    the error is raised: all listed partitions are new, or all are old. A listed value without new rows loses its old rows
     (dynamic partition overwrite alone would keep them). Other partitions are
     untouched, so ``df`` may read them.
     """
@@ -193,12 +194,28 @@ def refresh_partitions(df: DataFrame, path: str, partition_col: str, values: Seq
         fs.mkdirs(target)
     written = {st.getPath().getName() for st in fs.listStatus(Path(staging))
                if st.isDirectory() and st.getPath().getName().startswith(partition_col + "=")}
-    for name in sorted(written | {f"{partition_col}={v}" for v in values}):
-        dst = Path(f"{path.rstrip('/')}/{name}")
-        if name in written:
-            _swap_in(fs, jvm, f"{staging}/{name}", dst.toString())
-        elif fs.exists(dst):
-            fs.delete(dst, True)
+    moved: list[tuple] = []   # (from, to) of every move, in order
+    asides = []
+
+    def move(source, to) -> None:
+        _move(fs, source, to)
+        moved.append((source, to))
+
+    try:
+        for name in sorted(written | {f"{partition_col}={v}" for v in values}):
+            dst = Path(f"{path.rstrip('/')}/{name}")
+            if fs.exists(dst):
+                asides.append(Path(f"{target.getParent().toString()}/.__old_{uuid.uuid4().hex}"))
+                move(dst, asides[-1])
+            if name in written:
+                move(Path(f"{staging}/{name}"), dst)
+    except Exception:
+        for source, to in reversed(moved):   # all partitions as they were
+            _move(fs, to, source)
+        fs.delete(Path(staging), True)
+        raise
+    for old in asides:
+        fs.delete(old, True)
     fs.delete(Path(staging), True)
 
 

@@ -35,7 +35,7 @@ from ledgerline.operators.write import (
 from ledgerline.plans import marts, report, task2
 from ledgerline.plans.audit import MAX_MESSAGE, TABLE_EVENT_SCHEMA, compact, event_row
 from ledgerline.sources import ingest
-from ledgerline.sources.specs import LOAD_AFTER, LOAD_ORDER, TABLES, UPSERT, TableSpec
+from ledgerline.sources.specs import LOAD_AFTER, LOAD_ORDER, MAX_LENGTHS, TABLES, UPSERT, TableSpec
 
 RUN_EVENT_SCHEMA = StructType([
     StructField("run_id", StringType(), False), StructField("dag_id", StringType(), False),
@@ -388,6 +388,13 @@ def export_report(spark: SparkSession, root: str, path: str, single_file: bool =
     return _audited(run, lambda: run.table("csv:" + path, "dm.dm_f101_round_f", "export", step))
 
 
+def require_lengths(df: DataFrame, table: str) -> None:
+    """Fail if a text of the declared table is longer than its column may be."""
+    long = quality.length_violations(df, MAX_LENGTHS[table], []).groupBy("column_name").count().collect()   # a row per column
+    if long:
+        raise ValueError(f"{table}: " + ", ".join(f"{r['count']} texts too long for {r.column_name}" for r in sorted(long)))
+
+
 def import_report(spark: SparkSession, root: str, path: str, table: str = "dm_f101_round_f_v2") -> Run:
     """A report CSV into a second table with the first one's schema: replaced as
     a whole, and its stored rows must equal the file's. A failure is audited."""
@@ -400,6 +407,7 @@ def import_report(spark: SparkSession, root: str, path: str, table: str = "dm_f1
         schema = spark.read.parquet(target).schema
         rows = report.import_report(spark, path, schema)
         require_rows(rows, path)
+        require_lengths(rows, "dm_f101_round_f")
         n = ingest.file_data_rows(spark, path)
         loaded = _reload(spark, rows, _path(root, "dm", table))
         check_loaded(n, loaded, f"dm.{table}")
@@ -458,10 +466,15 @@ def run_month(spark: SparkSession, root: str, report_date, seed_day=None) -> Run
         report = marts.form101(ds("md_account_d"), ds("md_ledger_account_s"),
                                spark.read.parquet(dm("dm_account_turnover_f")),
                                spark.read.parquet(dm("dm_account_balance_f")), report_date)
-        # rows_read: accounts of the period, before the report's account-number filter
-        run.table("dm.dm_f101_round_f", "dm", "refresh_by_period", lambda: (
-            versions_in(ds("md_account_d"), lo, hi, ["account_rk"], ["data_actual_date"]).count(), refresh(report.withColumn("period", F.concat_ws("_", "from_date", "to_date")),
-                                    "dm_f101_round_f", "period", [f"{lo}_{hi}"]), 0))
+
+        def make_report():
+            rows = stored(report.withColumn("period", F.concat_ws("_", "from_date", "to_date")), "report")
+            require_lengths(rows, "dm_f101_round_f")
+            # rows_read: accounts of the period, before the report's account-number filter
+            accounts = versions_in(ds("md_account_d"), lo, hi, ["account_rk"], ["data_actual_date"]).count()
+            return accounts, refresh(rows, "dm_f101_round_f", "period", [f"{lo}_{hi}"])
+
+        run.table("dm.dm_f101_round_f", "dm", "refresh_by_period", make_report)
 
     return _audited(run, body)
 

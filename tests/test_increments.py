@@ -148,3 +148,33 @@ def test_patch_takes_the_first_rows_without_a_sort_of_all(spark):
     assert one.count() == 6
     with pytest.raises(RuntimeError, match="not in the report"):
         report.patch_nth_rows(df, [("nope", Decimal(1))], ["k"])
+
+
+def test_a_failing_second_swap_leaves_all_partitions_as_they_were(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(D(2020, 1, d), d) for d in range(1, 5)], "d date, v int")
+    write.write_table(rows, path, ["d"])
+    new = rows.where("v < 4").withColumn("v", F.col("v") * 100)
+    real, calls = write._move, []
+
+    def failing(fs, source, to):
+        calls.append(1)
+        if len(calls) == 4:     # old aside, new in, old aside, then the second new one
+            raise OSError("no")
+        real(fs, source, to)
+    monkeypatch.setattr(write, "_move", failing)
+    days = [D(2020, 1, d) for d in range(1, 5)]
+    with pytest.raises(OSError):
+        write.refresh_partitions(new, path, "d", days)
+    read = lambda: sorted(r.v for r in spark.read.parquet(path).collect())
+    assert read() == [1, 2, 3, 4] and os.listdir(tmp_path) == ["t"]
+    monkeypatch.setattr(write, "_move", real)
+    write.refresh_partitions(new, path, "d", days)
+    assert read() == [100, 200, 300] and os.listdir(tmp_path) == ["t"]
+
+
+def test_texts_beyond_the_report_table_s_lengths_are_refused(spark):
+    ok = spark.createDataFrame([("А", "30101", "А"), (None, None, None)], "chapter string, ledger_account string, characteristic string")
+    jobs.require_lengths(ok, "dm_f101_round_f")
+    with pytest.raises(ValueError, match="1 texts too long for chapter"):
+        jobs.require_lengths(ok.union(spark.createDataFrame([("AB", "30101", "А")], ok.schema)), "dm_f101_round_f")
