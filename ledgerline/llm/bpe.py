@@ -8,11 +8,13 @@ ids back into pieces through the vocabulary's id-to-piece table. A join by
 chunk puts ids and pieces back in the place of the words.
 
 Positions and word lists travel packed: a row per chunk and bucket, not a row
-per word.
+per word. Buckets grow with the text as its vocabulary does, and the join has
+as many partitions as there are chunks, so that a task's share stays bounded.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 import zlib
@@ -41,6 +43,12 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+")
 LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
+_KINDS = [regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), regex.compile(rf"[^{SPACE}\p{{L}}\p{{N}}]")]
+#: Text of one bucket at least, and the power of the text by which distinct words grow (Heaps' law; taken high).
+BUCKET_BYTES, GROWTH = 4 << 20, 0.7
+#: The planner's size of a frame that it knows nothing of.
+UNKNOWN = 1 << 60
+
 
 def byte_letters() -> list[str]:
     """The printable letter of each byte: printable Latin-1 stands for itself, the rest is numbered from 256."""
@@ -50,7 +58,12 @@ def byte_letters() -> list[str]:
 
 
 class WordBpe:
-    """The vocabulary file: splits texts as the tokenizer does, and encodes one word."""
+    """The vocabulary file: splits texts as the tokenizer does, and encodes one word.
+
+    Texts are split by the vocabulary's pattern; where the library's Unicode
+    tables give a character of the text another kind than ours, by the
+    vocabulary's own pre-tokenizer.
+    """
 
     def __init__(self, path: str):
         self.tok = Tokenizer.from_file(path)
@@ -59,12 +72,26 @@ class WordBpe:
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         self.letters = byte_letters()
         self.pieces = [self.tok.id_to_token(i) for i in range(self.tok.get_vocab_size())]  # the id-to-piece table
+        self.same, self.other = set(map(chr, range(128))), set()
+
+    def _pre_tokens(self, text: str) -> list[str]:
+        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+
+    def _kinds_agree(self, text: str) -> bool:
+        seen = set(text)
+        for c in seen - self.same - self.other:
+            ours = next((i for i, k in enumerate(_KINDS) if k.match(c)), 3)
+            letter, number, mark = (self._pre_tokens(first + c) == [first + c] for first in ("a", "", "!"))
+            theirs = 0 if letter else 2 if mark else 1 if number else 3
+            (self.same if ours == theirs else self.other).add(c)
+        return seen.isdisjoint(self.other)
 
     def _plain(self, text: str) -> list[str]:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return SPLIT.findall(self.tok.normalizer.normalize_str(text))
+            text = self.tok.normalizer.normalize_str(text)
+            return SPLIT.findall(text) if self._kinds_agree(text) else self._pre_tokens(text)
         return LATIN_SPLIT.findall(text.lower())  # Latin-1 is in normal form C, and lower() stays within it
 
     def words(self, text: str | None) -> list[str]:
@@ -114,6 +141,13 @@ def unpack(data: bytes) -> np.ndarray:
     return out
 
 
+def bucket_count(spark: SparkSession, docs: DataFrame) -> int:
+    """As many buckets as shuffle partitions, more if the planner's size of ``docs`` says that its distinct words need them."""
+    least = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, math.ceil((size / BUCKET_BYTES) ** GROWTH)) if size < UNKNOWN else least
+
+
 def bucket_of(word: str, buckets: int) -> int:
     return zlib.crc32(word.encode("utf-8")) % buckets
 
@@ -195,9 +229,11 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
     own = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     id_field = own.schema["doc_id"]
     bounded_batches(spark)
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = bucket_count(spark, own)
     chunks = staged(spark, chunked(spark, own, path, buckets, most), "bpe-chunks")
     words = encoded(chunks.where("bucket >= 0"), path, buckets)
+    texts = chunks.where("bucket < 0")
+    tasks = max(buckets, texts.count())  # a chunk or so in a task, however many there are
     schema = T.StructType([id_field, T.StructField("n_tokens", T.LongType()), T.StructField("ids_text", T.StringType()),
                            T.StructField("decoded", T.StringType())])
 
@@ -224,8 +260,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
             give_back()
         return pa.concat_tables(done)
 
-    return (chunks.where("bucket < 0").select("chunk", "ids", "data", "ranks").groupBy("chunk")
-            .cogroup(words.groupBy("chunk")).applyInArrow(lambda t, w: put_back(t, w), schema))
+    return (texts.select("chunk", "ids", "data", "ranks").repartition(tasks, "chunk").groupBy("chunk")
+            .cogroup(words.repartition(tasks, "chunk").groupBy("chunk")).applyInArrow(lambda t, w: put_back(t, w), schema))
 
 
 def _joined(entries: list[bytes], places: np.ndarray, spans: list[tuple[int, int]]) -> pa.Array:

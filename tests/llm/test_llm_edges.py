@@ -103,6 +103,21 @@ def test_cuckoo_filter_against_a_set():
     assert f.has([rng.randbytes(16) for _ in range(5000)]).mean() < 0.01
 
 
+def test_bpe_splits_every_character_as_the_library():
+    word = bpe.WordBpe(WORD_BPE)
+    chars = [c for c in map(chr, range(0x20000)) if not "\ud800" <= c <= "\udfff"]
+    texts = [f"a{c}{c}b {c}1!{c}" for c in chars]
+    got = [[i for w in word.words(t) for i in word.encode(w)] for t in texts]
+    assert [" ".join(map(str, g)) for g in got] == [ids for _, ids, _ in bpe.brute_force(texts, WORD_BPE)]
+
+
+def test_bpe_buckets_grow_with_the_text(spark):
+    least = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert bpe.bucket_count(spark, spark.range(10)) == least
+    assert bpe.bucket_count(spark, spark.range(10**12)) > 1000 * 8
+    assert bpe.bucket_count(spark, spark.sparkContext.parallelize([(1, "a")]).toDF(["doc_id", "text"])) == least
+
+
 def test_bpe(spark, docs, texts, empty):
     for most in (bpe.CHUNK_WORDS, 500):
         got = bpe.encode_texts(spark, docs, WORD_BPE, most=most).collect()
