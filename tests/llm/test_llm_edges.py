@@ -435,6 +435,89 @@ def test_license_scan_of_wrapped_notices(spark):
     assert out[1000].licences == ["MIT", "MIT", "CC-BY-SA-4.0"] and out[1000].unmatched == ["copyright", "reserved"]
 
 
+def verdict(text):
+    return license_scan.licences(license_scan.licence_sentences(text))
+
+
+def test_license_scan_reads_expressions():
+    tag = "SPDX-License-Identifier: "
+    for written, names, free in [
+            ("MIT", ["MIT"], True), ("MIT AND GPL-3.0-only", ["MIT", "GPL-3.0-only"], False), ("MIT OR GPL-3.0-only", ["MIT", "GPL-3.0-only"], True),
+            ("(MIT OR GPL-2.0-or-later) AND MPL-2.0 */", ["MIT", "GPL-2.0-or-later", "MPL-2.0"], False), ("GPL-2.0-only OR MIT AND MPL-2.0", ["GPL-2.0-only", "MIT", "MPL-2.0"], False),
+            ("GPL-2.0-only WITH Classpath-exception-2.0 OR apache-2.0", ["GPL-2.0-only WITH Classpath-exception-2.0", "Apache-2.0"], True),
+            ("mit and gpl-3.0-only", ["MIT", "GPL-3.0-only"], False), ("MIT and others", ["MIT"], True), ("LicenseRef-Mine", ["LicenseRef-Mine"], False),
+            ("MIT OR", ["MIT"], True), ("(" * 5000 + "MIT", ["MIT"], True), ("(MIT AND ISC) OR (", ["MIT", "ISC"], True), ("CC-BY-NC-4.0", ["CC-BY-NC-4.0"], False), ("CC-BY-4.0", ["CC-BY-4.0"], True)]:
+        for shape in ("{}", "// {}\nint x;", "# {}", "/* {} */"):
+            assert verdict(shape.format(tag + written)) == (names, [], free), written
+    for nothing in (")", "", "AND MIT", "..."):
+        assert verdict(tag + nothing) == ([], [], None)
+
+
+def test_license_scan_of_expressions_against_truth_tables():
+    rng = random.Random(5)
+    names = {"MIT": True, "ISC": True, "GPL-3.0-only": False, "MPL-2.0": False}
+    for _ in range(400):
+        written, n = rng.choice(list(names)), rng.randrange(6)
+        for _ in range(n):
+            other = rng.choice(list(names))
+            written = rng.choice([f"{written} AND {other}", f"{written} OR {other}", f"({written}) AND {other}", f"{other} OR ({written})"])
+        python = " ".join(str(names[w]) if w in names else w.lower() for w in written.replace("(", " ( ").replace(")", " ) ").split())
+        got, free = license_scan.expression(written)
+        assert got == [w for w in written.replace("(", " ").replace(")", " ").split() if w in names] and free == eval(python), written
+
+
+def test_license_scan_of_denials():
+    for text in ("This is not licensed under the MIT License.", "It was never released under the MIT Licence!", "The code isn't licensed under the MIT License.",
+                 "No part of it is distributed under the terms of the MIT License"):
+        assert verdict(text) == ([], ["not_mit_by"], None), text
+    assert verdict("Not only licensed under the MIT License.")[0] == ["MIT"]
+    assert verdict("This is not free, it is licensed under the MIT License.")[0] == ["MIT"]
+    assert verdict("It is not licensed under the MIT License but licensed under the ISC license.") == (["ISC"], ["not_mit_by"], True)
+
+
+def test_license_scan_of_further_notices():
+    gnu = ("This {0} is free software; you can redistribute it and/or modify\nit under the terms of the GNU {1}General Public License{2} as published by\n"
+           "the Free Software Foundation{3}.\n\nThis {0} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without more.\n")
+    later = "; either version {} of the License, or\n(at your option) any later version"
+    four = BSD.replace("Neither the name", "All advertising materials mentioning features or use of this software\nmust display the following acknowledgement:\nthis product is ours.\n\n4. Neither the name")
+    assert four != BSD
+    grant = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted"
+    for text, name, free in [
+            (gnu.format("library", "Lesser ", "", later.format("2.1")), "LGPL-2.1-or-later", False), (gnu.format("program", "Affero ", "", later.format("3")), "AGPL-3.0-or-later", False),
+            (gnu.format("program", "", " version 2", ""), "GPL-2.0-only", False), (gnu.format("program", "", "", ", version 3 of the License"), "GPL-3.0-only", False),
+            (four, "BSD-4-Clause", False), (grant + ", provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC", True), (grant + ".", "0BSD", True),
+            ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software.", "Unlicense", True),
+            ("This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0", False),
+            ("Creative Commons Attribution-NonCommercial", "CC-BY-NC", False), ("under a Creative Commons Attribution 4.0 International Licence", "CC-BY-4.0", True),
+            ("Creative Commons Attribution-ShareAlike 3.0 Unported License", "CC-BY-SA-3.0", False), ("Licensed under the GPLv3 or later", "GPL-3.0-or-later", False),
+            ("To the extent possible under law, " + "someone " * 5000 + "has waived all copyright", "CC0-1.0", True)]:
+        got = verdict(text)
+        assert (got[0], got[2]) == ([name], free), (text[:80], got)
+
+
+def test_license_rules_against_brute_force():
+    rng, kinds = random.Random(6), ["copyright", "reserved", "bsd_redistribute", "bsd_source", "bsd_binary", "bsd_advert", "bsd_endorse", "mit_grant", "mit_notice", "mit_asis", "mit_by"]
+    for _ in range(2000):
+        ids = [rng.choice(kinds) for _ in range(rng.randrange(9))] if rng.random() < 0.5 else [k for k in kinds[2:7] for k in rng.choice([[k], [k, "copyright"], ["reserved", k]])][:rng.randrange(1, 10)]
+        names, rest, left = [], [], list(ids)
+        while left:
+            fits = []
+            for order, (rule, seq) in enumerate(license_scan.RULES):
+                for n in range(1, len(left) + 1):
+                    bare = [left[0]] + [k for k in left[1:n] if k not in license_scan.BETWEEN]
+                    if bare == seq and left[n - 1] == seq[-1]:
+                        fits.append((order, rule, n))
+            if fits:
+                _, rule, n = min(fits)
+                names.append(rule)
+                rest += [k for k in left[1:n] if k in license_scan.BETWEEN]
+            else:
+                n = 1
+                rest.append(left[0])
+            left = left[n:]
+        assert license_scan.licences([(k, {}) for k in ids])[:2] == (names, rest), ids
+
+
 def base_rules(text):
     text = text or ""
     words = [w for w in text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w]
