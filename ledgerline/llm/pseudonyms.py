@@ -10,13 +10,16 @@ values stay different.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import column
 from ledgerline.llm.feistel import ROUNDS, WALK, cycle_walk, permute
 
-KEY = "ledgerline-pii-1"
+#: The session setting that holds the key.
+KEY_CONF = "spark.ledgerline.pseudonym.key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 #: A secret of any length, 16 characters at least: letters, digits and +/_~%-, between them also marks such as the dots of a
@@ -25,6 +28,11 @@ SECRET = r"(?=[A-Za-z0-9+/_~%.=:!#$*^-]{15}[A-Za-z0-9+/_~%=-])[A-Za-z0-9+/_~%-]+
 #: The next group of a phone number after a space does not begin another value: address, date, card, social security number, phone number.
 NEXT = (r"(?! (?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])|[0-9]{4}[/-][0-9]{1,2}[/-]|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}(?:[ -][0-9]{4}){3}"
         r"|[0-9]{4}[ -][0-9]{6}[ -]|[0-9]{13}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}))")
+#: Words that make the number after them something else than an address, or than a phone number in national groups.
+NO_IP = (r"(?=[0-9]{1,3}\.[0-9]{1,3}\.[0-9])(?<!(?<![A-Za-z])(?i:version|versions|release|build|firmware|section|chapter|clause)[ :]{1,2})"
+         r"(?<!(?<![A-Za-z])(?i:ver|rev|v)[. :]{0,2})")
+NO_PHONE = (r"(?=[0-9]{1,4}[ ./-][0-9])(?<!(?<![A-Za-z])(?i:order|invoice|ticket|item|part|serial|model|batch|lat|latitude|lon|longitude|isbn|issn)"
+            r"(?i: no| nr| number)?[.:]? ?[#:]? ?)(?<!#)")
 #: Phone numbers: with a country code in one piece, in groups, with an area code in brackets; then the national forms, which are
 #: no part of a longer row of numbers: area codes in brackets, three and three and four digits, and those with a leading 0.
 PHONES = (
@@ -34,11 +42,11 @@ PHONES = (
     rf"(?<![0-9])\+[1-9][0-9]{{0,2}}(?:[ .-][0-9])?[ .-][0-9]{{2,4}}(?:{NEXT}[ .-][0-9]{{2,4}}){{1,3}}(?![0-9])",
     rf"(?<![0-9])\+[1-9][0-9]{{0,2}}(?:[ .-][0-9]{{1,5}})?{NEXT}[ .-][0-9]{{5,12}}(?![0-9])",
     rf"\(0[0-9]{{1,4}}\)[ .-]?[0-9]{{3,4}}(?:{NEXT}[ .-])?[0-9]{{3,5}}(?![0-9])",
-    r"(?<![0-9])(?<![0-9][.-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9]|[.-][0-9])",
-    r"(?<![0-9])(?<![0-9][.-])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|[.-][0-9])",
-    r"(?<![0-9])(?<![0-9][ .-])(?:1 )?[0-9]{3} [0-9]{3}[ -][0-9]{4}(?![0-9]|[ .-][0-9])",
-    r"(?<![0-9])(?<![0-9][ .-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9]|[ .-][0-9])",
-    r"(?<![0-9])(?<![0-9][ .-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[ .-][0-9])",
+    NO_PHONE + r"(?<![0-9])(?<![0-9][.-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9]|[.-][0-9])",
+    NO_PHONE + r"(?<![0-9])(?<![0-9][.-])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|[.-][0-9])",
+    NO_PHONE + r"(?<![0-9])(?<![0-9][ .-])(?:1 )?[0-9]{3} [0-9]{3}[ -][0-9]{4}(?![0-9]|[ .-][0-9])",
+    NO_PHONE + r"(?<![0-9])(?<![0-9][ .-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9]|[ .-][0-9])",
+    NO_PHONE + r"(?<![0-9])(?<![0-9][ .-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[ .-][0-9])",
 )
 #: What stands before the number within a country: its code (ITU-T E.164, as assigned), a leading 1 or 0.
 COUNTRY = (r"^(\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?:[ .-]?\(0\))?[ .-]?\(?0?"
@@ -50,7 +58,7 @@ PATTERNS = {
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": "|".join(PHONES),
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
+    "ip": NO_IP + r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)(?:19|20)[0-9]{2})(?![0-9/-])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
@@ -241,6 +249,18 @@ def pseudonym_phone(s: Column, key: str) -> Column:
     return F.aggregate(F.split(rest, ""), F.struct(fixed.alias("out"), digits.alias("left")), put, lambda acc: acc["out"])
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting KEY_CONF. Unset, a secret one is drawn and kept for the session.
+
+    Who wants equal pseudonyms in more than one run gives a key; no key stands in the library.
+    """
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_CONF, key)
+    return key
+
+
 def kind_of(s: Column) -> Column:
     """The kind of a match, or null if it does not validate (no Luhn number, no such day)."""
     def whole(kind: str) -> Column:
@@ -252,7 +272,7 @@ def kind_of(s: Column) -> Column:
             .when(s.rlike(NAMED), "secret"))
 
 
-def pseudonym_of(s: Column, kind: Column, key: str = KEY) -> Column:
+def pseudonym_of(s: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a validated value, another value of the same kind and format; else the value itself."""
     local = F.substring_index(s, "@", 1)
     named = F.regexp_extract(s, NAMED, 1)
@@ -266,13 +286,15 @@ def pseudonym_of(s: Column, kind: Column, key: str = KEY) -> Column:
             .otherwise(s))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text, n_found, kinds for every row of ``docs``, other columns ignored.
 
     ``text`` with every validated value replaced, null for null; numbers that
     fail their check stay. ``kinds``: the kind of each replaced value in text
-    order; ``n_found``: how many. Repeated rows get equal results.
+    order; ``n_found``: how many. Repeated rows get equal results. ``key``: that
+    of the session (see session_key) unless given.
     """
+    key = key or session_key(docs.sparkSession)
     text = column(docs, text_col)
     found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     parts = docs.select(column(docs, id_col).alias("doc_id"), text.alias("text"),

@@ -240,6 +240,29 @@ def test_pseudonyms(spark, docs, texts, empty):
     assert pseudonyms.pseudonymise(empty).count() == 0 and pseudonyms.pseudonymise(docs).count() == len(texts)
 
 
+def test_pseudonyms_leave_other_numbers(spark):
+    kept = ["version 1.2.3.4", "v1.2.3.4 and ver. 10.20.30.40", "Section 1.2.3.4", "order 123-456-7890", "Order no. 123-456-7890", "#123-456-7890", "invoice: 555 123 4567",
+            "lat 040 1234 5678", "ISBN 123-456-7890", "3.14159"]
+    moved = ["address 1.2.3.4", "call 123-456-7890", "phone 555 123 4567", "tel 040 1234 5678", "server:10.20.30.40", "the number 123-456-7890", "spiral 555 123 4567"]
+    rows = list(enumerate(kept + moved))
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i].text == t and not out[i].n_found for i, t in rows[:len(kept)]), [out[i] for i in range(len(kept)) if out[i].n_found]
+    assert all(out[i].text != t and out[i].n_found == 1 for i, t in rows[len(kept):])
+
+
+def test_pseudonyms_take_the_key_of_the_session(spark):
+    docs = spark.createDataFrame([(1, "mail to somebody.else@example.com")], "doc_id long, text string")
+    spark.conf.unset(pseudonyms.KEY_CONF)
+    drawn = pseudonyms.session_key(spark)
+    assert len(drawn) == 64 and pseudonyms.session_key(spark) == drawn
+    first = pseudonyms.pseudonymise(docs).head().text
+    assert pseudonyms.pseudonymise(docs).head().text == first == pseudonyms.pseudonymise(docs, drawn).head().text
+    spark.conf.set(pseudonyms.KEY_CONF, "another")
+    assert pseudonyms.pseudonymise(docs).head().text != first
+    spark.conf.unset(pseudonyms.KEY_CONF)
+    assert pseudonyms.session_key(spark) != drawn
+
+
 def test_pseudonyms_of_secrets_of_any_length(spark):
     rng = random.Random(8)
     code = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-", k=200_000))
