@@ -54,7 +54,10 @@ BODY = {"article", "main"}
 BODY_WORDS = {"article", "main", "content", "entry", "post", "story", "prose"}
 SURE = 1e6
 #: Price of a cut between neighbours, and between the next two blocks of one parent.
-NEXT, SIBLING = 0.8, 1.2
+NEXT, SIBLING = 1.6, 2.4
+#: Parts of a block's score, chosen with the edges' prices on every other page of a table of 2,500 whose article and main were made plain
+#: divisions: what speaks for text at all, for a heading, for an article around it; the least that its length and end take away.
+START, HEADED, IN_ARTICLE, FLOOR = 0.7, 2.5, 3.4, -3.2
 #: What a name of furniture takes from a block's score. It does not count for an element with more than half of the page's words, and
 #: LONG at least, if articles outside have less than a tenth of them; nor for a form with PER_CONTROL words for each control and one more.
 NAMED, LONG, PER_CONTROL = 5.0, 50, 8
@@ -241,10 +244,11 @@ def price(b: Block) -> tuple[float, float]:
     words = b.text.count(" ") + 1
     linked = min(1.0, b.linked / max(1, len(b.text)))
     named = b.parent.mark is not None and b.parent.mark.stands
-    if b.parent.body and not named:
-        score = 6.0 - 8.0 * (linked > 0.8 and words < 12 and not b.heading)
-    else:
-        score = 1.2 * math.log(words / 8) + (1.0 if b.text[-1] in ".!?…\"'»)" else -0.7) - 6.0 * linked + (0.8 if b.parent.name == "p" else 0.0) - NAMED * named
+    inside = b.parent.body and not named
+    if inside and (linked <= 0.8 or words >= 12 or b.heading):  # no line of a menu
+        linked /= 6
+    score = START + max(FLOOR, 1.2 * math.log(words / 8) + (1.0 if b.text[-1] in ".!?…\"'»)" else -0.7))
+    score += 0.8 * (b.parent.name == "p") + HEADED * b.heading + IN_ARTICLE * inside - 6.0 * linked - NAMED * named
     return max(0.0, score), max(0.0, -score)
 
 

@@ -604,6 +604,31 @@ def test_html_without_an_article():
     assert len(got) == 3 and got[1] == "Short one."  # smoothness carries the short block between two long ones
 
 
+def test_html_cut_decides_where_prices_alone_fail():
+    story = "This is a paragraph of the story, long enough that nobody takes it for anything else. "
+    short = ["Why it is so", "One more line here", "And now the rest"]
+    page = ("<body><nav><a href=a>Home</a></nav><div><h1>A title</h1>" + "".join(f"<div>{story * 2}</div><div>{x}</div>" for x in short) + f"<div>{story}</div></div>"
+            "<div><div><a href=b>one more</a></div><div>Share</div><div><a href=c>another one</a></div></div><footer>me</footer></body>")
+    blocks = html_text.blocks_of(page)
+    prices = [html_text.price(b) for b in blocks]
+    alone = [b.text for b, (there, here) in zip(blocks, prices) if there > here]
+    assert not set(short) & set(alone)
+    assert html_text.main_text(page).split("\n") == ["A title"] + [x for s in short for x in ((story * 2).strip(), s)] + [story.strip()]
+
+
+def test_html_article_is_a_soft_feature():
+    story = "This is a paragraph of the story, long enough that nobody takes it for anything else."
+    cells = "".join(f"<tr><td>{i}</td><td>x</td></tr>" for i in range(200))
+    page = f"<body><nav><a href=a>Home</a></nav><article><p>{story}</p><table>{cells}</table><ul><li>a</li></ul></article></body>"
+    assert html_text.main_text(page).split("\n") == [story] + [x for i in range(200) for x in (str(i), "x")] + ["a"]
+    assert all(max(html_text.price(b)) < 20 for b in html_text.blocks_of(page) if not b.parent.furniture)
+
+
+def test_html_of_an_empty_table(spark):
+    empty = html_text.extract(spark.createDataFrame([], "page_id long, url string, html string"))
+    assert empty.count() == 0 and empty.columns == ["page_id", "url", "text", "n_chars"]
+
+
 def test_html_named_like_furniture_but_content():
     one, two = ("This is a sentence of the story that goes on for a while, as they do. " * 4).strip(), "And a short one."
     story = f"<h1>A title</h1><p>{one}</p><p>{two}</p><p>{one}</p>"
