@@ -6,11 +6,16 @@ filter per shard of the key space with the fingerprints of the keys that
 enough documents hold; fingerprints can be taken out again, so inserting and
 deleting documents keeps both in step. A line whose key misses its filter is
 not repeated, and never reaches the exact join.
+
+An index that is to be changed is stored with a folder per shard
+(``stored_by_shard``). Inserting or deleting documents then reads and writes
+the shards of their lines alone.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import bounded_batches, column, free_name, staged
+from ledgerline.llm.common import bounded_batches, column, free_name, shared_folder, staged
 
 #: A key counts from so many code points on, and is repeated from so many documents on.
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -28,8 +33,12 @@ MIN_CHARS, MIN_DOCS = 20, 3
 STRIP = " \t\n\x0b\x0c\r"
 #: Cuckoo filter: slots in a bucket, kicks before it counts as full, load it is sized for, keys per shard.
 SLOTS, KICKS, LOAD, SHARD_KEYS = 4, 500, 0.8, 1 << 15
-#: Filters are broadcast up to so many bytes in all; larger ones are skipped and every line goes to the exact join.
+#: Filters are broadcast up to so many bytes in all; larger ones meet the rows of their own shard.
 FILTER_BYTES = 32 << 20
+#: Rows of ``refs`` in a shard that is stored by itself, and the pieces that a shard's rows are spread over when filters meet them.
+SHARD_REFS, PIECES = 1 << 22, 8
+#: So many changes make an index of as many tables; it is then stored anew as one.
+MOST_TABLES = 16
 
 
 def line_key(line: str) -> bytes | None:
@@ -146,13 +155,17 @@ def repeated_keys(refs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 @dataclass
 class LineIndex:
-    """The state. ``refs``: key, doc_id, n. ``repeated``: key, n_docs, last_doc. ``filters``: shard, data, full."""
+    """The state. ``refs``: key, doc_id, n. ``repeated``: key, n_docs, last_doc. ``filters``: shard, data, full.
+
+    ``tables`` counts the stored tables that each of them is a union of; 0: not stored by shard.
+    """
 
     refs: DataFrame
     repeated: DataFrame
     filters: DataFrame
     shards: int
     min_docs: int
+    tables: int = 0
 
     @classmethod
     def build(cls, spark: SparkSession, refs: DataFrame, min_docs: int = MIN_DOCS) -> LineIndex:
@@ -160,39 +173,74 @@ class LineIndex:
         refs = staged(spark, refs, "line-refs")
         repeated = staged(spark, repeated_keys(refs, min_docs), "line-keys")
         shards = max(8, -(-repeated.count() // SHARD_KEYS))
-        empty = spark.createDataFrame([], "shard int, data binary, full boolean")
-        changes = repeated.select("key", F.lit(1).alias("change"))
-        return cls(refs, repeated, staged(spark, changed_filters(empty, changes, shards), "line-filters"), shards, min_docs)
-
-    def _after(self, spark: SparkSession, refs: DataFrame) -> LineIndex:
-        """The index with another reference table: only keys that became or ceased to be repeated touch the filters."""
-        refs = staged(spark, refs, "line-refs")
-        repeated = staged(spark, repeated_keys(refs, self.min_docs), "line-keys")
-        was, now = self.repeated.select("key"), repeated.select("key")
+        return cls(refs, repeated, staged(spark, new_filters(spark, repeated, shards), "line-filters"), shards, min_docs)
+
+    def stored_by_shard(self, spark: SparkSession, shard_refs: int = SHARD_REFS) -> LineIndex:
+        """The same index, each shard in a folder of its own; as many shards as keep one at about ``shard_refs`` rows."""
+        refs, repeated = self.refs.select("key", "doc_id", "n"), self.repeated.select("key", "n_docs", "last_doc")
+        shards = max(8, -(-repeated.count() // SHARD_KEYS), -(-refs.count() // shard_refs))
+        return LineIndex(_by_shard(spark, refs, shards, "line-refs"), _by_shard(spark, repeated, shards, "line-keys"),
+                         _stored(spark, new_filters(spark, repeated, shards), "line-filters"), shards, self.min_docs, 1)
+
+    def _after(self, spark: SparkSession, touched: list[int], refs: DataFrame) -> LineIndex:
+        """The index with other rows in the ``touched`` shards; the other shards stay unread."""
+        if not touched:
+            return self
+        inside = F.col("shard").isin(touched)
+        refs = _by_shard(spark, refs, self.shards, "line-refs")
+        repeated = _by_shard(spark, repeated_keys(refs, self.min_docs), self.shards, "line-keys")
+        was, now = self.repeated.where(inside).select("key"), repeated.select("key")
         changes = now.join(was, "key", "left_anti").select("key", F.lit(1).alias("change")).unionByName(
             was.join(now, "key", "left_anti").select("key", F.lit(-1).alias("change")))
-        filters = staged(spark, changed_filters(self.filters, changes, self.shards), "line-filters")
-        if filters.where("full").count():
-            return LineIndex.build(spark, refs, self.min_docs)  # a shard outgrew its filter: size them anew
-        return LineIndex(refs, repeated, filters, self.shards, self.min_docs)
+        filters = staged(spark, changed_filters(self.filters.where(inside), changes, self.shards), "line-filters")
+        full = [r["shard"] for r in filters.where("full").select("shard").collect()]  # shard numbers
+        if full:  # these outgrew their filters: size them anew from their keys
+            grown = new_filters(spark, repeated.where(F.col("shard").isin(full)), self.shards)
+            filters = filters.where(~F.col("shard").isin(full)).unionByName(grown)
+        filters = _stored(spark, filters, "line-filters")
+        after = LineIndex(*[old.where(~inside).unionByName(new) for old, new in
+                            ((self.refs, refs), (self.repeated, repeated), (self.filters, filters))],
+                          self.shards, self.min_docs, self.tables + 1)
+        return after if after.tables < MOST_TABLES else after.stored_by_shard(spark)
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """The numbers of the shards that hold the keys of ``rows``."""
+        return sorted(r["shard"] for r in rows.select(shard_of(F.col("key"), self.shards).alias("shard")).distinct().collect())
 
     def insert(self, spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
-        """Adds documents; one that is there already has its counts added to."""
-        both = self.refs.unionByName(line_refs(docs, id_col, text_col))
-        return self._after(spark, both.groupBy("key", "doc_id").agg(F.sum("n").alias("n")))
-
-    def delete(self, spark: SparkSession, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
-        """Takes out all lines of the documents in ``ids``; unknown ids change nothing."""
-        gone = ids.select(column(ids, id_col).alias("doc_id"))
-        return self._after(spark, self.refs.join(gone, "doc_id", "left_anti").select("key", "doc_id", "n"))
+        """Adds documents; one that is there already has its counts added to. Reads and writes the shards of their keys."""
+        if not self.tables:
+            return self.stored_by_shard(spark).insert(spark, docs, id_col, text_col)
+        new = staged(spark, line_refs(docs, id_col, text_col), "line-change")
+        touched = self._touched(new)
+        both = self.refs.where(F.col("shard").isin(touched)).select("key", "doc_id", "n").unionByName(new)
+        return self._after(spark, touched, both.groupBy("key", "doc_id").agg(F.sum("n").alias("n")))
+
+    def delete(self, spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+        """Takes out all lines of the documents in ``docs``; unknown ids change nothing.
+
+        With a column ``text_col``, which must hold the texts that were
+        inserted, only the shards of their keys are read. Without it, ids
+        alone tell the shards, which takes a pass over all of ``refs``.
+        """
+        if not self.tables:
+            return self.stored_by_shard(spark).delete(spark, docs, id_col, text_col)
+        gone = staged(spark, docs.select(column(docs, id_col).alias("doc_id")).dropna().distinct(), "line-gone")
+        if text_col in docs.columns:
+            touched = self._touched(line_refs(docs, id_col, text_col))
+        else:
+            touched = sorted(r["shard"] for r in self.refs.select("doc_id", "shard").join(gone, "doc_id", "left_semi")
+                             .select("shard").distinct().collect())
+        left = self.refs.where(F.col("shard").isin(touched)).join(gone, "doc_id", "left_anti").select("key", "doc_id", "n")
+        return self._after(spark, touched, left)
 
-    def screened(self, spark: SparkSession) -> DataFrame:
+    def screened(self, spark: SparkSession, most: int = FILTER_BYTES) -> DataFrame:
         """The (key, doc_id) rows of ``refs`` whose key passes its shard's filter: all repeated ones and few others."""
         size = self.filters.agg(F.sum(F.length("data"))).head()[0] or 0
-        if size > FILTER_BYTES:
-            return self.refs.select("key", "doc_id")
+        shards, rows = self.shards, self.refs.select("key", "doc_id")
+        if size > most:
+            return met_by_shard(rows, self.filters, shards)
         filters = spark.sparkContext.broadcast({r["shard"]: bytes(r["data"]) for r in self.filters.collect()})
-        shards = self.shards
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ready = {s: CuckooFilter.read(d) for s, d in filters.value.items()}
@@ -206,7 +254,6 @@ class LineIndex:
                         keep[at] = ready[s].has([keys[i] for i in at])
                 yield batch[keep]
 
-        rows = self.refs.select("key", "doc_id")
         return rows.mapInPandas(probe, rows.schema)
 
     def dropped(self, spark: SparkSession) -> DataFrame:
@@ -217,6 +264,54 @@ class LineIndex:
         return staged(spark, lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "line-drops")
 
 
+def met_by_shard(rows: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+    """The (key, doc_id) rows that pass their shard's filter; a task holds one filter at a time and streams its rows.
+
+    A shard's rows are spread over PIECES pieces by document, each led by a
+    copy of the filter, as one line may be in a third of all documents.
+    """
+    none = F.lit(None).cast(rows.schema["doc_id"].dataType)
+    leads = filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("piece"), F.lit(0).alias("kind"),
+                           F.col("data").alias("key"), none.alias("doc_id"))
+    probes = rows.select(shard_of(F.col("key"), shards).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(PIECES)).cast("int").alias("piece"),
+                         F.lit(1).alias("kind"), "key", "doc_id")
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, ready = None, None
+        for batch in batches:
+            keep = np.zeros(len(batch), dtype=bool)
+            place, kind = batch[["shard", "piece"]].to_numpy(), batch["kind"].to_numpy()
+            keys = batch["key"].tolist()
+            starts = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]).any(1) | (kind[1:] != kind[:-1]))))
+            for a, b in zip(starts, [*starts[1:], len(batch)]):
+                if kind[a] == 0:
+                    at, ready = tuple(place[a]), CuckooFilter.read(bytes(keys[a]))
+                elif at == tuple(place[a]):  # a shard without a filter has no repeated key
+                    keep[a:b] = ready.has([bytes(k) for k in keys[a:b]])
+            yield batch.loc[keep, ["key", "doc_id"]]
+
+    both = leads.unionByName(probes).repartition("shard", "piece").sortWithinPartitions("shard", "piece", "kind")
+    return both.mapInPandas(probe, rows.schema)
+
+
+def _by_shard(spark: SparkSession, df: DataFrame, shards: int, name: str) -> DataFrame:
+    """``df`` stored with a folder for each shard of its keys, and read again with the column ``shard``; large shards take several tasks."""
+    return _stored(spark, df.withColumn("shard", shard_of(F.col("key"), shards)).hint("rebalance", F.col("shard")), name)
+
+
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """As ``staged``, with a folder for each shard."""
+    path = f"{shared_folder(spark)}/ledgerline-llm/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy("shard").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def new_filters(spark: SparkSession, keys: DataFrame, shards: int) -> DataFrame:
+    """Filters of the keys, sized for them."""
+    empty = spark.createDataFrame([], "shard int, data binary, full boolean")
+    return changed_filters(empty, keys.select("key", F.lit(1).alias("change")), shards)
+
+
 def changed_filters(filters: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
     """The filters with keys put in (change 1) or taken out (-1), each shard by itself; a shard holds a bounded share."""
 

@@ -89,6 +89,42 @@ def test_line_dedup_is_reversible(spark):
     again = fewer.insert(spark, four.where("doc_id >= 2"))
     assert sort(again.refs.collect()) == sort(index.refs.collect())
     assert {r.doc_id for r in again.dropped(spark).collect()} == {0, 1, 2}
+    assert index.delete(spark, four.where("doc_id > 7")) is index
+
+
+def test_line_dedup_changes_touch_their_shards_only(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('a line that many documents hold ', id % 90, '\\n', "
+                                       "'a line of its own for the document ', id) AS text")
+    index = line_dedup.LineIndex.build(spark, line_dedup.line_refs(docs)).stored_by_shard(spark, shard_refs=20)
+    assert index.shards == 40
+    two = docs.where("doc_id IN (3, 7)")
+    for less in (index.delete(spark, two), index.delete(spark, two.select("doc_id"))):
+        fresh = line_dedup.LineIndex.build(spark, line_dedup.line_refs(docs.where("doc_id NOT IN (3, 7)")))
+        assert sort(less.refs.select("key", "doc_id", "n").collect()) == sort(fresh.refs.collect())
+        assert sort(less.repeated.select("key", "n_docs", "last_doc").collect()) == sort(fresh.repeated.collect())
+        old, new = ({f for f in x.refs.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} for x in (index, less))
+        assert len(old - new) <= 4 and len({f.split("shard=")[1].split("/")[0] for f in new - old}) <= 4
+        kept = index.filters.where(F.input_file_name().isin(list({f for f in less.filters.select(F.input_file_name()).toPandas().iloc[:, 0]})))
+        assert kept.count() >= index.filters.count() - 4
+        assert sort(r for r in less.insert(spark, two).dropped(spark).select("doc_id", F.size("keys")).collect()) == sort(
+            index.dropped(spark).select("doc_id", F.size("keys")).collect())
+
+
+def test_line_dedup_changes_equal_a_rebuild_when_filters_outgrow_and_tables_gather(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MOST_TABLES", 3)
+    docs = spark.range(600).selectExpr("id AS doc_id", "concat('a line that some documents hold ', id % 150) AS text")
+    index = line_dedup.LineIndex.build(spark, line_dedup.line_refs(docs.where("doc_id < 20"))).stored_by_shard(spark)
+    for a, b in ((20, 200), (200, 460), (460, 600)):
+        index = index.insert(spark, docs.where(f"doc_id >= {a} AND doc_id < {b}"))
+    fresh = line_dedup.LineIndex.build(spark, line_dedup.line_refs(docs))
+    assert index.tables == 2 and sort(index.refs.select("key", "doc_id", "n").collect()) == sort(fresh.refs.collect())
+    assert sort(index.dropped(spark).select("doc_id").collect()) == sort(fresh.dropped(spark).select("doc_id").collect())
+
+
+def test_line_dedup_filters_that_are_not_broadcast(spark, docs):
+    index = line_dedup.LineIndex.build(spark, line_dedup.line_refs(docs))
+    sent, met = index.screened(spark), index.screened(spark, most=0)
+    assert sort(met.collect()) == sort(sent.collect()) and 0 < met.count() < index.refs.count()
 
 
 def test_cuckoo_filter_against_a_set():
