@@ -56,14 +56,22 @@ def sort(rows):
 def test_decontaminate(spark, docs, texts, empty):
     items = [(1, texts[9][1][:200]), (2, "one two"), (3, None), (None, "w1"), (4, ""), (5, "one two"), (2, "three"), (6, "Nothing, that is here at all or ever was")]
     bm = spark.createDataFrame(items, "item_id long, text string")
-    for most in (decontamination.AUTOMATON_BYTES, 2_000):  # one automaton, and several
+    for most in (decontamination.AUTOMATON_BYTES, 2_000, 300):  # one automaton, and several
         got = [(r.doc_id, r.n_words, r.n_hit, hashlib.sha256(",".join(r["items"]).encode()).hexdigest())
                for r in decontamination.decontaminate(spark, docs, bm, most=most).collect()]
         assert sort(got) == sort(decontamination.brute_force(texts, items))
-    assert decontamination.decontaminate(spark, empty, bm).count() == 0
+        assert decontamination.decontaminate(spark, empty, bm, most=most).count() == 0
     assert all(r.n_hit == 0 for r in decontamination.decontaminate(spark, docs, bm.limit(0)).collect())
 
 
+def test_decontaminate_by_parts_tells_spans_and_keeps_columns(spark, docs):
+    items = [(i, " ".join(t.split()[20:60])) for i, t in enumerate(r.text for r in docs.where("doc_id < 40").orderBy("doc_id").collect())]
+    bm = spark.createDataFrame(items, "item_id long, text string")
+    one, many = (decontamination.with_hits(spark, docs, bm, "hits", most=most) for most in (1 << 20, 1_000))
+    assert many.columns == [*docs.columns, "hits"] and "window-hits" in str(many.inputFiles())
+    assert sort(many.collect()) == sort(one.collect()) and many.where("size(hits.starts) > 0").count() >= 40
+
+
 def test_decontaminate_spans_point_into_the_text(spark):
     text = "Intro,  ÉTÉ! " + "Alpha beta-gamma  delta" + " (end)."
     bm = spark.createDataFrame([(1, "alpha BETA gamma delta")], "item_id long, text string")
