@@ -47,7 +47,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     name = free_name(docs, "__hits")
-    found = docs.withColumn(name, decontamination.finder(spark, table(spark, sf_dir, "benchmark"))(docs["text"]))
+    found = decontamination.with_hits(spark, docs, table(spark, sf_dir, "benchmark"), name)
     return found.where(F.col(f"{name}.n_hit") == 0).drop(name)
 
 
