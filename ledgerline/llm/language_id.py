@@ -2,7 +2,10 @@
 
 Each language has a codeword; for each bit a binary n-gram classifier tells
 the languages with 1 from those with 0. A text's bits are decoded to the
-codeword with the least weighted loss, and a close second flags it.
+codeword with the least weighted loss, and a close second flags it. A text
+is ``unlike`` its language where its n-grams fit that language's counts no
+better than another language's would: the bound lies half-way between what the
+language's own n-grams score and what those of the next language do.
 
 Training counts every hashed byte n-gram of every training row (no sample):
 ``FEATURES`` counts per language, summed in Spark. What reaches the driver is
@@ -11,6 +14,7 @@ the model: languages x FEATURES numbers, however large the table is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +31,10 @@ FEATURES = 1 << 14
 EXHAUSTIVE = 6
 #: A score below this, or a lead over the second below it, is ambiguous.
 MIN_SCORE, MIN_LEAD = 0.5, 0.2
+#: A short text may stray from its language's mean by chance: standard errors of the mean that are let pass.
+STRAY = 6
+#: What is no word of a language: words with a digit in them, runs of marks.
+NO_WORD = re.compile(r"\S*\d\S*|[^\w\s]+")
 #: Long texts are added up in pieces of so many n-grams.
 PIECE = 1 << 16
 UNDETERMINED = "und"
@@ -58,12 +66,20 @@ def codewords(k: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, their codewords (+1/-1), slot weights per bit, and the weight of each bit's loss."""
+    """Languages, their codewords (+1/-1), slot weights per bit, and the weight of each bit's loss.
+
+    Per language: ``logs``, the log-probability of each slot; ``bound``, the
+    mean of it below which a long text is unlike the language; ``spread``, its
+    standard deviation over the language's n-grams.
+    """
 
     langs: list[str]
     code: np.ndarray
     weights: np.ndarray
     trust: np.ndarray
+    logs: np.ndarray
+    bound: np.ndarray
+    spread: np.ndarray
 
 
 def fit(rows: list[tuple[str, int, int]]) -> Model:
@@ -80,16 +96,32 @@ def fit(rows: list[tuple[str, int, int]]) -> Model:
         one, zero = p[bits[:, j] == 1].mean(0), p[bits[:, j] == 0].mean(0)
         weights[:, j] = np.log(one / zero)
         trust[j] = ((one - zero) * np.log(one / zero)).sum()  # how far apart the bit's two sides are
-    return Model(langs, bits.astype(float) * 2 - 1, weights, trust / trust.mean() if trust.size else trust)
+    logs = np.log(p)
+    fits = np.vstack([p, np.full((1, FEATURES), 1 / FEATURES)]) @ logs.T  # [k, l]: n-grams of k under l; the last k has all alike
+    own = np.diag(fits).copy()
+    np.fill_diagonal(fits, -np.inf)
+    spread = np.sqrt(np.maximum(0, (p * (logs - own[:, None]) ** 2).sum(1)))
+    return Model(langs, bits.astype(float) * 2 - 1, weights, trust / trust.mean() if trust.size else trust,
+                 logs.astype(np.float32), (own + fits.max(0, initial=-np.inf)) / 2, spread)
+
+
+def unlike(model: Model, language: int, text: str) -> bool:
+    """Whether the n-grams of a text's words are not those of the language; words with a digit, and marks, tell no language."""
+    text = " ".join(NO_WORD.sub(" ", text).split())
+    if not text:
+        return False
+    slots = ngram_slots(text)
+    mean = sum(model.logs[language].take(slots[i:i + PIECE]).sum(dtype=np.float64) for i in range(0, len(slots), PIECE)) / len(slots)
+    return bool(mean < model.bound[language] - STRAY * model.spread[language] / np.sqrt(len(slots)))
 
 
-def decode(model: Model, text: str | None) -> tuple[str, float, float]:
-    """(language, score, lead over the second). Score: softmax of the negative weighted losses."""
+def decode(model: Model, text: str | None) -> tuple[str, float, float, bool]:
+    """(language, score, lead over the second, unlike). Score: softmax of the negative weighted losses."""
     if not text or not any(map(str.isalpha, text)) or not model.langs:
-        return UNDETERMINED, 0.0, 0.0
-    if len(model.langs) == 1:
-        return model.langs[0], 1.0, 1.0
+        return UNDETERMINED, 0.0, 0.0, True
     slots = ngram_slots(text)
+    if len(model.langs) == 1:
+        return model.langs[0], 1.0, 1.0, unlike(model, 0, text)
     z = np.zeros(model.weights.shape[1])
     for i in range(0, len(slots), PIECE):
         z += model.weights.take(slots[i:i + PIECE], axis=0).sum(0, dtype=np.float64)
@@ -98,7 +130,7 @@ def decode(model: Model, text: str | None) -> tuple[str, float, float]:
     e = np.exp(loss.min() - loss)
     e /= e.sum()
     order = np.argsort(-e, kind="stable")
-    return model.langs[order[0]], float(e[order[0]]), float(e[order[0]] - e[order[1]])
+    return model.langs[order[0]], float(e[order[0]]), float(e[order[0]] - e[order[1]]), unlike(model, order[0], text)
 
 
 def train(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -122,15 +154,16 @@ def train(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
 
 
 def predictor(spark: SparkSession, model: Model):
-    """A column function text -> struct(lang_pred, score, ambiguous)."""
+    """A column function text -> struct(lang_pred, score, ambiguous, unlike)."""
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # FEATURES x bits numbers
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean, unlike boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         found = [decode(shared.value, t) for t in texts]
         return pd.DataFrame({"lang_pred": [f[0] for f in found], "score": [f[1] for f in found],
-                             "ambiguous": [f[0] == UNDETERMINED or f[1] < MIN_SCORE or f[2] < MIN_LEAD for f in found]})
+                             "ambiguous": [f[0] == UNDETERMINED or f[1] < MIN_SCORE or f[2] < MIN_LEAD for f in found],
+                             "unlike": [f[3] for f in found]})
 
     return predict
 
@@ -149,13 +182,13 @@ def train_split(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model | None = None, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score, ambiguous for every row.
+    """doc_id, held_out, lang_pred, score, ambiguous, unlike for every row.
 
-    A null text, or one without a letter, is ``und`` with score 0 and
-    ambiguous; so is everything when no row teaches a language. Repeated rows
+    A null text, or one without a letter, is ``und`` with score 0, ambiguous
+    and unlike; so is everything when no row teaches a language. Repeated rows
     get equal answers. Other columns of ``docs`` are ignored.
     """
     model = model or train_split(spark, docs, id_col, text_col, lang_col)
     out = predictor(spark, model)(column(docs, text_col))
     return (docs.select(column(docs, id_col).alias("doc_id"), held_out(column(docs, id_col)).alias("held_out"),
-                        out.alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.ambiguous"))
+                        out.alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.ambiguous", "p.unlike"))

@@ -1,9 +1,10 @@
 """Edge cases and brute-force comparisons of the training-data operators, on small made tables."""
 
 import hashlib
+import math
 import os
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
@@ -228,12 +229,53 @@ def test_language_id(spark, empty):
     held = [(by[i][0].lang_pred, lang) for i, _, lang in rows if by[i][0].held_out]
     assert len(held) > 60 and sum(a == b for a, b in held) / len(held) > 0.97
     assert all(by[i][0].lang_pred == "und" and by[i][0].score == 0 and by[i][0].ambiguous for i in (900, 901, 902))
+    assert all(by[i][0].unlike for i in (900, 901, 902)) and not any(by[i][0].unlike for i, _, _ in rows if by[i][0].held_out)
     assert by[903][0] == by[903][1] and by[903][0].lang_pred == "en" and not by[None][0].held_out
     assert all(0 <= r.score <= 1 for r in out)
     untaught = language_id.identify(spark, spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()
     assert untaught[0].lang_pred == "und" and language_id.identify(spark, empty).count() == 0
 
 
+def plain_unlike(taught, asked):
+    """For (text, language) pairs, whether the text is unlike the language, with plain sums over dictionaries of ``taught`` pairs."""
+    counts = defaultdict(lambda: defaultdict(lambda: 0.5))
+    for text, lang in taught:
+        for s in language_id.ngram_slots(text).tolist():
+            counts[lang][s] += 1
+    every = range(language_id.FEATURES)
+    total = {k: sum(c.values()) + 0.5 * (language_id.FEATURES - len(c)) for k, c in counts.items()}
+    share = {k: [c.get(s, 0.5) / total[k] for s in every] for k, c in counts.items()}
+    logs = {k: [math.log(p) for p in ps] for k, ps in share.items()}
+    bound, spread = {}, {}
+    for k in counts:
+        own = sum(p * x for p, x in zip(share[k], logs[k]))
+        others = [sum(p * x for p, x in zip(share[o], logs[k])) for o in counts if o != k] + [sum(logs[k]) / len(every)]
+        bound[k] = (own + max(others)) / 2
+        spread[k] = math.sqrt(sum(p * (x - own) ** 2 for p, x in zip(share[k], logs[k])))
+    out = []
+    for text, lang in asked:
+        words = ["".join(c if c.isalnum() or c == "_" else " " for c in w) for w in text.split() if not any(c.isdecimal() for c in w)]
+        own = [logs[lang][s] for s in language_id.ngram_slots(" ".join(" ".join(words).split())).tolist()] if "".join(words).strip() else []
+        out.append(bool(own) and sum(own) / len(own) < bound[lang] - language_id.STRAY * spread[lang] / math.sqrt(len(own)))
+    return out
+
+
+def test_language_id_tells_unlearned_languages(spark):
+    rng = random.Random(4)
+    syllables = {"en": ["the", "ing", "tion", "wh", "ea"], "de": ["sch", "ung", "keit", "ü", "ei"], "fr": ["eau", "oi", "ê", "que", "l'"],
+                 "xx": ["kka", "sso", "älä", "yyt", "mmu"]}
+    made = [(" ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(rng.randint(8, 300))), lang) for lang in [*syllables] * 60]
+    taught, asked = [r for r in made[:120] if r[1] != "xx"], made[120:]
+    model = language_id.train(spark, spark.createDataFrame(taught, "text string, lang string"))
+    told = [language_id.decode(model, t) for t, _ in asked]
+    assert all(d[3] == (lang == "xx") for d, (_, lang) in zip(told, asked))
+    odd = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300)), "theing token=" + "8af" * 30, "é" * 400, "a", "x1 22 --", "日本語は主に日本で使われている" * 9]
+    told += [language_id.decode(model, t) for t in odd]
+    assert [d[3] for d in told] == plain_unlike(taught, [(t, d[0]) for t, d in zip([t for t, _ in asked] + odd, told)])
+    one = language_id.fit([("en", s, n) for s, n in Counter(language_id.ngram_slots(" ".join(t for t, x in taught if x == "en")).tolist()).items()])
+    assert [language_id.decode(one, t)[::3] for t in ("theing tionea " * 30, asked[3][0])] == [("en", False), ("en", True)] and asked[3][1] == "xx"
+
+
 def test_codewords_are_far_apart():
     for k in (2, 4, 6, 12, 40):
         code = language_id.codewords(k)
@@ -729,7 +771,11 @@ def test_pipeline_equals_brute_force_stages(spark):
     import corpus_pipeline
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    told = {r.doc_id: r.lang_pred for r in language_id.identify(spark, spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    taught = [(r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").where("crc32(cast(doc_id AS string)) % 3 != 1").dropna(
+        subset=["text", "lang"]).collect()]
     rows = [(d, t) for d, t in rows if any(c.isalpha() for c in t or "")]
+    rows = [r for r, gone in zip(rows, plain_unlike(taught, [(t, told[d]) for d, t in rows])) if not gone]
     rows = [(d, kept) for d, _, _, kept in line_dedup.brute_force(rows)]
     rows = [(d, t) for (d, t), (_, n, c) in zip(rows, ngram_join.brute_force(rows)) if c == d]
     clean = [n == 0 for _, _, n, _ in decontamination.brute_force(rows, items)]
@@ -740,6 +786,18 @@ def test_pipeline_equals_brute_force_stages(spark):
 
 def test_stages_keep_odd_rows_and_columns(spark, docs, empty):
     import corpus_pipeline
-    for name, stage in corpus_pipeline.STAGES[:3]:
+    for name, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs, SF).columns == docs.columns, name
+    for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
+    assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() == docs.count()
+
+
+def test_language_stage_removes_unlearned_languages(spark):
+    import corpus_pipeline
+    rng = random.Random(6)
+    syllables = {"en": ["the", "ing", "tion", "wh", "ea"], "de": ["sch", "ung", "keit", "ü", "ei"], None: ["kka", "sso", "älä", "yyt", "mmu"]}
+    rows = [(i, " ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(100)), lang) for i, lang in enumerate([*syllables] * 30)]
+    docs = spark.createDataFrame([*rows, (900, None, "en"), (901, "12 + 7", "en")], "doc_id long, text string, lang string")
+    left = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, SF).collect()}
+    assert left == {i for i, _, lang in rows if lang}
