@@ -16,11 +16,11 @@ from ledgerline.llm.queries import WORD_BPE
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: those without a letter go (``und``), however they are labelled."""
+    """Documents in a learned language: those without a letter (``und``) and those unlike the language told go, however they are labelled."""
     model = language_id.train_split(spark, docs)
     name = free_name(docs, "__language")
     told = docs.withColumn(name, language_id.predictor(spark, model)(docs["text"]))
-    return told.where(F.col(f"{name}.lang_pred") != language_id.UNDETERMINED).drop(name)
+    return told.where(F.col(f"{name}.lang_pred") != language_id.UNDETERMINED).where(~F.col(f"{name}.unlike")).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
