@@ -34,7 +34,7 @@ MIN_SCORE, MIN_LEAD = 0.5, 0.2
 #: A short text may stray from its language's mean by chance: standard errors of the mean that are let pass.
 STRAY = 6
 #: What is no word of a language: words with a digit in them, runs of marks.
-NO_WORD = re.compile(r"\S*\d\S*|[^\w\s]+")
+NO_WORD = re.compile(r"(?<!\S)[^\s\d]*+\d\S*+|[^\w\s]+")
 #: Long texts are added up in pieces of so many n-grams.
 PIECE = 1 << 16
 UNDETERMINED = "und"
@@ -105,23 +105,27 @@ def fit(rows: list[tuple[str, int, int]]) -> Model:
                  logs.astype(np.float32), (own + fits.max(0, initial=-np.inf)) / 2, spread)
 
 
-def unlike(model: Model, language: int, text: str) -> bool:
-    """Whether the n-grams of a text's words are not those of the language; words with a digit, and marks, tell no language."""
-    text = " ".join(NO_WORD.sub(" ", text).split())
-    if not text:
-        return False
-    slots = ngram_slots(text)
+def strays(model: Model, language: int, slots: np.ndarray) -> bool:
+    """Whether the mean log-probability of n-grams is below the language's bound."""
     mean = sum(model.logs[language].take(slots[i:i + PIECE]).sum(dtype=np.float64) for i in range(0, len(slots), PIECE)) / len(slots)
     return bool(mean < model.bound[language] - STRAY * model.spread[language] / np.sqrt(len(slots)))
 
 
+def unlike(model: Model, language: int, text: str, slots: np.ndarray) -> bool:
+    """Whether neither a text nor its words alone are of the language; words with a digit, and marks, tell no language."""
+    if not strays(model, language, slots):
+        return False
+    own = " ".join(NO_WORD.sub(" ", text).split())
+    return bool(own) and strays(model, language, ngram_slots(own))
+
+
 def decode(model: Model, text: str | None) -> tuple[str, float, float, bool]:
     """(language, score, lead over the second, unlike). Score: softmax of the negative weighted losses."""
     if not text or not any(map(str.isalpha, text)) or not model.langs:
         return UNDETERMINED, 0.0, 0.0, True
     slots = ngram_slots(text)
     if len(model.langs) == 1:
-        return model.langs[0], 1.0, 1.0, unlike(model, 0, text)
+        return model.langs[0], 1.0, 1.0, unlike(model, 0, text, slots)
     z = np.zeros(model.weights.shape[1])
     for i in range(0, len(slots), PIECE):
         z += model.weights.take(slots[i:i + PIECE], axis=0).sum(0, dtype=np.float64)
@@ -130,7 +134,7 @@ def decode(model: Model, text: str | None) -> tuple[str, float, float, bool]:
     e = np.exp(loss.min() - loss)
     e /= e.sum()
     order = np.argsort(-e, kind="stable")
-    return model.langs[order[0]], float(e[order[0]]), float(e[order[0]] - e[order[1]]), unlike(model, order[0], text)
+    return model.langs[order[0]], float(e[order[0]]), float(e[order[0]] - e[order[1]]), unlike(model, order[0], text, slots)
 
 
 def train(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
