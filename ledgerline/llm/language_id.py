@@ -112,11 +112,12 @@ def strays(model: Model, language: int, slots: np.ndarray) -> bool:
 
 
 def unlike(model: Model, language: int, text: str, slots: np.ndarray) -> bool:
-    """Whether neither a text nor its words alone are of the language; words with a digit, and marks, tell no language."""
+    """Whether neither a text nor its words alone are of the language, nor of another one; words with a digit, and marks, tell no language."""
     if not strays(model, language, slots):
         return False
     own = " ".join(NO_WORD.sub(" ", text).split())
-    return bool(own) and strays(model, language, ngram_slots(own))
+    words = ngram_slots(own) if own else slots[:0]
+    return bool(own) and all(strays(model, k, slots) and strays(model, k, words) for k in range(len(model.langs)))
 
 
 def decode(model: Model, text: str | None) -> tuple[str, float, float, bool]:

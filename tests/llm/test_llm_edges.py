@@ -257,8 +257,10 @@ def plain_unlike(taught, asked):
         words = ["".join(c if c.isalnum() or c == "_" else " " for c in w) for w in text.split() if not any(c.isdecimal() for c in w)]
         means = []
         for t in (text, " ".join(" ".join(words).split())):
-            own = [logs[lang][s] for s in language_id.ngram_slots(t).tolist()] if t else [0]
-            means.append(sum(own) / len(own) < bound[lang] - language_id.STRAY * spread[lang] / math.sqrt(len(own)))
+            for k in logs if t else ():
+                own = [logs[k][s] for s in language_id.ngram_slots(t).tolist()]
+                means.append(sum(own) / len(own) < bound[k] - language_id.STRAY * spread[k] / math.sqrt(len(own)))
+            means += [] if t else [False]
         out.append(all(means))
     return out
 
