@@ -36,27 +36,37 @@ def month_of(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+#: A key that holds more than one of so many facts is hot: fewer keys than this are.
+HOT_SHARE = 4096
+
+
 def with_versions(facts: DataFrame, day: str, key: str, versions: DataFrame) -> DataFrame:
     """``facts`` left join ``versions`` (valid_from, valid_to, other columns) on ``key`` and
-    ``day BETWEEN valid_from AND valid_to``: an interval-bin join.
-
-    Each version stands in every month that it covers within the span of the
-    facts' days (one row of bounds, read from the facts); facts and versions
-    meet on (key, month), and the exact range decides within the month. A fact
-    meets only the versions of its month, and the facts of a hot key spread
-    over the months. A NULL end never matches; a fact on a day that two
-    versions share comes twice; a version never meets a fact in two months, as
-    a fact has one.
+    ``day BETWEEN valid_from AND valid_to``: an interval-bin join for hot keys.
+
+    Facts and versions meet on (key, month), and the exact range decides. Only
+    the versions of a hot key (see ``HOT_SHARE``; counted over the facts) stand
+    in every month that they cover within the span of the facts' days (one row
+    of bounds, read from the facts), so that its facts spread over the months
+    and meet only the versions of theirs. The versions of all other keys stand
+    once, in month 0 with the facts of their key; so the versions do not grow
+    with the months they cover. They are shuffled, never broadcast: the
+    planner's guess at their size is that of a compressed file. A NULL end
+    never matches; a fact on a day that two versions share comes twice; a
+    version never meets a fact in two months, as a fact has one.
     """
-    lo, hi = (facts.select(f(day)).scalar() for f in (F.min, F.max))
+    lo, hi, n = (facts.select(f(c)).scalar() for f, c in ((F.min, day), (F.max, day), (F.count, key)))
+    hot = facts.groupBy(F.col(key).alias("_hot")).agg(F.count(key).alias("_n")).where(F.col("_n") * HOT_SHARE > n).select("_hot")
     start = F.greatest(F.col("valid_from"), lo)
     end = F.least(F.col("valid_to"), hi)
-    covered = F.col("valid_to").isNotNull() & (start <= end)
-    binned = (versions.select("*", F.explode(F.when(covered, F.sequence(month_of(start), month_of(end)))).alias("_month"))
-              .withColumnsRenamed({key: "_key", "_month": "_bin"}))
-    f = facts.withColumn("_month", month_of(F.col(day)))
+    months = F.when(start <= end, F.when(F.col("_hot").isNull(), F.array(F.lit(0))).otherwise(F.sequence(month_of(start), month_of(end))))
+    binned = (versions.where(F.col("valid_from") <= F.col("valid_to")).join(F.broadcast(hot), F.col("_hot") == F.col(key), "left")
+              .select("*", F.explode(months).alias("_month")).drop("_hot").withColumnsRenamed({key: "_key", "_month": "_bin"}))
+    # facts without a key meet nothing: their months only spread them
+    f = (facts.join(F.broadcast(hot), F.col("_hot") == F.col(key), "left")
+         .withColumn("_month", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), 0).otherwise(month_of(F.col(day)))).drop("_hot"))
     on = (F.col("_key") == F.col(key)) & (F.col("_bin") == F.col("_month")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return f.join(binned, on, "left").drop("_month", "_key", "_bin")
+    return f.join(binned.hint("merge"), on, "left").drop("_month", "_key", "_bin")
 
 
 def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
@@ -65,17 +75,16 @@ def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFram
     shared boundary day matches two product versions and appears twice).
     Columns are named ``d_``, ``lh_`` and ``p_`` and their table's name.
 
-    Deal and holiday are both large and meet in a sort-merge join on the deal
-    key. Products meet the deals by product and month (``with_versions``): the
-    planner broadcasts them while they are below its threshold, else a hot
-    product's deals are spread over months.
+    Products meet the deals by product, and by month where a product is hot
+    (``with_versions``). They come first, as the deals are read for the hot
+    products too; the two left joins give the same rows in either order. Deal
+    and holiday are both large and meet in a sort-merge join on the deal key.
     """
     d, lh, p = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns]) for tag, df in (("d", deal), ("lh", holiday), ("p", product)))
-    x = d.join(lh, (F.col("lh_deal_rk") == F.col("d_deal_rk")) & (F.col("lh_effective_from_date") == F.col("d_effective_from_date")), "left")
     p = p.select("*", F.col("p_effective_from_date").alias("valid_from"), F.col("p_effective_to_date").alias("valid_to"),
                  F.col("p_product_rk").alias("product"))
-    x = with_versions(x.withColumn("product", F.col("d_product_rk")), "d_effective_from_date", "product", p)
-    return x.drop("product", "valid_from", "valid_to")
+    x = with_versions(d.withColumn("product", F.col("d_product_rk")), "d_effective_from_date", "product", p).drop("product", "valid_from", "valid_to")
+    return x.join(lh, (F.col("lh_deal_rk") == F.col("d_deal_rk")) & (F.col("lh_effective_from_date") == F.col("d_effective_from_date")), "left")
 
 
 def loan_holiday_info(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:

@@ -108,6 +108,38 @@ def test_a_hot_product_is_spread_over_months(spark):
             spark.conf.set(k, v)
 
 
+def generated(df):
+    """Rows out of the explode steps of a frame that was collected."""
+    def walk(node):
+        children = node.children()
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" else 0
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_versions_of_many_keys_do_not_grow_with_the_months_they_cover(spark):
+    """6,000 keys of one fact each, one hot key, facts without a key or a day; versions that cover ten years."""
+    far = F.date_add(F.lit(DAY0), (F.col("id") * 7919 % 3650).cast("int"))
+    facts = (spark.range(6_000).select("id", F.col("id").cast("int").alias("key"), far.alias("d"))
+             .union(spark.range(6_000, 7_000).select("id", F.lit(3).cast("int"), far))
+             .union(spark.createDataFrame([(9_000, None, day(3)), (9_001, 3, None), (9_002, 8, None), (9_003, 10_000, day(5))], "id long, key int, d date")))
+    versions = spark.range(6_000).select(F.col("id").cast("int").alias("key"), F.lit(DAY0).alias("valid_from"),
+                                         F.when(F.col("id") % 5 > 0, F.lit(day(2_000))).otherwise(F.lit(None)).alias("valid_to"), F.lit("a").alias("v"))
+    versions = versions.union(spark.range(6_000).select(F.col("id").cast("int"), F.lit(day(2_000)), F.lit(D(2999, 12, 31)), F.lit("b")))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = task2.with_versions(facts, "d", "key", versions).select("id", "v")
+        got = sorted(map(tuple, out.collect()), key=str)
+        assert generated(out) < 11_000 + 200  # 10,800 versions with an end; the hot key's two stand in about 121 months
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    want = facts.alias("f").join(versions.alias("p"), (F.col("f.key") == F.col("p.key")) & F.col("f.d").between(F.col("p.valid_from"), F.col("p.valid_to")),
+                                 "left").select("id", "v").collect()
+    assert got == sorted(map(tuple, want), key=str)
+    assert "SortMergeJoin" in plan(out)
+
+
 @pytest.mark.parametrize("ranges", [1, 7, quality.DIFF_RANGES])
 def test_digest_diff_equals_the_row_join(spark, ranges):
     rnd = random.Random(2)
