@@ -133,6 +133,27 @@ def test_task2_marts_reload_to_equal_tables(spark, task2_root):
     assert {r.account_rk: r.currency_name for r in spark.read.parquet(f"{task2_root}/dm/account_balance_turnover").collect()} == {1: "USD", 2: "-1"}
 
 
+def test_loan_holiday_info_of_many_products_and_dates_equals_the_plain_joins(spark):
+    """Products without a broadcast of their months, a hot one, holidays and deals that repeat or lack a key."""
+    day = F.date_add(F.lit(D(1992, 1, 1)), (F.col("id") * 31 % 2500).cast("int"))
+    deal = spark.range(7_000).select(F.when(F.col("id") % 50 > 0, F.col("id") % 6_900).alias("deal_rk"), day.alias("effective_from_date"), F.lit(D(2999, 12, 31)).alias("effective_to_date"),
+                                     F.when(F.col("id") % 11 > 0, F.when(F.col("id") % 7 == 0, 5).otherwise(F.col("id"))).alias("product_rk"))
+    holiday = deal.where("deal_rk % 3 = 0").select("deal_rk", "effective_from_date", F.lit(D(2020, 1, 1)).alias("effective_to_date"), F.lit("A").alias("loan_holiday_type_cd"))
+    product = spark.range(5_000).select(F.col("id").alias("product_rk"), F.lit("old").alias("product_name"), F.lit(D(1990, 1, 1)).alias("effective_from_date"), F.lit(D(1996, 1, 1)).alias("effective_to_date"))
+    product = product.union(product.select("product_rk", F.lit("new"), F.lit(D(1996, 1, 1)), F.when(F.col("product_rk") % 9 > 0, F.lit(D(2999, 12, 31)))))
+    out = task2.loan_holiday_info(deal, holiday, product)
+    got = sorted(map(tuple, out.select("deal_rk", "effective_from_date", "effective_to_date", "product_rk", "product_name", "loan_holiday_type_cd").collect()), key=str)
+    for name, df in (("t_deal", deal), ("t_holiday", holiday), ("t_product", product)):
+        df.createOrReplaceTempView(name)
+    want = spark.sql("""SELECT d.deal_rk, d.effective_from_date, coalesce(h.effective_to_date, d.effective_to_date), d.product_rk, product_name, loan_holiday_type_cd
+        FROM t_deal d LEFT JOIN t_holiday h ON h.deal_rk = d.deal_rk AND h.effective_from_date = d.effective_from_date
+        LEFT JOIN t_product p ON p.product_rk = d.product_rk AND d.effective_from_date BETWEEN p.effective_from_date AND p.effective_to_date""")
+    assert got == sorted(map(tuple, want.collect()), key=str)
+    assert task2.loan_holiday_rows_read(deal, holiday, product).first()[0] == len(got)
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "SortMergeJoin [product#" in plan  # the planner would broadcast the products, of a size it can only guess
+
+
 def test_balance_repair_is_stored_and_counted(spark, task2_root):
     run = jobs.repair_balance(spark, task2_root)
     assert run.rows_loaded == 1       # account 2 has a missing day in between: no error
