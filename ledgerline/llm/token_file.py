@@ -15,10 +15,10 @@ id included), and ``grammar`` holds the ids (see ``pack``).
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import bounded_batches, column, shared_folder
+from ledgerline.llm.common import bounded_batches, column, give_back, shared_folder
 
 #: Ids of a shard; a longer document makes a shard of its own.
 SHARD_IDS = 1 << 18
@@ -40,26 +40,39 @@ LEAST = 4
 LAST_GAIN = 1 / 200
 #: zstandard level of the planes of a grammar.
 LEVEL = 3
-#: Words whose ids a Python worker remembers.
-KNOWN_WORDS = 1_000_000
+#: Words whose ids a Python worker remembers, twice: those met lately, and as many met before them.
+KNOWN_WORDS = 450_000
 
 
 # ---------------------------------------------------------------- ids of a text
 
 #: White space as Unicode has it (White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: The vocabulary's own pattern (fixed value), and the same for ASCII texts.
+#: The vocabulary's own pattern (fixed value), and the same for ASCII texts
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+#: (letters and digits first: no other part begins as they do).
+ASCII_SPLIT = re.compile(r" ?[A-Za-z]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: The same for texts within Latin-1.
-LATIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9²³¹¼½¾]+| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
+LATIN_SPLIT = re.compile(r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9²³¹¼½¾]+|'(?:[stmd]|re|ve|ll)| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+"
                          r"|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+")
 _KINDS = [regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), regex.compile(rf"[^{SPACE}\p{{L}}\p{{N}}]")]
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all characters are within Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class ByteBpe(dict):
     """A byte-level BPE vocabulary file; as a dict, each word with its ids as bytes.
 
+    At KNOWN_WORDS words the dict becomes the ``earlier`` one and a new one
+    begins; a word that is met again comes over from there.
+
     Texts are split by the vocabulary's pattern. Where the library's tables
     give a character of the text another kind than ours, and where a special
     token is spelled out, the library encodes the whole text.
@@ -71,24 +84,26 @@ class ByteBpe(dict):
         self.tok.no_truncation()
         self.tok.no_padding()
         self.size = self.tok.get_vocab_size()
-        self.code = "H" if self.size <= 1 << 16 else "I"
-        self.type = np.dtype(self.code)
+        self.type = np.dtype("H" if self.size <= 1 << 16 else "I")
         added = self.tok.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
-        self.letters = [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+        self.letters = "".join([chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)])
+        self.tokenize = self.tok.model.tokenize
+        self.bytes_of = [np.array([i], dtype=self.type).tobytes() for i in range(self.size)]
+        self.earlier: dict[str, bytes] = {}
         self.same, self.other = set(map(chr, range(128))), set()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
+            self.earlier = dict(self)
             self.clear()
-        plain = word[1:] if word[0] == " " else word
-        if plain.isascii() and plain.isalnum():
-            written = word.replace(" ", self.letters[32])
-        else:
-            written = "".join([self.letters[b] for b in word.encode()])
-        self[word] = out = array(self.code, [t.id for t in self.tok.model.tokenize(written)]).tobytes()
+        out = self.earlier.get(word)
+        if out is None:
+            written = codecs.charmap_decode(word.encode(), "strict", self.letters)[0]
+            out = b"".join([self.bytes_of[t.id] for t in self.tokenize(written)])
+        self[word] = out
         return out
 
     def _kinds_agree(self, text: str) -> bool:
@@ -111,10 +126,10 @@ class ByteBpe(dict):
         elif not self._kinds_agree(text):
             words = None
         else:
-            words = (LATIN_SPLIT if max(text) < "\u0100" else SPLIT).findall(text)
+            words = (LATIN_SPLIT if _is_latin(text) else SPLIT).findall(text)
         if words is None:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
-        return b"".join([self[w] for w in words])
+        return b"".join(map(self.__getitem__, words))
 
 
 _LOADED: dict[str, ByteBpe] = {}
@@ -134,36 +149,55 @@ def repair(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray,
     """(sequence, rules, rules per round): ids below ``base`` as a grammar.
 
     Symbol ``base`` + k stands for the two symbols of ``rules[k]``, which come
-    before it. A round counts all pairs; where frequent pairs overlap, the
-    more frequent one is replaced.
+    before it. The first round counts all pairs; a later one those that are
+    not known to be rare: pairs with a symbol of the round before, frequent
+    ones and ones not counted yet. A pair that was counted and is rare stays
+    so, as no new one of its two symbols comes up. Where frequent pairs
+    overlap, the more frequent one is replaced.
     """
     seq, rules, rounds, done = ids.astype(np.int64), [], [], base
     multiplier = 0x9E3779B97F4A7C15
-    while len(seq) > 1:
-        bits = max(8, len(seq).bit_length())
-        pair = (seq[:-1] << 32) | seq[1:]
+    live = np.arange(len(seq) - 1)  # where the pairs to count stand
+    while len(live):
+        bits = max(8, len(live).bit_length())
+        pair = (seq[live] << 32) | seq[live + 1]
         slot = ((pair.view(np.uint64) * np.uint64(multiplier)) >> np.uint64(64 - bits)).view(np.int64)
-        held = np.zeros(1 << bits, dtype=np.int64)
+        held = np.empty(1 << bits, dtype=np.int64)
         held[slot] = pair  # pairs that share a slot wait for a round with another multiplier
-        count = np.bincount(slot[held[slot] == pair], minlength=1 << bits)
-        held[count < least] = -1
-        at = np.flatnonzero(held[slot] == pair)  # where a frequent pair stands
-        rank = np.zeros(len(seq) + 1, dtype=np.int64)
-        rank[at + 1] = (count[slot[at]] << bits) | slot[at]
-        at = at[(rank[at + 1] > rank[at]) & (rank[at + 1] >= rank[at + 2])]
-        uses = np.bincount(slot[at], minlength=1 << bits)
-        at = at[uses[slot[at]] >= least]
+        own = held[slot] == pair
+        again = np.zeros(len(seq), dtype=bool)
+        again[live] = ~own
+        own = np.flatnonzero(own)
+        at, slot = live[own], slot[own]
+        count = np.bincount(slot, minlength=1 << bits)[slot]
+        often = np.flatnonzero(count >= least)
+        at, slot, count = at[often], slot[often], count[often]  # where a frequent pair stands
+        again[at] = True
+        rank = (count << bits) | slot
+        apart = at[1:] > at[:-1] + 1
+        first = np.ones(len(at), dtype=bool)
+        first[1:] = apart | (rank[1:] > rank[:-1])
+        first[:-1] &= apart | (rank[:-1] >= rank[1:])
+        first = np.flatnonzero(first)
+        at, slot = at[first], slot[first]
+        uses = np.bincount(slot, minlength=1 << bits)
+        enough = np.flatnonzero(uses[slot] >= least)
+        at, slot = at[enough], slot[enough]
         if not len(at):
             break
         chosen = np.flatnonzero(uses >= least)
-        symbol = np.zeros(1 << bits, dtype=np.int64)
+        symbol = np.empty(1 << bits, dtype=np.int64)
         symbol[chosen] = done + np.arange(len(chosen))
         rules.append(np.stack([held[chosen] >> 32, held[chosen] & 0xFFFFFFFF], axis=1))
         rounds.append(len(chosen))
         done += len(chosen)
         gain = len(at) / len(seq)
-        seq[at] = symbol[slot[at]]
-        seq = np.delete(seq, at + 1)
+        seq[at] = symbol[slot]
+        again[at] = again[at - 1] = True  # the last place, to which -1 leads, begins no pair
+        left = np.ones(len(seq), dtype=bool)
+        left[at + 1] = False
+        left = np.flatnonzero(left)
+        seq, live = seq[left], np.flatnonzero(again[left][:-1])
         if gain < LAST_GAIN:
             break
         multiplier = (multiplier * 0x5851F42D4C957F2D + 2) % (1 << 64) | 1
@@ -308,6 +342,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, folder: str |
                 held += n
         if held:
             yield row()
+        give_back()
 
     bounded_batches(spark)
     order = ["doc_id", "__crc", "__tie"]
@@ -339,9 +374,10 @@ def read_tokens(spark: SparkSession, folder: str, id_type: T.DataType = T.LongTy
                 raw = Grammar(data.as_py()).all().astype("<u4").tobytes()
                 n = lengths.values.to_numpy()
                 ends = np.cumsum(n)
+                cuts = pa.array(np.concatenate([[0], 4 * ends]), pa.int32()).buffers()[1]
                 yield pa.RecordBatch.from_arrays(
                     [docs.values, pa.array(start.as_py() + ends - n), pa.array(n),
-                     pa.array([raw[4 * a:4 * b] for a, b in zip(ends - n, ends)], pa.binary())], names=schema.names)
+                     pa.Array.from_buffers(pa.binary(), len(n), [None, cuts, pa.py_buffer(raw)])], names=schema.names)
 
     bounded_batches(spark)
     return open_tokens(spark, folder, id_type).select("start", "doc_ids", "lengths", "grammar").mapInArrow(documents, schema)

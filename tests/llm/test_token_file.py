@@ -74,6 +74,23 @@ def test_grammar_is_smaller_than_ids():
         token_file.Grammar(b"none")
 
 
+def test_later_rounds_count_only_pairs_that_may_be_frequent(monkeypatch):
+    """A pair that was counted and is rare is not counted again; what is left has no frequent pair."""
+    rng = random.Random(5)
+    passages = [[rng.randrange(50_000) for _ in range(40)] for _ in range(30)]
+    ids = np.array([i for _ in range(300) for i in [*rng.choice(passages), *(rng.randrange(50_000) for _ in range(300))]])
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(token_file.np, "bincount", lambda x, **more: counted.append(len(x)) or bincount(x, **more))
+    monkeypatch.setattr(token_file, "LAST_GAIN", 0)
+    seq, rules, rounds = token_file.repair(ids, 50_257)
+    monkeypatch.undo()
+    assert len(rounds) > 4 and sum(counted) < 2 * len(ids)
+    pairs, n = np.unique((seq[:-1] << 32) | seq[1:], return_counts=True)
+    overlaps = (pairs >> 32) == (pairs & 0xFFFFFFFF)
+    assert n[~overlaps].max() < 2 * token_file.LEAST
+    assert (token_file.Grammar(token_file.pack(ids, 50_257)).all() == ids).all()
+
+
 def test_splits_every_character_as_the_library_does():
     bpe = token_file.ByteBpe(BYTE_BPE)
     chars = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
