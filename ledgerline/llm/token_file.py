@@ -40,8 +40,8 @@ LEAST = 4
 LAST_GAIN = 1 / 200
 #: zstandard level of the planes of a grammar.
 LEVEL = 3
-#: Words whose ids a Python worker remembers, twice: those met lately, and as many met before them.
-KNOWN_WORDS = 450_000
+#: Words whose ids a Python worker remembers (a dict of under 2^20 * 2 / 3 has half the table of a larger one).
+KNOWN_WORDS = 600_000
 
 
 # ---------------------------------------------------------------- ids of a text
@@ -70,9 +70,6 @@ def _is_latin(text: str) -> bool:
 class ByteBpe(dict):
     """A byte-level BPE vocabulary file; as a dict, each word with its ids as bytes.
 
-    At KNOWN_WORDS words the dict becomes the ``earlier`` one and a new one
-    begins; a word that is met again comes over from there.
-
     Texts are split by the vocabulary's pattern. Where the library's tables
     give a character of the text another kind than ours, and where a special
     token is spelled out, the library encodes the whole text.
@@ -92,18 +89,13 @@ class ByteBpe(dict):
         self.letters = "".join([chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)])
         self.tokenize = self.tok.model.tokenize
         self.bytes_of = [np.array([i], dtype=self.type).tobytes() for i in range(self.size)]
-        self.earlier: dict[str, bytes] = {}
         self.same, self.other = set(map(chr, range(128))), set()
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
-            self.earlier = dict(self)
             self.clear()
-        out = self.earlier.get(word)
-        if out is None:
-            written = codecs.charmap_decode(word.encode(), "strict", self.letters)[0]
-            out = b"".join([self.bytes_of[t.id] for t in self.tokenize(written)])
-        self[word] = out
+        written = codecs.charmap_decode(word.encode(), "strict", self.letters)[0]
+        self[word] = out = b"".join([self.bytes_of[t.id] for t in self.tokenize(written)])
         return out
 
     def _kinds_agree(self, text: str) -> bool:
