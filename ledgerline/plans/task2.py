@@ -36,6 +36,18 @@ def month_of(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def in_parts(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as configured; what it is joined with on ``keys`` gets as many.
+
+    AQE would merge both sides to as few partitions as there are task slots, so
+    that a slot sorts its whole share of the wide rows at once and each of its
+    many spill files keeps buffers that no memory manager counts: a small heap
+    for each slot then fails. Nor does AQE split a skewed partition of the join.
+    """
+    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return df.repartition(int(n), *keys) if n.isdigit() else df.repartition(*keys)
+
+
 #: A key that holds more than one of so many facts is hot: fewer keys than this are.
 HOT_SHARE = 4096
 
@@ -51,9 +63,10 @@ def with_versions(facts: DataFrame, day: str, key: str, versions: DataFrame) ->
     and meet only the versions of theirs. The versions of all other keys stand
     once, in month 0 with the facts of their key; so the versions do not grow
     with the months they cover. They are shuffled, never broadcast: the
-    planner's guess at their size is that of a compressed file. A NULL end
-    never matches; a fact on a day that two versions share comes twice; a
-    version never meets a fact in two months, as a fact has one.
+    planner's guess at their size is that of a compressed file, and in
+    partitions that stay small (``in_parts``). A NULL end never matches; a fact
+    on a day that two versions share comes twice; a version never meets a fact
+    in two months, as a fact has one.
     """
     lo, hi, n = (facts.select(f(c)).scalar() for f, c in ((F.min, day), (F.max, day), (F.count, key)))
     hot = facts.groupBy(F.col(key).alias("_hot")).agg(F.count(key).alias("_n")).where(F.col("_n") * HOT_SHARE > n).select("_hot")
@@ -66,7 +79,7 @@ def with_versions(facts: DataFrame, day: str, key: str, versions: DataFrame) ->
     f = (facts.join(F.broadcast(hot), F.col("_hot") == F.col(key), "left")
          .withColumn("_month", F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), 0).otherwise(month_of(F.col(day)))).drop("_hot"))
     on = (F.col("_key") == F.col(key)) & (F.col("_bin") == F.col("_month")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return f.join(binned.hint("merge"), on, "left").drop("_month", "_key", "_bin")
+    return f.join(in_parts(binned, "_key", "_bin").hint("merge"), on, "left").drop("_month", "_key", "_bin")
 
 
 def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFrame:
@@ -78,12 +91,14 @@ def _joined(deal: DataFrame, holiday: DataFrame, product: DataFrame) -> DataFram
     Products meet the deals by product, and by month where a product is hot
     (``with_versions``). They come first, as the deals are read for the hot
     products too; the two left joins give the same rows in either order. Deal
-    and holiday are both large and meet in a sort-merge join on the deal key.
+    and holiday are both large and meet in a sort-merge join on the deal key,
+    in partitions that stay small (``in_parts``).
     """
     d, lh, p = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns]) for tag, df in (("d", deal), ("lh", holiday), ("p", product)))
     p = p.select("*", F.col("p_effective_from_date").alias("valid_from"), F.col("p_effective_to_date").alias("valid_to"),
                  F.col("p_product_rk").alias("product"))
     x = with_versions(d.withColumn("product", F.col("d_product_rk")), "d_effective_from_date", "product", p).drop("product", "valid_from", "valid_to")
+    lh = in_parts(lh, "lh_deal_rk", "lh_effective_from_date")
     return x.join(lh, (F.col("lh_deal_rk") == F.col("d_deal_rk")) & (F.col("lh_effective_from_date") == F.col("d_effective_from_date")), "left")
 
 

@@ -154,6 +154,25 @@ def test_loan_holiday_info_of_many_products_and_dates_equals_the_plain_joins(spa
     assert "SortMergeJoin [product#" in plan  # the planner would broadcast the products, of a size it can only guess
 
 
+def test_loan_holiday_info_is_joined_in_small_partitions(spark):
+    """AQE merges no partitions of the two joins, so that no task sorts a large share of the deals."""
+    deal = spark.range(4_000).select(F.col("id").alias("deal_rk"), F.date_add(F.lit(D(1992, 1, 1)), (F.col("id") % 900).cast("int")).alias("effective_from_date"),
+                                     F.lit(D(2999, 12, 31)).alias("effective_to_date"), (F.col("id") % 3_000).alias("product_rk"))
+    holiday = deal.where("deal_rk % 2 = 0").select("deal_rk", "effective_from_date", F.lit(D(2020, 1, 1)).alias("effective_to_date"))
+    product = spark.range(2_000).select(F.col("id").alias("product_rk"), F.lit("a").alias("product_name"), F.lit(D(1990, 1, 1)).alias("effective_from_date"), F.lit(D(2999, 1, 1)).alias("effective_to_date"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("-1", "true", "16")):
+            spark.conf.set(k, v)
+        by_product = task2.with_versions(deal, "effective_from_date", "product_rk", product.withColumnsRenamed({"effective_from_date": "valid_from", "effective_to_date": "valid_to"}))
+        for out in (by_product, task2.loan_holiday_info(deal, holiday, product)):
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 4_000 and len(sizes) == 16 and max(sizes) < 400
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_balance_repair_is_stored_and_counted(spark, task2_root):
     run = jobs.repair_balance(spark, task2_root)
     assert run.rows_loaded == 1       # account 2 has a missing day in between: no error
